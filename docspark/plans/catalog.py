@@ -1,0 +1,43 @@
+"""Registry of queries: each key runs on Spark, and where SQL can say the same, carries that SQL."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from importlib import import_module
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(key: str, sql: str | None = None) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        if key in QUERIES:
+            raise KeyError(f"query {key} is registered twice")
+        QUERIES[key] = fn
+        if sql is not None:
+            ORACLES[key] = sql
+        return fn
+
+    return register
+
+
+_MODULES = (
+    "source_queries",
+    "function_queries",
+    "filter_queries",
+    "aggregate_queries",
+    "lexicon_queries",
+    "placement_queries",
+    "sink_queries",
+    "transform_queries",
+)
+
+
+def load() -> None:
+    """Import the modules that register queries."""
+    for name in _MODULES:
+        import_module(f"docspark.plans.{name}")
