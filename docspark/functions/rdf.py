@@ -82,13 +82,15 @@ def resolve_graph(
     collections: list[str] | None = None,
     default: str = DEFAULT_GRAPH,
 ) -> Column:
-    """Graph of a triple: override, else the quad's own, else the output graph, first collection, default."""
-    if override_graph is not None and (output_graph is not None or collections):
-        raise ValueError("override_graph excludes output_graph and collections")
+    """Graph of a triple. An override, or collections without an output graph, ignore the quad's own graph;
+    else the quad's graph counts, then the output graph, then the default."""
+    if override_graph is not None and output_graph is not None:
+        raise ValueError("only one of override_graph and output_graph may be given")
     if override_graph is not None:
         return F.lit(override_graph)
-    fallback = output_graph or (collections[0] if collections else default)
-    return F.coalesce(F.nullif(quad, F.lit("")), F.lit(fallback))
+    if collections and output_graph is None:
+        return F.lit(collections[0])
+    return F.coalesce(F.nullif(quad, F.lit("")), F.lit(output_graph or default))
 
 
 def graph_collections(graph: Column, collections: list[str] | None = None) -> Column:

@@ -60,12 +60,15 @@ def fields(docs: DataFrame, a: list[str], b: list[str], **kw) -> DataFrame:
 def proximity(a: DataFrame, b: DataFrame, n: int, offset=0, limit=None, sort=True) -> DataFrame:
     """Pairs at most ``n`` positions apart, from rows (uri, pos, a) and (uri, pos, b).
 
-    Each b is offered at the 2n+1 positions it reaches and joined on (uri, position): a long document spreads
-    over many keys, and no pair beyond ``n`` is ever made.
+    Positions are cut into blocks longer than ``n``; each b is offered to its own block and its neighbours and
+    joined on (uri, block). A long document spreads over many keys, and a row only meets rows of
+    three blocks.
     """
-    steps = F.explode(F.array(*[F.lit(d) for d in range(-n, n + 1)]))
-    reach = b.select("uri", "b", "pos", steps.alias("_d")).select("uri", (F.col("pos") + F.col("_d")).alias("pos"), "b")
-    pairs = a.select("uri", "pos", "a").join(reach, ["uri", "pos"])
-    per_doc = pairs.select("uri", "a", "b").distinct()
+    width = n + 1
+    block = F.floor(F.col("pos") / width)
+    near = F.explode(F.array(block - 1, block, block + 1)).alias("_block")
+    reach = b.select("uri", F.col("pos").alias("_pos"), "b", near)
+    pairs = a.select("uri", "pos", "a", block.alias("_block")).join(reach, ["uri", "_block"])
+    per_doc = pairs.where(F.abs(F.col("pos") - F.col("_pos")) <= n).select("uri", "a", "b").distinct()
     out = per_doc.groupBy("a", "b").agg(F.count(F.lit(1)).alias("freq"))
     return page_terms(out, ["a", "b"], offset, limit, sort=sort)

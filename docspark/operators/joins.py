@@ -25,8 +25,11 @@ def semi_existing(ops: DataFrame, docs: DataFrame, key: str = "uri") -> DataFram
 
 def left_graph_permissions(graphs: DataFrame, stored: DataFrame, defaults: Column) -> DataFrame:
     """Permissions of each graph (graph): the stored ones (graph, permissions), else the defaults."""
-    joined = graphs.join(maybe_broadcast(stored), "graph", "left")
-    return joined.withColumn("permissions", F.coalesce("permissions", defaults))
+    # a flag and not the array itself tells a miss: reading one field of coalesce(array, default) after an
+    # outer join loses the default in Spark 4.1
+    joined = graphs.join(maybe_broadcast(stored.withColumn("_stored", F.lit(True))), "graph", "left")
+    permissions = F.when(F.col("_stored"), F.col("permissions")).otherwise(defaults)
+    return joined.withColumn("permissions", permissions).drop("_stored")
 
 
 def anti_new_graphs(triples: DataFrame, stored_graphs: DataFrame) -> DataFrame:

@@ -69,6 +69,9 @@ _EDITED = T.StructType([T.StructField("text", T.StringType()), T.StructField("er
 def _edit(texts: pd.Series, ops: pd.Series) -> pd.DataFrame:
     out = []
     for text, todo in zip(texts, ops):
+        if text is None:
+            out.append((None, None))
+            continue
         try:
             out.append((_apply(text, sorted(todo, key=lambda o: o["seq"])), None))
         except Exception as e:  # a failed edit is reported with its document and must not stop the load
@@ -79,7 +82,7 @@ def _edit(texts: pd.Series, ops: pd.Series) -> pd.DataFrame:
 def apply_node_ops(docs: DataFrame, ops: DataFrame) -> DataFrame:
     """Apply (uri, path, op, xml, seq) to the XML documents they name, in ``seq`` order.
 
-    Documents without operations stay inside the JVM. Operations on unknown documents have no effect; a
+    Operations on unknown documents have no effect; a
     failed edit leaves the text as it was and sets ``skip_reason``.
     """
     bad = ~F.col("op").isin(*NODE_OPS)
@@ -87,14 +90,13 @@ def apply_node_ops(docs: DataFrame, ops: DataFrame) -> DataFrame:
     grouped = ops.groupBy("uri").agg(
         F.array_sort(F.collect_list(F.struct("seq", "path", checked.cast("string").alias("op"), "xml"))).alias("_ops")
     )
-    joined = docs.join(grouped, "uri", "left")
-    columns = docs.columns
-    same = joined.where(F.col("_ops").isNull()).select(*columns)
-    edited = joined.where(F.col("_ops").isNotNull()).withColumn("_r", _edit("text", "_ops"))
-    edited = edited.withColumn("text", F.col("_r.text"))
-    if "skip_reason" in columns:
+    todo = F.col("_ops").isNotNull()
+    # only documents with operations send their text to Python
+    edited = docs.join(grouped, "uri", "left").withColumn("_r", _edit(F.when(todo, F.col("text")), "_ops"))
+    edited = edited.withColumn("text", F.when(todo, F.col("_r.text")).otherwise(F.col("text")))
+    if "skip_reason" in docs.columns:
         edited = edited.withColumn("skip_reason", F.coalesce("skip_reason", F.col("_r.error")))
-    return same.unionByName(edited.select(*columns))
+    return edited.select(*docs.columns)
 
 
 def apply_property_ops(docs: DataFrame, ops: DataFrame, add: bool = False, always_create: bool = False) -> DataFrame:

@@ -101,7 +101,8 @@ def custom_reduce_partials(
             if parts:
                 yield pd.concat(parts)
 
-    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(salts)).cast("int")
-    partial = rows.mapInPandas(combine, schema).withColumn("_salt", salt)
+    partial = rows.mapInPandas(combine, schema)
+    # a salt of the row itself stays the same when a task is repeated
+    partial = partial.withColumn("_salt", F.pmod(F.xxhash64(*partial.columns), F.lit(salts)).cast("int"))
     salted = partial.groupBy(*keys, "_salt").applyInPandas(lambda pdf: fold(pdf.drop(columns="_salt")), schema)
     return salted.groupBy(*keys).applyInPandas(fold, schema)

@@ -189,7 +189,7 @@ def q_union_graphs(spark, sf):
 @query(
     "resolve_graph",
     f"""select s, p, case when graph = '' then 'urn:out' else graph end as by_quad, 'urn:over' as by_override,
- case when graph = '' then 'c1' else graph end as by_collection, case when graph = '' then 'urn:docspark:default-graph' else graph end as by_default from {CUSTOMER_TRIPLES}""",
+ 'c1' as by_collection, case when graph = '' then 'urn:docspark:default-graph' else graph end as by_default from {CUSTOMER_TRIPLES}""",
 )
 def q_resolve_graph(spark, sf):
     g = F.col("graph")

@@ -127,7 +127,7 @@ _NUMBER = "case when c_acctbal = floor(c_acctbal) then c_acctbal::bigint::varcha
 )
 def q_row_to_json(spark, sf):
     """A bad Boolean is a reason, an empty one leaves its key out."""
-    flag = F.when(F.col("c_nationkey") > 12, "").when(F.col("c_custkey") % 2 == 0, "true").otherwise("odd")
+    flag = F.when(F.col("c_nationkey") > 12, "").when(F.col("c_acctbal") > 0, "true").otherwise("odd")
     columns = {"c_name": F.col("c_name"), "c_acctbal": F.col("c_acctbal"), "flag": flag}
     doc, reason = row_to_json(columns, "c_acctbal,Number,flag,Boolean")
     return table(spark, sf, "customer").select(

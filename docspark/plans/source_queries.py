@@ -77,7 +77,7 @@ def q_read_file_refs(spark, sf):
 @query("read_zip_docs", _TEXT_ROWS)
 def q_read_zip_docs(spark, sf):
     path = as_zips(text_docs(spark, sf), "zips")
-    return _text_rows(read_zip_docs(spark, path, replace=[(r"^.*\.zip/", "")]))
+    return _text_rows(read_zip_docs(spark, path))
 
 
 @query("read_gzip_docs", _TEXT_ROWS)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 # Lookups are sent to every task only below this size; larger ones are joined by key.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 << 20
 
 _local_dir: str | None = None
 
@@ -41,13 +42,14 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only when ``df`` really is small; otherwise leave the join to the optimizer.
 
     The check reads at most ``max_rows + 1`` rows.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    size = F.octet_length(F.to_json(F.struct("*")))
+    rows, used = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and used <= max_bytes else df
 
 
 def split_partition(col: Column) -> Column:
@@ -89,6 +91,8 @@ def with_positions(
     cond = F.col("l._part") == F.col("r._part")
     for g in group:
         cond = cond & F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}"))
+    # without groups there is one row per partition; with groups the size is checked first
+    starts = maybe_broadcast(starts) if group else F.broadcast(starts)
     joined = ranged.alias("l").join(starts.alias("r"), cond, "inner")
     pos = local + F.col("r._before") + 1
     return joined.select(*[F.col(f"l.`{c}`") for c in df.columns], pos.cast("bigint").alias(name))

@@ -110,12 +110,12 @@ class _Unseekable(io.RawIOBase):
         return len(data)
 
 
-def _export_zips(docs: DataFrame, out_dir: str, metadata: Column, roll_bytes: int, encoding: str) -> DataFrame:
+def _export_zips(docs: DataFrame, out_dir: str, name: Column, metadata: Column, roll_bytes: int, encoding: str) -> DataFrame:
     root = full_path(docs.sparkSession, out_dir)
     stamp = time.strftime("%Y%m%d%H%M%S", time.gmtime())
     content = F.when(~F.col("naked"), _content(F.col("text"), F.col("bytes"), encoding))
     kind = F.when(F.col("content_type").isin("XML", "JSON", "TEXT"), F.col("content_type")).otherwise("BINARY")
-    rows = docs.select("uri", kind.alias("kind"), content.alias("content"), metadata.alias("metadata"))
+    rows = docs.select(name.alias("name"), kind.alias("kind"), content.alias("content"), metadata.alias("metadata"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         attempt, part = _attempt(), TaskContext.get().partitionId()
@@ -132,15 +132,15 @@ def _export_zips(docs: DataFrame, out_dir: str, metadata: Column, roll_bytes: in
                     z = None
                 if z is None:
                     rolls[row.kind] = rolls.get(row.kind, -1) + 1
-                    name = f"{root}/{stamp}-{part:06d}-{rolls[row.kind]:06d}-{row.kind}.zip"
-                    z = zips[row.kind] = _Zip(name, attempt)
+                    file = f"{root}/{stamp}-{part:06d}-{rolls[row.kind]:06d}-{row.kind}.zip"
+                    z = zips[row.kind] = _Zip(file, attempt)
                 if row.content is None:
                     if row.metadata is not None:
-                        z.add(row.uri + NAKED_SUFFIX, row.metadata.encode())
+                        z.add(row.name + NAKED_SUFFIX, row.metadata.encode())
                     continue
                 if row.metadata is not None:
-                    z.add(row.uri + METADATA_SUFFIX, row.metadata.encode())
-                z.add(row.uri, row.content)
+                    z.add(row.name + METADATA_SUFFIX, row.metadata.encode())
+                z.add(row.name, row.content)
             if done:
                 yield pd.DataFrame(done, columns=["path", "entries", "bytes_n"])
         if zips:
@@ -150,11 +150,12 @@ def _export_zips(docs: DataFrame, out_dir: str, metadata: Column, roll_bytes: in
 
 
 def export_zip(docs: DataFrame, out_dir: str, roll_bytes: int = ROLL_BYTES, encoding: str = "UTF-8") -> DataFrame:
-    """Zips of documents, one per task and content type, a new one at ``roll_bytes`` of content."""
+    """Zips of documents, one per task and content type, a new one at ``roll_bytes`` of content; entries are
+    named by the path of the URI."""
     with_content = to_docs(docs).where(~F.col("naked"))
-    return _export_zips(with_content, out_dir, F.lit(None).cast("string"), roll_bytes, encoding)
+    return _export_zips(with_content, out_dir, path_from_uri(F.col("uri")), F.lit(None).cast("string"), roll_bytes, encoding)
 
 
 def export_archive(docs: DataFrame, out_dir: str, roll_bytes: int = ROLL_BYTES, encoding: str = "UTF-8") -> DataFrame:
     """Zips with a metadata entry before each document; metadata without a document is a ``.naked`` entry."""
-    return _export_zips(to_docs(docs), out_dir, metadata_to_json(), roll_bytes, encoding)
+    return _export_zips(to_docs(docs), out_dir, F.col("uri"), metadata_to_json(), roll_bytes, encoding)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from docspark.functions.metadata import select_metadata
 from docspark.operators.filters import scope
 from docspark.operators.placement import bucket_by_uri
-from docspark.runtime import materialize
+from docspark.runtime import materialize, work_path
 from docspark.schema import DOC_SCHEMA, METADATA_COLUMNS, to_docs
 from docspark.sinks.hadoop import delete, has_files
 
@@ -75,8 +75,11 @@ def upsert_docs(docs: DataFrame, path: str, buckets: int = BUCKETS) -> None:
         return None
     old = spark.read.schema(STORE_SCHEMA).parquet(path).where(F.col("bucket").isin(touched))
     kept = old.join(new.select("uri", "bucket"), ["bucket", "uri"], "left_anti").drop("buckets")
-    merged = materialize(kept.unionByName(new), "upsert-merged")
-    _write(merged, path, "overwrite", buckets)
+    staged = work_path(spark, "upsert-merged")
+    _write(kept.unionByName(new), staged, "append", buckets)
+    # staged files hold one bucket each, so putting them in place moves no rows between tasks
+    merged = spark.read.schema(STORE_SCHEMA).parquet(staged)
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("buckets", "bucket").parquet(path)
     return None
 
 

@@ -2,45 +2,90 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import struct
+import zlib
+from collections.abc import Iterator, Sequence
+from types import SimpleNamespace
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions.metadata import metadata_from_json
 from docspark.schema import METADATA_COLUMNS, to_docs
-from docspark.sources.files import decode_text
-from docspark.sources.zipped import list_zip_entries, read_entries
+from docspark.sources.files import MAX_BYTES, decode_text
+from docspark.sources.io import open_input
+from docspark.sources.zipped import BATCH_BYTES, entry_chunks, entry_problem, list_zip_entries, spread_entries
 
 METADATA_SUFFIX = ".metadata"
 NAKED_SUFFIX = ".naked"
 TYPES = ("XML", "JSON", "TEXT", "BINARY")
 MISSING = "Missing metadata"
+_PAIR_DDL = (
+    "src_id string, uri string, content_type string, is_naked boolean, has_content boolean, "
+    "content binary, metadata binary, reason string"
+)
+
+
+def _read_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Content and metadata of each listed document, both from the same archive."""
+    columns = ["src_id", "uri", "content_type", "is_naked", "has_content", "content", "metadata", "reason"]
+    opened, f, out, size = None, None, [], 0
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            parts, reason = {}, row.reason
+            for part in ("content", "metadata"):
+                at = getattr(row, part)
+                if at is None or reason is not None:
+                    continue
+                reason = entry_problem(SimpleNamespace(**at))
+                if reason is None and at["usize"] > MAX_BYTES:
+                    reason = "file size too large"
+                if reason is None:
+                    if row.src_id != opened:
+                        f, opened = open_input(row.src_id), row.src_id
+                    try:
+                        parts[part] = b"".join(entry_chunks(f, at["offset"], at["csize"], at["method"]))
+                    except (zlib.error, EOFError, struct.error) as e:
+                        reason = f"invalid entry: {e}"
+            out.append(
+                (row.src_id, row.uri, row.content_type, row.is_naked, row.content is not None,
+                 parts.get("content"), parts.get("metadata"), reason)
+            )
+            size += sum(map(len, parts.values()))
+            if size >= BATCH_BYTES or len(out) >= 10_000:
+                yield pd.DataFrame(out, columns=columns)
+                out, size = [], 0
+    if out:
+        yield pd.DataFrame(out, columns=columns)
 
 
 def read_archive(
     spark: SparkSession, paths: str | Sequence[str], metadata_optional: bool = False, encoding: str = "UTF-8"
 ) -> DataFrame:
     """Documents with their metadata. Other files are ignored; ``uri.naked`` is metadata without a document;
-    a document without metadata is rejected unless ``metadata_optional``."""
+    a document without metadata is rejected unless ``metadata_optional``.
+
+    A document meets its metadata by name in the listing, before any content is read, so that only small
+    rows are shuffled and both are read by one task.
+    """
     entries = list_zip_entries(spark, paths, rf".*-(?:{'|'.join(TYPES)})\.zip")
-    content = read_entries(entries).select(
-        "src_id", "reason", "content", "entry",
-        F.regexp_extract("src_id", r"-([A-Z]+)\.zip$", 1).alias("content_type"),
+    is_meta = F.col("entry").endswith(METADATA_SUFFIX) | F.col("entry").endswith(NAKED_SUFFIX)
+    at = F.struct("offset", "csize", "usize", "method", "encrypted", F.col("reason"))
+    pairs = entries.groupBy(
+        "src_id",
         F.regexp_replace("entry", rf"\{METADATA_SUFFIX}$|\{NAKED_SUFFIX}$", "").alias("uri"),
-        F.when(F.col("entry").endswith(METADATA_SUFFIX), "metadata")
-        .when(F.col("entry").endswith(NAKED_SUFFIX), "naked").otherwise("content").alias("part"),
-    )
-    # an entry pair meets by name inside its archive: at most three rows per key
-    pairs = content.groupBy("src_id", "uri", "content_type").agg(
+        F.regexp_extract("src_id", r"-([A-Z]+)\.zip$", 1).alias("content_type"),
+    ).agg(
+        F.max(F.when(~is_meta, at)).alias("content"),
+        F.max(F.when(is_meta, at)).alias("metadata"),
+        F.bool_or(F.col("entry").endswith(NAKED_SUFFIX)).alias("is_naked"),
         F.max("reason").alias("reason"),
-        F.first(F.when(F.col("part") == "content", F.col("content")), ignorenulls=True).alias("content"),
-        F.first(F.when(F.col("part") != "content", F.col("content")), ignorenulls=True).alias("metadata"),
-        F.bool_or(F.col("part") == "content").alias("has_content"),
-        F.bool_or(F.col("part") == "naked").alias("is_naked"),
+        F.sum("csize").alias("csize"),
     )
-    meta = metadata_from_json(F.decode("metadata", "UTF-8"))
-    df = pairs.withColumn("m", meta).withColumn("has_metadata", F.col("metadata").isNotNull())
+    read = spread_entries(pairs, "uri").mapInPandas(_read_pairs, _PAIR_DDL)
+    df = read.withColumn("m", metadata_from_json(F.decode("metadata", "UTF-8")))
+    df = df.withColumn("has_metadata", F.col("metadata").isNotNull()).drop("metadata")
     missing = ~F.col("has_metadata") & F.lit(not metadata_optional)
     reason = F.coalesce(F.col("reason"), F.when(missing, F.lit(MISSING)))
     is_text = F.col("has_content") & (F.col("content_type") != "BINARY")
@@ -49,7 +94,7 @@ def read_archive(
         for c, d in zip(METADATA_COLUMNS, ("array()", "array()", "0", "map()", "array()"))
     }
     return to_docs(
-        df.drop("metadata"),
+        df,
         **given,
         uri=F.when(reason.isNull(), F.col("uri")),
         sub_id="uri",

@@ -20,7 +20,7 @@ from docspark.sources.zipped import entry_rows, file_rows, stream_records
 
 WIDTH_REASON = "number of fields does not match number of columns"
 QUOTE_REASON = "invalid char between encapsulated token and delimiter"
-_RECORD_DDL = "line bigint, n bigint, h int, vals array<string>, reason string"
+_RECORD_DDL = "line bigint, h int, vals array<string>, reason string"
 MAX_HEADERS = 1000
 
 
@@ -97,30 +97,29 @@ def _record_parser(delimiter: str, encoding: str, headers: list[list[str]]):
     number = {tuple(h): i for i, h in enumerate(headers)}
 
     def parse(stream, src_id: str, entry: str) -> Iterator[tuple]:
-        h, n = None, 0
+        h = None
         for line, fields in _records(stream, delimiter, encoding):
             if h is None:
                 if fields is None:
-                    yield line, 0, -1, [], QUOTE_REASON
+                    yield line, -1, [], QUOTE_REASON
                     return
                 h = number[tuple(_header_of(fields))]
                 width = len(headers[h])
                 continue
             if fields is None:
-                yield line, n, h, [], QUOTE_REASON
+                yield line, h, [], QUOTE_REASON
             elif len(fields) != width:
-                yield line, n, h, [], WIDTH_REASON
+                yield line, h, [], WIDTH_REASON
             else:
-                n += 1
-                yield line, n, h, fields, None
+                yield line, h, fields, None
 
     return parse
 
 
-def _document_columns(header: list[str], raw_generated, uri_id, doc_type, data_type, root_name, lenient):
+def _document_columns(header: list[str], generate_uri: bool, uri_id, doc_type, data_type, root_name, lenient):
     """(raw URI, body, reason) of a row array ``vals`` under one header."""
     null = F.lit(None).cast("string")
-    if raw_generated is None and uri_id is not None and uri_id not in header:
+    if not generate_uri and uri_id is not None and uri_id not in header:
         return null, null, F.lit(f"uri_id {uri_id} is not found")
     columns = {h: F.get(F.col("vals"), F.lit(i)) for i, h in enumerate(header) if h}
     try:
@@ -130,26 +129,30 @@ def _document_columns(header: list[str], raw_generated, uri_id, doc_type, data_t
             body, type_reason = row_to_xml(columns, root_name), null
     except ValueError as e:
         return null, null, F.lit(str(e))
-    if raw_generated is not None:
-        return raw_generated, body, type_reason
     i = header.index(uri_id) if uri_id is not None else 0
-    return F.get(F.col("vals"), F.lit(i)), body, type_reason
+    return null if generate_uri else F.get(F.col("vals"), F.lit(i)), body, type_reason
 
 
-def _documents(rows: DataFrame, headers: list[list[str]], block, uri_options: dict, generate_uri: bool, **kw) -> DataFrame:
-    """Documents of (src_id, sub_id, line, n, h, vals, reason); one pass whatever the number of headers."""
-    generated = uri_generate(F.col("src_id"), block, F.col("n")) if generate_uri else None
+def _documents(rows: DataFrame, headers: list[list[str]], uri_options: dict, generate_uri: bool, **kw) -> DataFrame:
+    """Documents of (src_id, sub_id, block, line, h, vals, reason); one pass whatever the number of headers."""
     null = F.lit(None).cast("string")
     raw, body, type_reason = null, null, null
     for h, header in enumerate(headers):
-        cols = _document_columns(header, generated, **kw)
+        cols = _document_columns(header, generate_uri, **kw)
         here = F.col("h") == h
         raw, body, type_reason = (F.when(here, new).otherwise(old) for new, old in zip(cols, (raw, body, type_reason)))
-    uri, uri_reason = uri_build(raw, **uri_options)
     df = rows.select(
-        "src_id", "sub_id", "line", F.coalesce("reason", type_reason, uri_reason).alias("skip_reason"),
-        uri.alias("_uri"), body.alias("_body"),
+        "src_id", "sub_id", "block", "line", F.coalesce("reason", type_reason).alias("reason"),
+        raw.alias("_raw"), body.alias("_body"),
     )
+    if generate_uri:
+        # only good records take a number
+        source = F.concat_ws("/", "src_id", F.nullif(F.col("sub_id"), F.lit("")))
+        df = df.withColumn("_good", F.col("reason").isNull()).withColumn("_file", source)
+        df = number_in_split(df, ("_file", "block"), counted="_good")
+        df = df.withColumn("_raw", uri_generate(F.col("_file"), F.col("block"), F.col("n")))
+    uri, uri_reason = uri_build(F.col("_raw"), **uri_options)
+    df = df.withColumn("skip_reason", F.coalesce("reason", uri_reason)).withColumn("_uri", uri)
     ok = F.col("skip_reason").isNull()
     return to_docs(
         df, uri=F.when(ok, F.col("_uri")), text=F.when(ok, F.col("_body")), content_type=F.lit(kw["doc_type"].upper())
@@ -194,8 +197,8 @@ def read_csv_docs(
         raise ValueError(f"more than {MAX_HEADERS} different headers in one input")
     headers.sort()
     parse = _record_parser(delimiter, encoding, headers)
-    rows = stream_records(listing, parse, _RECORD_DDL, lambda why: (0, 0, -1, [], why))
-    return _documents(rows, headers, F.lit(0), **kw)
+    rows = stream_records(listing, parse, _RECORD_DDL, lambda why: (0, -1, [], why))
+    return _documents(rows.withColumn("block", F.lit(0)), headers, **kw)
 
 
 def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None, kw: dict) -> DataFrame:
@@ -213,7 +216,7 @@ def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None,
         .options(header="true", sep="\u0001", quote="\u0002", escape="\u0003", enforceSchema="false", **glob)
         .csv(files)
         .select(
-            F.col(f"`{header_line}`").alias("raw"),
+            F.col("`" + header_line.replace("`", "``") + "`").alias("raw"),
             F.col("_metadata.file_path").alias("src_id"),
             F.col("_metadata.file_block_start").alias("block"),
         )
@@ -236,8 +239,4 @@ def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None,
         F.array(*[F.coalesce(F.col(f"r.{n}"), F.lit("")) for n in names]).alias("vals"),
         F.when(malformed, F.lit(QUOTE_REASON)).when(F.col("r._corrupt").isNotNull(), F.lit(WIDTH_REASON)).alias("reason"),
     )
-    if kw["generate_uri"]:
-        rows = number_in_split(rows)
-    else:
-        rows = rows.withColumn("n", F.lit(0))
-    return _documents(rows, [header], F.col("block"), **kw)
+    return _documents(rows, [header], **kw)

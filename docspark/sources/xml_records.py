@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from xml.parsers import expat
+from xml.sax.saxutils import escape
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,14 +56,14 @@ class _Records:
         if not self.record_depth:
             if self.element is None and self.depth == 2:
                 self.element, self.ns = local, uri
-            if self.depth > 1 and local == self.element and (self.ns is None or self.ns == uri):
+            if self.depth > 1 and local == self.element and (self.ns or "") == uri:
                 self.record_depth, self.raw_uri, self.id_text = self.depth, None, None
                 self.start = self.parser.CurrentByteIndex
                 self.at = self.parser.CurrentLineNumber, self.parser.CurrentColumnNumber
                 self.own = own
         if self.record_depth:
             if self.attr and self.raw_uri is None:
-                self.raw_uri = next((v for k, v in attrs.items() if k.rpartition(" ")[2] == self.attr), None)
+                self.raw_uri = next((_escape(v) for k, v in attrs.items() if k.rpartition(" ")[2] == self.attr), None)
             if self.id_element == local and self.raw_uri is None and self.id_text is None:
                 self.id_text, self.id_depth = [], self.depth
 
@@ -72,7 +73,7 @@ class _Records:
 
     def _end(self, name: str) -> None:
         if self.record_depth and self.id_text is not None and self.depth == self.id_depth:
-            self.raw_uri, self.id_text = "".join(self.id_text).strip(), None
+            self.raw_uri, self.id_text = _escape("".join(self.id_text)), None
         if self.record_depth == self.depth:
             self.done.append((self.start, self.parser.CurrentByteIndex, self.at, self._outer(), self.raw_uri))
             self.record_depth = 0
@@ -94,7 +95,7 @@ class _Records:
             return raw
         head = re.match(r"<[^\s/>]+", raw)[0]
         declared = "".join(
-            f' xmlns{":" + p if p else ""}="{_attribute(u)}"' for p, u in sorted(outer.items())
+            f' xmlns{":" + p if p else ""}="{_escape(u)}"' for p, u in sorted(outer.items())
         )
         return head + declared + raw[len(head) :]
 
@@ -112,8 +113,8 @@ class _Records:
             self.base = keep
 
 
-def _attribute(text: str) -> str:
-    return text.replace("&", "&amp;").replace("<", "&lt;").replace('"', "&quot;")
+def _escape(text: str) -> str:
+    return escape(text, {'"': "&quot;", "'": "&apos;"})
 
 
 def _parser(element: str | None, ns: str | None, uri_id: str | None):
@@ -155,8 +156,8 @@ def read_xml_records(
     split: bool = False,
     **uri_options,
 ) -> DataFrame:
-    """Each ``element`` (default: the first child of the root) as one document, verbatim, with the
-    namespaces in scope declared on it. ``uri_id`` is an element name or ``@attribute``; without it URIs
+    """Each ``element`` of namespace ``ns`` (default: the first child of the root) as one document, verbatim,
+    with the namespaces in scope declared on it. ``uri_id`` is an element name or ``@attribute``; without it URIs
     are generated. A record without an id is rejected.
 
     Default: a file (plain or ``.gz``) or zip entry is streamed by one task. ``split=True`` cuts files at the

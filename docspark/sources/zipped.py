@@ -58,13 +58,13 @@ def list_zip_entries(spark: SparkSession, paths: str | Sequence[str], pattern: s
     return archives.mapInPandas(_list_batches, ENTRY_DDL)
 
 
-def spread_entries(entries: DataFrame) -> DataFrame:
+def spread_entries(entries: DataFrame, key: str = "entry") -> DataFrame:
     """Write the listing down and spread it over tasks by volume, not by archive."""
     listed = materialize(entries, "zip-entries")
     total, n = listed.agg(F.coalesce(F.sum("csize"), F.lit(0)), F.count(F.lit(1))).first()
     parallel = listed.sparkSession.sparkContext.defaultParallelism
     parts = max(1, min(n, max(parallel, total // TASK_BYTES + 1)))
-    return listed.repartition(int(parts), "src_id", "entry")
+    return listed.repartition(int(parts), "src_id", key)
 
 
 def entry_chunks(f, offset: int, csize: int, method: int) -> Iterator[bytes]:
@@ -136,7 +136,10 @@ def read_zip_docs(
 ) -> DataFrame:
     """One document per non-empty entry, URI = archive path + ``/`` + entry name."""
     entries = list_zip_entries(spark, paths, pattern).where((F.col("usize") > 0) | F.col("reason").isNotNull())
-    raw = F.concat(file_path_of(F.col("src_id")), F.lit("/"), F.col("entry"))
+    # an entry with an absolute name is its own URI
+    raw = F.when(F.col("entry").startswith("/"), F.col("entry")).otherwise(
+        F.concat(file_path_of(F.col("src_id")), F.lit("/"), F.col("entry"))
+    )
     uri, reason = uri_build(raw, **uri_options)
     ct = content_type_of(F.col("entry")) if doc_type.upper() == "MIXED" else F.lit(doc_type.upper())
     df = read_entries(entries).withColumn("content_type", ct)
@@ -276,9 +279,8 @@ def stream_records(
 
 
 def file_rows(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
-    """Files to stream, spread over tasks by name: content is opened inside the tasks."""
-    files = list_files(spark, paths, pattern).where(F.col("bytes_n") > 0).select("src_id")
-    return files.repartition(max(spark.sparkContext.defaultParallelism, files.rdd.getNumPartitions()), "src_id")
+    """Files to stream. The scan packs them into tasks by their size; content is opened inside the tasks."""
+    return list_files(spark, paths, pattern).where(F.col("bytes_n") > 0).select("src_id")
 
 
 def entry_rows(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
