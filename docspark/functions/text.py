@@ -56,6 +56,13 @@ def is_internal_link(href: Column, value: Column | None = None) -> Column:
     return ok & value.isNotNull() if value is not None else ok
 
 
+def local_path(path: str) -> str:
+    """An XML path without prefixes. Spark's xpath matches local names and knows no prefix bindings."""
+    parts = re.split(r"('[^']*'|\"[^\"]*\")", path)
+    plain = [p if i % 2 else re.sub(r"(?<![\w.\-])[A-Za-z_][\w.\-]*:(?=[A-Za-z_*])", "", p) for i, p in enumerate(parts)]
+    return "".join(plain)
+
+
 def xml_text(xml: Column) -> Column:
     """Text of the document element. The XML must be well-formed."""
     return F.xpath_string(xml, F.lit("/*"))

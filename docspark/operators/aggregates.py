@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.functions.metadata import merge_collections
-from docspark.functions.text import is_internal_link, xml_text
+from docspark.functions.text import is_internal_link, local_path, xml_text
 from docspark.runtime import with_positions
 
 CHUNK = 1000
@@ -32,7 +32,7 @@ def link_count_values(lexicon: DataFrame) -> DataFrame:
 
 def link_count_files(xml_docs: DataFrame, path: str) -> DataFrame:
     """References per title by a path over XML files."""
-    return link_count(xml_docs, F.xpath("text", F.lit(path)))
+    return link_count(xml_docs, F.xpath("text", F.lit(local_path(path))))
 
 
 def link_count_ops(counts: DataFrame, base_uri: str, root_path: str) -> DataFrame:

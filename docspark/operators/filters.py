@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docspark.functions.text import local_path
 from docspark.functions.uri import directory_prefix
 
 
@@ -26,7 +27,7 @@ def of_types(types: list[str]) -> Column:
 
 def selected_by(xpath: str) -> Column:
     """XML documents for which the path holds; others are not parsed."""
-    return F.when(F.col("content_type") == "XML", F.xpath_boolean("text", F.lit(xpath))).otherwise(F.lit(False))
+    return F.when(F.col("content_type") == "XML", F.xpath_boolean("text", F.lit(local_path(xpath)))).otherwise(F.lit(False))
 
 
 def filter_collections(docs: DataFrame, names: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docspark.functions.text import matches, words
+from docspark.functions.text import local_path, matches, words
 
 
 def lexicon(
@@ -56,7 +56,7 @@ def page_terms(
 
 
 def xpath_terms(path: str, text: str = "text") -> Column:
-    return F.xpath(text, F.lit(path))
+    return F.xpath(text, F.lit(local_path(path)))
 
 
 def element_path(names: list[str]) -> str:

@@ -341,3 +341,12 @@ def q_custom_source(spark, sf):
     custom.register(spark)
     files = spark.read.format("docspark_files").load(path)
     return files.select(F.replace("uri", F.lit(path), F.lit("")).alias("uri"), F.md5("bytes").alias("text_md5"))
+
+
+@query("custom_sink", f"select uri, md5(text) as text_md5 from {TEXT_DOCS}")
+def q_custom_sink(spark, sf):
+    path = work_path(spark, "custom-sink")
+    custom.register(spark)
+    rows = text_docs(spark, sf).select("uri", F.encode("text", "UTF-8").alias("bytes"))
+    rows.write.format("docspark_files").mode("append").save(path)
+    return _text_rows(read_files(spark, path, replace=_below(path)))

@@ -1,11 +1,11 @@
-"""User-defined sources: a Python data source that reads files as documents, as a template."""
+"""User-defined sources and sinks: a Python data source that reads and writes files, as a template."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
 
 class FilesPartition(InputPartition):
@@ -42,8 +42,35 @@ class FilesReader(DataSourceReader):
                 yield path, bytes(f.read())
 
 
+class Written(WriterCommitMessage):
+    def __init__(self, files: int):
+        self.files = files
+
+
+class FilesWriter(DataSourceWriter):
+    """One file per row, at the URI below the path; a repeated task puts the same files in place again."""
+
+    def __init__(self, options):
+        self.path = options["path"].rstrip("/")
+
+    def write(self, rows: Iterator) -> Written:
+        from pyspark import TaskContext
+
+        from docspark.sources.io import AtomicFile
+
+        attempt, n = str(TaskContext.get().taskAttemptId()), 0
+        for row in rows:
+            if ".." in row.uri.split("/"):
+                raise ValueError(f"path leaves the output directory: {row.uri}")
+            f = AtomicFile(f"{self.path}/{row.uri.lstrip('/')}", attempt)
+            f.stream.write(bytes(row.bytes))
+            f.close()
+            n += 1
+        return Written(n)
+
+
 class FilesSource(DataSource):
-    """``spark.read.format("docspark_files").load(path)``: (uri, bytes)."""
+    """``spark.read.format("docspark_files").load(path)``: (uri, bytes); the same columns can be saved."""
 
     @classmethod
     def name(cls) -> str:
@@ -55,6 +82,9 @@ class FilesSource(DataSource):
     def reader(self, schema) -> FilesReader:
         return FilesReader(self.options)
 
+    def writer(self, schema, overwrite: bool) -> FilesWriter:
+        return FilesWriter(self.options)
+
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(FilesSource)

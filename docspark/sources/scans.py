@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.functions.text import cast_value
+from docspark.functions.text import cast_value, local_path
 
 
 def well_formed(xml: Column) -> Column:
@@ -35,15 +35,15 @@ def well_formed(xml: Column) -> Column:
 def scan_nodes(docs: DataFrame, subdoc_xpath: str, selector: str | None = None) -> DataFrame:
     """(uri, path, node) of each node the path selects; paths match local names, prefixes are ignored."""
     if selector is not None:
-        docs = docs.where(F.xpath_boolean("text", F.lit(selector)))
-    nodes = docs.select("uri", F.posexplode(F.xpath("text", F.lit(subdoc_xpath))).alias("i", "node"))
+        docs = docs.where(F.xpath_boolean("text", F.lit(local_path(selector))))
+    nodes = docs.select("uri", F.posexplode(F.xpath("text", F.lit(local_path(subdoc_xpath)))).alias("i", "node"))
     path = F.concat(F.lit(f"({subdoc_xpath})["), (F.col("i") + 1).cast("string"), F.lit("]"))
     return nodes.select("uri", path.alias("path"), "node")
 
 
 def scan_values(docs: DataFrame, value_xpath: str, kind: str = "text", strict: bool = False) -> DataFrame:
     """(uri, pos, value) of typed values; ``pos`` is the position inside the document."""
-    values = docs.select("uri", F.posexplode(F.xpath("text", F.lit(value_xpath))).alias("pos", "raw"))
+    values = docs.select("uri", F.posexplode(F.xpath("text", F.lit(local_path(value_xpath)))).alias("pos", "raw"))
     return values.select("uri", F.col("pos").cast("bigint").alias("pos"), cast_value(F.col("raw"), kind, strict).alias("value"))
 
 

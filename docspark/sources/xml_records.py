@@ -88,9 +88,10 @@ class _Records:
         return {p: u for p, u in known.items() if p not in self.own and (u or p)}
 
     def _cut(self, start: int, end: int, outer: dict[str, str]) -> str:
-        tag = _TAG.match(self.buffer, start - self.base)
-        close = _TAG.match(self.buffer, end - self.base)
-        raw = bytes(self.buffer[start - self.base : close.end()]).decode(self.encoding)
+        at = end - self.base
+        # an empty-element tag has no end tag, the record is that tag
+        last = _TAG.match(self.buffer, at if self.buffer[at : at + 2] == b"</" else start - self.base)
+        raw = bytes(self.buffer[start - self.base : last.end()]).decode(self.encoding)
         if not outer:
             return raw
         head = re.match(r"<[^\s/>]+", raw)[0]
@@ -101,11 +102,17 @@ class _Records:
 
     def feed(self, data: bytes, last: bool = False) -> Iterator[tuple]:
         self.buffer += data
-        self.parser.Parse(data, last)
+        error = None
+        try:
+            self.parser.Parse(data, last)
+        except expat.ExpatError as e:
+            error = e
         for start, end, (line, col), outer, raw_uri in self.done:
             self.n += 1
             yield line, col, self.n, raw_uri, self._cut(start, end, outer), None
         self.done = []
+        if error is not None:
+            raise error
         # only an open record still needs its bytes
         keep = self.start if self.record_depth else self.parser.CurrentByteIndex
         if 0 <= self.base < keep:

@@ -43,7 +43,7 @@ def _list_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         if len(rows) >= 10_000:
                             yield pd.DataFrame(rows, columns=_ENTRY_COLUMNS)
                             rows = []
-            except (zipfile.BadZipFile, zlib.error) as e:
+            except (zipfile.BadZipFile, ValueError, struct.error, EOFError) as e:
                 rows.append((path, "", 0, 0, 0, 0, False, f"invalid archive: {e}"))
             if rows:
                 yield pd.DataFrame(rows, columns=_ENTRY_COLUMNS)
