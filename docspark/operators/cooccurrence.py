@@ -25,12 +25,13 @@ def cooccurrence(
     """
     if restrict is not None:
         docs = docs.where(restrict)
-    a, b = (F.filter(c, lambda x: x.isNotNull()) for c in (a, b))
     if frequency == "fragment":
         a, b = F.array_distinct(a), F.array_distinct(b)
-    pairs = docs.select(a.alias("_a"), b.alias("_b")).where((F.size("_a") > 0) & (F.size("_b") > 0))
-    pairs = pairs.select(F.explode("_a").alias("a"), "_b").select("a", F.explode("_b").alias("b"))
-    out = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("freq"))
+    # Both arrays are made once per document. The outer explodes keep Spark from adding size tests that would
+    # evaluate them again; nulls are dropped after.
+    pairs = docs.select(a.alias("_a"), b.alias("_b")).select(F.explode_outer("_a").alias("a"), "_b")
+    pairs = pairs.where(F.col("a").isNotNull()).select("a", F.explode_outer("_b").alias("b"))
+    out = pairs.where(F.col("b").isNotNull()).groupBy("a", "b").agg(F.count(F.lit(1)).alias("freq"))
     return page_terms(out, ["a", "b"], offset, limit, sort=sort)
 
 

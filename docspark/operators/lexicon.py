@@ -1,7 +1,7 @@
 """Lexicons: the distinct terms of documents with their frequencies.
 
-All take the same path: an array of terms per document, filtered and made distinct inside the row, then a
-partial count per task before the shuffle, so that a term found everywhere costs one row per task.
+All take the same path: an array of terms per document, made distinct inside the row, exploded and filtered,
+then a partial count per task before the shuffle, so that a term found everywhere costs one row per task.
 """
 
 from __future__ import annotations
@@ -33,14 +33,16 @@ def lexicon(
         raise ValueError(f"unknown frequency {frequency}")
     if restrict is not None:
         docs = docs.where(restrict)
-    kept = F.filter(terms, lambda t: t.isNotNull())
+    term = F.col("term")
+    kept = term.isNotNull()
     if start is not None:
-        kept = F.filter(kept, (lambda t: t <= F.lit(start)) if descending else (lambda t: t >= F.lit(start)))
+        kept = kept & ((term <= F.lit(start)) if descending else (term >= F.lit(start)))
     if pattern is not None and pattern != "*":
-        kept = F.filter(kept, lambda t: matches(t, pattern))
-    if frequency == "fragment":
-        kept = F.array_distinct(kept)
-    out = docs.select(F.explode(kept).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
+        kept = kept & matches(term, pattern)
+    # After the explode these tests are compiled; inside the array they would be interpreted per element. The
+    # outer form keeps Spark from adding a size test that would evaluate a costly array twice.
+    found = F.explode_outer(F.array_distinct(terms) if frequency == "fragment" else terms)
+    out = docs.select(found.alias("term")).where(kept).groupBy("term").agg(F.count(F.lit(1)).alias("freq"))
     return page_terms(out, ["term"], offset, limit, descending, sort)
 
 

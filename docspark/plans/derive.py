@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from docspark.functions.build import row_to_json, row_to_xml
 from docspark.operators.graphs import pack
-from docspark.runtime import work_path
+from docspark.runtime import spread_small, work_path
 from docspark.schema import to_docs
 from docspark.sinks.export import export_files, export_zip
 
@@ -23,11 +23,17 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """A table for work that is heavy per row."""
+    t = table(spark, sf, name)
+    return spread_small(t.select(*columns) if columns else t)
+
+
 def text_docs(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "documents")
+    d = spread(spark, sf, "documents", "doc_id", "text", "lang", "source")
     uri = F.concat(F.lit("/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
     return to_docs(
-        d.select("doc_id", "text", "lang", "source"),
+        d,
         uri=uri, content_type=F.lit("TEXT"), collections=F.array("lang", "source"), src_id=F.lit("documents"), line="doc_id",
     )
 
@@ -37,7 +43,7 @@ TEXT_DOCS = "(select '/'||source||'/'||doc_id||'.txt' as uri, doc_id, text, lang
 
 
 def page_docs(spark: SparkSession, sf: str) -> DataFrame:
-    p = table(spark, sf, "pages")
+    p = spread(spark, sf, "pages")
     return to_docs(
         p, uri=F.concat(F.lit("/pages/"), F.col("page_id").cast("string"), F.lit(".html")),
         content_type=F.lit("TEXT"), text="html", src_id="url", line="page_id",
@@ -49,7 +55,7 @@ def customer_columns() -> dict[str, Column]:
 
 
 def customer_xml(spark: SparkSession, sf: str) -> DataFrame:
-    c = table(spark, sf, "customer")
+    c = spread(spark, sf, "customer")
     return to_docs(
         c, uri=F.concat(F.lit("/customer/"), F.col("c_custkey").cast("string"), F.lit(".xml")),
         content_type=F.lit("XML"), text=row_to_xml(customer_columns(), "customer"),
@@ -76,7 +82,7 @@ def customer_json(spark: SparkSession, sf: str) -> DataFrame:
 
 def tagged_customers(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as XML with attributes: ``<customer nation=".." segment=".."><name>..</name></customer>``."""
-    c = table(spark, sf, "customer")
+    c = spread(spark, sf, "customer")
     text = F.format_string(
         '<customer nation="%d" segment="%s"><name>%s</name><note lang="en">%s in nation %d</note></customer>',
         "c_nationkey", "c_mktsegment", "c_name", "c_mktsegment", "c_nationkey",
@@ -87,7 +93,7 @@ def tagged_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 def linked_customers(spark: SparkSession, sf: str) -> DataFrame:
     """Customers as XML pages that link to their nation, their segment and outside."""
-    c = table(spark, sf, "customer").join(
+    c = spread(spark, sf, "customer").join(
         table(spark, sf, "nation").withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey"
     )
     text = F.format_string(

@@ -53,7 +53,7 @@ def import_docs(
     """
     read = materialize(with_output_metadata(to_docs(docs), collections, permissions, quality), "import")
     good, rejected = reject_split(read)
-    upsert_docs(good, store)
+    upsert_docs(good, store, staged=True)
     if rejects is not None:
         rejected.write.mode("append").parquet(rejects)
     return load_report(read)

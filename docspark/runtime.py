@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,6 +17,7 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 
 _local_dir: str | None = None
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,6 +38,37 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/docspark/{name}-{uuid.uuid4().hex}"
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the tasks this package, as ``--py-files`` would; once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    from docspark.sources.io import resolve
+
+    package = Path(__file__).parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, f"{package.name}/{source.relative_to(package)}")
+    target = f"{work_path(spark, 'lib')}/{package.name}.zip"
+    fs, path = resolve(target)
+    fs.create_dir(path.rpartition("/")[0], recursive=True)
+    with fs.open_output_stream(path, compression=None) as out:
+        out.write(packed.getvalue())
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a table of a few row groups over the cores before work that is heavy per row.
+
+    A scan never cuts a row group, so a small table would keep one core busy. A table with as many
+    partitions as cores, as any large one has, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
@@ -42,14 +77,16 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only when ``df`` really is small; otherwise leave the join to the optimizer.
-
-    The check reads at most ``max_rows + 1`` rows.
-    """
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` may be sent to every task. Reads at most ``max_rows + 1`` rows."""
     size = F.octet_length(F.to_json(F.struct("*")))
     rows, used = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and used <= max_bytes else df
+    return rows <= max_rows and used <= max_bytes
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint only when ``df`` really is small; otherwise leave the join to the optimizer."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
 
 
 def split_partition(col: Column) -> Column:

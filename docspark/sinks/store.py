@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from docspark.functions.metadata import select_metadata
 from docspark.operators.filters import scope
 from docspark.operators.placement import bucket_by_uri
-from docspark.runtime import materialize, work_path
+from docspark.runtime import is_small, materialize, maybe_broadcast, work_path
 from docspark.schema import DOC_SCHEMA, METADATA_COLUMNS, to_docs
 from docspark.sinks.hadoop import delete, has_files
 
@@ -39,12 +39,13 @@ def prepare_target(spark: SparkSession, path: str, mode: str = "fail") -> None:
         raise ValueError(f"unknown mode {mode}")
 
 
-def _write(df: DataFrame, path: str, mode: str, buckets: int) -> None:
+def _write(df: DataFrame, path: str, buckets: int, mode: str = "append", spread: bool = True) -> None:
+    """Write by bucket. ``spread`` gathers each bucket first; AQE cuts a large one over several tasks and
+    merges small ones. Rows read from a store need no spreading: its files hold one bucket each."""
     df = df.drop("buckets", "bucket").withColumn("buckets", F.lit(buckets)).withColumn("bucket", bucket_by_uri(F.col("uri"), buckets))
-    # AQE cuts a large bucket over several tasks and merges small ones
-    df.hint("rebalance", F.col("bucket")).write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(
-        "buckets", "bucket"
-    ).parquet(path)
+    if spread:
+        df = df.hint("rebalance", F.col("bucket"))
+    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("buckets", "bucket").parquet(path)
 
 
 def store_buckets(spark: SparkSession, path: str) -> int:
@@ -52,34 +53,48 @@ def store_buckets(spark: SparkSession, path: str) -> int:
     return spark.read.schema(STORE_SCHEMA).parquet(path).select("buckets").first().buckets
 
 
+def _one_per_uri(staged: DataFrame) -> DataFrame:
+    """The last document of each URI. Only URIs that really repeat are shuffled with their content."""
+    repeated = materialize(staged.groupBy("uri").count().where("count > 1").select("uri"), "repeated")
+    if repeated.isEmpty():
+        return staged
+    repeated = maybe_broadcast(repeated)
+    once = staged.join(repeated, "uri", "left_anti")
+    return once.unionByName(last_by_uri(staged.join(repeated, "uri", "left_semi")))
+
+
 def write_store(docs: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "fail") -> None:
     """New store. Rejected records must be split off before; of several documents with one URI the last stays."""
     prepare_target(docs.sparkSession, path, mode)
-    _write(last_by_uri(to_docs(docs)), path, "append", buckets)
+    _write(_one_per_uri(materialize(to_docs(docs), "load")), path, buckets)
 
 
-def upsert_docs(docs: DataFrame, path: str, buckets: int = BUCKETS) -> None:
-    """Insert or replace documents by URI.
+def upsert_docs(docs: DataFrame, path: str, buckets: int = BUCKETS, staged: bool = False) -> None:
+    """Insert or replace documents by URI. ``staged`` says that ``docs`` is a written table already.
 
     Only the buckets that new documents fall into are read and rewritten. The merged rows are first written
     to the shared folder: the rewrite reads from there, so it can be repeated. One writer at a time.
     """
     spark = docs.sparkSession
-    new = last_by_uri(to_docs(docs))
+    docs = to_docs(docs)
+    if not staged:
+        docs = materialize(docs, "load")
+    new = _one_per_uri(docs)
     if not has_files(spark, path):
-        return _write(new, path, "append", buckets)
+        return _write(new, path, buckets)
     buckets = store_buckets(spark, path)
-    new = materialize(new.withColumn("bucket", bucket_by_uri(F.col("uri"), buckets)), "upsert-new")
-    touched = [r.bucket for r in new.select("bucket").distinct().collect()]  # at most one row per bucket
+    keys = docs.select("uri", bucket_by_uri(F.col("uri"), buckets).alias("bucket"))
+    touched = [r.bucket for r in keys.select("bucket").distinct().collect()]  # at most one row per bucket
     if not touched:
         return None
     old = spark.read.schema(STORE_SCHEMA).parquet(path).where(F.col("bucket").isin(touched))
-    kept = old.join(new.select("uri", "bucket"), ["bucket", "uri"], "left_anti").drop("buckets")
-    staged = work_path(spark, "upsert-merged")
-    _write(kept.unionByName(new), staged, "append", buckets)
-    # staged files hold one bucket each, so putting them in place moves no rows between tasks
-    merged = spark.read.schema(STORE_SCHEMA).parquet(staged)
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("buckets", "bucket").parquet(path)
+    small = is_small(keys)
+    kept = old.join(F.broadcast(keys) if small else keys, ["bucket", "uri"], "left_anti").drop("buckets")
+    merged = work_path(spark, "upsert-merged")
+    # against a small load the old rows stay in the tasks that read them, bucket by bucket
+    _write(kept, merged, buckets, spread=not small)
+    _write(new, merged, buckets)
+    _write(spark.read.schema(STORE_SCHEMA).parquet(merged), path, buckets, "overwrite", spread=False)
     return None
 
 

@@ -117,6 +117,13 @@ def read_ndjson(
     lines = reader.text(_paths(paths)).select(
         "value", F.col("_metadata.file_path").alias("src_id"), F.col("_metadata.file_block_start").alias("block")
     )
+    return documents_of_lines(lines, uri_id, filename_as_collection, **uri_options)
+
+
+def documents_of_lines(
+    lines: DataFrame, uri_id: str | None = None, filename_as_collection: bool = False, **uri_options
+) -> DataFrame:
+    """Documents of lines (value, src_id, block) as a text reader gives them."""
     df = lines.withColumn("skip_reason", _line_reason(F.col("value")))
     if uri_id is None:
         df = df.withColumn("_counts", F.col("skip_reason").isNull())

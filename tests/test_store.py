@@ -7,11 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from docspark.plans import jobs
+from docspark.runtime import ship
 from docspark.schema import to_docs
 from docspark.sinks.export import export_archive, export_files, export_zip
 from docspark.sinks.store import prepare_target, scan_docs, store_buckets, upsert_docs, write_store
 from docspark.sources.archive import read_archive
 from docspark.sources.files import read_file_refs, read_files
+from docspark.streaming.imports import import_stream, ndjson_stream
 
 
 def make(spark, rows, **columns):
@@ -130,3 +132,25 @@ def test_import_copy_export(spark, tmp_path):
     assert (doc.collections, doc.permissions, doc.quality, doc.text) == (["all", "in", "second"], [], 5, "#")
     jobs.export_docs(spark, b, str(tmp_path / "out"))
     assert read_files(spark, str(tmp_path / "out")).count() == 2
+
+
+def test_import_stream_resumes(spark, tmp_path):
+    inbox, store, check = (str(tmp_path / x) for x in ("in", "store", "check"))
+    Path(inbox).mkdir()
+    Path(inbox, "a.json").write_text('{"id": "1", "v": "a"}\n bad\n')
+
+    def run():
+        import_stream(ndjson_stream(spark, inbox, "id", prefix="/"), store, check, str(tmp_path / "rejects"), collections=["s"]).awaitTermination()
+        return content(spark, store)
+
+    assert run() == {"/1": '{"id": "1", "v": "a"}'}
+    Path(inbox, "b.json").write_text('{"id": "1", "v": "b"}\n{"id": "2"}\n')
+    assert run() == {"/1": '{"id": "1", "v": "b"}', "/2": '{"id": "2"}'}
+    assert [r.skip_reason for r in spark.read.parquet(str(tmp_path / "rejects")).collect()] == ["leading space"]
+
+
+def test_executors_get_the_package(spark):
+    ship(spark)
+    ship(spark)
+    listed = [p for p in spark.sparkContext._python_includes if p == "docspark.zip"]
+    assert len(listed) == 1
