@@ -1,10 +1,15 @@
-"""Documents to files, zips and archives. Every task writes what it holds: no shuffle."""
+"""Documents to files, zips and archives. Every task writes what it holds: no shuffle.
+
+A file of a document has one name whoever writes it, so a repeated task writes it again. What goes into an
+archive depends on the attempt, so its name does too, and archives of lost attempts are deleted at the end.
+"""
 
 from __future__ import annotations
 
 import io
 import posixpath
 import time
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -19,7 +24,7 @@ from docspark.runtime import materialize
 from docspark.schema import to_docs
 from docspark.sinks.hadoop import full_path
 from docspark.sources.archive import METADATA_SUFFIX, NAKED_SUFFIX
-from docspark.sources.io import AtomicFile, open_stream
+from docspark.sources.io import AtomicFile, open_stream, resolve
 
 ROLL_BYTES = 2**31 - 1
 _CHUNK = 1 << 20
@@ -112,13 +117,13 @@ class _Unseekable(io.RawIOBase):
 
 def _export_zips(docs: DataFrame, out_dir: str, name: Column, metadata: Column, roll_bytes: int, encoding: str) -> DataFrame:
     root = full_path(docs.sparkSession, out_dir)
-    stamp = time.strftime("%Y%m%d%H%M%S", time.gmtime())
+    stamp = f"{time.strftime('%Y%m%d%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:6]}"
     content = F.when(~F.col("naked"), _content(F.col("text"), F.col("bytes"), encoding))
     kind = F.when(F.col("content_type").isin("XML", "JSON", "TEXT"), F.col("content_type")).otherwise("BINARY")
     rows = docs.select(name.alias("name"), kind.alias("kind"), content.alias("content"), metadata.alias("metadata"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        attempt, part = _attempt(), TaskContext.get().partitionId()
+        attempt = _attempt()
         zips: dict[str, _Zip] = {}
         rolls: dict[str, int] = {}
         for pdf in batches:
@@ -132,7 +137,7 @@ def _export_zips(docs: DataFrame, out_dir: str, name: Column, metadata: Column,
                     z = None
                 if z is None:
                     rolls[row.kind] = rolls.get(row.kind, -1) + 1
-                    file = f"{root}/{stamp}-{part:06d}-{rolls[row.kind]:06d}-{row.kind}.zip"
+                    file = f"{root}/{stamp}-{attempt}-{rolls[row.kind]:06d}-{row.kind}.zip"
                     z = zips[row.kind] = _Zip(file, attempt)
                 if row.content is None:
                     if row.metadata is not None:
@@ -146,7 +151,24 @@ def _export_zips(docs: DataFrame, out_dir: str, name: Column, metadata: Column,
         if zips:
             yield pd.DataFrame([z.close() for z in zips.values()], columns=["path", "entries", "bytes_n"])
 
-    return materialize(rows.mapInPandas(run, "path string, entries bigint, bytes_n bigint"), "export-zip")
+    listing = materialize(rows.mapInPandas(run, "path string, entries bigint, bytes_n bigint"), "export-zip")
+    _drop_strays(root, stamp, listing)
+    return listing
+
+
+def _drop_strays(root: str, stamp: str, listing: DataFrame) -> None:
+    """Delete archives of attempts that did not count: only those in the committed listing stay."""
+    if listing.isEmpty():
+        return
+    found = listing.sparkSession.read.format("binaryFile").load([f"{root}/{stamp}-*"]).select("path")
+    strays = found.join(listing.select("path"), "path", "left_anti")
+
+    def drop(rows: Iterator) -> None:
+        for row in rows:
+            fs, path = resolve(row.path)
+            fs.delete_file(path)
+
+    strays.foreachPartition(drop)
 
 
 def export_zip(docs: DataFrame, out_dir: str, roll_bytes: int = ROLL_BYTES, encoding: str = "UTF-8") -> DataFrame:

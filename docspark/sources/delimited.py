@@ -21,7 +21,7 @@ from docspark.sources.zipped import entry_rows, file_rows, stream_records
 WIDTH_REASON = "number of fields does not match number of columns"
 QUOTE_REASON = "invalid char between encapsulated token and delimiter"
 _RECORD_DDL = "line bigint, h int, vals array<string>, reason string"
-MAX_HEADERS = 1000
+MAX_HEADERS = 200
 
 
 class _Lines:

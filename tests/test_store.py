@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from docspark.plans import jobs
 from docspark.runtime import ship
 from docspark.schema import to_docs
-from docspark.sinks.export import export_archive, export_files, export_zip
+from docspark.sinks.export import _drop_strays, export_archive, export_files, export_zip
 from docspark.sinks.store import prepare_target, scan_docs, store_buckets, upsert_docs, write_store
 from docspark.sources.archive import read_archive
 from docspark.sources.files import read_file_refs, read_files
@@ -106,6 +106,17 @@ def test_zips_roll_and_split_by_type(spark, tmp_path):
     assert not list(tmp_path.glob("_*"))
 
 
+def test_archives_of_lost_attempts_are_deleted(spark, tmp_path):
+    listing = export_zip(make(spark, [(f"/{i}", "x", i) for i in range(9)]).repartition(3), str(tmp_path))
+    kept = sorted(p.name for p in tmp_path.glob("*.zip"))
+    assert len(kept) == listing.count() == 3
+    stamp = "-".join(kept[0].split("-")[:2])
+    (tmp_path / f"{stamp}-0-99-000000-TEXT.zip").write_bytes(b"lost")
+    (tmp_path / "other-TEXT.zip").write_bytes(b"not ours")
+    _drop_strays(f"file:{tmp_path}", stamp, listing)
+    assert sorted(p.name for p in tmp_path.glob("*.zip")) == sorted([*kept, "other-TEXT.zip"])
+
+
 def test_archive_keeps_pairs_together(spark, tmp_path):
     docs = make(spark, [(f"/{i}", "x" * 500, i) for i in range(40)]).coalesce(1)
     export_archive(docs, str(tmp_path), roll_bytes=3000)
