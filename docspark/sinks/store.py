@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from docspark.functions.metadata import select_metadata
 from docspark.operators.filters import scope
 from docspark.operators.placement import bucket_by_uri
-from docspark.runtime import is_small, materialize, maybe_broadcast, work_path
+from docspark.runtime import BROADCAST_BYTES, BROADCAST_ROWS, materialize, maybe_broadcast, work_path
 from docspark.schema import DOC_SCHEMA, METADATA_COLUMNS, to_docs
 from docspark.sinks.hadoop import delete, has_files
 
@@ -39,12 +39,14 @@ def prepare_target(spark: SparkSession, path: str, mode: str = "fail") -> None:
         raise ValueError(f"unknown mode {mode}")
 
 
-def _write(df: DataFrame, path: str, buckets: int, mode: str = "append", spread: bool = True) -> None:
-    """Write by bucket. ``spread`` gathers each bucket first; AQE cuts a large one over several tasks and
+def _bucketed(df: DataFrame, buckets: int, spread: bool = True) -> DataFrame:
+    """Rows with their bucket. ``spread`` gathers each bucket; AQE cuts a large one over several tasks and
     merges small ones. Rows read from a store need no spreading: its files hold one bucket each."""
     df = df.drop("buckets", "bucket").withColumn("buckets", F.lit(buckets)).withColumn("bucket", bucket_by_uri(F.col("uri"), buckets))
-    if spread:
-        df = df.hint("rebalance", F.col("bucket"))
+    return df.hint("rebalance", F.col("bucket")) if spread else df
+
+
+def _write(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("buckets", "bucket").parquet(path)
 
 
@@ -55,10 +57,10 @@ def store_buckets(spark: SparkSession, path: str) -> int:
 
 def _one_per_uri(staged: DataFrame) -> DataFrame:
     """The last document of each URI. Only URIs that really repeat are shuffled with their content."""
-    repeated = materialize(staged.groupBy("uri").count().where("count > 1").select("uri"), "repeated")
+    repeated = staged.groupBy("uri").count().where("count > 1").select("uri")
     if repeated.isEmpty():
         return staged
-    repeated = maybe_broadcast(repeated)
+    repeated = maybe_broadcast(materialize(repeated, "repeated"))
     once = staged.join(repeated, "uri", "left_anti")
     return once.unionByName(last_by_uri(staged.join(repeated, "uri", "left_semi")))
 
@@ -66,7 +68,7 @@ def _one_per_uri(staged: DataFrame) -> DataFrame:
 def write_store(docs: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "fail") -> None:
     """New store. Rejected records must be split off before; of several documents with one URI the last stays."""
     prepare_target(docs.sparkSession, path, mode)
-    _write(_one_per_uri(materialize(to_docs(docs), "load")), path, buckets)
+    _write(_bucketed(_one_per_uri(materialize(to_docs(docs), "load")), buckets), path)
 
 
 def upsert_docs(docs: DataFrame, path: str, buckets: int = BUCKETS, staged: bool = False) -> None:
@@ -81,20 +83,24 @@ def upsert_docs(docs: DataFrame, path: str, buckets: int = BUCKETS, staged: bool
         docs = materialize(docs, "load")
     new = _one_per_uri(docs)
     if not has_files(spark, path):
-        return _write(new, path, buckets)
+        return _write(_bucketed(new, buckets), path)
     buckets = store_buckets(spark, path)
     keys = docs.select("uri", bucket_by_uri(F.col("uri"), buckets).alias("bucket"))
-    touched = [r.bucket for r in keys.select("bucket").distinct().collect()]  # at most one row per bucket
+    # at most one row per bucket
+    touched = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("uri")).alias("size")).collect()
     if not touched:
         return None
-    old = spark.read.schema(STORE_SCHEMA).parquet(path).where(F.col("bucket").isin(touched))
-    small = is_small(keys)
-    kept = old.join(F.broadcast(keys) if small else keys, ["bucket", "uri"], "left_anti").drop("buckets")
+    small = sum(r.n for r in touched) <= BROADCAST_ROWS and sum(r.size for r in touched) <= BROADCAST_BYTES
+    old = spark.read.schema(STORE_SCHEMA).parquet(path).where(F.col("bucket").isin([r.bucket for r in touched]))
+    kept = old.join(F.broadcast(keys) if small else keys, ["bucket", "uri"], "left_anti").select(*docs.columns)
+    if small:
+        # old rows stay in the tasks that read them, bucket by bucket
+        rows = _bucketed(kept, buckets, spread=False).unionByName(_bucketed(new, buckets))
+    else:
+        rows = _bucketed(kept.unionByName(new), buckets)
     merged = work_path(spark, "upsert-merged")
-    # against a small load the old rows stay in the tasks that read them, bucket by bucket
-    _write(kept, merged, buckets, spread=not small)
-    _write(new, merged, buckets)
-    _write(spark.read.schema(STORE_SCHEMA).parquet(merged), path, buckets, "overwrite", spread=False)
+    _write(rows, merged)
+    _write(spark.read.schema(STORE_SCHEMA).parquet(merged), path, "overwrite")
     return None
 
 
