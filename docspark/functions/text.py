@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from xml.parsers import expat
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,6 +65,35 @@ def local_path(path: str) -> str:
     return "".join(plain)
 
 
+def _parses(text: str | None) -> bool:
+    try:
+        expat.ParserCreate("UTF-8").Parse((text or "").encode(), True)
+        return True
+    except expat.ExpatError:
+        return False
+
+
+def well_formed(xml: Column) -> Column:
+    """Whether the text parses as XML. ``xpath`` fails the job on other text. Runs in Python; null is not sent."""
+
+    @F.pandas_udf("boolean")
+    def check(texts: pd.Series) -> pd.Series:
+        return texts.map(_parses)
+
+    return F.when(xml.isNotNull(), check(xml)).otherwise(F.lit(False))
+
+
+def content_error(content_type: Column, text: Column) -> Column:
+    """Why the text is no document of its type, or null: XML and JSON must parse."""
+    is_xml = content_type == "XML"
+    bad_xml = ~well_formed(F.when(is_xml, text))
+    bad_json = F.get_json_object(text, "$").isNull()
+    return (
+        F.when(is_xml & text.isNotNull() & bad_xml, F.lit("malformed XML"))
+        .when((content_type == "JSON") & text.isNotNull() & bad_json, F.lit("invalid JSON"))
+    )
+
+
 def xml_text(xml: Column) -> Column:
     """Text of the document element. The XML must be well-formed."""
     return F.xpath_string(xml, F.lit("/*"))

@@ -46,7 +46,8 @@ def pack_triples(
     """Documents of at most ``size`` triples, each of one graph, which is also their collection."""
     xml = triple_to_xml(*[F.col(c) for c in ("s", "p", "o", "o_type", "datatype", "lang")])
     packed = pack(triples, xml, list(order), ["graph"], size)
-    uri = F.concat(F.lit(base_uri), F.lower(F.hex(F.xxhash64("graph"))), F.lit("-"), (F.col("part") + 1).cast("string"), F.lit(".xml"))
+    graph, number = F.lower(F.hex(F.xxhash64("graph"))), (F.col("part") + 1).cast("string")
+    uri = F.concat(F.lit(base_uri), graph, F.lit("-"), number, F.lit(".xml"))
     return to_docs(
         packed,
         uri=uri,

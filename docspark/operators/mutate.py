@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docspark.functions.metadata import merge_collections
+from docspark.operators.aggregates import add_collections
+from docspark.runtime import ship
 
 NODE_OPS = ("insert-before", "insert-after", "insert-child", "replace")
 _STEP = re.compile(r"(//?)((?:[\w.\-]+:)?(?:[\w.\-]+|\*))(?:\[(\d+)\])?")
@@ -82,9 +83,11 @@ def _edit(texts: pd.Series, ops: pd.Series) -> pd.DataFrame:
 def apply_node_ops(docs: DataFrame, ops: DataFrame) -> DataFrame:
     """Apply (uri, path, op, xml, seq) to the XML documents they name, in ``seq`` order.
 
-    Operations on unknown documents have no effect; a
-    failed edit leaves the text as it was and sets ``skip_reason``.
+    A document is one row and holds all that is inserted into it, so its operations meet in one row, too.
+    Operations on unknown documents have no effect; a failed edit leaves the text as it was and sets
+    ``skip_reason``.
     """
+    ship(docs.sparkSession)
     bad = ~F.col("op").isin(*NODE_OPS)
     checked = F.when(bad, F.raise_error(F.concat(F.lit("unsupported operation "), F.col("op")))).otherwise(F.col("op"))
     grouped = ops.groupBy("uri").agg(
@@ -113,7 +116,8 @@ def apply_property_ops(docs: DataFrame, ops: DataFrame, add: bool = False, alway
         merged = last.groupBy("uri").agg(
             F.array_sort(F.collect_list(F.struct(F.lit(0).alias("seq"), "name", "value"))).alias("_new")
         )
-    merged = merged.select("uri", F.transform("_new", lambda p: F.struct(p["name"].alias("name"), p["value"].alias("value"))).alias("_new"))
+    pairs = F.transform("_new", lambda p: F.struct(p["name"].alias("name"), p["value"].alias("value")))
+    merged = merged.select("uri", pairs.alias("_new"))
     joined = docs.join(merged, "uri", "full" if always_create else "left")
     old = F.coalesce("properties", F.expr("cast(array() as array<struct<name:string,value:string>>)"))
     if not add:
@@ -127,6 +131,5 @@ def apply_property_ops(docs: DataFrame, ops: DataFrame, add: bool = False, alway
 
 def add_collection_to(docs: DataFrame, keyed: DataFrame) -> DataFrame:
     """Add a collection to each document named by rows (uri, collection)."""
-    added = keyed.groupBy("uri").agg(F.array_sort(F.collect_set("collection")).alias("_added"))
-    merged = merge_collections(F.col("collections"), F.col("_added"))
-    return docs.join(added, "uri", "left").withColumn("collections", merged).select(*docs.columns)
+    added = keyed.groupBy("uri").agg(F.array_sort(F.collect_set("collection")).alias("added"))
+    return add_collections(docs, added).select(*docs.columns)

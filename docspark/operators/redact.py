@@ -27,17 +27,19 @@ def _expression(c: Column, rule: dict) -> Column:
     return F.lit(None).cast("string")
 
 
-def _element(rule: dict) -> tuple[str, str]:
+def _element(rule: dict) -> str:
+    """Pattern of start tag, content and end tag of the element a rule names."""
     name = rule["path"].rpartition("/")[2]
     if not re.fullmatch(r"[\w.\-]+", name):
         raise ValueError(f"rule path must end in an element name: {rule['path']}")
-    return name, rf"(?s)(<(?:[\w.\-]+:)?{re.escape(name)}(?:\s[^>]*)?(?<!/)>)(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?(</(?:[\w.\-]+:)?{re.escape(name)}>)"
+    tag = rf"(?:[\w.\-]+:)?{re.escape(name)}"
+    return rf"(?s)(<{tag}(?:\s[^>]*)?(?<!/)>)(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?(</{tag}>)"
 
 
 def _in_element(text: Column, rule: dict) -> Column:
     """Apply a rule to the content of every element the path names, in the text itself."""
     kind = rule["kind"]
-    _, pattern = _element(rule)
+    pattern = _element(rule)
     if kind == "conceal":
         return F.regexp_replace(text, pattern, "")
 

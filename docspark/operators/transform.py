@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docspark.runtime import ship
+
 BATCH = 100
 
 
@@ -24,6 +26,7 @@ def transform_docs(
     content, or a list of contents. Other columns are copied to every result. A document whose transform
     fails is kept with the error as ``skip_reason``.
     """
+    ship(docs.sparkSession)
     names = docs.columns
 
     def one(row) -> Iterator[dict]:
@@ -64,6 +67,8 @@ _TAG = re.compile(r"(<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>)|(</?)([^\s/>!?]+)
 def transform_rename_elements(docs: DataFrame, upper: bool = False, text: str = "text") -> DataFrame:
     """Lower- or upper-case all element names; attributes, text, comments and CDATA stay as they are."""
 
+    ship(docs.sparkSession)
+
     def case(name: str) -> str:
         prefix, colon, local = name.rpartition(":")
         return prefix + colon + (local.upper() if upper else local.lower())
@@ -95,6 +100,8 @@ def custom_reduce_partials(
     tasks, then on salted keys, then once per key on what is left, so that a hot key never meets as a whole.
     """
 
+    ship(rows.sparkSession)
+
     def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             parts = [fold(g) for _, g in pdf.groupby(keys, dropna=False, sort=False)]

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docspark.functions.text import anchors, hrefs, words
+from docspark.functions.text import anchors, hrefs
 from docspark.operators import aggregates as A
 from docspark.operators import graphs as G
 from docspark.operators import lexicon as L
-from docspark.operators.mutate import add_collection_to, apply_node_ops, apply_property_ops
+from docspark.operators.mutate import apply_node_ops, apply_property_ops
 from docspark.operators.report import load_report
 from docspark.plans.catalog import query
 from docspark.plans.derive import (
@@ -24,7 +24,6 @@ from docspark.plans.derive import (
 from docspark.plans.filter_queries import _HREFS, _INTERNAL, _triples
 from docspark.schema import to_docs
 from docspark.sources.files import read_files
-from docspark.sources.ndjson import read_ndjson
 
 
 @query("link_count", f"select href as title, count(*) as n from {_HREFS} where {_INTERNAL} group by href")

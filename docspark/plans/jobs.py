@@ -11,11 +11,12 @@ from docspark.functions.metadata import (
     merge_permissions,
     parse_permissions,
 )
+from docspark.functions.text import content_error
 from docspark.functions.uri import uri_build
 from docspark.operators.filters import reject_split
 from docspark.operators.redact import redact
 from docspark.operators.report import load_report
-from docspark.runtime import materialize
+from docspark.runtime import materialize, ship
 from docspark.schema import to_docs
 from docspark.sinks.export import export_archive, export_files, export_zip
 from docspark.sinks.store import full_metadata, scan_docs, upsert_docs
@@ -49,9 +50,13 @@ def import_docs(
 ) -> DataFrame:
     """Write the documents of a reader to a store and its rejected records to a table; returns the counters.
 
+    XML and JSON documents that do not parse are rejected, so that paths over the store cannot fail on them.
     The reader's output is written down once: source files are parsed a single time.
     """
-    read = materialize(with_output_metadata(to_docs(docs), collections, permissions, quality), "import")
+    ship(docs.sparkSession)
+    docs = to_docs(docs)
+    docs = docs.withColumn("skip_reason", F.coalesce("skip_reason", content_error(F.col("content_type"), F.col("text"))))
+    read = materialize(with_output_metadata(docs, collections, permissions, quality), "import")
     good, rejected = reject_split(read)
     upsert_docs(good, store, staged=True)
     if rejects is not None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docspark.functions.text import anchors, hrefs, words
+from docspark.functions.text import hrefs, words
 from docspark.operators import cooccurrence as C
 from docspark.operators import lexicon as L
 from docspark.plans.catalog import query

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from docspark.operators.mutate import add_collection_to, apply_node_ops, apply_property_ops
-from docspark.operators.report import load_report
 from docspark.plans import jobs
 from docspark.plans.catalog import query
 from docspark.plans.derive import (
@@ -25,7 +24,7 @@ from docspark.sinks.records import foreach_kv, write_rejects, write_sequencefile
 from docspark.sinks.store import last_by_uri, prepare_target, scan_docs, upsert_docs, write_store
 from docspark.sources.archive import read_archive
 from docspark.sources.seqfile import read_sequencefile
-from docspark.sources.zipped import list_zip_entries, read_zip_docs
+from docspark.sources.zipped import read_zip_docs
 
 _ORDER_URI = "'/orders/'||o_orderkey||'.json' as uri"
 

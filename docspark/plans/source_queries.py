@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docspark.functions.text import hrefs
 from docspark.plans.catalog import query
 from docspark.plans.derive import (
     CUSTOMER,
@@ -16,15 +15,12 @@ from docspark.plans.derive import (
     as_zips,
     csv_dir,
     csv_line,
-    customer_json,
     customer_statements,
     customer_xml,
     flat_triples,
     gzipped,
     packed_files,
-    page_docs,
     table,
-    tagged_customers,
     text_dir,
     text_docs,
 )

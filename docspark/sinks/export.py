@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from docspark.functions.metadata import metadata_to_json
 from docspark.functions.uri import path_from_uri, uri_output_dir
-from docspark.runtime import materialize
+from docspark.runtime import materialize, ship
 from docspark.schema import to_docs
 from docspark.sinks.hadoop import full_path
 from docspark.sources.archive import METADATA_SUFFIX, NAKED_SUFFIX
@@ -45,6 +45,7 @@ def export_files(docs: DataFrame, out_dir: str, encoding: str = "UTF-8") -> Data
     Documents by reference (no text or bytes columns) are copied from ``src_id`` as a stream.
     """
     spark = docs.sparkSession
+    ship(spark)
     root = full_path(spark, out_dir)
     by_reference = "bytes" not in docs.columns
     path = uri_output_dir(path_from_uri(F.col("uri")), root)
@@ -116,6 +117,7 @@ class _Unseekable(io.RawIOBase):
 
 
 def _export_zips(docs: DataFrame, out_dir: str, name: Column, metadata: Column, roll_bytes: int, encoding: str) -> DataFrame:
+    ship(docs.sparkSession)
     root = full_path(docs.sparkSession, out_dir)
     stamp = f"{time.strftime('%Y%m%d%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:6]}"
     content = F.when(~F.col("naked"), _content(F.col("text"), F.col("bytes"), encoding))

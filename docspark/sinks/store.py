@@ -42,7 +42,8 @@ def prepare_target(spark: SparkSession, path: str, mode: str = "fail") -> None:
 def _bucketed(df: DataFrame, buckets: int, spread: bool = True) -> DataFrame:
     """Rows with their bucket. ``spread`` gathers each bucket; AQE cuts a large one over several tasks and
     merges small ones. Rows read from a store need no spreading: its files hold one bucket each."""
-    df = df.drop("buckets", "bucket").withColumn("buckets", F.lit(buckets)).withColumn("bucket", bucket_by_uri(F.col("uri"), buckets))
+    df = df.drop("buckets", "bucket").withColumn("buckets", F.lit(buckets))
+    df = df.withColumn("bucket", bucket_by_uri(F.col("uri"), buckets))
     return df.hint("rebalance", F.col("bucket")) if spread else df
 
 

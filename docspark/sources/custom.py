@@ -7,6 +7,8 @@ from collections.abc import Iterator
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from docspark.runtime import ship
+
 
 class FilesPartition(InputPartition):
     def __init__(self, paths: list[str]):
@@ -87,4 +89,5 @@ class FilesSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(FilesSource)

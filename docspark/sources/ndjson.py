@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions.uri import filename_of, uri_build, uri_generate
+from docspark.runtime import ship
 from docspark.schema import to_docs
 from docspark.sources.files import _paths
 from docspark.sources.numbering import number_in_split
@@ -35,7 +36,7 @@ def _scalar_text(value) -> str | None:
 
 def _find(line: str, name: str) -> str | None:
     """First property ``name`` breadth-first; an object or array there ends the search without a value."""
-    queue = deque([json.loads(line)])
+    queue = deque([_loads(line)])
     while queue:
         node = queue.popleft()
         if isinstance(node, dict):
@@ -47,6 +48,23 @@ def _find(line: str, name: str) -> str | None:
     return None
 
 
+def _loads(line: str):
+    """The JSON value of a line, None if it is none; a repeated key keeps its last value."""
+
+    def refuse(constant: str):
+        raise ValueError(constant)
+
+    try:
+        return json.loads(line, parse_constant=refuse)
+    except (ValueError, RecursionError):
+        return None
+
+
+def _doubtful(text: Column) -> Column:
+    """Lines the variant parser refuses but another parser reads: repeated keys, great length, loose syntax."""
+    return F.try_parse_json(text).isNull() & F.get_json_object(text, "$").isNotNull()
+
+
 def uri_from_json_bfs(text: Column, name: str) -> Column:
     """Value of the shallowest property ``name`` anywhere in the JSON; null if absent or not a scalar.
 
@@ -65,7 +83,7 @@ def uri_from_json_bfs(text: Column, name: str) -> Column:
     def search(lines: pd.Series) -> pd.Series:
         return lines.map(lambda line: None if line is None else _find(line, name))
 
-    ask = F.when(parsed.isNotNull() & ~in_jvm & text.contains(name), text)
+    ask = F.when(~in_jvm & text.contains(name) & (parsed.isNotNull() | _doubtful(text)), text)
     return F.when(in_jvm, top).otherwise(search(ask))
 
 
@@ -77,11 +95,19 @@ def _line_reason(line: Column) -> Column:
 
 
 def _json_reason(line: Column) -> Column:
-    scalar = ~line.rlike(r"^[\[{]")
-    return F.when(F.try_parse_json(line).isNull() | scalar, F.lit("invalid JSON"))
+    @F.pandas_udf("boolean")
+    def is_json(lines: pd.Series) -> pd.Series:
+        return lines.map(lambda x: x is not None and _loads(x) is not None)
 
+    doubtful = _doubtful(line)
+    # only doubtful lines go to Python
+    valid = F.when(doubtful, is_json(F.when(doubtful, line))).otherwise(F.try_parse_json(line).isNotNull())
+    return F.when(~(valid & line.rlike(r"^[\[{]")), F.lit("invalid JSON"))
 
-def _to_documents(df: DataFrame, uri_id: str | None, filename_as_collection: bool, collection: Column, uri_options: dict) -> DataFrame:
+
+def _to_documents(
+    df: DataFrame, uri_id: str | None, filename_as_collection: bool, collection: Column, uri_options: dict
+) -> DataFrame:
     """Documents of (src_id, sub_id, line, block, n, value, skip_reason)."""
     if uri_id is None:
         raw = uri_generate(F.concat_ws("/", "src_id", F.nullif(F.col("sub_id"), F.lit(""))), F.col("block"), F.col("n"))
@@ -124,6 +150,7 @@ def documents_of_lines(
     lines: DataFrame, uri_id: str | None = None, filename_as_collection: bool = False, **uri_options
 ) -> DataFrame:
     """Documents of lines (value, src_id, block) as a text reader gives them."""
+    ship(lines.sparkSession)
     df = lines.withColumn("skip_reason", _line_reason(F.col("value")))
     if uri_id is None:
         df = df.withColumn("_counts", F.col("skip_reason").isNull())

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from docspark.runtime import ship
+
 
 def number_in_split(
     df: DataFrame, keys: tuple[str, str] = ("src_id", "block"), name: str = "n", counted: str | None = None
@@ -19,6 +21,8 @@ def number_in_split(
     Must be applied before any exchange.
     """
 
+    ship(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, carried = None, 0
         for b in batches:

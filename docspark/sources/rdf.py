@@ -67,13 +67,15 @@ def read_nquads(spark: SparkSession, paths: str | Sequence[str], salt: str = "",
     return parse_statements(_lines(spark, paths, pattern), salt)
 
 
-def read_rdf_json(spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None) -> DataFrame:
+def read_rdf_json(
+    spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None
+) -> DataFrame:
     """RDF/JSON: subject to predicate to list of objects, one JSON object per file."""
     files = spark.read.text(_paths(paths), wholetext=True, pathGlobFilter=pattern).select(F.col("_metadata.file_path").alias("src_id"), "value")
     tree = F.from_json(
         "value", "map<string,map<string,array<struct<value:string,type:string,lang:string,datatype:string>>>>"
     )
-    df = files.select("src_id", tree.alias("tree"), F.try_parse_json("value").isNull().alias("bad"))
+    df = files.select("src_id", tree.alias("tree"), F.get_json_object("value", "$").isNull().alias("bad"))
     good = (
         df.where(~F.col("bad"))
         .select("src_id", F.explode("tree").alias("s", "ps"))

@@ -10,28 +10,6 @@ from pyspark.sql import functions as F
 from docspark.functions.text import cast_value, local_path
 
 
-def well_formed(xml: Column) -> Column:
-    """True where the text parses as XML. ``xpath`` fails on other text, so filter first; done in Python."""
-    import pandas as pd
-
-    @F.pandas_udf("boolean")
-    def check(texts: pd.Series) -> pd.Series:
-        from xml.parsers import expat
-
-        def one(text) -> bool:
-            if text is None:
-                return False
-            try:
-                expat.ParserCreate().Parse(text, True)
-                return True
-            except expat.ExpatError:
-                return False
-
-        return texts.map(one)
-
-    return check(xml)
-
-
 def scan_nodes(docs: DataFrame, subdoc_xpath: str, selector: str | None = None) -> DataFrame:
     """(uri, path, node) of each node the path selects; paths match local names, prefixes are ignored."""
     if selector is not None:
@@ -44,7 +22,8 @@ def scan_nodes(docs: DataFrame, subdoc_xpath: str, selector: str | None = None)
 def scan_values(docs: DataFrame, value_xpath: str, kind: str = "text", strict: bool = False) -> DataFrame:
     """(uri, pos, value) of typed values; ``pos`` is the position inside the document."""
     values = docs.select("uri", F.posexplode(F.xpath("text", F.lit(local_path(value_xpath)))).alias("pos", "raw"))
-    return values.select("uri", F.col("pos").cast("bigint").alias("pos"), cast_value(F.col("raw"), kind, strict).alias("value"))
+    typed = cast_value(F.col("raw"), kind, strict)
+    return values.select("uri", F.col("pos").cast("bigint").alias("pos"), typed.alias("value"))
 
 
 def scan_key_values(docs: DataFrame, items: Column, key_type: str = "text", value_type: str = "text") -> DataFrame:
@@ -65,7 +44,9 @@ def scan_key_values(docs: DataFrame, items: Column, key_type: str = "text", valu
     )
 
 
-def scan_query(spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None = None, args: Mapping | None = None) -> DataFrame:
+def scan_query(
+    spark: SparkSession, text: str, tables: Mapping[str, DataFrame] | None = None, args: Mapping | None = None
+) -> DataFrame:
     """The result of a SQL text; ``{name}`` refers to a table, ``:name`` to an argument (split bounds, say)."""
     return spark.sql(text, args=dict(args or {}), **dict(tables or {}))
 

@@ -37,9 +37,8 @@ def _list_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with open_input(path) as f, zipfile.ZipFile(f) as z:
                     for i in z.infolist():
                         if not i.is_dir():
-                            rows.append(
-                                (path, i.filename, i.header_offset, i.compress_size, i.file_size, i.compress_type, bool(i.flag_bits & 1), None)
-                            )
+                            sizes = i.header_offset, i.compress_size, i.file_size, i.compress_type
+                            rows.append((path, i.filename, *sizes, bool(i.flag_bits & 1), None))
                         if len(rows) >= 10_000:
                             yield pd.DataFrame(rows, columns=_ENTRY_COLUMNS)
                             rows = []

@@ -183,12 +183,13 @@ def test_csv_round_trip(spark, tmp_path_factory, rows):
 def test_ndjson_hostile_lines(spark, tmp_path):
     lines = [
         '{"name": "a", "x": 1}', '{"team": {"name": "b"}}', "", "  ", ' {"name": "c"}', "[1, {\"name\": 2.5}]",
-        '{"name": {"no": 1}}', '{"name": ', "7", '{"other": 1}', '{"name": true}', '{"a": [{"b": 1}, {"name": 12345678901234567890}]}',
+        '{"name": {"no": 1}}', '{"name": ', "7", '{"other": 1}', '{"name": true}', '{"name": "x", "name": "y"}', "{'name': 'z'}",
+        '{"name": NaN}', '{"a": [{"b": 1}, {"name": 12345678901234567890}]}',
     ]
     put(tmp_path, "a.json", "\n".join(lines))
     df = read_ndjson(spark, str(tmp_path), uri_id="name")
-    assert docs(df) == {"a": lines[0], "b": lines[1], "2.5": lines[5], "12345678901234567890": lines[11]}
-    assert reasons(df) == sorted(["empty lines", "empty lines", "leading space", NO_URI, "invalid JSON", "invalid JSON", NO_URI, NO_URI])
+    assert docs(df) == {"a": lines[0], "b": lines[1], "2.5": lines[5], "12345678901234567890": lines[14], "y": lines[11]}
+    assert reasons(df) == sorted(["empty lines", "empty lines", "leading space", NO_URI, *["invalid JSON"] * 4, NO_URI, NO_URI])
 
 
 def test_ndjson_generated_uris_count_good_lines(spark, tmp_path):

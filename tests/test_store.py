@@ -145,6 +145,15 @@ def test_import_copy_export(spark, tmp_path):
     assert read_files(spark, str(tmp_path / "out")).count() == 2
 
 
+def test_import_rejects_what_does_not_parse(spark, tmp_path):
+    rows = [("/a.xml", "<a/>", 1), ("/b.xml", "<b>", 2), ("/c.json", '{"c": 1}', 3), ("/d.json", "{", 4), ("/e.txt", "<{", 5)]
+    kind = F.upper(F.regexp_extract("uri", "([a-z]+)$", 1))
+    docs = make(spark, rows).withColumn("content_type", F.when(kind == "TXT", "TEXT").otherwise(kind))
+    jobs.import_docs(docs, str(tmp_path / "s"), str(tmp_path / "r"))
+    assert sorted(content(spark, str(tmp_path / "s"))) == ["/a.xml", "/c.json", "/e.txt"]
+    assert sorted(r.skip_reason for r in spark.read.parquet(str(tmp_path / "r")).collect()) == ["invalid JSON", "malformed XML"]
+
+
 def test_import_stream_resumes(spark, tmp_path):
     inbox, store, check = (str(tmp_path / x) for x in ("in", "store", "check"))
     Path(inbox).mkdir()
