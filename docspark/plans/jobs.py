@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions.metadata import (
+    PERMISSION_DDL,
     default_quality,
     merge_collections,
     merge_permissions,
     parse_permissions,
 )
 from docspark.functions.text import content_error
-from docspark.functions.uri import uri_build
+from docspark.functions.uri import uri_build, uri_output_dir
 from docspark.operators.filters import reject_split
+from docspark.operators.graphs import TRIPLES_PER_DOC, assign_graph, pack_triples
+from docspark.operators.joins import anti_new_graphs, left_graph_permissions
 from docspark.operators.redact import redact
 from docspark.operators.report import load_report
 from docspark.runtime import materialize, ship
@@ -47,6 +50,7 @@ def import_docs(
     collections: list[str] | None = None,
     permissions: str | None = None,
     quality: int = 0,
+    directory: str | None = None,
 ) -> DataFrame:
     """Write the documents of a reader to a store and its rejected records to a table; returns the counters.
 
@@ -56,6 +60,7 @@ def import_docs(
     ship(docs.sparkSession)
     docs = to_docs(docs)
     docs = docs.withColumn("skip_reason", F.coalesce("skip_reason", content_error(F.col("content_type"), F.col("text"))))
+    docs = docs.withColumn("uri", uri_output_dir(F.col("uri"), directory))
     read = materialize(with_output_metadata(docs, collections, permissions, quality), "import")
     good, rejected = reject_split(read)
     upsert_docs(good, store, staged=True)
@@ -97,3 +102,34 @@ def copy_docs(
     uri, reason = uri_build(F.col("uri"), encode=False, **(uri_options or {}))
     docs = docs.withColumn("skip_reason", reason).withColumn("uri", uri)
     return import_docs(docs, target, None, collections, permissions, quality)
+
+
+def import_triples(
+    triples: DataFrame,
+    store: str,
+    rejects: str | None = None,
+    stored_graphs: DataFrame | None = None,
+    permissions: str | None = None,
+    collections: list[str] | None = None,
+    size: int = TRIPLES_PER_DOC,
+    **graph_options,
+) -> DataFrame:
+    """Pack the triples of a reader into documents of one graph each and write them; returns the new graphs.
+
+    ``stored_graphs`` (graph, permissions) are the graphs known already: their documents get the permissions
+    stored there, those of new graphs the configured ones.
+    """
+    spark = triples.sparkSession
+    triples = materialize(triples, "triples")
+    if rejects is not None:
+        bad = triples.where(F.col("skip_reason").isNotNull())
+        bad.select("src_id", "sub_id", "line", "skip_reason").write.mode("append").parquet(rejects)
+    good = triples.where(F.col("skip_reason").isNull())
+    good = assign_graph(good, collections=collections, **graph_options)
+    if stored_graphs is None:
+        stored_graphs = spark.createDataFrame([], f"graph string, permissions {PERMISSION_DDL}")
+    packed = pack_triples(good, size=size, collections=collections)
+    docs = packed.drop("permissions").withColumn("graph", F.get("collections", 0))
+    docs = left_graph_permissions(docs, stored_graphs, parse_permissions(F.lit(permissions or "")))
+    upsert_docs(docs, store)
+    return anti_new_graphs(good, stored_graphs)

@@ -8,12 +8,15 @@ from docspark.operators.mutate import add_collection_to, apply_node_ops, apply_p
 from docspark.plans import jobs
 from docspark.plans.catalog import query
 from docspark.plans.derive import (
+    CUSTOMER_TRIPLES,
     TEXT_DOCS,
+    customer_statements,
     customer_xml,
     page_docs,
     stamped_orders,
     table,
     tagged_customers,
+    text_dir,
     text_docs,
 )
 from docspark.plans.source_queries import _LABELLED, _labelled, _text_rows, _with_metadata
@@ -23,15 +26,20 @@ from docspark.sinks.export import export_archive, export_files, export_zip
 from docspark.sinks.records import foreach_kv, write_rejects, write_sequencefile
 from docspark.sinks.store import last_by_uri, prepare_target, scan_docs, upsert_docs, write_store
 from docspark.sources.archive import read_archive
+from docspark.sources.rdf import read_nquads
 from docspark.sources.seqfile import read_sequencefile
 from docspark.sources.zipped import read_zip_docs
 
 _ORDER_URI = "'/orders/'||o_orderkey||'.json' as uri"
 
 
+def _live_orders(spark, sf):
+    return to_docs(stamped_orders(spark, sf).drop("created_ts", "deleted_ts"))
+
+
 def _changed_orders(spark, sf):
     """Open orders again with a new text, twice over, and as many new orders as there are customers."""
-    orders = stamped_orders(spark, sf)
+    orders = _live_orders(spark, sf)
     again = orders.where(F.col("text").contains('"o_orderstatus":"O"'))
     first = again.withColumn("text", F.lit("first change")).withColumn("src_id", F.lit("changes-1"))
     second = again.withColumn("text", F.lit("second change")).withColumn("src_id", F.lit("changes-2"))
@@ -50,7 +58,7 @@ def _changed_orders(spark, sf):
 )
 def q_upsert_docs(spark, sf):
     path = work_path(spark, "upsert")
-    write_store(stamped_orders(spark, sf), path, buckets=8)
+    write_store(_live_orders(spark, sf), path, buckets=8)
     upsert_docs(_changed_orders(spark, sf), path)
     return scan_docs(spark, path).select("uri", "text")
 
@@ -257,3 +265,23 @@ def q_write_rejects(spark, sf):
     )
     write_rejects(docs, path)
     return spark.read.parquet(path).select("line", "skip_reason")
+
+
+@query(
+    "import_triples",
+    f"""select graph as collection, count(*) as docs, case when n_regionkey = 1 then n_name else 'reader' end as role from (
+ select graph, part from (select graph, (row_number() over (partition by graph order by s, p, o) - 1) // 100 as part from {CUSTOMER_TRIPLES}) group by graph, part)
+ join nation on graph = 'urn:nation:'||n_nationkey group by graph, role""",
+)
+def q_import_triples(spark, sf):
+    """Graphs of one region are stored already, with permissions of their own."""
+    path = text_dir(customer_statements(spark, sf), F.col("value"), "triples")
+    stored = table(spark, sf, "nation").where("n_regionkey = 1").select(
+        F.format_string("urn:nation:%d", "n_nationkey").alias("graph"),
+        F.array(F.struct(F.col("n_name").alias("role"), F.lit("read").alias("capability"))).alias("permissions"),
+    )
+    store = work_path(spark, "triple-store")
+    jobs.import_triples(read_nquads(spark, path), store, stored_graphs=stored, permissions="reader,read")
+    docs = scan_docs(spark, store, directories=["/triplestore"]).where(F.get("collections", 0).startswith("urn:nation:"))
+    role = F.element_at(F.transform("permissions", lambda p: p["role"]), 1)
+    return docs.groupBy(F.get("collections", 0).alias("collection"), role.alias("role")).agg(F.count(F.lit(1)).alias("docs"))

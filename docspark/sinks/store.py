@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docspark.functions.metadata import select_metadata
-from docspark.operators.filters import scope
+from docspark.operators.filters import filter_snapshot, filter_visible, scope
 from docspark.operators.placement import bucket_by_uri
 from docspark.runtime import BROADCAST_BYTES, BROADCAST_ROWS, materialize, maybe_broadcast, work_path
 from docspark.schema import DOC_SCHEMA, METADATA_COLUMNS, to_docs
@@ -113,14 +113,19 @@ def scan_docs(
     selector: str | None = None,
     query: Column | None = None,
     types: list[str] | None = None,
+    as_of: int | None = None,
     copy_collections: bool = True,
     copy_permissions: bool = True,
     copy_properties: bool = True,
     copy_quality: bool = True,
     copy_metadata: bool = True,
 ) -> DataFrame:
-    """Stored documents under a scope, with the wanted metadata. URI and type predicates reach the scan."""
+    """Stored documents under a scope, with the wanted metadata. URI, type and stamp predicates reach the scan.
+
+    Without ``as_of`` live documents are read, with it those that lived at that stamp.
+    """
     docs = spark.read.schema(STORE_SCHEMA).parquet(path).drop("buckets", "bucket")
+    docs = filter_visible(docs) if as_of is None else filter_snapshot(docs, as_of)
     docs = docs.where(scope(collections, directories, selector, query, types))
     return select_metadata(docs, copy_collections, copy_permissions, copy_properties, copy_quality, copy_metadata)
 

@@ -82,8 +82,9 @@ def read_archive(
         F.bool_or(F.col("entry").endswith(NAKED_SUFFIX)).alias("is_naked"),
         F.max("reason").alias("reason"),
         F.sum("csize").alias("csize"),
+        F.min("offset").alias("offset"),
     )
-    read = spread_entries(pairs, "uri").mapInPandas(_read_pairs, _PAIR_DDL)
+    read = spread_entries(pairs).mapInPandas(_read_pairs, _PAIR_DDL)
     df = read.withColumn("m", metadata_from_json(F.decode("metadata", "UTF-8")))
     df = df.withColumn("has_metadata", F.col("metadata").isNotNull()).drop("metadata")
     missing = ~F.col("has_metadata") & F.lit(not metadata_optional)

@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from docspark.functions.metadata import content_type_of
 from docspark.functions.uri import file_path_of, uri_build
-from docspark.runtime import materialize
+from docspark.runtime import materialize, with_positions
 from docspark.schema import to_docs
 from docspark.sources.files import MAX_BYTES, decode_text, list_files
 from docspark.sources.io import open_input, open_stream
 
 ENTRY_DDL = "src_id string, entry string, offset bigint, csize bigint, usize bigint, method int, encrypted boolean, reason string"
 TASK_BYTES = 128 << 20
+ENTRY_COST = 4096  # what opening an entry counts beside its bytes
 BATCH_BYTES = 16 << 20
 _CHUNK = 1 << 20
 
@@ -57,13 +58,20 @@ def list_zip_entries(spark: SparkSession, paths: str | Sequence[str], pattern: s
     return archives.mapInPandas(_list_batches, ENTRY_DDL)
 
 
-def spread_entries(entries: DataFrame, key: str = "entry") -> DataFrame:
-    """Write the listing down and spread it over tasks by volume, not by archive."""
-    listed = materialize(entries, "zip-entries")
-    total, n = listed.agg(F.coalesce(F.sum("csize"), F.lit(0)), F.count(F.lit(1))).first()
-    parallel = listed.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(n, max(parallel, total // TASK_BYTES + 1)))
-    return listed.repartition(int(parts), "src_id", key)
+def spread_entries(entries: DataFrame) -> DataFrame:
+    """Spread a listing (src_id, offset, csize) over tasks by volume, in runs of neighbouring entries.
+
+    A task opens few archives and reads each in order; a huge archive is cut over many tasks.
+    """
+    # written first, so that archives are listed once although a sort reads its input twice
+    listed = materialize(entries.withColumn("_cost", F.col("csize") + ENTRY_COST), "entries")
+    total = listed.agg(F.coalesce(F.sum("_cost"), F.lit(0))).first()[0]
+    placed = with_positions(listed, ["src_id", "offset"], weight="_cost", name="_at")
+    parallel = entries.sparkSession.sparkContext.defaultParallelism
+    share = max(ENTRY_COST, min(TASK_BYTES, -(-total // parallel)))
+    tasks = max(1, -(-total // share))
+    task = F.floor((F.col("_at") - 1) / share).cast("int")
+    return placed.repartitionById(tasks, task).sortWithinPartitions("src_id", "offset").select(*entries.columns)
 
 
 def entry_chunks(f, offset: int, csize: int, method: int) -> Iterator[bytes]:

@@ -17,7 +17,7 @@ from docspark.sources.files import read_files
 from docspark.sources.ndjson import NO_URI, _find, read_ndjson, read_ndjson_zip
 from docspark.sources.rdf import read_nquads, read_ntriples, read_rdf_json
 from docspark.sources.xml_records import NO_ID, read_xml_records
-from docspark.sources.zipped import list_zip_entries, read_gzip_docs, read_zip_docs
+from docspark.sources.zipped import list_zip_entries, read_gzip_docs, read_zip_docs, spread_entries
 
 
 def put(tmp_path, name, data):
@@ -322,6 +322,19 @@ def test_one_zip_is_read_by_many_tasks(spark, tmp_path):
     assert len(docs(df)) == list_zip_entries(spark, path).count() == 200
 
 
+def test_entries_are_spread_by_volume_in_runs(spark, tmp_path):
+    for a in range(6):
+        with zipfile.ZipFile(tmp_path / f"{a}.zip", "w") as z:
+            # a third of all bytes in one archive
+            for i in range(20):
+                z.writestr(f"{i}.txt", "x" * (50_000 if a == 0 else 20_000))
+    spread = spread_entries(list_zip_entries(spark, str(tmp_path)))
+    tasks = spread.groupBy(F.spark_partition_id().alias("p")).agg(F.sum("csize").alias("n"), F.countDistinct("src_id").alias("a")).collect()
+    total = sum(t.n for t in tasks)
+    assert total == 20 * 50_000 + 100 * 20_000 and len(tasks) >= 7
+    assert max(t.n for t in tasks) < 1.3 * total / 8 and max(t.a for t in tasks) <= 3
+
+
 def test_gzip_members_and_suffix(spark, tmp_path):
     put(tmp_path, "a.txt.GZ", gzip.compress(b"one") + gzip.compress(b"two"))
     put(tmp_path, "b.xml.gzip", gzip.compress(b"<b/>"))

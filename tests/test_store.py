@@ -13,6 +13,7 @@ from docspark.sinks.export import _drop_strays, export_archive, export_files, ex
 from docspark.sinks.store import prepare_target, scan_docs, store_buckets, upsert_docs, write_store
 from docspark.sources.archive import read_archive
 from docspark.sources.files import read_file_refs, read_files
+from docspark.sources.rdf import read_nquads
 from docspark.streaming.imports import import_stream, ndjson_stream
 
 
@@ -70,8 +71,10 @@ def test_scan_switches_prune_columns_and_push_filters(spark, tmp_path):
     path = str(tmp_path / "s")
     write_store(make(spark, [("/a/1", "a", 0), ("/b/1", "b", 0)], collections=F.array(F.lit("c"))), path, buckets=2)
     df = scan_docs(spark, path, directories=["/a"], copy_permissions=False).select("uri")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "StringStartsWith(uri,/a/)" in plan and "ReadSchema: struct<uri:string>" in plan
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "StringStartsWith(uri,/a/)" in plan and "ReadSchema: struct<uri:string,created_ts:bigint,deleted_ts:bigint>" in plan
     assert "permissions" not in scan_docs(spark, path, copy_permissions=False).columns
     with pytest.raises(ValueError):
         scan_docs(spark, path, collections=["c"], directories=["/a"])
@@ -154,6 +157,31 @@ def test_import_rejects_what_does_not_parse(spark, tmp_path):
     assert sorted(r.skip_reason for r in spark.read.parquet(str(tmp_path / "r")).collect()) == ["invalid JSON", "malformed XML"]
 
 
+def test_import_triples(spark, tmp_path):
+    lines = "".join(f"<urn:s{i}> <urn:p> <urn:o> <urn:g{i % 2}> .\n" for i in range(250)) + "junk\n<urn:s> <urn:p> <urn:o> .\n"
+    (tmp_path / "a.nq").write_text(lines)
+    stored = spark.createDataFrame([("urn:g1", [("owner", "update")])], "graph string, permissions array<struct<role:string,capability:string>>")
+    store = str(tmp_path / "s")
+    new = jobs.import_triples(
+        read_nquads(spark, str(tmp_path / "a.nq")), store, str(tmp_path / "r"), stored, "r,read", output_graph="urn:out"
+    )
+    assert sorted(r.graph for r in new.collect()) == ["urn:g0", "urn:out"]
+    docs = scan_docs(spark, store).collect()
+    assert sorted((d.collections[0], d.permissions[0].role, d.text.count("<sem:triple>")) for d in docs) == [
+        ("urn:g0", "r", 25), ("urn:g0", "r", 100), ("urn:g1", "owner", 25), ("urn:g1", "owner", 100), ("urn:out", "r", 1)
+    ]
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 1
+
+
+def test_scan_as_of_and_output_directory(spark, tmp_path):
+    docs = make(spark, [("/1", "a", 0), ("/2", "b", 0), ("/3", "c", 0)])
+    docs = docs.withColumn("created_ts", F.when(F.col("uri") == "/2", 20).otherwise(10).cast("long"))
+    docs = docs.withColumn("deleted_ts", F.when(F.col("uri") == "/3", 15).otherwise(-1).cast("long"))
+    jobs.import_docs(docs, str(tmp_path / "s"), directory="/out")
+    assert sorted(content(spark, str(tmp_path / "s"))) == ["/out/1", "/out/2"]
+    assert sorted(content(spark, str(tmp_path / "s"), as_of=12)) == ["/out/1", "/out/3"]
+
+
 def test_import_stream_resumes(spark, tmp_path):
     inbox, store, check = (str(tmp_path / x) for x in ("in", "store", "check"))
     Path(inbox).mkdir()
