@@ -95,6 +95,20 @@ def q_read_csv_docs(spark, sf):
     return _text_rows(read_csv_docs(spark, path, uri_id="uri", root_name="turn", prefix="/turns/", suffix=".xml"))
 
 
+@query(
+    "read_csv_docs_split_quoted",
+    f"select '/turns/'||conv_id||'-'||turn||'.xml' as uri, md5({_TURN_XML}) as text_md5 from conversations",
+)
+def q_read_csv_docs_split_quoted(spark, sf):
+    """The same files cut into blocks."""
+    turns = table(spark, sf, "conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("uri"), "role", F.trim("text").alias("text")
+    )
+    path = csv_dir(turns, "csv-quoted", quoteAll="true")
+    docs = read_csv_docs(spark, path, uri_id="uri", root_name="turn", prefix="/turns/", suffix=".xml", split="quoted")
+    return _text_rows(docs)
+
+
 _LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"]
 
 

@@ -7,18 +7,20 @@ import io
 import re
 from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docspark.functions.build import row_to_json, row_to_xml
 from docspark.functions.uri import uri_build, uri_generate
+from docspark.runtime import materialize, maybe_broadcast
 from docspark.schema import to_docs
-from docspark.sources.files import _paths
-from docspark.sources.numbering import number_in_split
+from docspark.sources.files import MAX_BYTES, _paths
+from docspark.sources.numbering import mark_quotes, number_in_split
 from docspark.sources.zipped import entry_rows, file_rows, stream_records
 
 WIDTH_REASON = "number of fields does not match number of columns"
+OPEN_REASON = "quoted field is never closed"
 QUOTE_REASON = "invalid char between encapsulated token and delimiter"
 _RECORD_DDL = "line bigint, h int, vals array<string>, reason string"
 MAX_HEADERS = 200
@@ -170,7 +172,7 @@ def read_csv_docs(
     root_name: str = "root",
     encoding: str = "UTF-8",
     pattern: str | None = None,
-    split: bool = False,
+    split: bool | str = False,
     zipped: bool = False,
     lenient: bool = False,
     **uri_options,
@@ -180,7 +182,8 @@ def read_csv_docs(
     Default: each file (plain or ``.gz``) or zip entry is streamed by one task; quoted line breaks, any
     charset and a header per file are allowed. ``split=True`` cuts files into blocks parsed by many tasks
     inside the JVM; a record must then be one line of UTF-8 and all files share one header. Use it for
-    files larger than a task should read.
+    files larger than a task should read. ``split="quoted"`` also allows line breaks inside quotes, if quotes
+    only ever enclose fields; it needs a URI column.
     """
     if len(delimiter) != 1:
         raise ValueError(f"Invalid delimiter: {delimiter}")
@@ -188,6 +191,10 @@ def read_csv_docs(
         uri_id=uri_id, doc_type=doc_type, data_type=data_type, root_name=root_name, lenient=lenient,
         uri_options=uri_options, generate_uri=generate_uri,
     )
+    if split == "quoted":
+        if generate_uri:
+            raise ValueError("generated URIs need records in file order: use a URI column with split='quoted'")
+        return _read_split_quoted(spark, paths, delimiter, pattern, kw)
     if split:
         return _read_split(spark, paths, delimiter, pattern, kw)
     listing = entry_rows(spark, paths, pattern) if zipped else file_rows(spark, paths, pattern)
@@ -201,14 +208,17 @@ def read_csv_docs(
     return _documents(rows.withColumn("block", F.lit(0)), headers, **kw)
 
 
+def _first_line(spark: SparkSession, files: list[str], glob: dict) -> str | None:
+    first = spark.read.options(**glob).text(files).where(F.trim("value") != "").first()
+    return first and first.value
+
+
 def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None, kw: dict) -> DataFrame:
     files = _paths(paths)
     glob = {} if pattern is None else {"pathGlobFilter": pattern}
-    first = spark.read.options(**glob).text(files).where(F.trim("value") != "").first()
-    if first is None:
+    header_line = _first_line(spark, files, glob)
+    if header_line is None:
         return to_docs(spark.createDataFrame([], "src_id string"))
-    header_line = first.value
-    header = _header_of(_split_record(header_line, delimiter))
     # One column holding the whole line: the reader drops each file's header and blank lines, cuts blocks
     # at line ends, and fails if a file has another header.
     lines = (
@@ -222,6 +232,80 @@ def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None,
         )
         .where(F.col("raw").isNotNull() & (F.trim("raw") != ""))
     )
+    return _parse_records(lines.withColumn("reason", F.lit(None).cast("string")), header_line, delimiter, kw)
+
+
+def _read_split_quoted(spark: SparkSession, paths, delimiter: str, pattern: str | None, kw: dict) -> DataFrame:
+    """Blocks of files whose quoted fields hold line breaks.
+
+    A line starts a record if an even number of quotes lies before it in its file. Each task counts quotes and
+    record starts in its block under both assumptions about where the block begins; the quote totals of the
+    blocks, one row per block, tell which holds. Only lines of records that span lines are then shuffled.
+    """
+    files = _paths(paths)
+    glob = {} if pattern is None else {"pathGlobFilter": pattern}
+    header_line = _first_line(spark, files, glob)
+    if header_line is None:
+        return to_docs(spark.createDataFrame([], "src_id string"))
+    value = F.col("value")
+    lines = spark.read.options(lineSep="\n", **glob).text(files).select(
+        F.regexp_replace(value, "\r$", "").alias("value"),
+        F.col("_metadata.file_path").alias("src_id"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        (F.length(value) - F.length(F.translate(value, '"', ""))).alias("quotes"),
+    )
+    marked = materialize(mark_quotes(lines), "csv-lines")
+    blocks = marked.groupBy("src_id", "block").agg(
+        F.sum("quotes").alias("total"), F.max("rec0").alias("max0"), F.max("rec1").alias("max1"),
+        F.min(F.when(F.trim("value") != "", F.col("id"))).alias("first_id"),
+    )
+    earlier = Window.partitionBy("src_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("odd", F.coalesce(F.sum("total").over(earlier), F.lit(0)) % 2)
+    blocks = blocks.withColumn("records", F.when(F.col("odd") == 1, F.col("max1")).otherwise(F.col("max0")))
+    has = F.when(F.col("records") > 0, F.struct(F.col("block").alias("b"), F.col("records").alias("r")))
+    blocks = blocks.select(
+        "src_id", "block", "odd", "first_id", F.last(has, ignorenulls=True).over(earlier).alias("before_block"),
+        F.min("first_id").over(earlier).alias("seen"),
+    )
+    at = marked.join(maybe_broadcast(blocks), ["src_id", "block"])
+    # the header is the first line with text of its file
+    is_header = F.col("seen").isNull() & (F.col("id") == F.col("first_id"))
+    bom = "\ufeff"
+    if at.where(is_header & (F.ltrim(value, F.lit(bom)) != F.lit(header_line.lstrip(bom)))).limit(1).count():
+        raise ValueError("all files must share one header")
+    at = at.where(~F.coalesce(is_header, F.lit(False)))
+    outside = (F.col("before") + F.col("odd")) % 2 == 0
+    closed = (F.col("before") + F.col("odd") + F.col("quotes")) % 2 == 0
+    record = F.when(F.col("odd") == 1, F.col("rec1")).otherwise(F.col("rec0"))
+    none = F.lit(None).cast("string")
+    single = at.where(outside & closed & (F.trim("value") != "")).select(
+        "src_id", "block", value.alias("raw"), none.alias("reason")
+    )
+    parts = at.where(~(outside & closed)).select(
+        "src_id", "id", "value",
+        F.when(record > 0, F.col("block")).otherwise(F.col("before_block.b")).alias("_b"),
+        F.when(record > 0, record).otherwise(F.col("before_block.r")).alias("_r"),
+        F.col("block").alias("_part"),
+    )
+    key = ["src_id", "_b", "_r"]
+    # a quote that is never closed may run to the end of a file: such a record is reported, not gathered
+    sizes = parts.groupBy(*key).agg(F.sum(F.octet_length("value") + 1).alias("n")).where(F.col("n") > MAX_BYTES)
+    endless = materialize(sizes, "csv-endless")
+    gathered = parts.join(maybe_broadcast(endless), key, "left_anti").groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.struct("_part", "id", "value"))).alias("_l")
+    )
+    multi = gathered.select(
+        "src_id", F.col("_b").alias("block"), F.array_join(F.transform("_l", lambda x: x["value"]), "\n").alias("raw"),
+        none.alias("reason"),
+    )
+    lost = endless.select("src_id", F.col("_b").alias("block"), F.lit("").alias("raw"), F.lit(OPEN_REASON).alias("reason"))
+    return _parse_records(single.unionByName(multi).unionByName(lost), header_line, delimiter, kw)
+
+
+def _parse_records(lines: DataFrame, header_line: str, delimiter: str, kw: dict) -> DataFrame:
+    """Documents of whole records (src_id, block, raw, reason), parsed in the JVM."""
+    header = _header_of(_split_record(header_line, delimiter))
     d = "\\" + delimiter if not delimiter.isalnum() else delimiter
     blank = "[ ]" if delimiter == "\t" else "[ \\t]"
     # What is left after taking out well-formed quoted fields must not open a quote again.
@@ -234,9 +318,10 @@ def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None,
         {"sep": delimiter, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true",
          "ignoreTrailingWhiteSpace": "true", "columnNameOfCorruptRecord": "_corrupt", "maxCharsPerColumn": "-1"},
     )
+    why = F.when(malformed, F.lit(QUOTE_REASON)).when(F.col("r._corrupt").isNotNull(), F.lit(WIDTH_REASON))
     rows = lines.withColumn("r", parsed).select(
         "src_id", "block", F.lit("").alias("sub_id"), F.lit(None).cast("bigint").alias("line"), F.lit(0).alias("h"),
         F.array(*[F.coalesce(F.col(f"r.{n}"), F.lit("")) for n in names]).alias("vals"),
-        F.when(malformed, F.lit(QUOTE_REASON)).when(F.col("r._corrupt").isNotNull(), F.lit(WIDTH_REASON)).alias("reason"),
+        F.coalesce("reason", why).alias("reason"),
     )
     return _documents(rows, [header], **kw)

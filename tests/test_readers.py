@@ -4,6 +4,7 @@ import csv
 import gzip
 import io
 import json
+import random
 import zipfile
 
 import pytest
@@ -86,7 +87,7 @@ def test_csv_quotes_newlines_blank_lines(spark, tmp_path):
     }
 
 
-@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize("split", [False, True, "quoted"])
 def test_csv_rejects(spark, tmp_path, split):
     put(tmp_path, "a.csv", 'id,name\n1,a\n2,b,c\n3\n4,"x"y\n,z\n5,"q""r"\n6,"""t"" u"\n')
     df = read_rows(spark, str(tmp_path), split=split)
@@ -160,10 +161,35 @@ def test_csv_small_splits_lose_nothing(spark, tmp_path):
     assert sorted(generated.values()) == sorted(by_id.values())
 
 
+@pytest.mark.parametrize("block", [200, 100_000])
+def test_csv_quoted_line_breaks_over_small_blocks(spark, tmp_path, block):
+    """Records that span lines and blocks: every row once, as one task would read it."""
+    rng = random.Random(block)
+    for name in ("a.csv", "b.csv"):
+        rows = [(f"{name}{i}", "".join(rng.choice(['x', '\n', '""', ',', 'é', ' y']) for _ in range(rng.randrange(9)))) for i in range(120)]
+        put(tmp_path, name, "\nid,v\n" + "\n".join(f'{i},"{v}"' if rng.random() < 0.8 or v.strip(' xyé') else f"{i},{v}" for i, v in rows) + "\n")
+    want = docs(read_rows(spark, str(tmp_path), uri_id="id"))
+    assert len(want) == 240
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        assert docs(read_rows(spark, str(tmp_path), uri_id="id", split="quoted")) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_csv_quoted_split_wants_one_header_and_a_uri_column(spark, tmp_path):
+    put(tmp_path, "a.csv", "id,v\n1,a\n")
+    put(tmp_path, "b.csv", "id,w\n1,a\n")
+    with pytest.raises(ValueError, match="share one header"):
+        read_rows(spark, str(tmp_path), split="quoted")
+    with pytest.raises(ValueError, match="URI column"):
+        read_rows(spark, str(tmp_path), split="quoted", generate_uri=True)
+
+
 FIELD = st.text(alphabet='ab ,"\n\té|', max_size=6).map(str.strip)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(FIELD, FIELD), min_size=1, max_size=20))
 def test_csv_round_trip(spark, tmp_path_factory, rows):
     out = io.StringIO()
@@ -173,6 +199,7 @@ def test_csv_round_trip(spark, tmp_path_factory, rows):
     path = put(tmp_path_factory.mktemp("csv"), "a.csv", out.getvalue())
     want = {str(i): f"<r><id><![CDATA[{i}]]></id><a><![CDATA[{a}]]></a><b><![CDATA[{b}]]></b></r>" for i, (a, b) in enumerate(rows)}
     assert docs(read_rows(spark, path)) == want
+    assert docs(read_rows(spark, path, split="quoted")) == want
     if not any("\n" in x for r in rows for x in r):
         assert docs(read_rows(spark, path, split=True)) == want
 
