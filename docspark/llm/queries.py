@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import language
+from docspark.llm import jaccard, language
 from docspark.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -17,3 +17,8 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     model = language.fit(docs.filter(~language.held_out()))
     found = language.identify(docs, model)
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op2_jaccard_join")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_components(spark.read.parquet(f"{sf}/documents.parquet"))
