@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import jaccard, language
+from docspark.llm import jaccard, language, quality
 from docspark.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -22,3 +22,9 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
 @query("op2_jaccard_join")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.jaccard_components(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+@query("op3_quality_rules")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return quality.judge(docs, quality.fit(docs, spark.read.parquet(f"{sf}/labels.parquet")))
