@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import jaccard, language, quality
+from docspark.llm import jaccard, language, pii, quality
 from docspark.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -28,3 +28,9 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     return quality.judge(docs, quality.fit(docs, spark.read.parquet(f"{sf}/labels.parquet")))
+
+
+@query("op6_personal_data")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    return pii.find(docs, pii.fit(docs))
