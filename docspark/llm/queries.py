@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import jaccard, language, pii, quality
+from docspark.llm import jaccard, language, mixing, pii, quality
 from docspark.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -34,3 +34,8 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     return pii.find(docs, pii.fit(docs))
+
+
+@query("op4_mixing", mixing.ORACLE)
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.taken(spark.read.parquet(f"{sf}/documents.parquet"))
