@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import jaccard, language, mixing, pii, quality
+from docspark.llm import jaccard, language, mixing, packing, pii, quality
 from docspark.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a file of the installed vocabulary package lies, on every machine alike."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query("op10_language_id")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -39,3 +46,8 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_mixing", mixing.ORACLE)
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.taken(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+@query("op7_retrieval_packing")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(spark.read.parquet(f"{sf}/documents.parquet"), tokenizer_path("word_bpe_49k.json"))
