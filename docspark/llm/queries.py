@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import jaccard, language, mixing, packing, pii, quality
+from docspark.llm import idfiles, jaccard, language, mixing, packing, pii, quality
 from docspark.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -51,3 +51,8 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 @query("op7_retrieval_packing")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(spark.read.parquet(f"{sf}/documents.parquet"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op5_token_ids")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    return idfiles.round_trip(spark.read.parquet(f"{sf}/documents.parquet"), tokenizer_path("byte_bpe_50k.json"))
