@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docspark.llm.common import buffers, groups, mix, narrowed, windows, words
-from docspark.runtime import materialize
+from docspark.runtime import materialize, maybe_broadcast
 
 SHINGLE = 5
 #: Link when ``PERCENT`` % of the union is shared.
@@ -37,6 +37,8 @@ SHARD = 2_000_000
 BLOCK = 8 << 20
 #: A shingle is frequent if a block, and then the table, has it in one text of so many; and the least such count.
 FREQUENT, LEAST_FREQUENT = 1000, 1000
+#: Rows per file of the small tables between the steps.
+ROWS = 250_000
 #: Entries of a list that one merge takes; longer lists are cut by candidate.
 LIST = 4096
 _CUT = np.uint64(16)
@@ -191,17 +193,28 @@ def least_overlap(n):
     return F.ceil(F.lit(PERCENT) * n / 100)
 
 
-def heap_merge(lists: list[np.ndarray], least: int) -> list[int]:
-    """Values that occur in at least ``least`` of the sorted lists."""
-    if least <= 1 and len(lists) > 8:
-        return np.unique(np.concatenate(lists)).tolist()  # the merge would return every value
-    out, last, run = [], None, 0
-    for value in heapq.merge(*[x.tolist() for x in lists]):
-        run = run + 1 if value == last else 1
-        last = value
-        if run == least:
-            out.append(value)
-    return out
+def least_hits(n_a, n_b):
+    """Short lists that two sets must share if they link: the overlap needed, less what the long lists can hold.
+
+    Of two sets, the one whose short lists end first has all its common short lists among the other's, and its long
+    ones are one fewer than the overlap that it needs with any partner.
+    """
+    overlap = lambda n, whole: -(-PERCENT * n // whole)
+    return overlap(n_a + n_b, 100 + PERCENT) - max(overlap(n_a, 100), overlap(n_b, 100)) + 1
+
+
+def heap_merge(lists: list[list[int]]) -> Iterator[tuple[int, int]]:
+    """(value, lists that hold it) of sorted lists."""
+    last, hits = None, 0
+    for value in heapq.merge(*lists):
+        if value == last:
+            hits += 1
+            continue
+        if hits:
+            yield last, hits
+        last, hits = value, 1
+    if hits:
+        yield last, hits
 
 
 def probe(long: np.ndarray, other: np.ndarray, have: int, need: int) -> int:
@@ -219,13 +232,15 @@ def probe(long: np.ndarray, other: np.ndarray, have: int, need: int) -> int:
     return have
 
 
+def few(df: DataFrame, rows: int, name: str) -> DataFrame:
+    """``df``, which has at most about ``rows`` rows, written in files of a good size."""
+    return materialize(df.coalesce(max(1, -(-rows // ROWS))), name)
+
+
 def verify(pairs: DataFrame, index: DataFrame) -> DataFrame:
     """The pairs (a, b) that link; ``index`` has each class's shingles, rarest first."""
     left = index.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
     right = index.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
-    # counting what both ends need is cheap; sets are fetched for pairs of fitting sizes only
-    sized = pairs.join(left.select("a", "n_a"), "a").join(right.select("b", "n_b"), "b")
-    sized = sized.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT).select("a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,7 +257,7 @@ def verify(pairs: DataFrame, index: DataFrame) -> DataFrame:
             keep = pa.array(ok)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    return sized.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -251,26 +266,24 @@ def components(edges: DataFrame) -> DataFrame:
     Large-star and small-star steps; each round is written, and no node's edges are ever gathered.
     """
     now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    rows = now.count()  # no step makes more edges than it was given
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        large = materialize(large, "large-star")
+        large = few(large, rows, "large-star")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         linked = large.join(least, "a")
-        small = (
-            linked.select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(linked.select("a", F.col("m").alias("b")))
-            .filter("a <> b")
-            .distinct()
-        )
-        after = materialize(small, "small-star")
+        both = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))
+        small = linked.select(F.explode(both).alias("e")).select("e.*").filter("a <> b").distinct()
+        after = few(small, rows, "small-star")
         # done when every node has one edge, to a node that has none
-        open_ = after.groupBy("a").count().filter("count > 1").select("a").unionByName(after.join(after.select(F.col("a").alias("b")), "b", "left_semi").select("a"))
-        if open_.isEmpty():
-            return after.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                after.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-            )
+        up = after.select("a", F.lit(1).alias("up"), F.lit(0).alias("down"))
+        ends = up.unionByName(after.select(F.col("b").alias("a"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        open_ = ends.groupBy("a").agg(F.sum("up").alias("up"), F.max("down").alias("down")).filter("up > 1 or up = 1 and down = 1")
+        if open_.coalesce(max(1, -(-rows // ROWS))).isEmpty():
+            roots = after.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+            return after.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
         now = after
 
 
@@ -317,17 +330,22 @@ def occurrences(prefix: DataFrame, labels: DataFrame | None) -> DataFrame:
         & (x["comp"] != F.col("comp_a"))
         & (F.least(x["n"], F.col("n_a")) * 100 >= F.greatest(x["n"], F.col("n_a")) * PERCENT),
     )
-    taken = asked.join(lists, "token").select("a", "part", F.transform(fits, lambda x: x["cls"]).alias("list")).filter(F.size("list") > 0)
-    merged = taken.groupBy("a", "part").agg(F.collect_list("list").alias("lists"))
+    taken = asked.join(lists, "token").select("a", "n_a", "part", fits.alias("list")).filter(F.size("list") > 0)
+    pair = F.transform("list", lambda x: F.struct(x["cls"], x["n"]))
+    merged = taken.groupBy("a", "part").agg(F.first("n_a").alias("n_a"), F.collect_list(pair).alias("lists"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [heap_merge([x.values.to_numpy() for x in row], 1) for row in batch.column("lists")]
-            a = np.repeat(batch.column("a").to_numpy(), [len(x) for x in found])
-            b = np.array([x for f in found for x in f], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            a, b = [], []
+            for mine, n_a, row in zip(batch.column("a").to_pylist(), batch.column("n_a").to_pylist(), batch.column("lists"), strict=True):
+                each = [x.values.flatten() for x in row]
+                size = {c: n for cls, n in each for c, n in zip(cls.to_pylist(), n.to_pylist(), strict=True)}
+                found = [c for c, hits in heap_merge([cls.to_pylist() for cls, _ in each]) if hits >= least_hits(n_a, size[c])]
+                a += [mine] * len(found)
+                b += found
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return merged.select("a", "lists").mapInArrow(run, "a long, b long")
+    return merged.select("a", "n_a", "lists").mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(df: DataFrame) -> DataFrame:
@@ -361,14 +379,15 @@ def jaccard_components(df: DataFrame) -> DataFrame:
     prefix = index.select("cls", "n", F.explode(short).alias("token"))
     shared = prefix.groupBy("token").count().filter("count > 1").select("token")
     prefix = materialize(prefix.join(shared, "token", "left_semi"), "prefix")
+    rows = prefix.count()
 
     labels = None
     for search in ("first", "last", "all"):
         pairs = occurrences(prefix, labels).distinct() if search == "all" else _hub_pairs(prefix, labels, search)
-        links = verify(materialize(pairs, "pairs"), index)
+        links = verify(few(pairs, rows, "pairs"), index)
         if labels is not None:
             links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        labels = materialize(components(links), "labels")
+        labels = few(components(links), rows, "labels")
 
     joined = classes.join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left")
     joined = joined.withColumn("component", F.coalesce("component", "cls"))
@@ -379,7 +398,17 @@ def jaccard_components(df: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` that are the smallest id of their component; of rows that repeat an id one stays."""
-    found = jaccard_components(df).filter("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    rows = df.join(found, F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
-    return rows.dropDuplicates(["doc_id"])
+    """The rows of ``df`` whose id is the smallest of their component; of rows that repeat an id one stays.
+
+    Rows without an id always stay. Text is not shuffled where the ids that go are few enough to be sent to all tasks.
+    """
+    found = materialize(jaccard_components(df), "components").filter("doc_id is not null")
+    by_id = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("rows"))
+    by_id = materialize(by_id.filter("not stays or rows > 1"), "copies")
+    gone, again = by_id.filter("not stays").select("doc_id"), by_id.filter("stays").select("doc_id")
+    rows = df.join(maybe_broadcast(gone), "doc_id", "left_anti").select(df.columns)
+    if again.isEmpty():
+        return rows
+    again = maybe_broadcast(again)
+    once = rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return rows.join(again, "doc_id", "left_anti").select(df.columns).unionByName(once.select(df.columns))
