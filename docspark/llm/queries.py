@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import idfiles, jaccard, language, mixing, packing, pii, quality
+from docspark.llm import idfiles, jaccard, language, media, mixing, packing, pii, quality, warc
 from docspark.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -56,3 +56,13 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 @query("op5_token_ids")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return idfiles.round_trip(spark.read.parquet(f"{sf}/documents.parquet"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op1_warc", warc.ORACLE)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
+@query("op9_telephony_media")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    return media.digests(spark.read.parquet(f"{sf}/documents.parquet"))
