@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import idfiles, jaccard, language, media, mixing, packing, pii, quality, warc
+from docspark.llm import chat, idfiles, jaccard, language, media, mixing, packing, pii, quality, warc
 from docspark.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -66,3 +66,8 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_telephony_media")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return media.digests(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+@query("op8_preferences", chat.ORACLE)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.neighbour_preferences(spark.read.parquet(f"{sf}/conversations.parquet"))
