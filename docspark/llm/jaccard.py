@@ -140,11 +140,13 @@ def _postings(shards: int, frequent: np.ndarray):
             first[np.unique(cls, return_index=True)[1]] = True
             take = first[owner]
             owner, token = owner[take], h[take] & ~((np.uint64(1) << _CUT) - np.uint64(1))
+            if not len(token):
+                continue
             order = np.argsort(token, kind="stable")
             token, own = token[order], owner[order]
             kind, n = cls[own], size[own]
             shard = ((token >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-            if len(frequent) and len(token):
+            if len(frequent):
                 spot = np.minimum(np.searchsorted(frequent, token), len(frequent) - 1)
                 often = frequent[spot] == token
                 dealt = shards + (kind.view(np.uint64) % np.uint64(shards)).astype(np.int64)

@@ -15,7 +15,7 @@ WEIGHTS = (5, 2, 1)
 #: Size of the mix in sizes of the input, and of a source's target in sizes of the source.
 SHARE, MOST = 1.5, 2
 #: Words per block. A block is an interval of a shard's words, never a row, so that small ones cost nothing.
-BLOCK = 16
+BLOCK = 8
 #: Shards of a source: the first hex digit of a seeded hash of the id.
 SHARDS = 16
 SEED = 4
@@ -102,10 +102,11 @@ def mix(df: DataFrame) -> DataFrame:
     ranked = materialize(ranked.select("source", "source_size", "weight"), "sources")
     targets = ranked.withColumn("target", level(ranked).target()).drop("weight")
 
+    # a source at its cap gives all it has, in both passes
     same = F.col("a.source").eqNullSafe(F.col("b.source"))
     known = shards.alias("a").join(maybe_broadcast(targets).alias("b"), same).select("a.*", "source_size", "target")
     given = known.alias("a").join(quotas(known).alias("b"), same & (F.col("a.shard") == F.col("b.shard")))
-    given = materialize(given.select("a.*", (F.col("quota") * BLOCK).alias("words")), "quotas")
+    given = materialize(given.select("a.*", F.when(F.col("target") >= MOST * F.col("source_size"), MOST * F.col("shard_size")).otherwise(F.col("quota") * BLOCK).alias("words")), "quotas")
 
     placed = with_positions(sized, ["key", "doc_id", "size"], ["source", "shard"], "at", "size")
     at = F.col("at") - 1
@@ -173,7 +174,8 @@ rivals as (
 ranked as (
   select *, row_number() over (partition by source order by shard_size / (2 * k - 1) desc, shard, k) <= seats as won from rivals),
 given as (
-  select source, shard, shard_size, source_size, target, (base + count(*) filter (where won)) * {BLOCK} as words
+  select source, shard, shard_size, source_size, target,
+         case when target >= {MOST} * source_size then {MOST} * shard_size else (base + count(*) filter (where won)) * {BLOCK} end as words
   from ranked group by source, shard, shard_size, source_size, target, base),
 placed as (
   select doc_id, source, key[1] as shard, size,
