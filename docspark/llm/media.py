@@ -96,7 +96,9 @@ def read_wav(raw: bytes) -> tuple[int, int, int, memoryview]:
     while at + 8 <= len(view):
         name, size = bytes(view[at : at + 4]), struct.unpack("<I", view[at + 4 : at + 8])[0]
         body = view[at + 8 : at + 8 + size]
-        if name == b"fmt ":
+        if len(body) < size:
+            break
+        if name == b"fmt " and size >= 16:
             form = struct.unpack("<HHIIHH", body[:16])
         elif name == b"data" and form:
             if form[1] != 1:

@@ -105,8 +105,9 @@ def mix(df: DataFrame) -> DataFrame:
     # a source at its cap gives all it has, in both passes
     same = F.col("a.source").eqNullSafe(F.col("b.source"))
     known = shards.alias("a").join(maybe_broadcast(targets).alias("b"), same).select("a.*", "source_size", "target")
-    given = known.alias("a").join(quotas(known).alias("b"), same & (F.col("a.shard") == F.col("b.shard")))
-    given = materialize(given.select("a.*", F.when(F.col("target") >= MOST * F.col("source_size"), MOST * F.col("shard_size")).otherwise(F.col("quota") * BLOCK).alias("words")), "quotas")
+    given = known.alias("a").join(quotas(known).drop("shard_size").alias("b"), same & (F.col("a.shard") == F.col("b.shard")))
+    full = F.when(F.col("target") >= MOST * F.col("source_size"), MOST * F.col("shard_size"))
+    given = materialize(given.select("a.*", full.otherwise(F.col("quota") * BLOCK).alias("words")), "quotas")
 
     placed = with_positions(sized, ["key", "doc_id", "size"], ["source", "shard"], "at", "size")
     at = F.col("at") - 1
