@@ -1,5 +1,7 @@
 import re
 
+import duckdb
+import pyarrow.parquet as pq
 import pytest
 
 from docspark.llm import mixing
@@ -43,9 +45,7 @@ def test_mix_cuts_at_words(table):
 
 
 def test_hostile_rows(hostile, tmp_path):
-    hostile.select("doc_id", "text", "source").toPandas().to_parquet(tmp_path / "documents.parquet")
-    import duckdb
-
+    pq.write_table(hostile.select("doc_id", "text", "source").toArrow(), tmp_path / "documents.parquet")
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet'")
     assert compare(mixing.taken(hostile), con, mixing.ORACLE) is None
