@@ -194,7 +194,7 @@ _EVENT_LINE = """case event_type when 'purchase' then '{"type": "purchase", "inn
  when 'scroll' then '{"id": {"n": '||event_id||'}}' else '{"id": '||event_id||', "type": "'||event_type||'", "props": '||props||'}' end"""
 _EVENT_DOCS = f"""select case when event_type not in ('error', 'scroll') then '/event/'||event_id end as uri,
  case when event_type not in ('error', 'scroll') then {_EVENT_LINE} end as text,
- case event_type when 'error' then 'leading space' when 'scroll' then 'no qualifying URI value found' end as skip_reason from events"""
+ case event_type when 'error' then 'leading space' when 'scroll' then 'the line names no URI' end as skip_reason from events"""
 
 
 @query("read_ndjson", _EVENT_DOCS)

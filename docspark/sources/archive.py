@@ -20,7 +20,7 @@ from docspark.sources.zipped import BATCH_BYTES, entry_chunks, entry_problem, li
 METADATA_SUFFIX = ".metadata"
 NAKED_SUFFIX = ".naked"
 TYPES = ("XML", "JSON", "TEXT", "BINARY")
-MISSING = "Missing metadata"
+MISSING = "no metadata entry"
 _PAIR_DDL = (
     "src_id string, uri string, content_type string, is_naked boolean, has_content boolean, "
     "content binary, metadata binary, reason string"
@@ -40,7 +40,7 @@ def _read_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     continue
                 reason = entry_problem(SimpleNamespace(**at))
                 if reason is None and at["usize"] > MAX_BYTES:
-                    reason = "file size too large"
+                    reason = "larger than a row can hold"
                 if reason is None:
                     if row.src_id != opened:
                         f, opened = open_input(row.src_id), row.src_id

@@ -6,24 +6,25 @@ import csv
 import io
 import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docspark.functions.build import row_to_json, row_to_xml
 from docspark.functions.uri import uri_build, uri_generate
 from docspark.runtime import materialize, maybe_broadcast
 from docspark.schema import to_docs
-from docspark.sources.files import MAX_BYTES, _paths
+from docspark.sources.files import MAX_BYTES, text_lines
 from docspark.sources.numbering import mark_quotes, number_in_split
 from docspark.sources.zipped import entry_rows, file_rows, stream_records
 
-WIDTH_REASON = "number of fields does not match number of columns"
+WIDTH_REASON = "the row is wider or narrower than its header"
 OPEN_REASON = "quoted field is never closed"
-QUOTE_REASON = "invalid char between encapsulated token and delimiter"
+QUOTE_REASON = "text beside a quoted field"
 _RECORD_DDL = "line bigint, h int, vals array<string>, reason string"
-MAX_HEADERS = 200
+# Headers that one plan handles.
+HEADERS = 200
 
 
 class _Lines:
@@ -194,65 +195,65 @@ def read_csv_docs(
     if split == "quoted":
         if generate_uri:
             raise ValueError("generated URIs need records in file order: use a URI column with split='quoted'")
-        return _read_split_quoted(spark, paths, delimiter, pattern, kw)
+        return _read_split_quoted(spark, paths, delimiter, pattern, encoding, kw)
     if split:
-        return _read_split(spark, paths, delimiter, pattern, kw)
+        return _read_split(spark, paths, delimiter, pattern, encoding, kw)
     listing = entry_rows(spark, paths, pattern) if zipped else file_rows(spark, paths, pattern)
     found = stream_records(listing, _header_parser(delimiter, encoding), "header array<string>")
-    headers = [r.header for r in found.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
-    if len(headers) > MAX_HEADERS:
-        raise ValueError(f"more than {MAX_HEADERS} different headers in one input")
-    headers.sort()
+    headers = sorted(r.header for r in found.select("header").distinct().collect())
     parse = _record_parser(delimiter, encoding, headers)
-    rows = stream_records(listing, parse, _RECORD_DDL, lambda why: (0, -1, [], why))
-    return _documents(rows.withColumn("block", F.lit(0)), headers, **kw)
-
-
-def _first_line(spark: SparkSession, files: list[str], glob: dict) -> str | None:
-    first = spark.read.options(**glob).text(files).where(F.trim("value") != "").first()
-    return first and first.value
-
-
-def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None, kw: dict) -> DataFrame:
-    files = _paths(paths)
-    glob = {} if pattern is None else {"pathGlobFilter": pattern}
-    header_line = _first_line(spark, files, glob)
+    rows = stream_records(listing, parse, _RECORD_DDL, lambda why: (0, -1, [], why)).withColumn("block", F.lit(0))
+    if len(headers) <= HEADERS:
+        return _documents(rows, headers, **kw)
+    # an expression per header grows with their number: the rows, read once, are taken a batch of headers at a time
+    rows = materialize(rows, "csv-rows")
+    parts = []
+    for lo in range(0, len(headers), HEADERS):
+        own = headers[lo : lo + HEADERS]
+        mine = (F.col("h") >= lo) & (F.col("h") < lo + len(own)) | (F.lit(lo == 0) & (F.col("h") < 0))
+        parts.append(_documents(rows.where(mine).withColumn("h", F.col("h") - lo), own, **kw))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None, encoding: str, kw: dict) -> DataFrame:
+    lines = number_in_split(text_lines(spark, paths, pattern, encoding), name="line")
+    lines = lines.withColumn("line", F.col("block") + F.col("line")).where(F.trim("value") != "")
+    header_line, firsts = _headers(lines)
     if header_line is None:
         return to_docs(spark.createDataFrame([], "src_id string"))
-    # One column holding the whole line: the reader drops each file's header and blank lines, cuts blocks
-    # at line ends, and fails if a file has another header.
-    lines = (
-        spark.read.schema(T.StructType([T.StructField(header_line, T.StringType())]))
-        .options(header="true", sep="\u0001", quote="\u0002", escape="\u0003", enforceSchema="false", **glob)
-        .csv(files)
-        .select(
-            F.col("`" + header_line.replace("`", "``") + "`").alias("raw"),
-            F.col("_metadata.file_path").alias("src_id"),
-            F.col("_metadata.file_block_start").alias("block"),
-        )
-        .where(F.col("raw").isNotNull() & (F.trim("raw") != ""))
-    )
-    return _parse_records(lines.withColumn("reason", F.lit(None).cast("string")), header_line, delimiter, kw)
+    rows = lines.join(maybe_broadcast(firsts), ["src_id", "line"], "left_anti")
+    rows = rows.select("src_id", "block", "line", F.col("value").alias("raw"), F.lit(None).cast("string").alias("reason"))
+    return _parse_records(rows, header_line, delimiter, kw)
 
 
-def _read_split_quoted(spark: SparkSession, paths, delimiter: str, pattern: str | None, kw: dict) -> DataFrame:
+def _headers(lines: DataFrame) -> tuple[str | None, DataFrame]:
+    """(the header of all files, a row (src_id, line) per file) of lines with text; an error if headers differ."""
+    firsts = lines.groupBy("src_id").agg(F.min("line").alias("line"), F.min_by("value", "line").alias("value"))
+    firsts = materialize(firsts.withColumn("value", F.ltrim("value", F.lit("\ufeff"))), "csv-headers")
+    found = firsts.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).first()
+    if found.lo != found.hi:
+        raise ValueError("all files must share one header")
+    return found.lo, firsts.select("src_id", "line")
+
+
+def _read_split_quoted(spark: SparkSession, paths, delimiter: str, pattern: str | None, encoding: str, kw: dict) -> DataFrame:
     """Blocks of files whose quoted fields hold line breaks.
 
     A line starts a record if an even number of quotes lies before it in its file. Each task counts quotes and
     record starts in its block under both assumptions about where the block begins; the quote totals of the
     blocks, one row per block, tell which holds. Only lines of records that span lines are then shuffled.
     """
-    files = _paths(paths)
-    glob = {} if pattern is None else {"pathGlobFilter": pattern}
-    header_line = _first_line(spark, files, glob)
+    value = F.col("value")
+    numbered = number_in_split(text_lines(spark, paths, pattern, encoding, lineSep="\n"), name="id")
+    numbered = numbered.withColumn("id", F.col("block") + F.col("id"))
+    header_line, _ = _headers(numbered.withColumnRenamed("id", "line").where(F.trim("value") != "").withColumn("value", F.regexp_replace(value, "\r$", "")))
     if header_line is None:
         return to_docs(spark.createDataFrame([], "src_id string"))
-    value = F.col("value")
-    lines = spark.read.options(lineSep="\n", **glob).text(files).select(
+    lines = numbered.select(
         F.regexp_replace(value, "\r$", "").alias("value"),
-        F.col("_metadata.file_path").alias("src_id"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
+        "src_id",
+        "block",
+        "id",
         (F.length(value) - F.length(F.translate(value, '"', ""))).alias("quotes"),
     )
     marked = materialize(mark_quotes(lines), "csv-lines")
@@ -271,16 +272,13 @@ def _read_split_quoted(spark: SparkSession, paths, delimiter: str, pattern: str
     at = marked.join(maybe_broadcast(blocks), ["src_id", "block"])
     # the header is the first line with text of its file
     is_header = F.col("seen").isNull() & (F.col("id") == F.col("first_id"))
-    bom = "\ufeff"
-    if at.where(is_header & (F.ltrim(value, F.lit(bom)) != F.lit(header_line.lstrip(bom)))).limit(1).count():
-        raise ValueError("all files must share one header")
     at = at.where(~F.coalesce(is_header, F.lit(False)))
     outside = (F.col("before") + F.col("odd")) % 2 == 0
     closed = (F.col("before") + F.col("odd") + F.col("quotes")) % 2 == 0
     record = F.when(F.col("odd") == 1, F.col("rec1")).otherwise(F.col("rec0"))
     none = F.lit(None).cast("string")
     single = at.where(outside & closed & (F.trim("value") != "")).select(
-        "src_id", "block", value.alias("raw"), none.alias("reason")
+        "src_id", "block", F.col("id").alias("line"), value.alias("raw"), none.alias("reason")
     )
     parts = at.where(~(outside & closed)).select(
         "src_id", "id", "value",
@@ -290,21 +288,22 @@ def _read_split_quoted(spark: SparkSession, paths, delimiter: str, pattern: str
     )
     key = ["src_id", "_b", "_r"]
     # a quote that is never closed may run to the end of a file: such a record is reported, not gathered
-    sizes = parts.groupBy(*key).agg(F.sum(F.octet_length("value") + 1).alias("n")).where(F.col("n") > MAX_BYTES)
+    sizes = parts.groupBy(*key).agg(F.sum(F.octet_length("value") + 1).alias("n"), F.min("id").alias("line")).where(F.col("n") > MAX_BYTES)
     endless = materialize(sizes, "csv-endless")
     gathered = parts.join(maybe_broadcast(endless), key, "left_anti").groupBy(*key).agg(
         F.array_sort(F.collect_list(F.struct("_part", "id", "value"))).alias("_l")
     )
     multi = gathered.select(
-        "src_id", F.col("_b").alias("block"), F.array_join(F.transform("_l", lambda x: x["value"]), "\n").alias("raw"),
+        "src_id", F.col("_b").alias("block"), F.get("_l", F.lit(0))["id"].alias("line"),
+        F.array_join(F.transform("_l", lambda x: x["value"]), "\n").alias("raw"),
         none.alias("reason"),
     )
-    lost = endless.select("src_id", F.col("_b").alias("block"), F.lit("").alias("raw"), F.lit(OPEN_REASON).alias("reason"))
+    lost = endless.select("src_id", F.col("_b").alias("block"), "line", F.lit("").alias("raw"), F.lit(OPEN_REASON).alias("reason"))
     return _parse_records(single.unionByName(multi).unionByName(lost), header_line, delimiter, kw)
 
 
 def _parse_records(lines: DataFrame, header_line: str, delimiter: str, kw: dict) -> DataFrame:
-    """Documents of whole records (src_id, block, raw, reason), parsed in the JVM."""
+    """Documents of whole records (src_id, block, line, raw, reason), parsed in the JVM."""
     header = _header_of(_split_record(header_line, delimiter))
     d = "\\" + delimiter if not delimiter.isalnum() else delimiter
     blank = "[ ]" if delimiter == "\t" else "[ \\t]"
@@ -320,7 +319,7 @@ def _parse_records(lines: DataFrame, header_line: str, delimiter: str, kw: dict)
     )
     why = F.when(malformed, F.lit(QUOTE_REASON)).when(F.col("r._corrupt").isNotNull(), F.lit(WIDTH_REASON))
     rows = lines.withColumn("r", parsed).select(
-        "src_id", "block", F.lit("").alias("sub_id"), F.lit(None).cast("bigint").alias("line"), F.lit(0).alias("h"),
+        "src_id", "block", F.lit("").alias("sub_id"), "line", F.lit(0).alias("h"),
         F.array(*[F.coalesce(F.col(f"r.{n}"), F.lit("")) for n in names]).alias("vals"),
         F.coalesce("reason", why).alias("reason"),
     )

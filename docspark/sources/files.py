@@ -29,6 +29,28 @@ def _binary(spark: SparkSession, paths, pattern: str | None) -> DataFrame:
     return df
 
 
+def text_lines(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None, encoding: str = "UTF-8", **options
+) -> DataFrame:
+    """(value, src_id, block) of the lines of all files below ``paths`` whose name the regex ``pattern`` matches.
+
+    Files are cut into blocks at line ends and read by many tasks, in the JVM. It is an error if no file matches.
+    ``encoding`` is any charset in which a line ends with the byte of ``\\n``.
+    """
+    charset = "UTF-8" if encoding.upper() == "SYSTEM" else encoding
+    if "\n".encode(codecs.lookup(charset).name) != b"\n":
+        raise ValueError(f"files in {encoding} cannot be cut at line ends: read them whole")
+    if list_files(spark, paths, pattern).isEmpty():
+        raise FileNotFoundError(f"no file below {_paths(paths)} matches {pattern or 'any name'}")
+    df = spark.read.option("recursiveFileLookup", "true").options(**options).text(_paths(paths))
+    if pattern:
+        df = df.where(F.col("_metadata.file_name").rlike(whole_match(pattern)))
+    value = F.col("value") if codecs.lookup(charset).name == "utf-8" else F.decode(F.col("value").cast("binary"), charset)
+    return df.select(
+        value.alias("value"), F.col("_metadata.file_path").alias("src_id"), F.col("_metadata.file_block_start").alias("block")
+    )
+
+
 def list_files(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
     """Recursive listing without reading content; names starting with ``_`` or ``.`` are hidden."""
     return _binary(spark, paths, pattern).select(
@@ -73,7 +95,7 @@ def read_files(
         collections=collections,
     )
     rejected = to_docs(
-        large, src_id="path", skip_reason=F.lit("file size too large. Use streaming option.")
+        large, src_id="path", skip_reason=F.lit("larger than a row can hold: read it by reference")
     )
     return docs.unionByName(rejected)
 

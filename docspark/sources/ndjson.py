@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 from docspark.functions.uri import filename_of, uri_build, uri_generate
 from docspark.runtime import ship
 from docspark.schema import to_docs
-from docspark.sources.files import _paths
+from docspark.sources.files import text_lines
 from docspark.sources.numbering import number_in_split
 from docspark.sources.zipped import entry_rows, stream_records
 
-NO_URI = "no qualifying URI value found"
+NO_URI = "the line names no URI"
 
 
 def _scalar_text(value) -> str | None:
@@ -133,16 +133,16 @@ def read_ndjson(
     uri_id: str | None = None,
     pattern: str | None = None,
     filename_as_collection: bool = False,
+    encoding: str = "UTF-8",
     **uri_options,
 ) -> DataFrame:
     """One JSON value per line as one document each; ``.gz`` files are decompressed by the reader.
 
     Without ``uri_id`` URIs are generated from the file split and line. Files are cut into blocks at line ends.
+    ``line`` is the block's start plus the number in the block: it rises inside a file, and is the line's number in
+    files of one block.
     """
-    reader = spark.read if pattern is None else spark.read.option("pathGlobFilter", pattern)
-    lines = reader.text(_paths(paths)).select(
-        "value", F.col("_metadata.file_path").alias("src_id"), F.col("_metadata.file_block_start").alias("block")
-    )
+    lines = text_lines(spark, paths, pattern, encoding)
     return documents_of_lines(lines, uri_id, filename_as_collection, **uri_options)
 
 
@@ -152,12 +152,12 @@ def documents_of_lines(
     """Documents of lines (value, src_id, block) as a text reader gives them."""
     ship(lines.sparkSession)
     df = lines.withColumn("skip_reason", _line_reason(F.col("value")))
+    df = number_in_split(df, name="line")
     if uri_id is None:
-        df = df.withColumn("_counts", F.col("skip_reason").isNull())
-        df = number_in_split(number_in_split(df, name="line"), name="n", counted="_counts")
+        df = number_in_split(df.withColumn("_counts", F.col("skip_reason").isNull()), name="n", counted="_counts")
     else:
-        df = df.withColumn("line", F.lit(0)).withColumn("n", F.lit(0))
-    df = df.withColumn("sub_id", F.lit(""))
+        df = df.withColumn("n", F.lit(0))
+    df = df.withColumn("line", F.col("block") + F.col("line")).withColumn("sub_id", F.lit(""))
     df = df.withColumn("skip_reason", F.coalesce("skip_reason", _json_reason(F.col("value"))))
     return _to_documents(df, uri_id, filename_as_collection, filename_of(F.col("src_id")), uri_options)
 

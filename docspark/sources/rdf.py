@@ -2,38 +2,48 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions.rdf import NQUAD, XSD_STRING, blank_node_iri, is_blank_label, resource, unescape
-from docspark.sources.files import _paths
+from docspark.sources.files import list_files, text_lines
+from docspark.functions.uri import whole_match
+from docspark.sources.numbering import number_in_split
 from docspark.sources.zipped import entry_rows, stream_records
 
 # File suffix to line syntax.
 LINE_SUFFIXES = {"nt": "ntriples", "nq": "nquads"}
+JSON_SUFFIXES = ("rj", "json")
 BAD_LINE = "invalid statement"
 
 
-def parse_statements(lines: DataFrame, salt: str = "", quads: bool = True) -> DataFrame:
+def parse_statements(lines: DataFrame, salt: str = "", quads: bool | Column = True) -> DataFrame:
     """Triples of lines (src_id, sub_id, line, value). Comments and blank lines are dropped; a line that is
-    no statement stays with a ``skip_reason``."""
-    lines = lines.where(F.col("value").isNotNull() & ~F.col("value").rlike(r"^\s*(#.*)?$"))
+    no statement stays with a ``skip_reason``, as does one that brings a ``reason``. ``quads`` tells, for all lines or
+    each, whether a fourth term may stand."""
+    known = F.col("reason") if "reason" in lines.columns else F.lit(None).cast("string")
+    blank = F.col("value").isNull() | F.col("value").rlike(r"^\s*(#.*)?$")
+    lines = lines.withColumn("_known", known).withColumn("_quads", quads if isinstance(quads, Column) else F.lit(quads))
+    lines = lines.where(~blank | F.col("_known").isNotNull())
+    # one match per line gives all four terms, set apart by a character that no term can hold
+    all_terms = F.regexp_replace("value", NQUAD, "$1\u0001$2\u0001$3\u0001$4")
+    found = F.when(F.col("value").rlike(NQUAD), F.split(all_terms, "\u0001"))
+    lines = lines.withColumn("_terms", found)
 
     def term(i: int) -> Column:
-        return F.regexp_extract("value", NQUAD, i)
+        return F.coalesce(F.get("_terms", F.lit(i - 1)), F.lit(""))
 
-    df = lines.select("src_id", "sub_id", "line", "value", *[term(i).alias(f"t{i}") for i in range(1, 5)])
+    df = lines.select("src_id", "sub_id", "line", "value", "_known", "_quads", *[term(i).alias(f"t{i}") for i in range(1, 5)])
     file = F.concat_ws("/", "src_id", "sub_id")
     o = F.col("t3")
     literal = o.startswith('"')
     lexical = F.regexp_extract(o, r'(?s)^"(.*)"(?:@[^"]*|\^\^<[^"]*>)?$', 1)
     lang = F.nullif(F.regexp_extract(o, r'"@([A-Za-z0-9\-]+)$', 1), F.lit(""))
     datatype = F.nullif(F.regexp_extract(o, r'"\^\^<([^"]*)>$', 1), F.lit(""))
-    bad = F.col("t1") == ""
-    if not quads:
-        bad = bad | (F.col("t4") != "")
+    bad = F.col("_known").isNotNull() | (F.col("t1") == "") | (~F.col("_quads") & (F.col("t4") != ""))
     ok = ~bad
     return df.select(
         F.when(ok, resource(F.col("t1"), file, salt)).alias("s"),
@@ -44,17 +54,13 @@ def parse_statements(lines: DataFrame, salt: str = "", quads: bool = True) -> Da
         F.when(ok & literal, lang).alias("lang"),
         F.when(ok & (F.col("t4") != ""), resource(F.col("t4"), file, salt)).alias("graph"),
         "src_id", "sub_id", "line",
-        F.when(bad, F.concat(F.lit(BAD_LINE + ": "), F.col("value"))).alias("skip_reason"),
+        F.coalesce("_known", F.when(bad, F.concat(F.lit(BAD_LINE + ": "), F.col("value")))).alias("skip_reason"),
     )
 
 
 def _lines(spark: SparkSession, paths, pattern: str | None) -> DataFrame:
-    reader = spark.read if pattern is None else spark.read.option("pathGlobFilter", pattern)
-    # files are cut at line ends; the id keeps the order inside a file
-    return reader.text(_paths(paths)).select(
-        F.col("_metadata.file_path").alias("src_id"), F.lit("").alias("sub_id"),
-        (F.col("_metadata.file_block_start") + F.monotonically_increasing_id() % F.lit(1 << 33)).alias("line"), "value",
-    )
+    lines = number_in_split(text_lines(spark, paths, pattern))
+    return lines.select("src_id", F.lit("").alias("sub_id"), (F.col("block") + F.col("n")).alias("line"), "value")
 
 
 def read_ntriples(spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None) -> DataFrame:
@@ -71,7 +77,12 @@ def read_rdf_json(
     spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None
 ) -> DataFrame:
     """RDF/JSON: subject to predicate to list of objects, one JSON object per file."""
-    files = spark.read.text(_paths(paths), wholetext=True, pathGlobFilter=pattern).select(F.col("_metadata.file_path").alias("src_id"), "value")
+    if list_files(spark, paths, pattern).isEmpty():
+        raise FileNotFoundError(f"no file below {paths} matches {pattern or 'any name'}")
+    files = spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+    if pattern:
+        files = files.where(F.col("_metadata.file_name").rlike(whole_match(pattern)))
+    files = files.select(F.col("_metadata.file_path").alias("src_id"), "value")
     tree = F.from_json(
         "value", "map<string,map<string,array<struct<value:string,type:string,lang:string,datatype:string>>>>"
     )
@@ -105,15 +116,50 @@ def read_rdf_json(
     return triples.unionByName(rejected, allowMissingColumns=True)
 
 
-def _parse_lines(stream, src_id: str, entry: str) -> Iterator[tuple]:
-    if entry.rpartition(".")[2].lower() in LINE_SUFFIXES:
+def _escaped(text: str) -> str:
+    """A literal's text as it stands between quotes in a statement."""
+    for plain, mark in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        text = text.replace(plain, mark)
+    return text
+
+
+def _statements_of(tree: dict) -> Iterator[str]:
+    """The statements of an RDF/JSON tree as lines."""
+
+    def name(term: str) -> str:
+        return term if term.startswith("_:") else f"<{term}>"
+
+    for subject, properties in tree.items():
+        for predicate, objects in properties.items():
+            for o in objects:
+                if o["type"] == "literal":
+                    tag = f"@{o['lang']}" if o.get("lang") else f"^^<{o['datatype']}>" if o.get("datatype") else ""
+                    term = f'"{_escaped(o["value"])}"{tag}'
+                else:
+                    term = name(o["value"])
+                yield f"{name(subject)} {name(predicate)} {term} ."
+
+
+def _parse_entry(stream, src_id: str, entry: str) -> Iterator[tuple]:
+    """(line, value, whether quads may stand, reason) of an entry, by its suffix."""
+    suffix = entry.rpartition(".")[2].lower()
+    if suffix in LINE_SUFFIXES:
         for n, line in enumerate(stream, 1):
-            yield n, line.decode("UTF-8").rstrip("\r\n")
+            yield n, line.decode("UTF-8", "replace").rstrip("\r\n"), suffix == "nq", None
+    elif suffix in JSON_SUFFIXES:
+        try:
+            for n, line in enumerate(_statements_of(json.loads(stream.read())), 1):
+                yield n, line, False, None
+        except (ValueError, KeyError, TypeError, AttributeError) as e:
+            yield 0, None, False, f"invalid RDF/JSON: {e}"
+    else:
+        yield 0, None, False, f"no reader for entries that end in .{suffix}"
 
 
 def read_rdf_zip(spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None) -> DataFrame:
-    """Statements of the ``.nt`` and ``.nq`` entries of zips, each by its own suffix."""
-    lines = stream_records(entry_rows(spark, paths, pattern), _parse_lines, "line bigint, value string")
-    is_nt = F.lower("sub_id").endswith(".nt")
-    triples = parse_statements(lines.where(is_nt), salt, quads=False)
-    return triples.unionByName(parse_statements(lines.where(~is_nt), salt))
+    """Statements of the entries of zips, each read by its own suffix in one pass; other entries are rejected."""
+    lines = stream_records(
+        entry_rows(spark, paths, pattern), _parse_entry, "line bigint, value string, quads boolean, reason string",
+        lambda why: (0, None, False, why),
+    )
+    return parse_statements(lines, salt, F.col("quads"))

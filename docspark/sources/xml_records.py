@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from docspark.functions.uri import file_path_of, uri_build
 from docspark.schema import to_docs
-from docspark.sources.files import _paths
+from docspark.sources.files import text_lines
+from docspark.sources.numbering import number_in_split
 from docspark.sources.zipped import entry_rows, file_rows, stream_records
 
 NO_ID = "record without a URI id"
@@ -184,12 +185,12 @@ def _read_split(spark: SparkSession, paths, element: str, uri_id: str, pattern:
     if element is None or uri_id is None:
         raise ValueError("split reading needs the element as written and a uri_id")
     close, name = f"</{element}>", re.escape(element)
-    reader = spark.read if pattern is None else spark.read.option("pathGlobFilter", pattern)
-    parts = reader.option("lineSep", close).text(_paths(paths)).select(
-        F.concat("value", F.lit(close)).alias("piece"), F.col("_metadata.file_path").alias("src_id")
-    )
-    # text before the record inside its piece: the root tag of the file, or white space
-    body = F.regexp_extract("piece", rf"(?s)(<{name}(?:\s[^>]*)?>.*)$", 1)
+    pieces = number_in_split(text_lines(spark, paths, pattern, lineSep=close))
+    pieces = pieces.select(F.concat("value", F.lit(close)).alias("piece"), "src_id", (F.col("block") + F.col("n")).alias("line"))
+    # a record without content ends in its start tag, and shares the piece of the next one
+    alone = rf"(?s)<{name}(?:\s[^<>]*)?/>|<{name}(?:\s[^<>]*[^/<>])?>.*"
+    parts = pieces.select("src_id", "line", F.posexplode(F.regexp_extract_all("piece", F.lit(f"({alone})"), F.lit(1))).alias("_k", "piece"))
+    body = F.col("piece")
     local = re.escape(uri_id.lstrip("@"))
     if uri_id.startswith("@"):
         raw = F.regexp_extract(body, rf"(?s)\s(?:[\w.\-]+:)?{local}\s*=\s*[\"']([^\"']*)[\"']", 1)
@@ -197,8 +198,8 @@ def _read_split(spark: SparkSession, paths, element: str, uri_id: str, pattern:
         raw = F.regexp_extract(
             body, rf"(?s)<(?:[\w.\-]+:)?{local}(?:\s[^>]*)?>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</(?:[\w.\-]+:)?{local}>", 1
         )
-    rows = parts.where(F.col("piece").rlike(rf"(?s)<{name}[\s>]")).select(
-        "src_id", F.lit("").alias("sub_id"), F.lit(0).alias("line"), F.lit(0).alias("col"), F.lit(0).alias("n"),
+    rows = parts.select(
+        "src_id", F.lit("").alias("sub_id"), "line", F.col("_k").alias("col"), F.lit(0).alias("n"),
         raw.alias("raw_uri"), body.alias("text"), F.lit(None).cast("string").alias("reason"),
     )
     return _to_documents(rows, uri_id, uri_options)

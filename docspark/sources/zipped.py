@@ -109,7 +109,7 @@ def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in batch.itertuples(index=False):
             content, reason = None, entry_problem(row)
             if reason is None and row.usize > MAX_BYTES:
-                reason = "file size too large"
+                reason = "larger than a row can hold"
             if reason is None:
                 if row.src_id != opened:
                     f, opened = open_input(row.src_id), row.src_id
@@ -183,7 +183,7 @@ def _gunzip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         parts.append(chunk)
                         size += len(chunk)
                         if size > MAX_BYTES:
-                            parts, reason = [], "file size too large"
+                            parts, reason = [], "larger than a row can hold"
                             break
             except zlib.error as e:
                 parts, reason = [], f"invalid gzip: {e}"

@@ -394,7 +394,7 @@ STATEMENTS = r"""# comment
 <urn:s> <urn:p> "plain" .
 <urn:s> <urn:p> "tab\there \"q\" é \\n" .   # note
 <urn:s> <urn:p> "bonjour"@fr-CA <urn:g> .
-<urn:s> <urn:p> "324"^^<http://www.w3.org/2001/XMLSchema#unsignedLong> .
+<urn:s> <urn:p> "4711"^^<http://www.w3.org/2001/XMLSchema#unsignedLong> .
 
 _:x <urn:p> _:y .
 _:y <urn:p> <urn:o> _:g .
@@ -412,7 +412,7 @@ def test_nquads(spark, tmp_path):
     assert objects["plain"].datatype.endswith("#string")
     assert 'tab\there "q" é \\n' in objects
     assert (objects["bonjour"].lang, objects["bonjour"].datatype, objects["bonjour"].graph) == ("fr-CA", None, "urn:g")
-    assert objects["324"].datatype.endswith("#unsignedLong")
+    assert objects["4711"].datatype.endswith("#unsignedLong")
     blank = next(r for r in good if r.o_type == "blank")
     assert objects["urn:o"].s == blank.o != blank.s
     other = read_nquads(spark, str(tmp_path), salt="2").where("o_type = 'blank'").first()
