@@ -30,9 +30,11 @@ def link_count_values(lexicon: DataFrame) -> DataFrame:
     return kept.groupBy(F.col("term").alias("title")).agg(F.sum("freq").alias("n"))
 
 
-def link_count_files(xml_docs: DataFrame, path: str) -> DataFrame:
-    """References per title by a path over XML files."""
-    return link_count(xml_docs, F.xpath("text", F.lit(local_path(path))))
+def link_count_files(xml_docs: DataFrame, element: str = "//a", href: str = "href", title: str = "title") -> DataFrame:
+    """References per title over XML files: the elements at a path that have both attributes are the links."""
+    both = f"{local_path(element)}[@{href} and @{title}]"
+    names, targets = (F.xpath("text", F.lit(f"{both}/@{a}")) for a in (title, href))
+    return link_count_pairs(xml_docs, F.arrays_zip(targets.alias("href"), names.alias("title")))
 
 
 def link_count_ops(counts: DataFrame, base_uri: str, root_path: str) -> DataFrame:

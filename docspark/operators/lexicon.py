@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.functions.text import local_path, matches, words
+from docspark.functions.tree import value_path
+from docspark.runtime import with_positions
 
 
 def lexicon(
@@ -49,16 +51,24 @@ def lexicon(
 def page_terms(
     terms: DataFrame, order: list[str], offset: int = 0, limit: int | None = None, descending=False, sort=True
 ) -> DataFrame:
-    """Terms in order, with ``offset`` skipped and cut after ``limit``."""
-    if sort or offset or limit is not None:
-        terms = terms.orderBy(*[F.col(c).desc() if descending else F.col(c).asc() for c in order])
+    """Terms in order, with ``offset`` skipped and cut after ``limit``.
+
+    An offset is a range of positions, found by a range sort: no task sees all terms.
+    """
+    by = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     if offset:
-        terms = terms.offset(offset)
+        placed = with_positions(terms, by, name="_pos").where(F.col("_pos") > offset)
+        if limit is not None:
+            placed = placed.where(F.col("_pos") <= offset + limit)
+        return placed.drop("_pos").orderBy(*by) if sort else placed.drop("_pos")
+    if sort or limit is not None:
+        terms = terms.orderBy(*by)
     return terms if limit is None else terms.limit(limit)
 
 
 def xpath_terms(path: str, text: str = "text") -> Column:
-    return F.xpath(text, F.lit(local_path(path)))
+    """Values at an XML path; elements give their text."""
+    return F.xpath(text, F.lit(local_path(value_path(path))))
 
 
 def element_path(names: list[str]) -> str:

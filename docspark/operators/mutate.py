@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from xml.dom import minidom
 
 import pandas as pd
@@ -10,37 +9,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docspark.functions.tree import select, written
 from docspark.operators.aggregates import add_collections
 from docspark.runtime import ship
 
 NODE_OPS = ("insert-before", "insert-after", "insert-child", "replace")
-_STEP = re.compile(r"(//?)((?:[\w.\-]+:)?(?:[\w.\-]+|\*))(?:\[(\d+)\])?")
-
-
-def _select(document, path: str) -> list:
-    """Elements at a path of ``/name``, ``//name``, ``*`` and ``[n]`` steps, by local name."""
-    steps = _STEP.findall(path)
-    if not steps or "".join(a + b + (f"[{c}]" if c else "") for a, b, c in steps) != path:
-        raise ValueError(f"unsupported path {path}")
-    found = [document]
-    for axis, name, index in steps:
-        local = name.rpartition(":")[2]
-        nodes = []
-        for node in found:
-            if axis == "/":
-                inner = [c for c in node.childNodes if c.nodeType == c.ELEMENT_NODE]
-            else:
-                inner = list(node.getElementsByTagName("*"))
-            inner = [c for c in inner if local == "*" or c.tagName.rpartition(":")[2] == local]
-            nodes += inner[int(index) - 1 : int(index)] if index else inner
-        found = list(dict.fromkeys(nodes))
-    return found
 
 
 def _apply(text: str, ops: list[dict]) -> str:
     document = minidom.parseString(text.encode("utf-8"))
     for op in ops:
-        for target in _select(document, op["path"]):
+        for target in select(document, op["path"]):
             fragment = minidom.parseString(f"<f>{op['xml']}</f>".encode()).documentElement
             nodes = [document.importNode(c, True) for c in fragment.childNodes]
             if op["op"] == "insert-child":
@@ -58,9 +37,7 @@ def _apply(text: str, ops: list[dict]) -> str:
                 parent.removeChild(target)
             for node in nodes:
                 parent.insertBefore(node, before)
-    if text.lstrip().startswith("<?xml"):
-        return document.toxml()
-    return "".join(n.toxml() for n in document.childNodes)
+    return written(document, text)
 
 
 _EDITED = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable
+from xml.dom import minidom
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docspark.functions.tree import is_element_path, select, texts_of, written
+from docspark.runtime import ship
+
 KINDS = ("mask", "regex", "hash", "conceal")
 
 
@@ -27,44 +33,148 @@ def _expression(c: Column, rule: dict) -> Column:
     return F.lit(None).cast("string")
 
 
-def _element(rule: dict) -> str:
-    """Pattern of start tag, content and end tag of the element a rule names."""
-    name = rule["path"].rpartition("/")[2]
-    if not re.fullmatch(r"[\w.\-]+", name):
-        raise ValueError(f"rule path must end in an element name: {rule['path']}")
-    tag = rf"(?:[\w.\-]+:)?{re.escape(name)}"
-    return rf"(?s)(<{tag}(?:\s[^>]*)?(?<!/)>)(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?(</{tag}>)"
-
-
-def _in_element(text: Column, rule: dict) -> Column:
-    """Apply a rule to the content of every element the path names, in the text itself."""
-    kind = rule["kind"]
-    pattern = _element(rule)
-    if kind == "conceal":
-        return F.regexp_replace(text, pattern, "")
-
-    def rewrite(m: Column) -> Column:
-        head, body, tail = (F.regexp_extract(m, pattern, i) for i in (1, 2, 3))
-        return F.concat(head, _expression(body, rule), tail)
-
-    # the gaps between matches stay, each match is rewritten
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.split(text, pattern, -1)
-    pieces = F.zip_with(gaps, F.transform(found, rewrite), lambda g, m: F.concat(g, F.coalesce(m, F.lit(""))))
-    return F.array_join(pieces, "")
-
-
-def redact(docs: DataFrame, rules: Iterable[dict]) -> DataFrame:
-    """Apply rules in order. A rule names a ``column``, or a ``path`` to an element of XML documents, and a
-    ``kind``: ``mask``, ``regex`` (pattern, replacement), ``hash`` (salt) or ``conceal``."""
+_JSON_STEP = re.compile(r"\.([A-Za-z_][\w\-]*)|\['([^']*)'\]|\[(\*)\]")
+
+
+def _type_of(path: str) -> str:
+    """Type of the documents a rule's path is for; a path that cannot be followed is an error."""
+    element, _, attribute = path.partition("/@")
+    if path[:1] == "/" and is_element_path(element) and (not attribute or re.fullmatch(r"[\w.\-:]+", attribute)):
+        return "XML"
+    if path[:1] == "$" and len(path) > 1 and _JSON_STEP.sub("", path) == "$":
+        return "JSON"
+    raise ValueError(f"rule path cannot be followed: {path}")
+
+
+class _Xml:
+    """What a rule may change in an XML document: texts below the elements, or attributes, that its path selects."""
+
+    def __init__(self, text: str, path: str, namespaces: dict):
+        self.text, self.document = text, minidom.parseString(text.encode())
+        element, _, self.attribute = path.partition("/@")
+        self.nodes = select(self.document, element, namespaces)
+        if self.attribute:
+            self.nodes = [n for n in self.nodes if n.hasAttribute(self.attribute)]
+            return
+        parts = [t for n in self.nodes for t in texts_of(n)]
+        self.parts = [t for t in dict.fromkeys(parts) if t.data.strip()]
+
+    def values(self) -> list[str]:
+        return [n.getAttribute(self.attribute) for n in self.nodes] if self.attribute else [t.data for t in self.parts]
+
+    def put(self, values: list[str]) -> str:
+        for at, value in zip(self.nodes if self.attribute else self.parts, values, strict=True):
+            if self.attribute:
+                at.setAttribute(self.attribute, value or "")
+            else:
+                # an escaped text in place of a CDATA section, which could not hold every value
+                at.parentNode.replaceChild(self.document.createTextNode(value or ""), at)
+        return written(self.document, self.text)
+
+    def conceal(self) -> str:
+        for node in self.nodes:
+            if self.attribute:
+                node.removeAttribute(self.attribute)
+            elif node is self.document.documentElement:
+                raise ValueError("a rule cannot remove the root of a document")
+            elif node.parentNode is not None:
+                node.parentNode.removeChild(node)
+        return written(self.document, self.text)
+
+
+class _Json:
+    """What a rule may change in a JSON document: all scalars at or below what its path selects."""
+
+    def __init__(self, text: str, path: str, namespaces: dict):
+        self.root = [json.loads(text)]
+        found = [(self.root, 0)]
+        for name, quoted, each in _JSON_STEP.findall(path):
+            inner = [(holder[key]) for holder, key in found]
+            if each:
+                found = [(x, k) for x in inner if isinstance(x, list) for k in range(len(x))]
+            else:
+                # a name inside a list means that of its members
+                members = [m for x in inner for m in (x if isinstance(x, list) else [x])]
+                found = [(x, name or quoted) for x in members if isinstance(x, dict) and (name or quoted) in x]
+        self.found = found
+        self.parts = [p for holder, key in found for p in self._scalars(holder, key)]
+
+    def _scalars(self, holder, key) -> list[tuple]:
+        value = holder[key]
+        if isinstance(value, dict | list):
+            keys = value if isinstance(value, dict) else range(len(value))
+            return [p for k in keys for p in self._scalars(value, k)]
+        return [] if value is None else [(holder, key)]
+
+    def values(self) -> list[str]:
+        return [v if isinstance(v := holder[key], str) else json.dumps(v) for holder, key in self.parts]
+
+    def _text(self) -> str:
+        return json.dumps(self.root[0], ensure_ascii=False, separators=(",", ":"))
+
+    def put(self, values: list[str]) -> str:
+        for (holder, key), value in zip(self.parts, values, strict=True):
+            holder[key] = value
+        return self._text()
+
+    def conceal(self) -> str:
+        for holder, key in reversed(self.found):
+            del holder[key]
+        return self._text()
+
+
+def _in_path(text: Column, rule: dict) -> Column:
+    """Apply a rule to all that its path selects. Values are taken out and put back by a parser, changed in the JVM."""
+    parser, path, bound = (_Xml if _type_of(rule["path"]) == "XML" else _Json), rule["path"], dict(rule.get("namespaces") or {})
+
+    @F.pandas_udf("array<string>")
+    def taken(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else parser(t, path, bound).values())
+
+    @F.pandas_udf("string")
+    def put(texts: pd.Series, values: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None or not len(v) else parser(t, path, bound).put(list(v)) for t, v in zip(texts, values)], dtype=object)
+
+    @F.pandas_udf("string")
+    def without(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else parser(t, path, bound).conceal())
+
+    if rule["kind"] == "conceal":
+        return without(text)
+    return put(text, F.transform(taken(text), lambda v: _expression(v, rule)))
+
+
+def redact(docs: DataFrame, rules: Iterable[dict], others: str = "raise") -> DataFrame:
+    """Apply rules in order. A rule names a ``column``, or a ``path`` in documents, and a ``kind``: ``mask``, ``regex``
+    (pattern, replacement), ``hash`` (salt) or ``conceal``.
+
+    A path that begins with ``/`` is for XML: steps of ``/name``, ``//name``, ``*`` and ``[n]``, at the end perhaps
+    ``/@name``; prefixes are bound by the rule's ``namespaces``. The rule changes every text below the elements it
+    selects. A path that begins with ``$`` is for JSON: ``.name``, ``['name']`` and ``[*]``; the rule changes every
+    scalar at or below it. Nothing passes unseen: a path that cannot be followed, a document that does not parse, and a
+    document of a type that no path is for, are errors; ``others="keep"`` lets the last pass.
+    """
+    rules = list(rules)
     for rule in rules:
         if rule.get("kind") not in KINDS:
             raise ValueError(f"unknown redaction kind {rule.get('kind')}")
+        if "path" not in rule and rule.get("column") not in docs.columns:
+            raise ValueError(f"rule names no column or path: {rule}")
+    if others not in ("raise", "keep"):
+        raise ValueError(f"unknown choice {others}")
+    covered = sorted({_type_of(rule["path"]) for rule in rules if "path" in rule})
+    if covered:
+        ship(docs.sparkSession)
+    if covered and others == "raise":
+        kind = F.coalesce(F.col("content_type"), F.lit("no type"))
+        message = F.concat(F.lit(f"redaction rules are for {' and '.join(covered)}, but a document is of "), kind)
+        stop = F.col("text").isNotNull() & ~kind.isin(*covered)
+        docs = docs.withColumn("text", F.when(stop, F.raise_error(message).cast("string")).otherwise(F.col("text")))
+    for rule in rules:
         if "path" in rule:
-            changed = F.when(F.col("content_type") == "XML", _in_element(F.col("text"), rule)).otherwise(F.col("text"))
-            docs = docs.withColumn("text", changed)
-        elif rule.get("column") in docs.columns:
-            docs = docs.withColumn(rule["column"], _expression(F.col(rule["column"]).cast("string"), rule))
+            mine = F.col("content_type") == _type_of(rule["path"])
+            changed = _in_path(F.when(mine, F.col("text")), rule)
+            docs = docs.withColumn("text", F.when(mine, changed).otherwise(F.col("text")))
         else:
-            raise ValueError(f"rule names no column or path: {rule}")
+            docs = docs.withColumn(rule["column"], _expression(F.col(rule["column"]).cast("string"), rule))
     return docs

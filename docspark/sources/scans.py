@@ -8,20 +8,43 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions.text import cast_value, local_path
+from docspark.functions.tree import element_markup, element_values, has_element, is_element_path, value_path
+from docspark.runtime import ship
 
 
-def scan_nodes(docs: DataFrame, subdoc_xpath: str, selector: str | None = None) -> DataFrame:
-    """(uri, path, node) of each node the path selects; paths match local names, prefixes are ignored."""
-    if selector is not None:
+def scan_nodes(
+    docs: DataFrame, subdoc_xpath: str, selector: str | None = None, namespaces: Mapping[str, str] | None = None
+) -> DataFrame:
+    """(uri, path, node) of each node the path selects: mark-up of elements, the value of texts and attributes.
+
+    A prefix that ``namespaces`` binds selects elements of that namespace; others are ignored.
+    """
+    if selector is not None and namespaces:
+        docs = docs.where(has_element(F.col("text"), selector, namespaces))
+    elif selector is not None:
         docs = docs.where(F.xpath_boolean("text", F.lit(local_path(selector))))
-    nodes = docs.select("uri", F.posexplode(F.xpath("text", F.lit(local_path(subdoc_xpath)))).alias("i", "node"))
+    if is_element_path(subdoc_xpath):
+        ship(docs.sparkSession)
+        found = element_markup(F.col("text"), subdoc_xpath, namespaces)
+    elif namespaces:
+        raise ValueError(f"prefixes can be bound in element paths only: {subdoc_xpath}")
+    else:
+        found = F.xpath("text", F.lit(local_path(subdoc_xpath)))
+    nodes = docs.select("uri", F.posexplode(found).alias("i", "node"))
     path = F.concat(F.lit(f"({subdoc_xpath})["), (F.col("i") + 1).cast("string"), F.lit("]"))
     return nodes.select("uri", path.alias("path"), "node")
 
 
-def scan_values(docs: DataFrame, value_xpath: str, kind: str = "text", strict: bool = False) -> DataFrame:
-    """(uri, pos, value) of typed values; ``pos`` is the position inside the document."""
-    values = docs.select("uri", F.posexplode(F.xpath("text", F.lit(local_path(value_xpath)))).alias("pos", "raw"))
+def scan_values(
+    docs: DataFrame, value_xpath: str, kind: str = "text", strict: bool = False, namespaces: Mapping[str, str] | None = None
+) -> DataFrame:
+    """(uri, pos, value) of typed values of texts, attributes or elements; ``pos`` is the position in the document."""
+    if namespaces:
+        ship(docs.sparkSession)
+        found = element_values(F.col("text"), value_xpath, namespaces)
+    else:
+        found = F.xpath("text", F.lit(local_path(value_path(value_xpath))))
+    values = docs.select("uri", F.posexplode(found).alias("pos", "raw"))
     typed = cast_value(F.col("raw"), kind, strict)
     return values.select("uri", F.col("pos").cast("bigint").alias("pos"), typed.alias("value"))
 
