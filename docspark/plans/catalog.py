@@ -43,6 +43,7 @@ _MODULES = (
     "placement_queries",
     "sink_queries",
     "transform_queries",
+    "structure_queries",
 )
 
 

@@ -24,7 +24,7 @@ OPEN_REASON = "quoted field is never closed"
 QUOTE_REASON = "text beside a quoted field"
 _RECORD_DDL = "line bigint, h int, vals array<string>, reason string"
 # Headers that one plan handles.
-HEADERS = 200
+HEADERS = 25
 
 
 class _Lines:
