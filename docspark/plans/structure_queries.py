@@ -12,7 +12,7 @@ from docspark.plans.catalog import query
 from docspark.plans.derive import as_files, customer_json, customer_xml, table, text_dir
 from docspark.runtime import work_path
 from docspark.schema import to_docs
-from docspark.sinks.store import last_by_uri
+from docspark.sinks.store import last_by_uri, scan_docs, upsert_docs, write_store
 from docspark.sources import scans
 from docspark.sources.delimited import read_csv_docs
 from docspark.sources.ndjson import read_ndjson
@@ -130,3 +130,20 @@ def q_read_csv_many_headers(spark, sf):
     files = to_docs(c, uri=F.format_string("/f%d.csv", "c_custkey"), content_type=F.lit("TEXT"), text=text)
     docs = read_csv_docs(spark, as_files(files, "csv-headers"), uri_id="key", doc_type="JSON", prefix="/h/")
     return docs.select("uri", F.regexp_extract("text", '"name_[0-9]+":"([^"]*)"', 1).alias("name"))
+
+
+@query(
+    "scan_as_of_after_upsert",
+    """select '/o/'||o_orderkey as uri, case when o_orderkey % 3 = 0 then 'second' else 'first' end as live,
+ 'first' as before from orders""",
+)
+def q_scan_as_of_after_upsert(spark, sf):
+    """A store keeps the versions that an upsert replaced."""
+    path = work_path(spark, "store-versions")
+    orders = table(spark, sf, "orders")
+    uri = F.concat(F.lit("/o/"), F.col("o_orderkey").cast("string"))
+    version = lambda rows, text, stamp: to_docs(rows, uri=uri, content_type=F.lit("TEXT"), text=F.lit(text), created_ts=F.lit(stamp))
+    write_store(version(orders, "first", 10), path)
+    upsert_docs(version(orders.where("o_orderkey % 3 = 0"), "second", 20), path)
+    now, then = (scan_docs(spark, path, as_of=t).select("uri", F.col("text").alias(name)) for t, name in ((None, "live"), (15, "before")))
+    return now.join(then, "uri")

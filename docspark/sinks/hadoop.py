@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -28,3 +30,36 @@ def delete(spark: SparkSession, path: str) -> bool:
 def full_path(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     return fs.makeQualified(p).toString()
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a path."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole; its name must be new."""
+    fs, p = _fs(spark, path)
+    temporary = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    stream = fs.create(temporary, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    if not fs.rename(temporary, p):
+        fs.delete(temporary, False)
+        raise FileExistsError(path)

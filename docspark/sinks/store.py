@@ -1,7 +1,14 @@
-"""The document store: Parquet partitioned by a bucket of the URI hash."""
+"""The document store: loads of Parquet files, of which the last row of each URI counts.
+
+A store is a folder of loads, each written once and partitioned by a bucket of the URI hash. A small file,
+``_loads-NNNNNN``, names those that count; the one with the highest number is the store's state, so that a load appears
+at once or not at all, and a load that breaks leaves nothing behind that is read. An upsert appends a load and reads
+nothing; a scan drops the rows whose URI a later load has; ``compact_store`` makes one load of all.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,14 +18,22 @@ from pyspark.sql import types as T
 from docspark.functions.metadata import select_metadata
 from docspark.operators.filters import filter_snapshot, filter_visible, scope
 from docspark.operators.placement import bucket_by_uri
-from docspark.runtime import BROADCAST_BYTES, BROADCAST_ROWS, materialize, maybe_broadcast, work_path
+from docspark.runtime import materialize, maybe_broadcast, work_path
 from docspark.schema import DOC_SCHEMA, METADATA_COLUMNS, to_docs
-from docspark.sinks.hadoop import delete, has_files
+from docspark.sinks.hadoop import delete, has_files, names, read_text, size_of, write_new
 
-BUCKETS = 64
+# Bytes of documents per bucket, and the least number of buckets.
+BUCKET_BYTES, LEAST_BUCKETS = 4 << 30, 8
 STORE_SCHEMA = T.StructType(
-    [*DOC_SCHEMA.fields, T.StructField("buckets", T.IntegerType()), T.StructField("bucket", T.IntegerType())]
+    [
+        *DOC_SCHEMA.fields,
+        T.StructField("load", T.LongType()),
+        T.StructField("version", T.StringType()),
+        T.StructField("buckets", T.IntegerType()),
+        T.StructField("bucket", T.IntegerType()),
+    ]
 )
+_OWN = ("load", "version", "buckets", "bucket")
 
 
 def last_by_uri(df: DataFrame, order: Sequence[str] = ("src_id", "line")) -> DataFrame:
@@ -39,21 +54,67 @@ def prepare_target(spark: SparkSession, path: str, mode: str = "fail") -> None:
         raise ValueError(f"unknown mode {mode}")
 
 
-def _bucketed(df: DataFrame, buckets: int, spread: bool = True) -> DataFrame:
-    """Rows with their bucket. ``spread`` gathers each bucket; AQE cuts a large one over several tasks and
-    merges small ones. Rows read from a store need no spreading: its files hold one bucket each."""
-    df = df.drop("buckets", "bucket").withColumn("buckets", F.lit(buckets))
-    df = df.withColumn("bucket", bucket_by_uri(F.col("uri"), buckets))
-    return df.hint("rebalance", F.col("bucket")) if spread else df
+def _state(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """(number of the newest state, folders of the loads that count, in order)."""
+    states = sorted(n for n in names(spark, path) if n.startswith("_loads-") and n[7:].isdigit())
+    if not states:
+        return -1, []
+    return int(states[-1][7:]), read_text(spark, f"{path}/{states[-1]}").split()
+
+
+def _append(spark: SparkSession, rows: DataFrame, path: str, buckets: int, after: tuple[int, list[str]], keep: bool) -> None:
+    """Write a load and make it count, after those there (``keep``) or in their place."""
+    number, loads = after
+    folder = f"version={number + 1:06d}-{uuid.uuid4().hex}"
+    rows = rows.drop(*_OWN).withColumn("load", F.lit(number + 1).cast("long")).withColumn("buckets", F.lit(buckets))
+    rows = rows.withColumn("bucket", bucket_by_uri(F.col("uri"), buckets)).hint("rebalance", F.col("bucket"))
+    rows.write.partitionBy("buckets", "bucket").parquet(f"{path}/{folder}")
+    write_new(spark, f"{path}/_loads-{number + 1:06d}", "\n".join([*(loads if keep else []), folder]))
+    if keep:
+        return
+    # nothing names the old loads any more
+    for name in names(spark, path):
+        if name != folder and name != f"_loads-{number + 1:06d}":
+            delete(spark, f"{path}/{name}")
 
 
-def _write(df: DataFrame, path: str, mode: str = "append") -> None:
-    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("buckets", "bucket").parquet(path)
+def _read(spark: SparkSession, path: str, loads: list[str]) -> DataFrame:
+    if not loads:
+        raise FileNotFoundError(f"no store at {path}")
+    return spark.read.schema(STORE_SCHEMA).option("basePath", path).parquet(*[f"{path}/{name}" for name in loads])
+
+
+def _latest(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
+    """The last row of each URI, of those created up to ``as_of``.
+
+    Only URIs of later loads are gathered, not documents; they are sent to the tasks if they are few.
+    """
+    loads = _state(spark, path)[1]
+    rows = _read(spark, path, loads)
+    if len(loads) < 2:
+        return rows
+    later = _read(spark, path, loads[1:])
+    if as_of is not None:
+        later = later.where(F.col("created_ts") <= as_of)
+    last = later.groupBy(F.col("uri").alias("_uri")).agg(F.max("load").alias("_last"))
+    newer = (F.col("uri") == F.col("_uri")) & (F.col("load") < F.col("_last"))
+    return rows.join(maybe_broadcast(last), newer, "left_anti")
 
 
 def store_buckets(spark: SparkSession, path: str) -> int:
-    """Number of buckets a store was made with."""
-    return spark.read.schema(STORE_SCHEMA).parquet(path).select("buckets").first().buckets
+    """Number of buckets of a store's loads."""
+    return _read(spark, path, _state(spark, path)[1][:1]).select("buckets").first().buckets
+
+
+def _staged(docs: DataFrame, name: str = "load") -> tuple[DataFrame, int]:
+    """(the documents as a written table, their bytes)."""
+    path = work_path(docs.sparkSession, name)
+    docs.write.parquet(path)
+    return docs.sparkSession.read.schema(docs.schema).parquet(path), size_of(docs.sparkSession, path)
+
+
+def _buckets_for(size: int) -> int:
+    return max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
 
 
 def _one_per_uri(staged: DataFrame) -> DataFrame:
@@ -66,43 +127,39 @@ def _one_per_uri(staged: DataFrame) -> DataFrame:
     return once.unionByName(last_by_uri(staged.join(repeated, "uri", "left_semi")))
 
 
-def write_store(docs: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "fail") -> None:
-    """New store. Rejected records must be split off before; of several documents with one URI the last stays."""
-    prepare_target(docs.sparkSession, path, mode)
-    _write(_bucketed(_one_per_uri(materialize(to_docs(docs), "load")), buckets), path)
+def write_store(docs: DataFrame, path: str, buckets: int | None = None, mode: str = "fail") -> None:
+    """New store. Rejected records must be split off before; of several documents with one URI the last stays.
+
+    ``fail`` refuses a target that has documents; ``clean`` replaces them, once the new ones are written. Without
+    ``buckets`` their number follows the volume.
+    """
+    spark = docs.sparkSession
+    if mode != "clean":
+        prepare_target(spark, path, mode)
+    rows, size = _staged(to_docs(docs))
+    _append(spark, _one_per_uri(rows), path, buckets or _buckets_for(size), _state(spark, path), keep=False)
 
 
-def upsert_docs(docs: DataFrame, path: str, buckets: int = BUCKETS, staged: bool = False) -> None:
-    """Insert or replace documents by URI. ``staged`` says that ``docs`` is a written table already.
+def upsert_docs(docs: DataFrame, path: str, buckets: int | None = None, staged: bool = False) -> None:
+    """Insert or replace documents by URI: what is written follows the load, not the store.
 
-    Only the buckets that new documents fall into are read and rewritten. The merged rows are first written
-    to the shared folder: the rewrite reads from there, so it can be repeated. One writer at a time.
+    ``staged`` says that ``docs`` is a written table already. Older versions stay until the store is compacted, and
+    are what ``scan_docs(as_of=)`` reads. One writer at a time.
     """
     spark = docs.sparkSession
-    docs = to_docs(docs)
-    if not staged:
-        docs = materialize(docs, "load")
-    new = _one_per_uri(docs)
-    if not has_files(spark, path):
-        return _write(_bucketed(new, buckets), path)
-    buckets = store_buckets(spark, path)
-    keys = docs.select("uri", bucket_by_uri(F.col("uri"), buckets).alias("bucket"))
-    # at most one row per bucket
-    touched = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("uri")).alias("size")).collect()
-    if not touched:
-        return None
-    small = sum(r.n for r in touched) <= BROADCAST_ROWS and sum(r.size for r in touched) <= BROADCAST_BYTES
-    old = spark.read.schema(STORE_SCHEMA).parquet(path).where(F.col("bucket").isin([r.bucket for r in touched]))
-    kept = old.join(F.broadcast(keys) if small else keys, ["bucket", "uri"], "left_anti").select(*docs.columns)
-    if small:
-        # old rows stay in the tasks that read them, bucket by bucket
-        rows = _bucketed(kept, buckets, spread=False).unionByName(_bucketed(new, buckets))
-    else:
-        rows = _bucketed(kept.unionByName(new), buckets)
-    merged = work_path(spark, "upsert-merged")
-    _write(rows, merged)
-    _write(spark.read.schema(STORE_SCHEMA).parquet(merged), path, "overwrite")
-    return None
+    docs, size = (to_docs(docs), 0) if staged else _staged(to_docs(docs))
+    if docs.isEmpty():
+        return
+    state = _state(spark, path)
+    number = store_buckets(spark, path) if state[1] else buckets or _buckets_for(size)
+    _append(spark, _one_per_uri(docs), path, number, state, keep=True)
+
+
+def compact_store(spark: SparkSession, path: str, buckets: int | None = None) -> None:
+    """One load of the last row of each URI; older versions go. Readers that began before must have ended."""
+    state = _state(spark, path)
+    rows, size = _staged(_latest(spark, path).drop(*_OWN), "compacted")
+    _append(spark, rows, path, buckets or _buckets_for(size), state, keep=False)
 
 
 def scan_docs(
@@ -124,7 +181,7 @@ def scan_docs(
 
     Without ``as_of`` live documents are read, with it those that lived at that stamp.
     """
-    docs = spark.read.schema(STORE_SCHEMA).parquet(path).drop("buckets", "bucket")
+    docs = _latest(spark, path, as_of).drop(*_OWN)
     docs = filter_visible(docs) if as_of is None else filter_snapshot(docs, as_of)
     docs = docs.where(scope(collections, directories, selector, query, types))
     return select_metadata(docs, copy_collections, copy_permissions, copy_properties, copy_quality, copy_metadata)

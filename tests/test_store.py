@@ -10,7 +10,7 @@ from docspark.plans import jobs
 from docspark.runtime import ship
 from docspark.schema import to_docs
 from docspark.sinks.export import _drop_strays, export_archive, export_files, export_zip
-from docspark.sinks.store import prepare_target, scan_docs, store_buckets, upsert_docs, write_store
+from docspark.sinks.store import compact_store, prepare_target, scan_docs, store_buckets, upsert_docs, write_store
 from docspark.sources.archive import read_archive
 from docspark.sources.files import read_file_refs, read_files
 from docspark.sources.rdf import read_nquads
@@ -48,13 +48,48 @@ def test_upsert_with_one_uri_many_times(spark, tmp_path):
     assert content(spark, path, directories=["/"])["/hot"] == "19998"
 
 
-def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
+def test_upsert_writes_in_proportion_to_the_load(spark, tmp_path):
     path = tmp_path / "store"
-    write_store(make(spark, [(f"/{i}", "old", i) for i in range(100)]), str(path), buckets=8)
+    write_store(make(spark, [(f"/{i}", f"{i} " * 500, i) for i in range(5_000)]), str(path), buckets=8)
     before = {p: p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
-    upsert_docs(make(spark, [("/3", "new", 0)]), str(path))
-    kept = [p for p in before if p.exists()]
-    assert len({p.parent for p in before} - {p.parent for p in kept}) == 1
+    size = sum(p.stat().st_size for p in before)
+    upsert_docs(make(spark, [(f"/{i}", "new", 0) for i in range(5)]), str(path))
+    assert all(p.exists() and p.stat().st_mtime_ns == t for p, t in before.items())
+    assert sum(p.stat().st_size for p in path.rglob("*.parquet") if p not in before) < size / 5
+    got = content(spark, str(path))
+    assert len(got) == 5_000 and got["/3"] == "new" and got["/5"] == "5 " * 500
+
+
+def test_older_versions_are_read_by_stamp(spark, tmp_path):
+    path = str(tmp_path / "store")
+    for stamp, text in ((10, "v1"), (20, "v2"), (30, "v3")):
+        upsert_docs(make(spark, [("/a", text, 0), (f"/{stamp}", "own", 0)], created_ts=F.lit(stamp)), path)
+    versions = {t: content(spark, path, as_of=t).get("/a") for t in (5, 10, 15, 20, 29, 99)}
+    assert versions == {5: None, 10: "v1", 15: "v1", 20: "v2", 29: "v2", 99: "v3"}
+    assert content(spark, path) == {"/a": "v3", "/10": "own", "/20": "own", "/30": "own"}
+    compact_store(spark, path, buckets=3)
+    assert content(spark, path) == {"/a": "v3", "/10": "own", "/20": "own", "/30": "own"} and store_buckets(spark, path) == 3
+    assert len([p for p in Path(path).iterdir() if p.name.startswith("version=")]) == 1
+
+
+def test_a_load_that_breaks_leaves_the_store_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "store")
+    write_store(make(spark, [("/1", "a", 0)]), path)
+    bad = make(spark, [("/1", "b", 0)]).withColumn("text", F.raise_error(F.lit("broken")).cast("string"))
+    for load in (lambda: upsert_docs(bad, path), lambda: write_store(bad, path, mode="clean")):
+        with pytest.raises(Exception):  # noqa: B017
+            load()
+        assert content(spark, path) == {"/1": "a"}
+    # a load that nothing names is not read
+    make(spark, [("/9", "x", 0)]).write.parquet(f"{path}/version=000009-broken")
+    assert content(spark, path) == {"/1": "a"}
+
+
+def test_a_store_can_be_loaded_onto_itself(spark, tmp_path):
+    path = str(tmp_path / "store")
+    write_store(make(spark, [(f"/{i}", "a", i) for i in range(20)]), path)
+    write_store(scan_docs(spark, path).withColumn("text", F.lit("b")), path, mode="clean")
+    assert content(spark, path) == {f"/{i}": "b" for i in range(20)}
 
 
 def test_prepare_target(spark, tmp_path):
