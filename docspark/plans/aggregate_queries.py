@@ -146,13 +146,21 @@ def q_pack_triples(spark, sf):
     return packed.select("graph", "part", "n", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("ids"))
 
 
+_IN_GRAPHS = f"(select * replace (case when graph = '' then 'urn:docspark:default-graph' else graph end as graph) from {CUSTOMER_TRIPLES})"
+
+
+def _in_graphs(spark, sf):
+    """All statements; those without a graph are in the default one."""
+    return _triples(spark, sf).withColumn("graph", G.resolve_graph(F.col("graph")))
+
+
 @query(
     "pack_triples_docs",
     f"""select graph as collection, count(*) as docs, sum(n)::bigint as triples from (select graph, part, count(*) as n from (
- select graph, (row_number() over (partition by graph order by s, p, o) - 1) // 100 as part from {CUSTOMER_TRIPLES} where graph <> '') group by graph, part) group by graph""",
+ select graph, (row_number() over (partition by graph order by s, p, o) - 1) // 100 as part from {_IN_GRAPHS}) group by graph, part) group by graph""",
 )
 def q_pack_triples_docs(spark, sf):
-    docs = G.pack_triples(_triples(spark, sf).where(F.col("graph").isNotNull()))
+    docs = G.pack_triples(_in_graphs(spark, sf))
     n = F.size(F.regexp_extract_all("text", F.lit("(<sem:triple>)"), F.lit(1))).cast("bigint")
     return docs.groupBy(F.col("collections")[0].alias("collection")).agg(F.count(F.lit(1)).alias("docs"), F.sum(n).alias("triples"))
 
@@ -171,9 +179,9 @@ def q_load_report(spark, sf):
     return load_report(docs, failed=failed)
 
 
-@query("distinct_graphs", f"select distinct graph from {CUSTOMER_TRIPLES} where graph <> ''")
+@query("distinct_graphs", f"select distinct graph from {_IN_GRAPHS}")
 def q_distinct_graphs(spark, sf):
-    return G.distinct_graphs(_triples(spark, sf).where(F.col("graph").isNotNull()))
+    return G.distinct_graphs(_in_graphs(spark, sf))
 
 
 @query("union_graphs", f"select 'urn:all' as graph, s, p, o from {CUSTOMER_TRIPLES}")

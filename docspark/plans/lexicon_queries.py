@@ -195,23 +195,22 @@ def q_cooc_fields(spark, sf):
 
 @query(
     "cooc_proximity",
-    """with w as (select conv_id, turn, role, string_split(text, ' ')[1] as word from conversations)
- select a, b, count(*) as freq from (select distinct x.conv_id, x.word as a, y.word as b from w x join w y on x.conv_id = y.conv_id
- and abs(x.turn - y.turn) <= 2 where x.role = 'user' and y.role = 'assistant') group by a, b""",
+    """with t as (select conv_id||'/'||turn as uri, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') as ws from conversations),
+ w as (select uri, unnest(ws) as word, generate_subscripts(ws, 1) as pos from t)
+ select a, b, count(*) as freq from (select distinct x.uri, x.word as a, y.word as b from w x join w y on x.uri = y.uri
+ and abs(x.pos - y.pos) <= 2) group by a, b""",
 )
 def q_cooc_proximity(spark, sf):
-    """First words of a user's and an assistant's turn at most two turns apart."""
-    word = F.split("text", " ", 2)[0]
-    turns = table(spark, sf, "conversations").select(F.col("conv_id").alias("uri"), F.col("turn").alias("pos"), "role", word.alias("w"))
-    a = turns.where("role = 'user'").select("uri", "pos", F.col("w").alias("a"))
-    b = turns.where("role = 'assistant'").select("uri", "pos", F.col("w").alias("b"))
-    return C.proximity(a, b, 2)
+    """All words of a turn at most two words apart."""
+    uri = F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("uri")
+    found = table(spark, sf, "conversations").select(uri, F.posexplode(words(F.col("text"))).alias("pos", "w"))
+    return C.proximity(found.select("uri", "pos", F.col("w").alias("a")), found.select("uri", "pos", F.col("w").alias("b")), 2)
 
 
-@query("custom_lexicon", "select upper(left(c_name, 4))||'-'||c_nationkey as term, count(*) as freq from customer group by 1")
+@query("custom_lexicon", "select upper(c_name)||'-'||c_nationkey as term, count(*) as freq from customer group by 1")
 def q_custom_lexicon(spark, sf):
     """A user's own term expression."""
-    own = F.concat_ws("-", F.upper(F.left("c_name", F.lit(4))), "c_nationkey")
+    own = F.concat_ws("-", F.upper("c_name"), "c_nationkey")
     return L.lexicon(table(spark, sf, "customer"), F.array(own))
 
 

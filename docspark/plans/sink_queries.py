@@ -270,8 +270,9 @@ def q_write_rejects(spark, sf):
 @query(
     "import_triples",
     f"""select graph as collection, count(*) as docs, case when n_regionkey = 1 then n_name else 'reader' end as role from (
- select graph, part from (select graph, (row_number() over (partition by graph order by s, p, o) - 1) // 100 as part from {CUSTOMER_TRIPLES}) group by graph, part)
- join nation on graph = 'urn:nation:'||n_nationkey group by graph, role""",
+ select case when graph = '' then 'urn:docspark:default-graph' else graph end as graph, part from (
+ select graph, (row_number() over (partition by graph order by s, p, o) - 1) // 100 as part from {CUSTOMER_TRIPLES}) group by graph, part)
+ left join nation on graph = 'urn:nation:'||n_nationkey group by graph, role""",
 )
 def q_import_triples(spark, sf):
     """Graphs of one region are stored already, with permissions of their own."""
@@ -282,6 +283,6 @@ def q_import_triples(spark, sf):
     )
     store = work_path(spark, "triple-store")
     jobs.import_triples(read_nquads(spark, path), store, stored_graphs=stored, permissions="reader,read")
-    docs = scan_docs(spark, store, directories=["/triplestore"]).where(F.get("collections", 0).startswith("urn:nation:"))
+    docs = scan_docs(spark, store, directories=["/triplestore"])
     role = F.element_at(F.transform("permissions", lambda p: p["role"]), 1)
     return docs.groupBy(F.get("collections", 0).alias("collection"), role.alias("role")).agg(F.count(F.lit(1)).alias("docs"))

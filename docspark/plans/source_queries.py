@@ -264,12 +264,13 @@ def q_read_nquads(spark, sf):
     return flat_triples(read_nquads(spark, path))
 
 
-@query("read_rdf_json", f"select s, p, o, datatype, lang, '' as graph from {CUSTOMER_TRIPLES} where p <> 'urn:p:balance'")
+@query("read_rdf_json", f"select s, p, o, datatype, lang, '' as graph from {CUSTOMER_TRIPLES}")
 def q_read_rdf_json(spark, sf):
     entry = F.format_string(
         '"urn:customer:%d": {"urn:p:name": [{"value": "%s", "type": "literal"}], '
-        '"urn:p:segment": [{"value": "%s", "type": "literal", "lang": "en"}]}',
-        "c_custkey", "c_name", "c_mktsegment",
+        '"urn:p:segment": [{"value": "%s", "type": "literal", "lang": "en"}], '
+        '"urn:p:balance": [{"value": "%s", "type": "literal", "datatype": "http://www.w3.org/2001/XMLSchema#double"}]}',
+        "c_custkey", "c_name", "c_mktsegment", F.col("c_acctbal").cast("string"),
     )
     files = packed_files(table(spark, sf, "customer"), entry, ["c_custkey"], "{", "}", ".rj", ",\n")
     return flat_triples(read_rdf_json(spark, as_files(files, "rdf-json")))
