@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from docspark.functions.metadata import merge_collections
 from docspark.functions.text import is_internal_link, local_path, xml_text
-from docspark.runtime import with_positions
+from docspark.runtime import maybe_broadcast, with_positions
 
 CHUNK = 1000
+# Bytes that a document counts for at least when parts are filled.
+SHARE = 1 << 16
 
 
 def link_count(docs: DataFrame, links: Column) -> DataFrame:
@@ -72,7 +74,7 @@ def year_collections(docs: DataFrame, year: Column, key: str = "uri") -> DataFra
 def add_collections(docs: DataFrame, added: DataFrame, key: str = "uri") -> DataFrame:
     """Add collections (uri, added) to the documents they name."""
     merged = merge_collections(F.col("collections"), F.col("added"))
-    return docs.join(added, key, "left").withColumn("collections", merged).drop("added")
+    return docs.join(maybe_broadcast(added), key, "left").withColumn("collections", merged).drop("added")
 
 
 def group_by_year(docs: DataFrame, revisions: DataFrame, ts: str = "ts") -> DataFrame:
@@ -111,10 +113,15 @@ def first_words(docs: DataFrame, group: list[str], text: Column | None = None, c
 
 
 def concat_archive(docs: DataFrame, group: list[str], order: list[str], text: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """Documents of a group wrapped in ``<archives>``; one archive per ``chunk`` documents of the group."""
+    """Documents of a group wrapped in ``<archives>``, in parts to be read in order.
+
+    A part takes at most ``chunk`` documents, and ends with the one that makes it ``chunk`` times ``SHARE`` bytes.
+    """
     body = F.regexp_replace(text, r"^\s*<\?xml[^>]*\?>", "")
-    rows = with_positions(docs.select(*group, *order, body.alias("_body")), order, group, "_rank")
-    part = F.floor((F.col("_rank") - 1) / chunk).cast("bigint")
+    weight = F.greatest(F.octet_length("_body").cast("bigint"), F.lit(SHARE))
+    sized = docs.select(*group, *order, body.alias("_body")).withColumn("_weight", weight)
+    rows = with_positions(sized, order, group, "_rank", weight="_weight")
+    part = F.floor((F.col("_rank") - 1) / (chunk * SHARE)).cast("bigint")
     out = rows.groupBy(*group, part.alias("part")).agg(
         F.array_sort(F.collect_list(F.struct("_rank", "_body"))).alias("_e"), F.count(F.lit(1)).alias("n")
     )

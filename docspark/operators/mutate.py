@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from docspark.functions.tree import select, written
 from docspark.operators.aggregates import add_collections
-from docspark.runtime import ship
+from docspark.runtime import maybe_broadcast, ship
 
 NODE_OPS = ("insert-before", "insert-after", "insert-child", "replace")
 
@@ -72,7 +72,7 @@ def apply_node_ops(docs: DataFrame, ops: DataFrame) -> DataFrame:
     )
     todo = F.col("_ops").isNotNull()
     # only documents with operations send their text to Python
-    edited = docs.join(grouped, "uri", "left").withColumn("_r", _edit(F.when(todo, F.col("text")), "_ops"))
+    edited = docs.join(maybe_broadcast(grouped), "uri", "left").withColumn("_r", _edit(F.when(todo, F.col("text")), "_ops"))
     edited = edited.withColumn("text", F.when(todo, F.col("_r.text")).otherwise(F.col("text")))
     if "skip_reason" in docs.columns:
         edited = edited.withColumn("skip_reason", F.coalesce("skip_reason", F.col("_r.error")))
@@ -95,7 +95,7 @@ def apply_property_ops(docs: DataFrame, ops: DataFrame, add: bool = False, alway
         )
     pairs = F.transform("_new", lambda p: F.struct(p["name"].alias("name"), p["value"].alias("value")))
     merged = merged.select("uri", pairs.alias("_new"))
-    joined = docs.join(merged, "uri", "full" if always_create else "left")
+    joined = docs.join(merged, "uri", "full") if always_create else docs.join(maybe_broadcast(merged), "uri", "left")
     old = F.coalesce("properties", F.expr("cast(array() as array<struct<name:string,value:string>>)"))
     if not add:
         names = F.transform("_new", lambda p: p["name"])

@@ -12,6 +12,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from docspark.sinks.hadoop import full_path
+
 # Lookups are sent to every task only below this size; larger ones are joined by key.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
@@ -25,7 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     global _local_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        # tasks open files without Spark: the path must say which file system it is on
+        return full_path(spark, named).rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if _local_dir is None:
