@@ -32,9 +32,9 @@ SHINGLE = 5
 #: Link when ``PERCENT`` % of the union is shared.
 PERCENT = 75
 #: Postings per shard of the index.
-SHARD = 2_000_000
+SHARD = 1_000_000
 #: Bytes of text made into postings at a time.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: A shingle is frequent if a block, and then the table, has it in one text of so many; and the least such count.
 FREQUENT, LEAST_FREQUENT = 1000, 1000
 #: Rows per file of the small tables between the steps.
