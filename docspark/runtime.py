@@ -27,8 +27,9 @@ def shared_dir(spark: SparkSession) -> str:
     global _local_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        # tasks open files without Spark: the path must say which file system it is on
-        return full_path(spark, named).rstrip("/")
+        # tasks open files without Spark: a path on another than the local file system must say so
+        full = full_path(spark, named)
+        return (named if full.startswith("file:") else full).rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if _local_dir is None:
