@@ -9,56 +9,106 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from docspark.llm.common import narrowed
+from docspark.llm.common import mix, narrowed
 from docspark.llm.encode import encoder
+from docspark.runtime import materialize
 
 #: Tokens of a full sequence.
 WINDOW = 2048
 #: A shard of the index is closed at so many tokens or documents.
 SHARD_TOKENS, SHARD_DOCS = 1 << 20, 8192
-#: Terms of a query, the heaviest of the seed; BM25's constants.
-TERMS, K1, B = 16, 1.2, 0.75
+#: Terms of a query: all of the seed. BM25's constants.
+TERMS, K1, B = None, 1.2, 0.75
+#: Terms by which a document finds its place among the shards, and neighbours that are ordered at a time.
+KEYS, PAGE = 4, 64
 #: Id after each document.
 END = 1
 
 
+class Stats:
+    """Documents, their average length and each term's document frequency, over a whole table."""
+
+    def __init__(self, n: int, mean: float, df: np.ndarray):
+        self.n, self.mean, self.df = n, max(mean, 1), df
+        self.idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
+
+    @classmethod
+    def of(cls, docs: list[np.ndarray]) -> Stats:
+        width = int(max((d.max() for d in docs if len(d)), default=0)) + 1
+        df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=width)
+        return cls(len(docs), np.mean([len(d) for d in docs]), df)
+
+    def weight(self, term: np.ndarray, tf: np.ndarray, size: np.ndarray) -> np.ndarray:
+        norm = (K1 * (1 - B + B * size / self.mean)).astype(np.float32)
+        return self.idf[term] * tf * (K1 + 1) / (tf + norm)
+
+
+class Places:
+    """``KEYS`` terms of a document, each drawn by weight with the same dice for all documents.
+
+    Two documents draw the same term with the probability that their weighted terms overlap, so that sorting by
+    these keys brings likely neighbours together; later keys divide the documents of a term that is drawn often.
+    """
+
+    def __init__(self, stats: Stats):
+        self.stats = stats
+        dice = mix(np.arange(KEYS * len(stats.df))).reshape(KEYS, -1)
+        self.dice = -np.log((dice >> np.uint64(11)).astype(np.float64) / 2**53 + 2.0**-54)
+
+    def of(self, doc: np.ndarray) -> list[int]:
+        term, tf = np.unique(doc, return_counts=True)
+        shared = self.stats.df[term] > 1
+        term, tf = term[shared], tf[shared]
+        if not len(term):
+            return [-1] * KEYS
+        weight = self.stats.weight(term, tf, np.int64(len(doc))).astype(np.float64) ** 2
+        return term[(self.dice[:, term] / np.maximum(weight, 1e-30)).argmin(1)].tolist()
+
+
 class Index:
-    """Inverted index of one shard: BM25 weights by term, and the heaviest terms of each document."""
+    """Inverted index of one shard: BM25 weights by term, and the terms of each document that another has too."""
 
-    def __init__(self, docs: list[np.ndarray]):
+    def __init__(self, docs: list[np.ndarray], stats: Stats | None = None):
         self.n = len(docs)
+        stats = stats or Stats.of(docs)
         size = np.array([len(d) for d in docs], np.int64)
-        width = int(max((d.max() for d in docs if len(d)), default=0)) + 1
         parts = [np.unique(d, return_counts=True) for d in docs]
         term = np.concatenate([p[0] for p in parts]).astype(np.int64)
         tf = np.concatenate([p[1] for p in parts]).astype(np.float32)
         kinds = np.array([len(p[0]) for p in parts], np.int64)
         doc = np.repeat(np.arange(self.n), kinds)
-        df = np.bincount(term, minlength=width)
-        idf = np.log1p((self.n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        norm = (K1 * (1 - B + B * size / max(size.mean(), 1))).astype(np.float32)
-        weight = idf[term] * tf * (K1 + 1) / (tf + norm[doc])
+        here = np.bincount(term, minlength=len(stats.df))
+        weight = stats.weight(term, tf, size[doc])
         by_term = np.argsort(term, kind="stable")
-        self.start = np.concatenate([[0], np.cumsum(df)])
+        self.start = np.concatenate([[0], np.cumsum(here)])
         self.doc, self.weight = doc[by_term].astype(np.int32), weight[by_term]
-        # of each document the heaviest terms that another has too
-        shared = df[term] > 1
-        term, doc, weight = term[shared], doc[shared], weight[shared]
-        order = np.lexsort((term, -weight, doc))
-        first = np.searchsorted(doc[order], np.arange(self.n + 1))
-        self.query = [term[order[a : min(a + TERMS, b)]] for a, b in zip(first[:-1], first[1:], strict=True)]
+        shared = here[term] > 1
+        self.term = term[shared].astype(np.int32)
+        self.first = np.searchsorted(doc[shared], np.arange(self.n + 1))
 
-    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term with the seed, best first."""
-        score = np.zeros(self.n, np.float32)
-        for t in self.query[seed]:
-            lo, hi = self.start[t], self.start[t + 1]
-            score[self.doc[lo:hi]] += self.weight[lo:hi]
+    def scores(self, seed: int) -> np.ndarray:
+        t = self.term[self.first[seed] : self.first[seed + 1]]
+        lo, size = self.start[t], self.start[t + 1] - self.start[t]
+        at = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
+        return np.bincount(self.doc[at], self.weight[at], self.n)
+
+    def ranked(self, seed: int, unused: np.ndarray) -> Iterator[int]:
+        """Unused documents that share a term with the seed, best first; ordered a page at a time."""
+        score = self.scores(seed)
         found = np.flatnonzero((score > 0) & unused)
-        if len(found) > 64:
-            found = found[np.argpartition(-score[found], 63)[:64]]
-        return found[np.lexsort((found, -score[found]))]
+        while len(found):
+            page, rest = found, found[:0]
+            if len(found) > PAGE:
+                # equals of the last one come along, so that pages do not change the order
+                enough = score[found] >= -np.partition(-score[found], PAGE - 1)[PAGE - 1]
+                page, rest = found[enough], found[~enough]
+            yield from page[np.lexsort((page, -score[page]))].tolist()
+            found = rest
+
+    def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
+        return np.fromiter(self.ranked(seed, unused), np.int64)
 
 
 def order_of(sizes: list[int], index: Index, window: int) -> Iterator[tuple[int, int, int]]:
@@ -68,7 +118,7 @@ def order_of(sizes: list[int], index: Index, window: int) -> Iterator[tuple[int,
     does. What does not fit is cut and opens the next window, whose neighbours are sought for the cut document.
     """
     unused = np.ones(len(sizes), bool)
-    room, seed, near, next_ = window, -1, [], 0
+    room, seed, near, next_ = window, -1, iter(()), 0
     while True:
         pick = next((d for d in near if unused[d]), None)
         if pick is None:
@@ -87,7 +137,7 @@ def order_of(sizes: list[int], index: Index, window: int) -> Iterator[tuple[int,
             if not room:
                 room, seed = window, -1
         if seed < 0:
-            seed, near = pick, (index.neighbours(pick, unused) if room < window else [])
+            seed, near = pick, (index.ranked(pick, unused) if room < window else iter(()))
 
 
 def sequences(pieces: Iterator[tuple[int, int, int]], total: int, window: int) -> Iterator[tuple[int, int, int, int, int]]:
@@ -108,53 +158,112 @@ def sequences(pieces: Iterator[tuple[int, int, int]], total: int, window: int) -
 FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
-def pack_shard(docs: list[np.ndarray], window: int) -> tuple[list[tuple[int, ...]], int]:
+def pack_shard(docs: list[np.ndarray], window: int, stats: Stats | None = None) -> tuple[list[tuple[int, ...]], int]:
     """((document, start, length, crc32 of the ids, document's size, sequence, offset) of each piece, sequences made)."""
     sizes = [len(d) for d in docs]
     rows = []
-    for doc, start, length, number, offset in sequences(order_of(sizes, Index(docs), window), sum(sizes), window):
+    for doc, start, length, number, offset in sequences(order_of(sizes, Index(docs, stats), window), sum(sizes), window):
         ids = docs[doc][start : start + length]
         rows.append((doc, start, length, zlib.crc32(ids.tobytes()), sizes[doc], number, offset))
     return rows, (rows[-1][5] + 1 if rows else 0)
 
 
+def _encoded(tokenizer: str, end: int):
+    """Of each text a row with its ids, two bytes each if they fit; of each task a row per term with its texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, at = encoder(tokenizer).encode, TaskContext.get().partitionId() << 33
+        stop, seen = np.array([end], np.uint32), np.zeros(0, np.int64)
+        for batch in batches:
+            ids, sizes, kinds = [], [], []
+            for text in batch.column("text"):
+                doc = np.concatenate([encode(text.as_py() or ""), stop])
+                ids.append(doc.astype(np.uint16 if doc.max() < 1 << 16 else np.uint32).tobytes())
+                sizes.append(len(doc))
+                kinds.append(np.unique(doc))
+            n = len(ids)
+            if n:
+                more = np.bincount(np.concatenate(kinds))
+                more[: len(seen)] += seen[: len(more)]
+                seen = np.concatenate([more, seen[len(more) :]])
+            cols = [batch.column("doc_id"), pa.array(range(at, at + n), pa.int64()), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*cols, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], _ENCODED)
+            at += n
+        terms = np.flatnonzero(seen)
+        n = len(terms)
+        cols = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*cols, pa.array(terms, pa.int64()), pa.array(seen[terms], pa.int64())], _ENCODED)
+
+    return run
+
+
+_ENCODED = ["doc_id", "row", "ids", "n", "term", "seen"]
+
+
+def _ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    for ids, n in zip(batch.column("ids"), batch.column("n").to_pylist(), strict=True):
+        body = ids.as_buffer()
+        yield np.frombuffer(body, np.uint16 if body.size == 2 * n else np.uint32)
+
+
 def pack(df: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) -> DataFrame:
     """Pieces of the sequences that hold every token of (doc_id, text) once, each text followed by ``end``.
 
-    A task closes a shard after a bounded number of tokens or documents and packs it on its own, so that no text is
-    moved and no index grows with the table. Sequence ids hold the partition and the number in it; the packing is a
-    function of the rows and their partitioning, and a task that runs again gives the same pieces.
+    Texts are encoded and written once; document frequencies and the average length are those of the whole table.
+    Documents are then sorted by keys of their content, so that likely neighbours from anywhere in the table lie side
+    by side, and each run of a bounded number of tokens or documents is a shard, packed on its own. The sort ends with
+    the row's place, so that no term, however common, fills a task, and a task that runs again gives the same pieces.
+    Neighbours that the sort puts in different shards are not found. Sequence ids hold the partition and the number
+    in it.
 
     A null text is the end id alone. Rows that repeat are packed as often; a null id stays null; other columns are
     ignored. An empty table has no sequence.
     """
     if window & (window - 1):
         raise ValueError("window must be a power of two")
+    made = narrowed(df, doc_id="bigint", text="string").mapInArrow(
+        _encoded(tokenizer, end), "doc_id long, row long, ids binary, n long, term long, seen long"
+    )
+    made = materialize(made, "encoded")
+    n, mean = made.agg(F.count("n"), F.coalesce(F.avg("n"), F.lit(0.0))).first()
+    # a row per entry of the vocabulary, however large the table
+    often = made.filter("term is not null").groupBy("term").agg(F.sum("seen").alias("seen")).toArrow()
+    seen = np.zeros(1 + max(often.column("term").to_pylist(), default=0), np.int64)
+    seen[often.column("term").to_numpy()] = often.column("seen").to_numpy()
+    stats = Stats(n, mean, seen)
+    keys = [f"k{i}" for i in range(KEYS)]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Places(stats)
+        for batch in batches:
+            drawn = np.array([places.of(d) for d in _ids(batch)], np.int32).reshape(-1, KEYS)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k) for k in drawn.T)], [*_ENCODED[:4], *keys])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        encode, base = encoder(tokenizer).encode, part << 33
+        base = TaskContext.get().partitionId() << 33
         ids: list = []
         docs: list[np.ndarray] = []
         held = 0
-        stop = np.array([end], np.uint32)
 
         def close() -> pa.RecordBatch:
             nonlocal base, ids, docs, held
-            rows, made = pack_shard(docs, window)
+            rows, made = pack_shard(docs, window, stats)
             cols = list(zip(*rows, strict=True))
             out = [[ids[d] for d in cols[0]], *cols[1:5], [base + n for n in cols[5]], cols[6]]
             base, ids, docs, held = base + made, [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], FIELDS)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                docs.append(np.concatenate([encode(text.as_py() or ""), stop]))
+            for doc_id, doc in zip(batch.column("doc_id").to_pylist(), _ids(batch), strict=True):
+                docs.append(doc.astype(np.uint32))
                 ids.append(doc_id)
-                held += len(docs[-1])
+                held += len(doc)
                 if held >= SHARD_TOKENS or len(docs) >= SHARD_DOCS:
                     yield close()
         if docs:
             yield close()
 
-    return narrowed(df, doc_id="bigint", text="string").mapInArrow(run, ", ".join(f"{f} long" for f in FIELDS))
+    texts = made.filter("term is null").select(_ENCODED[:4])
+    placed = texts.mapInArrow(place, ", ".join(["doc_id long, row long, ids binary, n long", *(f"{k} int" for k in keys)]))
+    ranged = placed.repartitionByRange(*keys, "row").sortWithinPartitions(*keys, "row")
+    return ranged.select("doc_id", "ids", "n").mapInArrow(run, ", ".join(f"{f} long" for f in FIELDS))

@@ -143,3 +143,61 @@ def test_windows_are_filled_with_related_texts():
     for d, _, _, _, _, number, _ in rows:
         topics.setdefault(number, set()).add(d % 8)
     assert made == 13 and sum(map(len, topics.values())) / made < 2.7
+
+
+def related(topics, each, size=80):
+    """Texts of topics in turn, so that those of one topic are never side by side: words of the topic and common ones."""
+    rng = np.random.default_rng(2)
+    docs = []
+    for k in range(topics * each):
+        own, common = rng.integers(0, 25, size // 2) + 1000 + 25 * (k % topics), rng.integers(0, 300, size // 2)
+        docs.append(np.concatenate([own, common]).astype(np.uint32))
+    return docs
+
+
+def test_first_neighbours_from_afar_meet_in_a_shard():
+    topics, shard = 100, 64
+    docs = related(topics, 20)
+    stats = packing.Stats.of(docs)
+    index, places = packing.Index(docs, stats), packing.Places(stats)
+    order = sorted(range(len(docs)), key=lambda d: (places.of(docs[d]), d))
+    shard_of = {d: at // shard for at, d in enumerate(order)}
+    others = np.ones(len(docs), bool)
+    recall = {"first": 0, "input order": 0, "any of ten": 0}
+    for seed in range(0, len(docs), 5):
+        others[seed] = False
+        best = index.neighbours(seed, others)[:10].tolist()
+        others[seed] = True
+        recall["first"] += shard_of[best[0]] == shard_of[seed]
+        recall["input order"] += best[0] // shard == seed // shard
+        recall["any of ten"] += any(shard_of[d] == shard_of[seed] for d in best)
+    share = {k: v / (len(docs) / 5) for k, v in recall.items()}
+    print(share)
+    assert share["input order"] < 0.1 and share["first"] > 0.35 and share["any of ten"] > 0.9
+
+
+def test_weights_are_those_of_the_table():
+    docs = related(20, 10)
+    stats = packing.Stats.of(docs)
+    part = packing.Index(docs[:50], stats)
+    whole_, mine = packing.Index(docs, stats).scores(3)[:50], part.scores(3)
+    assert np.allclose(whole_, mine)
+    assert not np.allclose(packing.Index(docs[:50]).scores(3), mine)
+
+
+def test_neighbours_beyond_a_page_are_in_order():
+    docs = related(2, 150)
+    index = packing.Index(docs)
+    got, score = index.neighbours(0, np.arange(300) != 0), index.scores(0)
+    assert len(got) == 299 and got.tolist() == sorted(range(1, 300), key=lambda d: (-score[d], d))
+
+
+def test_related_texts_of_different_partitions_are_packed_together(table, words):
+    texts = {k: words(k % 8, 12, 6) + " " + words(1000 + k, 3) for k in range(64)}
+    df = table(sorted(texts.items()), schema="doc_id long, text string").repartitionByRange(8, "doc_id")
+    rows = packing.pack(df, WORD, window=256).collect()
+    check_packing(rows, texts, 256)
+    topics = {}
+    for r in rows:
+        topics.setdefault(r["sequence_id"], set()).add(r["doc_id"] % 8)
+    assert sum(map(len, topics.values())) / len(topics) < 3.5
