@@ -41,17 +41,25 @@ def row_to_xml(columns: Mapping[str, Column], root: str = "root") -> Column:
     return F.concat(*parts, F.lit(f"</{root}>"))
 
 
-def parse_data_types(option: str | Mapping[str, str] | None, fields: Sequence[str]) -> dict[str, str]:
-    """``zip,Number,sold,Boolean`` to a type per field, default String."""
-    types = {f: "string" for f in fields}
-    if option is None:
-        return types
+def pairs_to_xml(names: str, values: str, root: str = "root") -> Column:
+    """:func:`row_to_xml` of an array of element names and one of values."""
+    each = F.zip_with(names, values, lambda n, v: F.concat(F.lit("<"), n, F.lit("><![CDATA["), F.coalesce(v, F.lit("")), F.lit("]]></"), n, F.lit(">")))
+    return F.concat(F.lit(f"<{root}>"), F.array_join(each, ""), F.lit(f"</{root}>"))
+
+
+def _type_option(option: str | Mapping[str, str] | None) -> Mapping[str, str]:
     if isinstance(option, str):
         flat = [p.strip() for p in option.split(",")]
         if len(flat) % 2:
             raise ValueError("data types need pairs of column name and type")
         option = dict(zip(flat[::2], flat[1::2]))
-    for name, kind in option.items():
+    return option or {}
+
+
+def parse_data_types(option: str | Mapping[str, str] | None, fields: Sequence[str]) -> dict[str, str]:
+    """``zip,Number,sold,Boolean`` to a type per field, default String."""
+    types = {f: "string" for f in fields}
+    for name, kind in _type_option(option).items():
         if name not in types:
             raise ValueError(f"Column name {name} not found.")
         if kind.lower() not in ("string", "number", "boolean"):
@@ -114,3 +122,45 @@ def row_to_json(
             fields.append(value.alias(name))
         errors.append(type_error(value, kind, lenient))
     return F.to_json(F.struct(*fields)), F.coalesce(*errors)
+
+
+def pairs_to_json(
+    names: str, values: str, types: Mapping[str, str] | str | None = None, lenient: bool = False
+) -> tuple[Column, Column]:
+    """:func:`row_to_json` of an array of names and one of values; a type that does not fit the names is a skip reason."""
+    null = F.lit(None).cast("string")
+    try:
+        option = _type_option(types)
+    except ValueError as e:
+        return null, F.lit(str(e))
+    wrong = [null]
+    for name, kind in option.items():
+        missing = ~F.array_contains(names, F.lit(name))
+        wrong.append(F.when(missing, F.lit(f"Column name {name} not found.")))
+        if kind.lower() not in ("string", "number", "boolean"):
+            wrong.append(F.lit(f"Unsupported column data type {kind}"))
+    of = {k: [n for n, kind in option.items() if kind.lower() == k] for k in ("number", "boolean")}
+
+    def inner(value: Column) -> Column:
+        """The JSON text of a value, null if it has none."""
+        whole = F.to_json(F.struct(value.alias("v")))
+        return F.when(whole != "{}", F.substring(whole, 6, F.char_length(whole) - 6))
+
+    def typed(name: Column, other: Column, number: Column, boolean: Column) -> Column:
+        for kind, column in (("number", number), ("boolean", boolean)):
+            if of[kind]:
+                other = F.when(name.isin(of[kind]), column).otherwise(other)
+        return other
+
+    def field(name: Column, value: Column) -> Column:
+        value = F.coalesce(value, F.lit(""))
+        number = inner(F.try_parse_json(number_text(value, lenient)))
+        boolean = F.when(value != "", F.lower(value).try_cast("boolean").cast("string"))
+        return F.concat(inner(name), F.lit(":"), typed(name, inner(value), number, boolean))
+
+    def error(name: Column, value: Column) -> Column:
+        return typed(name, null, type_error(value, "number", lenient), type_error(value, "boolean"))
+
+    fields = F.array_join(F.zip_with(names, values, field), ",")
+    errors = F.get(F.filter(F.zip_with(names, values, error), lambda e: e.isNotNull()), F.lit(0))
+    return F.concat(F.lit("{"), fields, F.lit("}")), F.coalesce(*wrong, errors)

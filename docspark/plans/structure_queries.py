@@ -125,7 +125,16 @@ def q_redact_json(spark, sf):
 @query("read_csv_many_headers", "select '/h/'||c_custkey as uri, c_name as name from customer where c_custkey <= 210")
 def q_read_csv_many_headers(spark, sf):
     """A header of its own in every file."""
-    c = table(spark, sf, "customer").where("c_custkey <= 210")
+    return _headers_apart(spark, table(spark, sf, "customer").where("c_custkey <= 210"))
+
+
+@query("read_csv_header_per_file", "select '/h/'||c_custkey as uri, c_name as name from customer")
+def q_read_csv_header_per_file(spark, sf):
+    """A header of its own in every file, and a file for every row of the table."""
+    return _headers_apart(spark, table(spark, sf, "customer"))
+
+
+def _headers_apart(spark, c):
     text = F.format_string("key,name_%d\n%d,%s\n", "c_custkey", "c_custkey", "c_name")
     files = to_docs(c, uri=F.format_string("/f%d.csv", "c_custkey"), content_type=F.lit("TEXT"), text=text)
     docs = read_csv_docs(spark, as_files(files, "csv-headers"), uri_id="key", doc_type="JSON", prefix="/h/")

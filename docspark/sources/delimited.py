@@ -6,12 +6,11 @@ import csv
 import io
 import re
 from collections.abc import Iterator, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from docspark.functions.build import row_to_json, row_to_xml
+from docspark.functions.build import pairs_to_json, pairs_to_xml, row_to_json, row_to_xml, valid_name
 from docspark.functions.uri import uri_build, uri_generate
 from docspark.runtime import materialize, maybe_broadcast
 from docspark.schema import to_docs
@@ -22,9 +21,7 @@ from docspark.sources.zipped import entry_rows, file_rows, stream_records
 WIDTH_REASON = "the row is wider or narrower than its header"
 OPEN_REASON = "quoted field is never closed"
 QUOTE_REASON = "text beside a quoted field"
-_RECORD_DDL = "line bigint, h int, vals array<string>, reason string"
-# Headers that one plan handles.
-HEADERS = 25
+_RECORD_DDL = "line bigint, names array<string>, vals array<string>, raw string, reason string"
 
 
 class _Lines:
@@ -85,36 +82,33 @@ def _header_of(fields: list[str]) -> list[str]:
     return [fields[0].removeprefix("\ufeff"), *fields[1:]]
 
 
-def _header_parser(delimiter: str, encoding: str):
-    def parse(stream, src_id: str, entry: str) -> Iterator[tuple]:
-        for _, fields in _records(stream, delimiter, encoding):
-            if fields is not None:
-                yield (_header_of(fields),)
-            return
-
-    return parse
-
-
-def _record_parser(delimiter: str, encoding: str, headers: list[list[str]]):
-    """Parser of one file or archive entry; a row names its header by its number."""
-    number = {tuple(h): i for i, h in enumerate(headers)}
+def _record_parser(delimiter: str, encoding: str, uri_id: str | None, generate_uri: bool, xml: bool):
+    """Parser of one file or archive entry; a row has the names of its own header, its values and its raw URI."""
 
     def parse(stream, src_id: str, entry: str) -> Iterator[tuple]:
-        h = None
+        header = None
         for line, fields in _records(stream, delimiter, encoding):
-            if h is None:
+            if header is None:
                 if fields is None:
-                    yield line, -1, [], QUOTE_REASON
+                    yield line, [], [], None, QUOTE_REASON
                     return
-                h = number[tuple(_header_of(fields))]
-                width = len(headers[h])
+                header = _header_of(fields)
+                # of columns with one name the last counts, at the place of the first; those without a name are left out
+                at = {h: i for i, h in enumerate(header) if h}
+                names = [valid_name(h) for h in at] if xml else list(at)
+                lost = None
+                if not generate_uri and uri_id is not None and uri_id not in header:
+                    lost = f"uri_id {uri_id} is not found"
+                uri = None if generate_uri or lost else header.index(uri_id) if uri_id is not None else 0
                 continue
             if fields is None:
-                yield line, h, [], QUOTE_REASON
-            elif len(fields) != width:
-                yield line, h, [], WIDTH_REASON
+                yield line, [], [], None, QUOTE_REASON
+            elif len(fields) != len(header):
+                yield line, [], [], None, WIDTH_REASON
+            elif lost:
+                yield line, [], [], None, lost
             else:
-                yield line, h, fields, None
+                yield line, names, [fields[i] for i in at.values()], None if uri is None else fields[uri], None
 
     return parse
 
@@ -136,14 +130,9 @@ def _document_columns(header: list[str], generate_uri: bool, uri_id, doc_type, d
     return null if generate_uri else F.get(F.col("vals"), F.lit(i)), body, type_reason
 
 
-def _documents(rows: DataFrame, headers: list[list[str]], uri_options: dict, generate_uri: bool, **kw) -> DataFrame:
-    """Documents of (src_id, sub_id, block, line, h, vals, reason); one pass whatever the number of headers."""
-    null = F.lit(None).cast("string")
-    raw, body, type_reason = null, null, null
-    for h, header in enumerate(headers):
-        cols = _document_columns(header, generate_uri, **kw)
-        here = F.col("h") == h
-        raw, body, type_reason = (F.when(here, new).otherwise(old) for new, old in zip(cols, (raw, body, type_reason)))
+def _documents(rows: DataFrame, columns: tuple, doc_type: str, uri_options: dict, generate_uri: bool) -> DataFrame:
+    """Documents of (src_id, sub_id, block, line, reason) and the columns (raw URI, body, reason of the body)."""
+    raw, body, type_reason = columns
     df = rows.select(
         "src_id", "sub_id", "block", "line", F.coalesce("reason", type_reason).alias("reason"),
         raw.alias("_raw"), body.alias("_body"),
@@ -158,7 +147,7 @@ def _documents(rows: DataFrame, headers: list[list[str]], uri_options: dict, gen
     df = df.withColumn("skip_reason", F.coalesce("reason", uri_reason)).withColumn("_uri", uri)
     ok = F.col("skip_reason").isNull()
     return to_docs(
-        df, uri=F.when(ok, F.col("_uri")), text=F.when(ok, F.col("_body")), content_type=F.lit(kw["doc_type"].upper())
+        df, uri=F.when(ok, F.col("_uri")), text=F.when(ok, F.col("_body")), content_type=F.lit(doc_type.upper())
     )
 
 
@@ -199,20 +188,15 @@ def read_csv_docs(
     if split:
         return _read_split(spark, paths, delimiter, pattern, encoding, kw)
     listing = entry_rows(spark, paths, pattern) if zipped else file_rows(spark, paths, pattern)
-    found = stream_records(listing, _header_parser(delimiter, encoding), "header array<string>")
-    headers = sorted(r.header for r in found.select("header").distinct().collect())
-    parse = _record_parser(delimiter, encoding, headers)
-    rows = stream_records(listing, parse, _RECORD_DDL, lambda why: (0, -1, [], why)).withColumn("block", F.lit(0))
-    if len(headers) <= HEADERS:
-        return _documents(rows, headers, **kw)
-    # an expression per header grows with their number: the rows, read once, are taken a batch of headers at a time
-    rows = materialize(rows, "csv-rows")
-    parts = []
-    for lo in range(0, len(headers), HEADERS):
-        own = headers[lo : lo + HEADERS]
-        mine = (F.col("h") >= lo) & (F.col("h") < lo + len(own)) | (F.lit(lo == 0) & (F.col("h") < 0))
-        parts.append(_documents(rows.where(mine).withColumn("h", F.col("h") - lo), own, **kw))
-    return reduce(DataFrame.unionByName, parts)
+    xml = doc_type.upper() != "JSON"
+    parse = _record_parser(delimiter, encoding, uri_id, generate_uri, xml)
+    rows = stream_records(listing, parse, _RECORD_DDL, lambda why: (0, [], [], None, why)).withColumn("block", F.lit(0))
+    # names travel with the rows, so that neither the driver nor the plan knows how many headers there are
+    if xml:
+        body, type_reason = pairs_to_xml("names", "vals", root_name), F.lit(None).cast("string")
+    else:
+        body, type_reason = pairs_to_json("names", "vals", data_type, lenient)
+    return _documents(rows, (F.col("raw"), body, type_reason), doc_type, uri_options, generate_uri)
 
 
 def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None, encoding: str, kw: dict) -> DataFrame:
@@ -319,8 +303,10 @@ def _parse_records(lines: DataFrame, header_line: str, delimiter: str, kw: dict)
     )
     why = F.when(malformed, F.lit(QUOTE_REASON)).when(F.col("r._corrupt").isNotNull(), F.lit(WIDTH_REASON))
     rows = lines.withColumn("r", parsed).select(
-        "src_id", "block", F.lit("").alias("sub_id"), "line", F.lit(0).alias("h"),
+        "src_id", "block", F.lit("").alias("sub_id"), "line",
         F.array(*[F.coalesce(F.col(f"r.{n}"), F.lit("")) for n in names]).alias("vals"),
         F.coalesce("reason", why).alias("reason"),
     )
-    return _documents(rows, [header], **kw)
+    kw = dict(kw)
+    uri_options = kw.pop("uri_options")
+    return _documents(rows, _document_columns(header, **kw), kw["doc_type"], uri_options, kw["generate_uri"])

@@ -435,3 +435,19 @@ def test_rdf_json(spark, tmp_path):
     assert literals == {"v": ("en", None), "7": (None, "urn:int"), "w": (None, "http://www.w3.org/2001/XMLSchema#string")}
     assert next(r.o for r in good if r.o_type == "blank") == next(r.s for r in good if r.o == "w")
     assert len(rows) == 6
+
+
+def test_csv_headers_stay_with_their_rows(spark, tmp_path):
+    """Any number of headers is one plan without a list of them."""
+    for i in range(60):
+        (tmp_path / f"f{i:02}.csv").write_text(f'id,n,flag,"t""{i}",n{i}\n{i},"1,0{i:02}.50",,"a\\b/""é",{i}\nx{i},q,TRUE,,\n')
+    docs = read_csv_docs(spark, str(tmp_path), doc_type="JSON", uri_id="id", data_type="n,Number,flag,Boolean", generate_uri=False)
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "n59" not in plan
+    rows = docs.select("uri", "text", "skip_reason").collect()
+    good = {json.loads(r.text)["id"]: json.loads(r.text) for r in rows if r.skip_reason is None}
+    assert good == {str(i): {"id": str(i), "n": 1000 + i + 0.5, f't"{i}': 'a\\b/"é', f"n{i}": str(i)} for i in range(60)}
+    assert {r.skip_reason for r in rows if r.skip_reason} == {"Value q is not type NUMBER"} and len(rows) == 120
+    xml = read_csv_docs(spark, str(tmp_path), uri_id="n7").select("text", "skip_reason").collect()
+    assert sum(r.skip_reason == "uri_id n7 is not found" for r in xml) == 118
+    assert any("<t_7><![CDATA[a\\b/\"é]]></t_7><n7><![CDATA[7]]></n7>" in (r.text or "") for r in xml)
