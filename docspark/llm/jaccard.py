@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docspark.llm.common import buffers, groups, mix, narrowed, windows, words
-from docspark.runtime import materialize, maybe_broadcast
+from docspark.runtime import materialize, maybe_broadcast, with_rows
 
 SHINGLE = 5
 #: Link when ``PERCENT`` % of the union is shared.
@@ -400,17 +400,20 @@ def jaccard_components(df: DataFrame) -> DataFrame:
 
 
 def keep_first(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of their component; of rows that repeat an id one stays.
+    """The row of ``df`` with the smallest id of each component; of several with that id one stays.
 
-    Rows without an id always stay. Text is not shuffled where the ids that go are few enough to be sent to all tasks.
+    Rows are compared by their texts, whatever their ids: of two different texts with one id both stay. Rows without an
+    id always stay. Of texts without words, which have no links, those that repeat both id and text go. Text is not
+    shuffled where the rows that go are few enough to be sent to all tasks.
     """
-    found = materialize(jaccard_components(df), "components").filter("doc_id is not null")
-    by_id = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("rows"))
-    by_id = materialize(by_id.filter("not stays or rows > 1"), "copies")
-    gone, again = by_id.filter("not stays").select("doc_id"), by_id.filter("stays").select("doc_id")
-    rows = df.join(maybe_broadcast(gone), "doc_id", "left_anti").select(df.columns)
-    if again.isEmpty():
-        return rows
-    again = maybe_broadcast(again)
-    once = rows.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rows.join(again, "doc_id", "left_anti").select(df.columns).unionByName(once.select(df.columns))
+    rows, key = with_rows(df, "documents")
+    # components of rows, not of ids
+    found = jaccard_components(narrowed(rows, **{key: "bigint", "text": "string"}).withColumnRenamed(key, "doc_id"))
+    found = found.select(F.col("doc_id").alias(key), "n_shingles", "component_id")
+    ids = rows.select(key, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash")).filter("_id is not null")
+    named = materialize(found.join(ids, key), "components")
+    linked = F.col("n_shingles") > 0
+    group = [F.when(linked, F.col("component_id")), F.when(~linked, F.col("_id")), F.when(~linked, F.col("_hash"))]
+    firsts = named.groupBy(*group).agg(F.min(F.struct("_id", key)).alias("first")).select(F.col(f"first.{key}").alias(key))
+    gone = materialize(named.join(firsts, key, "left_anti").select(key), "copies")
+    return rows.join(maybe_broadcast(gone), key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docspark.llm.common import WORD, narrowed
-from docspark.runtime import materialize, maybe_broadcast, with_positions
+from docspark.runtime import materialize, maybe_broadcast, with_positions, with_rows
 
 #: Weights of the sources in order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -79,7 +79,7 @@ def quotas(shards: DataFrame) -> DataFrame:
     return won.groupBy("source", "shard", "shard_size").agg((F.first("base") + F.sum("won")).alias("quota"))
 
 
-def mix(df: DataFrame) -> DataFrame:
+def mix(df: DataFrame, row: str | None = None) -> DataFrame:
     """What the mix takes of each (doc_id, text, source): doc_id, source, size, source_size, target, first, second.
 
     ``first`` and ``second`` are the words taken in the first and the second pass over a shard, both from the start of
@@ -88,11 +88,14 @@ def mix(df: DataFrame) -> DataFrame:
     choice. So only the last document of a pass is cut. Reruns agree, on any partitioning.
 
     A null text has size 0; a null source is a source, the last; a null id is an id. Rows that repeat are
-    interchangeable. An empty table, or one without words, takes nothing.
+    interchangeable. An empty table, or one without words, takes nothing. ``row`` names a column that numbers the
+    rows; it comes back as ``row``, and rows that share id and size then stand in the order of their texts.
     """
-    docs = narrowed(df, doc_id="bigint", source="string", text="string")
+    docs = narrowed(df, doc_id="bigint", source="string", text="string", **({row: "bigint"} if row else {}))
+    own = [F.col(row).alias("row"), F.xxhash64("text").alias("hash")] if row else []
+    named = ["hash", "row"] if row else []
     key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(f":{SEED}")).cast("binary"))
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("key"))
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("key"), *own)
     sized = materialize(sized.withColumn("shard", F.substring("key", 1, 1)), "sizes")
 
     shards = materialize(sized.groupBy("source", "shard").agg(F.sum("size").alias("shard_size")), "shards")
@@ -109,12 +112,13 @@ def mix(df: DataFrame) -> DataFrame:
     full = F.when(F.col("target") >= MOST * F.col("source_size"), MOST * F.col("shard_size"))
     given = materialize(given.select("a.*", full.otherwise(F.col("quota") * BLOCK).alias("words")), "quotas")
 
-    placed = with_positions(sized, ["key", "doc_id", "size"], ["source", "shard"], "at", "size")
+    placed = with_positions(sized, ["key", "doc_id", "size", *named], ["source", "shard"], "at", "size")
     at = F.col("at") - 1
     part = lambda words: F.least(F.col("size"), F.greatest(words - at, F.lit(0)))
     out = placed.alias("a").join(maybe_broadcast(given).alias("b"), same & (F.col("a.shard") == F.col("b.shard")))
     return out.select(
-        "doc_id", "a.source", "size", "source_size", "target", part(F.col("words")).alias("first"), part(F.col("words") - F.col("shard_size")).alias("second")
+        "doc_id", "a.source", "size", "source_size", "target", part(F.col("words")).alias("first"), part(F.col("words") - F.col("shard_size")).alias("second"),
+        *named[1:],
     )
 
 
@@ -126,12 +130,13 @@ def taken(df: DataFrame) -> DataFrame:
 def mixed(df: DataFrame) -> DataFrame:
     """The mix itself, with the columns of ``df``: a row for each pass that takes a document, ``text`` cut where a pass ends.
 
-    A cut keeps the white space between the words it keeps. Ids must be unique among the rows; documents without words
-    are not in a mix of words.
+    A cut keeps the white space between the words it keeps. Every row is taken and cut on its own, also those that share
+    an id or have none; documents without words are not in a mix of words.
     """
+    docs, row = with_rows(df, "documents")
     passes = F.filter(F.array("first", "second"), lambda n: n > 0)
-    found = mix(df).select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.explode(passes).alias("_take"))
-    rows = df.join(found, F.col("doc_id").eqNullSafe(F.col("_id")))
+    found = mix(docs, row).select(F.col("row").alias(row), F.col("size").alias("_size"), F.explode(passes).alias("_take"))
+    rows = docs.join(found, row)
     words = F.regexp_extract_all("text", F.lit(f"([\\x20\\x09-\\x0D]*{WORD})"), F.lit(1))
     cut = F.array_join(F.slice(words, 1, F.col("_take").cast("int")), "")
     text = F.when(F.col("_take") < F.col("_size"), cut).otherwise(F.col("text"))

@@ -81,6 +81,14 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_rows(df: DataFrame, name: str = "rows") -> tuple[DataFrame, str]:
+    """``df``, written, with a number for each row, and the name of that column, which ``df`` does not have."""
+    key, taken = "_row", {c.lower() for c in df.columns}
+    while key in taken:
+        key = "_" + key
+    return materialize(df.withColumn(key, F.monotonically_increasing_id()), name), key
+
+
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether ``df`` may be sent to every task. Reads at most ``max_rows + 1`` rows."""
     size = F.octet_length(F.to_json(F.struct("*")))

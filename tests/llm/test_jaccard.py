@@ -123,3 +123,12 @@ def test_no_text_beside_the_scans(table, words):
     df = table(corpus(words))
     plan = jaccard.jaccard_components(df)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_keep_first_goes_by_rows(table, words):
+    a, b, c = (words(k, 50) for k in (1, 2, 3))
+    rows = [(5, a), (5, b), (3, a), (6, c), (6, c), (7, ""), (7, ""), (7, "x"), (None, b), (None, c), (None, c)]
+    for parts in (1, 4):
+        kept = jaccard.keep_first(table(rows).repartition(parts))
+        got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+        assert got == sorted([(3, a), (5, b), (6, c), (7, ""), (7, "x"), (None, b), (None, c), (None, c)], key=str)

@@ -62,3 +62,20 @@ def test_no_python_in_the_plan(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     plan = mixing.taken(docs)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("MapInArrow", "Python", "Pandas"))
+
+
+def test_rows_that_share_an_id_are_taken_on_their_own(table):
+    text = lambda k, n: " ".join([f"t{k}"] * n)
+    rows = [(None, text(k, 20 + k), "en", "a") for k in range(4)] + [(1, text(8, 30), "en", "a"), (1, text(9, 30), "en", "a")]
+    rows += [(2, text(7, 10), "en", "a")] * 3 + [(3, text(6, 400), "en", "b")]
+    df = table(rows)
+    want = sum(r["taken"] for r in mixing.taken(df).collect())
+    texts = [r["text"].split() for r in mixing.mixed(df).collect()]
+    assert sum(map(len, texts)) == want
+    size = {}
+    for r in rows:
+        word = r[1].split()[0]
+        size[word] = size.get(word, 0) + 2 * len(r[1].split())
+    for word, most in size.items():
+        assert sum(t.count(word) for t in texts) <= most
+    assert mixing.mixed(df).columns == df.columns
