@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docspark.llm import chat, idfiles, jaccard, language, media, mixing, packing, pii, quality, warc
+from docspark.llm import chat, divergence, idfiles, jaccard, language, media, mixing, packing, pii, pstable, quality, subvectors, warc
 from docspark.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -71,3 +71,18 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op8_preferences", chat.ORACLE)
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return chat.neighbour_preferences(spark.read.parquet(f"{sf}/conversations.parquet"))
+
+
+@query("op11_subvector_kmeans", subvectors.ORACLE)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return subvectors.cluster(spark.read.parquet(f"{sf}/embeddings.parquet"))
+
+
+@query("op12_source_divergence", divergence.ORACLE)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.audit(spark.read.parquet(f"{sf}/documents.parquet"))
+
+
+@query("op13_pstable_vectors")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return pstable.near_vectors(spark.read.parquet(f"{sf}/embeddings.parquet"))
