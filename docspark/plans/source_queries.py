@@ -163,7 +163,27 @@ def q_read_xml_records(spark, sf):
 @query("read_xml_records_split", f"select '/customer/'||c_custkey as uri, '<m:customer>'||{CUSTOMER_ROW}||'</m:customer>' as text from customer")
 def q_read_xml_records_split(spark, sf):
     path = as_files(_aggregate_files(spark, sf), "xml")
-    docs = read_xml_records(spark, path, element="m:customer", uri_id="c_custkey", prefix="/customer/", split=True)
+    docs = read_xml_records(spark, path, split=True, **_RECORD)
+    # the declaration that a record takes from its root
+    return docs.select("uri", F.replace("text", F.lit(' xmlns:m="urn:docspark:m"'), F.lit("")).alias("text"))
+
+
+@query(
+    "read_xml_split_hostile",
+    """select '/customer/'||c_custkey as uri, '<m:customer xmlns:m="urn:docspark:m" id="'||c_custkey||'"><n><![CDATA[</m:customer> '||c_name
+ ||']]></n><!-- </m:customer> --><m:customer id="inner">'||c_mktsegment||'</m:customer></m:customer>' as text from customer""",
+)
+def q_read_xml_split_hostile(spark, sf):
+    """Blocks of files whose comments, CDATA sections and instructions hold what looks like records and their ends."""
+    c = table(spark, sf, "customer")
+    fake = F.lit('<?skip <m:customer id="instruction"> ?><!-- <m:customer id="comment"> -->')
+    body = F.concat(
+        fake,
+        F.format_string('<m:customer id="%d"><n><![CDATA[</m:customer> %s]]></n><!-- </m:customer> -->', "c_custkey", "c_name"),
+        F.format_string('<m:customer id="inner">%s</m:customer></m:customer>', "c_mktsegment"),
+    )
+    path = as_files(packed_files(c, body, ["c_custkey"], _XML_HEAD, "\n</m:set>\n", ".xml"), "xml-hostile")
+    docs = read_xml_records(spark, path, "customer", "urn:docspark:m", "@id", prefix="/customer/", split=True, block_bytes=8192)
     return docs.select("uri", "text")
 
 

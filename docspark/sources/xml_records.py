@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 from xml.parsers import expat
 from xml.sax.saxutils import escape
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 
 from docspark.functions.uri import file_path_of, uri_build
 from docspark.schema import to_docs
-from docspark.sources.files import text_lines
-from docspark.sources.numbering import number_in_split
-from docspark.sources.zipped import entry_rows, file_rows, stream_records
+from docspark.sources.files import list_files
+from docspark.sources.xml_blocks import read_blocks
+from docspark.sources.zipped import entry_rows, file_rows, open_file, stream_records
 
 NO_ID = "record without a URI id"
 _RECORD_DDL = "line bigint, col int, n bigint, raw_uri string, text string, reason string"
@@ -101,7 +102,8 @@ class _Records:
         )
         return head + declared + raw[len(head) :]
 
-    def feed(self, data: bytes, last: bool = False) -> Iterator[tuple]:
+    def cut(self, data: bytes, last: bool, skip: int = 0) -> Iterator[tuple]:
+        """(line, col, start, raw_uri, text) of the records that end in ``data``, but for those that start before byte ``skip``."""
         self.buffer += data
         error = None
         try:
@@ -109,17 +111,22 @@ class _Records:
         except expat.ExpatError as e:
             error = e
         for start, end, (line, col), outer, raw_uri in self.done:
-            self.n += 1
-            yield line, col, self.n, raw_uri, self._cut(start, end, outer), None
+            if start >= skip:
+                yield line, col, start, raw_uri, self._cut(start, end, outer)
         self.done = []
         if error is not None:
             raise error
         # only an open record still needs its bytes
-        keep = self.start if self.record_depth else self.parser.CurrentByteIndex
+        keep = self.start if self.record_depth and self.start >= skip else self.parser.CurrentByteIndex
         if 0 <= self.base < keep:
             del self.buffer[: keep - self.base]
             self.base = keep
 
+    def feed(self, data: bytes, last: bool = False) -> Iterator[tuple]:
+        for line, col, _, raw_uri, text in self.cut(data, last):
+            self.n += 1
+            yield line, col, self.n, raw_uri, text, None
+
 
 def _escape(text: str) -> str:
     return escape(text, {'"': "&quot;", "'": "&apos;"})
@@ -139,6 +146,15 @@ def _parser(element: str | None, ns: str | None, uri_id: str | None):
     return parse
 
 
+def _whole(parse, path: str) -> Iterator[tuple]:
+    """All records of a file, by one task."""
+    try:
+        with open_file(path) as stream:
+            yield from parse(stream, path, "")
+    except (zlib.error, EOFError, UnicodeDecodeError) as e:
+        yield 0, 0, 0, None, None, f"unreadable: {e}"
+
+
 def _to_documents(rows: DataFrame, uri_id: str | None, uri_options: dict) -> DataFrame:
     if uri_id is None:
         source = F.concat_ws("/", file_path_of(F.col("src_id")), F.nullif(F.col("sub_id"), F.lit("")))
@@ -162,44 +178,23 @@ def read_xml_records(
     pattern: str | None = None,
     zipped: bool = False,
     split: bool = False,
+    block_bytes: int | None = None,
     **uri_options,
 ) -> DataFrame:
     """Each ``element`` of namespace ``ns`` (default: the first child of the root) as one document, verbatim,
     with the namespaces in scope declared on it. ``uri_id`` is an element name or ``@attribute``; without it URIs
     are generated. A record without an id is rejected.
 
-    Default: a file (plain or ``.gz``) or zip entry is streamed by one task. ``split=True`` cuts files at the
-    literal end tag ``</element>`` and spreads one huge file over many tasks inside the JVM; ``element`` is
-    then the tag as written (prefix included) and must not nest; outer declarations are not copied.
+    Default: a file (plain or ``.gz``) or zip entry is streamed by one task. ``split=True`` gives the same rows and
+    rejects, but has a large file read by many tasks, in blocks of ``block_bytes`` (``spark.sql.files.maxPartitionBytes``). Compressed and
+    UTF-16 files, and zip entries, cannot be cut.
     """
-    if split:
-        return _read_split(spark, paths, element, uri_id, pattern, uri_options)
+    parse = _parser(element, ns, uri_id)
+    if split and not zipped:
+        make = lambda name, uri: _Records(name, uri, uri_id)
+        files = list_files(spark, paths, pattern).where(F.col("bytes_n") > 0).select("src_id", "bytes_n")
+        rows = read_blocks(files, element, ns, make, lambda path: _whole(parse, path), _RECORD_DDL, uri_id is None, block_bytes)
+        return _to_documents(rows, uri_id, uri_options)
     listing = entry_rows(spark, paths, pattern) if zipped else file_rows(spark, paths, pattern)
-    rows = stream_records(
-        listing, _parser(element, ns, uri_id), _RECORD_DDL, lambda why: (0, 0, 0, None, None, why)
-    )
-    return _to_documents(rows, uri_id, uri_options)
-
-
-def _read_split(spark: SparkSession, paths, element: str, uri_id: str, pattern: str | None, uri_options: dict) -> DataFrame:
-    if element is None or uri_id is None:
-        raise ValueError("split reading needs the element as written and a uri_id")
-    close, name = f"</{element}>", re.escape(element)
-    pieces = number_in_split(text_lines(spark, paths, pattern, lineSep=close))
-    pieces = pieces.select(F.concat("value", F.lit(close)).alias("piece"), "src_id", (F.col("block") + F.col("n")).alias("line"))
-    # a record without content ends in its start tag, and shares the piece of the next one
-    alone = rf"(?s)<{name}(?:\s[^<>]*)?/>|<{name}(?:\s[^<>]*[^/<>])?>.*"
-    parts = pieces.select("src_id", "line", F.posexplode(F.regexp_extract_all("piece", F.lit(f"({alone})"), F.lit(1))).alias("_k", "piece"))
-    body = F.col("piece")
-    local = re.escape(uri_id.lstrip("@"))
-    if uri_id.startswith("@"):
-        raw = F.regexp_extract(body, rf"(?s)\s(?:[\w.\-]+:)?{local}\s*=\s*[\"']([^\"']*)[\"']", 1)
-    else:
-        raw = F.regexp_extract(
-            body, rf"(?s)<(?:[\w.\-]+:)?{local}(?:\s[^>]*)?>\s*(?:<!\[CDATA\[)?(.*?)(?:\]\]>)?\s*</(?:[\w.\-]+:)?{local}>", 1
-        )
-    rows = parts.select(
-        "src_id", F.lit("").alias("sub_id"), "line", F.col("_k").alias("col"), F.lit(0).alias("n"),
-        raw.alias("raw_uri"), body.alias("text"), F.lit(None).cast("string").alias("reason"),
-    )
+    rows = stream_records(listing, parse, _RECORD_DDL, lambda why: (0, 0, 0, None, None, why))
     return _to_documents(rows, uri_id, uri_options)

@@ -236,6 +236,13 @@ class ChunkReader(io.RawIOBase):
         return n
 
 
+def open_file(path: str) -> io.BufferedReader:
+    """A file as a stream of bytes; ``.gz`` names are decompressed."""
+    f = open_input(path)
+    gz = path.lower().endswith((".gz", ".gzip"))
+    return io.BufferedReader(ChunkReader(gunzip_chunks(f) if gz else iter(lambda: f.read(_CHUNK), b"")), _CHUNK)
+
+
 def _size(value) -> int:
     if isinstance(value, str | bytes):
         return len(value)
@@ -259,14 +266,11 @@ def stream_records(
                 entry = getattr(row, "entry", "")
                 reason = entry_problem(row) if hasattr(row, "entry") else None
                 if reason is None:
-                    f = open_input(row.src_id)
                     if hasattr(row, "entry"):
-                        chunks = entry_chunks(f, row.offset, row.csize, row.method)
-                    elif row.src_id.lower().endswith((".gz", ".gzip")):
-                        chunks = gunzip_chunks(f)
+                        chunks = entry_chunks(open_input(row.src_id), row.offset, row.csize, row.method)
+                        stream = io.BufferedReader(ChunkReader(chunks), _CHUNK)
                     else:
-                        chunks = iter(lambda f=f: f.read(_CHUNK), b"")
-                    stream = io.BufferedReader(ChunkReader(chunks), _CHUNK)
+                        stream = open_file(row.src_id)
                     try:
                         for rec in parse(stream, row.src_id, entry):
                             out.append((row.src_id, entry, *rec))
@@ -276,7 +280,7 @@ def stream_records(
                                 out, size = [], 0
                     except (zlib.error, EOFError, UnicodeDecodeError) as e:
                         reason = f"unreadable: {e}"
-                    f.close()
+                    stream.close()
                 if reason is not None and problem is not None:
                     out.append((row.src_id, entry, *problem(reason)))
         if out:
