@@ -10,13 +10,13 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_STEP = re.compile(r"(//?)((?:[\w.\-]+:)?(?:[\w.\-]+|\*))(?:\[(\d+)\])?")
+STEP = re.compile(r"(//?)((?:[\w.\-]+:)?(?:[\w.\-]+|\*))(?:\[(\d+)\])?")
 _LAST_ELEMENT = re.compile(r"(?:^|/)(?:[\w.\-]+:)?(?:[\w.\-]+|\*)(?:\[[^\[\]]*\])?$")
 
 
 def is_element_path(path: str) -> bool:
     """Whether a path has steps of ``/name``, ``//name``, ``*`` and ``[n]`` only, so that it selects elements."""
-    return bool(path) and _STEP.sub("", path) == ""
+    return bool(path) and STEP.sub("", path) == ""
 
 
 def value_path(path: str) -> str:
@@ -34,7 +34,7 @@ def select(document, path: str, namespaces: Mapping[str, str] | None = None) ->
         raise ValueError(f"unsupported path {path}")
     bound = namespaces or {}
     found = [document]
-    for axis, name, index in _STEP.findall(path):
+    for axis, name, index in STEP.findall(path):
         prefix, _, local = name.rpartition(":")
         nodes = []
         for node in found:

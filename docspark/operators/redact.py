@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Iterable
-from xml.dom import minidom
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docspark.functions.tree import is_element_path, select, texts_of, written
+from docspark.functions.spans import IN_DOUBLE, IN_SINGLE, JSON_STEP, JSON_STRING, XML_TEXT, json_edits, xml_edits
+from docspark.functions.tree import is_element_path
 from docspark.runtime import ship
 
 KINDS = ("mask", "regex", "hash", "conceal")
@@ -33,115 +33,79 @@ def _expression(c: Column, rule: dict) -> Column:
     return F.lit(None).cast("string")
 
 
-_JSON_STEP = re.compile(r"\.([A-Za-z_][\w\-]*)|\['([^']*)'\]|\[(\*)\]")
-
-
 def _type_of(path: str) -> str:
     """Type of the documents a rule's path is for; a path that cannot be followed is an error."""
     element, _, attribute = path.partition("/@")
     if path[:1] == "/" and is_element_path(element) and (not attribute or re.fullmatch(r"[\w.\-:]+", attribute)):
         return "XML"
-    if path[:1] == "$" and len(path) > 1 and _JSON_STEP.sub("", path) == "$":
+    if path[:1] == "$" and len(path) > 1 and JSON_STEP.sub("", path) == "$":
         return "JSON"
     raise ValueError(f"rule path cannot be followed: {path}")
 
 
-class _Xml:
-    """What a rule may change in an XML document: texts below the elements, or attributes, that its path selects."""
-
-    def __init__(self, text: str, path: str, namespaces: dict):
-        self.text, self.document = text, minidom.parseString(text.encode())
-        element, _, self.attribute = path.partition("/@")
-        self.nodes = select(self.document, element, namespaces)
-        if self.attribute:
-            self.nodes = [n for n in self.nodes if n.hasAttribute(self.attribute)]
-            return
-        parts = [t for n in self.nodes for t in texts_of(n)]
-        self.parts = [t for t in dict.fromkeys(parts) if t.data.strip()]
-
-    def values(self) -> list[str]:
-        return [n.getAttribute(self.attribute) for n in self.nodes] if self.attribute else [t.data for t in self.parts]
-
-    def put(self, values: list[str]) -> str:
-        for at, value in zip(self.nodes if self.attribute else self.parts, values, strict=True):
-            if self.attribute:
-                at.setAttribute(self.attribute, value or "")
-            else:
-                # an escaped text in place of a CDATA section, which could not hold every value
-                at.parentNode.replaceChild(self.document.createTextNode(value or ""), at)
-        return written(self.document, self.text)
-
-    def conceal(self) -> str:
-        for node in self.nodes:
-            if self.attribute:
-                node.removeAttribute(self.attribute)
-            elif node is self.document.documentElement:
-                raise ValueError("a rule cannot remove the root of a document")
-            elif node.parentNode is not None:
-                node.parentNode.removeChild(node)
-        return written(self.document, self.text)
-
-
-class _Json:
-    """What a rule may change in a JSON document: all scalars at or below what its path selects."""
-
-    def __init__(self, text: str, path: str, namespaces: dict):
-        self.root = [json.loads(text)]
-        found = [(self.root, 0)]
-        for name, quoted, each in _JSON_STEP.findall(path):
-            inner = [(holder[key]) for holder, key in found]
-            if each:
-                found = [(x, k) for x in inner if isinstance(x, list) for k in range(len(x))]
-            else:
-                # a name inside a list means that of its members
-                members = [m for x in inner for m in (x if isinstance(x, list) else [x])]
-                found = [(x, name or quoted) for x in members if isinstance(x, dict) and (name or quoted) in x]
-        self.found = found
-        self.parts = [p for holder, key in found for p in self._scalars(holder, key)]
-
-    def _scalars(self, holder, key) -> list[tuple]:
-        value = holder[key]
-        if isinstance(value, dict | list):
-            keys = value if isinstance(value, dict) else range(len(value))
-            return [p for k in keys for p in self._scalars(value, k)]
-        return [] if value is None else [(holder, key)]
-
-    def values(self) -> list[str]:
-        return [v if isinstance(v := holder[key], str) else json.dumps(v) for holder, key in self.parts]
-
-    def _text(self) -> str:
-        return json.dumps(self.root[0], ensure_ascii=False, separators=(",", ":"))
-
-    def put(self, values: list[str]) -> str:
-        for (holder, key), value in zip(self.parts, values, strict=True):
-            holder[key] = value
-        return self._text()
-
-    def conceal(self) -> str:
-        for holder, key in reversed(self.found):
-            del holder[key]
-        return self._text()
-
-
-def _in_path(text: Column, rule: dict) -> Column:
-    """Apply a rule to all that its path selects. Values are taken out and put back by a parser, changed in the JVM."""
-    parser, path, bound = (_Xml if _type_of(rule["path"]) == "XML" else _Json), rule["path"], dict(rule.get("namespaces") or {})
-
-    @F.pandas_udf("array<string>")
-    def taken(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else parser(t, path, bound).values())
-
-    @F.pandas_udf("string")
-    def put(texts: pd.Series, values: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None or not len(v) else parser(t, path, bound).put(list(v)) for t, v in zip(texts, values)], dtype=object)
-
-    @F.pandas_udf("string")
-    def without(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else parser(t, path, bound).conceal())
-
-    if rule["kind"] == "conceal":
-        return without(text)
-    return put(text, F.transform(taken(text), lambda v: _expression(v, rule)))
+_FOUND = "pieces array<string>, parts array<struct<value: string, form: int, rules: array<int>>>"
+
+
+def _finder(kind: str, rules: list[tuple]):
+    """A column function: what the rules select of each text, and the pieces of the text around it; null if nothing."""
+    edits = xml_edits if kind == "XML" else json_edits
+
+    @F.pandas_udf(_FOUND)
+    def find(texts: pd.Series) -> pd.DataFrame:
+        found = [None if t is None else edits(t, rules).pieces() for t in texts]
+        return pd.DataFrame(
+            {
+                "pieces": pd.Series([None if f is None else f[0] for f in found], dtype=object),
+                "parts": pd.Series([None if f is None else [{"value": v, "form": form, "rules": of} for v, form, of in f[1]] for f in found], dtype=object),
+            }
+        )
+
+    return find
+
+
+def _changed(parts: Column, number: int, rule: dict) -> Column:
+    def one(x: Column) -> Column:
+        mine = F.array_contains(x["rules"], number) & ((x["form"] != XML_TEXT) | (F.trim(x["value"]) != ""))
+        value = F.when(mine, F.coalesce(_expression(x["value"], rule), F.lit(""))).otherwise(x["value"])
+        return F.struct(value.alias("value"), x["form"].alias("form"), x["rules"].alias("rules"))
+
+    return F.transform(parts, one)
+
+
+def _escaped(value: Column, *marks: tuple[str, str]) -> Column:
+    for plain, mark in (("&", "&amp;"), ("<", "&lt;"), *marks):
+        value = F.replace(value, F.lit(plain), F.lit(mark))
+    return value
+
+
+def _written(x: Column) -> Column:
+    """A value as it stands in its place."""
+    white = ("\n", "&#10;"), ("\t", "&#9;"), ("\r", "&#13;")
+    quoted = F.to_json(F.struct(x["value"].alias("v")))
+    return (
+        F.when(x["form"] == JSON_STRING, F.substr(quoted, F.lit(6), F.length(quoted) - 6))
+        .when(x["form"] == IN_DOUBLE, _escaped(x["value"], ('"', "&quot;"), *white))
+        .when(x["form"] == IN_SINGLE, _escaped(x["value"], ("'", "&apos;"), *white))
+        .otherwise(_escaped(x["value"], (">", "&gt;"), white[2]))
+    )
+
+
+def _in_paths(text: Column, kind: str, rules: list[dict]) -> Column:
+    """Apply all rules of one type of documents. A parser finds places and values, once; the JVM changes them."""
+    numbered = [(n, r["path"], r["kind"] == "conceal", dict(r.get("namespaces") or {})) for n, r in enumerate(rules)]
+    found = _finder(kind, numbered)(text)
+
+    def put(f: Column) -> Column:
+        parts = f["parts"]
+        for n, rule in enumerate(rules):
+            if rule["kind"] != "conceal":
+                parts = _changed(parts, n, rule)
+        values = F.concat(F.transform(parts, _written), F.array(F.lit("")))
+        return F.array_join(F.flatten(F.zip_with(f["pieces"], values, lambda p, v: F.array(p, v))), "")
+
+    # the parser's result stands once in the plan
+    whole = F.get(F.transform(F.array(found), lambda f: F.when(f["pieces"].isNull(), F.lit(None).cast("string")).otherwise(put(f))), F.lit(0))
+    return F.coalesce(whole, text)
 
 
 def redact(docs: DataFrame, rules: Iterable[dict], others: str = "raise") -> DataFrame:
@@ -151,7 +115,9 @@ def redact(docs: DataFrame, rules: Iterable[dict], others: str = "raise") -> Dat
     A path that begins with ``/`` is for XML: steps of ``/name``, ``//name``, ``*`` and ``[n]``, at the end perhaps
     ``/@name``; prefixes are bound by the rule's ``namespaces``. The rule changes every text below the elements it
     selects. A path that begins with ``$`` is for JSON: ``.name``, ``['name']`` and ``[*]``; the rule changes every
-    scalar at or below it. Nothing passes unseen: a path that cannot be followed, a document that does not parse, and a
+    scalar at or below it. All that is not selected stays byte for byte; a changed element loses the comments and
+    processing instructions below it and has double quotes in its start tag, a CDATA section becomes escaped text, and an
+    element left without content an empty tag. Nothing passes unseen: a path that cannot be followed, a document that does not parse, and a
     document of a type that no path is for, are errors; ``others="keep"`` lets the last pass.
     """
     rules = list(rules)
@@ -170,11 +136,13 @@ def redact(docs: DataFrame, rules: Iterable[dict], others: str = "raise") -> Dat
         message = F.concat(F.lit(f"redaction rules are for {' and '.join(covered)}, but a document is of "), kind)
         stop = F.col("text").isNotNull() & ~kind.isin(*covered)
         docs = docs.withColumn("text", F.when(stop, F.raise_error(message).cast("string")).otherwise(F.col("text")))
-    for rule in rules:
-        if "path" in rule:
-            mine = F.col("content_type") == _type_of(rule["path"])
-            changed = _in_path(F.when(mine, F.col("text")), rule)
+    # rules of one type of documents that follow each other are applied together
+    for of, some in groupby(rules, key=lambda r: _type_of(r["path"]) if "path" in r else None):
+        if of is not None:
+            mine = F.col("content_type") == of
+            changed = _in_paths(F.when(mine, F.col("text")), of, list(some))
             docs = docs.withColumn("text", F.when(mine, changed).otherwise(F.col("text")))
-        else:
+            continue
+        for rule in some:
             docs = docs.withColumn(rule["column"], _expression(F.col(rule["column"]).cast("string"), rule))
     return docs

@@ -122,6 +122,39 @@ def q_redact_json(spark, sf):
     return docs.select("line", at("c_name").alias("name"), at("c_mktsegment").alias("segment"), at("c_acctbal").isNotNull().alias("has_balance"))
 
 
+_VERBATIM_JSON = ('{ "id" :%1$d,\t"n":1.10, "big":12345678901234567890.123456789,"name": ', '%2$s', ' , "n":1e400, "s":"\\u00e9\\/" }')
+_VERBATIM_XML = ("<?xml version='1.0'?>\n<c  id = '%1$d'><!-- kept --><k a='>'>&#65;&amp;<![CDATA[%3$s]]></k ><name>", "%2$s", "<!--%2$s--></name><name/></c >")
+
+
+def _verbatim_sql(parts, kind, value):
+    head, _, tail = parts
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    text = " || ".join([quote(head), value, quote(tail)])
+    for mark, column in (("%1$d", "c_custkey::varchar"), ("%3$s", "c_mktsegment")):
+        text = f"replace({text}, '{mark}', {column})"
+    return f"select '/'||c_custkey as uri, {text} as text from customer where c_nationkey % 2 = {kind}"
+
+
+@query(
+    "redact_verbatim",
+    _verbatim_sql(_VERBATIM_JSON, 0, "'\"'||regexp_replace(c_name, '[A-Za-z0-9]', '#', 'g')||'\"'")
+    + " union all "
+    + _verbatim_sql((*_VERBATIM_XML[:2], "</name><name/></c >"), 1, "regexp_replace(c_name, '[A-Za-z0-9]', '#', 'g')"),
+)
+def q_redact_verbatim(spark, sf):
+    """Numbers, repeated names, quotes, entities and white space beside what a rule selects stay as they stand."""
+    c = table(spark, sf, "customer")
+    columns = [F.col("c_custkey"), F.col("c_name"), F.col("c_mktsegment")]
+    is_json = F.col("c_nationkey") % 2 == 0
+    as_json = F.format_string(f'{_VERBATIM_JSON[0]}"{_VERBATIM_JSON[1]}"{_VERBATIM_JSON[2]}', *columns)
+    text = F.when(is_json, as_json).otherwise(F.format_string("".join(_VERBATIM_XML), *columns))
+    docs = to_docs(
+        c, uri=F.concat(F.lit("/"), F.col("c_custkey").cast("string")), text=text, content_type=F.when(is_json, F.lit("JSON")).otherwise(F.lit("XML"))
+    )
+    rules = [{"path": "$.name", "kind": "mask"}, {"path": "$.none", "kind": "conceal"}, {"path": "/c/name", "kind": "mask"}]
+    return redact(docs, rules).select("uri", "text")
+
+
 @query("read_csv_many_headers", "select '/h/'||c_custkey as uri, c_name as name from customer where c_custkey <= 210")
 def q_read_csv_many_headers(spark, sf):
     """A header of its own in every file."""
