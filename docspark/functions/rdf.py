@@ -35,7 +35,7 @@ def blank_node_iri(label: Column, file: Column, salt: str) -> Column:
 def unescape(lexical: Column) -> Column:
     """Resolve the string escapes of a literal or IRI."""
     quoted = F.concat(F.lit('{"v":"'), F.replace(lexical, F.lit("\\'"), F.lit("'")), F.lit('"}'))
-    return F.when(lexical.contains("\\"), F.from_json(quoted, "v string")["v"]).otherwise(lexical)
+    return F.when(lexical.contains("\\"), F.from_json(quoted, "v string", {"allowUnquotedControlChars": "true"})["v"]).otherwise(lexical)
 
 
 def resource(term: Column, file: Column, salt: str) -> Column:

@@ -284,6 +284,22 @@ def q_read_nquads(spark, sf):
     return flat_triples(read_nquads(spark, path))
 
 
+@query(
+    "read_rdf_control_chars",
+    f"""select 'urn:c:'||c_custkey as s, hex(encode(c_name||chr(1)||'b'||chr(1)||'"'||chr(127)||c_mktsegment)) as o,
+ case when c_nationkey % 2 = 0 then 'urn:g' else '' end as graph, null::varchar as skip_reason from customer""",
+)
+def q_read_rdf_control_chars(spark, sf):
+    """Literals that hold control characters come out whole, whatever stands beside them."""
+    c = table(spark, sf, "customer")
+    graph = F.when(F.col("c_nationkey") % 2 == 0, F.lit(" <urn:g>")).otherwise(F.lit(""))
+    line = F.concat(
+        F.format_string('<urn:c:%d> <urn:p> "', "c_custkey"), "c_name", F.lit('\u0001b\u0001\\"\u007f'), "c_mktsegment", F.lit('"'), graph, F.lit(" .")
+    )
+    triples = read_nquads(spark, text_dir(c, line, "rdf-control"))
+    return triples.select("s", F.hex("o").alias("o"), F.coalesce("graph", F.lit("")).alias("graph"), "skip_reason")
+
+
 @query("read_rdf_json", f"select s, p, o, datatype, lang, '' as graph from {CUSTOMER_TRIPLES}")
 def q_read_rdf_json(spark, sf):
     entry = F.format_string(

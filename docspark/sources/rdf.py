@@ -28,9 +28,12 @@ def parse_statements(lines: DataFrame, salt: str = "", quads: bool | Column = Tr
     blank = F.col("value").isNull() | F.col("value").rlike(r"^\s*(#.*)?$")
     lines = lines.withColumn("_known", known).withColumn("_quads", quads if isinstance(quads, Column) else F.lit(quads))
     lines = lines.where(~blank | F.col("_known").isNotNull())
-    # one match per line gives all four terms, set apart by a character that no term can hold
-    all_terms = F.regexp_replace("value", NQUAD, "$1\u0001$2\u0001$3\u0001$4")
-    found = F.when(F.col("value").rlike(NQUAD), F.split(all_terms, "\u0001"))
+    # one match per line gives all four terms, set apart by a character that the line does not hold; without a match
+    # the line stays whole, and is one piece
+    mark = "\u0001"
+    at_once = F.split(F.regexp_replace("value", NQUAD, mark.join(["$1", "$2", "$3", "$4"])), mark)
+    one_by_one = F.array(*[F.regexp_extract("value", NQUAD, i) for i in range(1, 5)])
+    found = F.when(F.col("value").contains(mark), one_by_one).otherwise(F.when(F.size(at_once) == 4, at_once))
     lines = lines.withColumn("_terms", found)
 
     def term(i: int) -> Column:

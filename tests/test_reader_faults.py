@@ -105,3 +105,10 @@ def test_zip_of_mixed_statements(spark, tmp_path):
     assert {(r["o"], r["lang"]) for r in good if r["o_type"] == "literal"} == {('a "q"\n\\', "en")}
     bad = {r["sub_id"] or "bad.zip" for r in rows if r["skip_reason"] is not None}
     assert bad == {"a.nt", "d.rj", "e.ttl", "bad.zip"}
+
+
+def test_literals_with_control_characters(spark, nested):
+    top = nested("c.nq", '<u:s> <u:p> "a\x01b" .\n<u:s> <u:p> "\x01x\x01\x01" <u:g> .\n<u:s> <u:p> "y" <u:g\x01> .\n<u:s> <u:p> "z\x02\\n" .\n<u:s> <u:p> z\x01 .\nz\n')
+    rows = read_nquads(spark, top).collect()
+    assert sorted((r["o"], r["graph"]) for r in rows if r["skip_reason"] is None) == [("\x01x\x01\x01", "u:g"), ("a\x01b", None), ("z\x02\n", None)]
+    assert len([r for r in rows if r["skip_reason"]]) == 3
