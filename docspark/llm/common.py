@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,3 +130,31 @@ def narrowed(df: DataFrame, **kinds: str) -> DataFrame:
     """Only the named columns, cast; what else the table has, under whatever names, is left out."""
     return df.select(*[df[f"`{name}`"].cast(kind).alias(name) for name, kind in kinds.items()])
 
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores in front until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on between tasks, and its memory counts beside the JVM's."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def releasing(run):
+    """``run`` over the batches of a task, and the memory it freed given back when it ends."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return wrapped

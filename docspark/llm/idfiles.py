@@ -208,49 +208,52 @@ class Reader:
         self.file.close()
 
 
-def _in_ranges(df: DataFrame) -> list[int] | None:
-    """Partitions of ``df`` in the order of their ids, if no two overlap; None if the rows have to be dealt by id."""
-    spans = (
-        df.select("doc_id")
-        .groupBy(F.spark_partition_id().alias("part"))
-        .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.col("doc_id")).alias("n"), F.count(F.lit(1)).alias("rows"))
-        .collect()
-    )
-    spans.sort(key=lambda s: (s["lo"] is not None, s["lo"], s["hi"]))
-    if any(s["n"] < s["rows"] for s in spans) or any(a["hi"] > b["lo"] for a, b in zip(spans, spans[1:], strict=False)):
-        return None
-    return [s["part"] for s in spans]
+def _apart(spans: DataFrame) -> bool:
+    """Whether spans (lo, hi, nulls, rows) of partitions do not overlap: null ids, which come first, alone in one of them."""
+    found = spans.collect()  # a row per partition
+    found.sort(key=lambda s: (s["nulls"] == 0, s["lo"] is not None, s["lo"], s["hi"]))
+    ends = [s for s in found if s["lo"] is not None]
+    return sum(s["nulls"] > 0 for s in found) < 2 and all(a["hi"] <= b["lo"] for a, b in zip(ends, ends[1:], strict=False))
 
 
-def write_ids(df: DataFrame, path: str, tokenizer: str, end: int = END) -> DataFrame:
-    """Write the ids of (doc_id, text) in ascending doc_id to files below ``path``, one per partition.
-
-    Returns a row per file: path, part (their order), n_docs, n_ids. Tables that lie in ranges of ids already, as most
-    do, are not shuffled; others are dealt by ranges first. A task writes under a name of its own and moves the file
-    into place, so that a repeated task replaces its file. A null text is empty; null ids come first.
-    """
-    docs = narrowed(df, doc_id="bigint", text="string")
-    order = _in_ranges(docs)
-    if order is None:
-        docs = docs.repartitionByRange("doc_id")
-    place = {part: k for k, part in enumerate(order)} if order is not None else None
-
+def _written(docs: DataFrame, path: str, tokenizer: str, end: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        part = context.partitionId() if place is None else place.get(context.partitionId())
-        encode, writer, file = encoder(tokenizer).encode, None, ""
-        stop = np.array([end], np.uint32)
+        encode, writer, stop = encoder(tokenizer).encode, None, np.array([end], np.uint32)
+        file = f"{path}/part-{context.partitionId():06d}.ids"
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 if writer is None:
-                    file = f"{path}/part-{part:06d}.ids"
                     writer = Writer(file, f"{context.stageId()}-{context.taskAttemptId()}")
                 writer.add(doc_id, np.concatenate([encode(text.as_py() or ""), stop]))
         if writer is not None:
             writer.close()
-            yield pa.RecordBatch.from_pydict({"path": [file], "part": [part], "n_docs": [len(writer.counts)], "n_ids": [sum(writer.counts)]})
+            known = [d for d in writer.doc_ids if d is not None]
+            sizes = {"nulls": len(writer.doc_ids) - len(known), "rows": len(writer.doc_ids), "n_ids": sum(writer.counts)}
+            row = {"path": file, "lo": min(known, default=None), "hi": max(known, default=None), **sizes}
+            yield pa.RecordBatch.from_pydict({k: pa.array([v], pa.string() if k == "path" else pa.int64()) for k, v in row.items()})
+
+    ordered = docs.sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    return materialize(ordered.mapInArrow(run, "path string, lo long, hi long, nulls long, rows long, n_ids long"), "id-files")
 
-    return materialize(docs.sortWithinPartitions(F.col("doc_id").asc_nulls_first()).mapInArrow(run, "path string, part long, n_docs long, n_ids long"), "id-files")
+
+def write_ids(df: DataFrame, path: str, tokenizer: str, end: int = END) -> DataFrame:
+    """Write the ids of (doc_id, text) in ascending doc_id to files below ``path``, one per partition.
+
+    Returns a row per file: path, part (their order), n_docs, n_ids. Tables that lie in ranges of ids already, as most
+    do, are not shuffled; others are dealt by ranges first. The order of files is that of the ids that their tasks
+    wrote. A task writes under a name of its own and moves the file into place, so that a repeated task replaces its
+    file. A null text is empty; null ids come first; an empty table gives no file; other columns are ignored.
+    """
+    docs = narrowed(df, doc_id="bigint", text="string")
+    ids = docs.select("doc_id").groupBy(F.spark_partition_id().alias("part"))
+    spans = ids.agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
+    files = _written(docs, f"{path}/as-is", tokenizer, end) if _apart(spans) else None
+    if files is None or not _apart(files):
+        # also where the plan with texts has other partitions than that of the ids alone
+        files = _written(docs.repartitionByRange(F.col("doc_id").asc_nulls_first()), f"{path}/by-range", tokenizer, end)
+    order = Window.orderBy(F.col("nulls") == 0, F.col("lo").asc_nulls_first(), "hi", "path")  # a row per file
+    return files.select("path", (F.row_number().over(order) - 1).cast("long").alias("part"), F.col("rows").alias("n_docs"), "n_ids")
 
 
 def read_ids(files: DataFrame) -> DataFrame:

@@ -10,9 +10,12 @@ How it runs:
 4. links are first sought between each class and one hub per short list, which joins dense groups without making
    all their pairs. Then T-occurrence search finds every pair of classes that is not joined yet: a class's short lists
    are heap-merged, and what occurs in them is probed in the remaining, long lists by binary search (DivideSkip);
-5. components come from the links by large-star and small-star steps.
+5. components come from the links by large-star and small-star steps;
+6. all links lie inside components, so each component's classes are compared once more, to count every class's links:
+   in cells of two parts of the component, as products of blocks of the indicator matrix (class, shingle). No pair leaves a cell.
 
-Hashes have 64 bits; two different sets that agree in 64 bits would count as equal.
+Sets are told apart by 64-bit hashes, and shingles are compared by the 48 leading bits of theirs: two that agree in
+those would count as equal.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import buffers, groups, mix, narrowed, windows, words
+from docspark.llm.common import buffers, groups, mix, narrowed, release, releasing, windows, words
 from docspark.runtime import materialize, maybe_broadcast, with_rows
 
 SHINGLE = 5
@@ -39,6 +42,8 @@ BLOCK = 4 << 20
 FREQUENT, LEAST_FREQUENT = 1000, 1000
 #: Rows per file of the small tables between the steps.
 ROWS = 250_000
+#: Classes of a part of a component, and shingles of a block, when links are counted.
+PART, COLUMNS = 256, 4096
 #: Entries of a list that one merge takes; longer lists are cut by candidate.
 LIST = 4096
 _CUT = np.uint64(16)
@@ -116,7 +121,7 @@ def _pack(token: np.ndarray, cls: np.ndarray, n: np.ndarray) -> bytes:
     return np.array([len(token), len(kinds)], np.int64).tobytes() + kinds.tobytes() + sizes.tobytes() + planes + of.astype(of_kind).tobytes()
 
 
-def _unpack(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(raw: pa.Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, k = np.frombuffer(raw, np.int64, 2)
     at = 16
     kinds = np.frombuffer(raw, np.int64, k, at)
@@ -165,8 +170,9 @@ def _lists(shards: int, frequent: np.ndarray, counts: np.ndarray):
     """The postings of one shard whose list holds two classes or more: (cls, n, token, df)."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        parts = [_unpack(x.as_py()) for x in table.column("packed")]
+        parts = [_unpack(x.as_buffer()) for x in table.column("packed")]
         token, cls, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
         order = np.lexsort((cls, token))
         token, cls, n = token[order], cls[order], n[order]
         new = np.ones(len(token), bool)
@@ -178,7 +184,7 @@ def _lists(shards: int, frequent: np.ndarray, counts: np.ndarray):
             at = np.flatnonzero(np.diff(token, prepend=token[0] + np.uint64(1)))
             df = np.repeat(np.diff([*at, len(token)]), np.diff([*at, len(token)]))
         shared = df > 1
-        return pa.table(
+        made = pa.table(
             {
                 "cls": pa.array(cls[shared], pa.int64()),
                 "n": pa.array(n[shared].astype(np.int64)),
@@ -186,6 +192,9 @@ def _lists(shards: int, frequent: np.ndarray, counts: np.ndarray):
                 "df": pa.array(df[shared].astype(np.int64)),
             }
         )
+        del token, cls, n, new, order, df
+        release()
+        return made
 
     return run
 
@@ -259,7 +268,7 @@ def verify(pairs: DataFrame, index: DataFrame) -> DataFrame:
             keep = pa.array(ok)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(releasing(run), "a long, b long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -347,21 +356,90 @@ def occurrences(prefix: DataFrame, labels: DataFrame | None) -> DataFrame:
                 b += found
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return merged.select("a", "n_a", "lists").mapInArrow(run, "a long, b long")
+    return merged.select("a", "n_a", "lists").mapInArrow(releasing(run), "a long, b long")
+
+
+def _overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets, for each pair of a left and a right one."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    token, column = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    total = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, len(token), COLUMNS):
+        a, b = np.searchsorted(column, [lo, lo + COLUMNS])
+        block = np.zeros((len(sets), COLUMNS), np.float32)
+        block[owner[a:b], column[a:b] - lo] = 1
+        # counts below 2^24 are exact
+        total += block[left] @ block[right].T
+    return total.astype(np.int64)
+
+
+def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(cls, links) of cells of a component, whose rows lie together: documents of other classes that each class links to."""
+    held: list[dict] = []
+
+    def count() -> pa.RecordBatch:
+        part = np.array([r["part"] for r in held])
+        left, right = np.flatnonzero(part == held[0]["first"]), np.flatnonzero(part == held[0]["second"])
+        n, docs = np.array([r["n"] for r in held]), np.array([r["docs"] for r in held])
+        shared = _overlaps([r["tokens"] for r in held], left, right)
+        linked = 100 * shared >= PERCENT * (n[left][:, None] + n[right][None, :] - shared)
+        links = np.zeros(len(held), np.int64)
+        if held[0]["first"] == held[0]["second"]:
+            np.fill_diagonal(linked, False)
+            links[left] = linked @ docs[right]
+        else:
+            links[left] = linked @ docs[right]
+            links[right] += docs[left] @ linked
+        cls = pa.array([r["cls"] for r in held], pa.int64())
+        return pa.RecordBatch.from_arrays([cls, pa.array(links)], ["cls", "links"])
+
+    names = ["component", "first", "second", "part", "cls", "n", "docs"]
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in names]
+        for row, tokens in zip(zip(*columns, strict=True), batch.column("tokens"), strict=True):
+            r = dict(zip(names, row, strict=True), tokens=tokens.values.to_numpy())
+            if held and any(r[c] != held[0][c] for c in names[:3]):
+                yield count()
+                held = []
+            held.append(r)
+    if held:
+        yield count()
+
+
+def link_counts(index: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(cls, links): the documents of other classes that link to each class of a component.
+
+    ``classes`` has the number of documents of each class. A component is cut into parts of about ``PART`` classes and
+    every two parts, or one, are a cell, so that no task holds a component.
+    """
+    named = labels.select(F.col("node").alias("cls"), "component")
+    sizes = named.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("parts"))
+    large = maybe_broadcast(materialize(sizes.filter("parts > 1"), "large-components"))
+    rows = index.join(named, "cls").join(classes.select("cls", "docs"), "cls").join(large, "component", "left")
+    rows = rows.withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("cls"), "parts").cast("int"))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.withColumn("first", F.least("part", "with")).withColumn("second", F.greatest("part", "with"))
+    cell = ["component", "first", "second"]
+    dealt = rows.select(*cell, "part", "cls", "n", "docs", "tokens").repartition(*cell).sortWithinPartitions(*cell)
+    return dealt.mapInArrow(releasing(_cell_links), "cls long, links long").groupBy("cls").agg(F.sum("links").alias("links"))
+
 
+def jaccard_components(df: DataFrame, links: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) of (doc_id, text): texts that share 75 % of their 5-word shingles, chained.
 
-def jaccard_components(df: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of (doc_id, text): texts that share 75 % of their 5-word shingles, chained.
+    ``n_links`` counts the other rows that a row links to directly, equal texts among them.
 
     Texts without words (or null) have no shingle and no link; their component is their own id. Repeated rows each
     get a row. A null id takes part through its text; ``component_id`` is the smallest id that is not null. Other
-    columns are ignored; an empty table gives an empty result.
+    columns are ignored; an empty table gives an empty result. ``links=False`` leaves ``n_links`` out.
     """
     spark = df.sparkSession
     docs = narrowed(df, doc_id="bigint", text="string")
-    made = materialize(docs.mapInArrow(_texts, "doc_id long, cls long, n long, token long, seen long"), "shingles")
+    made = materialize(docs.mapInArrow(releasing(_texts), "doc_id long, cls long, n long, token long, seen long"), "shingles")
     texts = made.filter("token is null").select("doc_id", "cls", "n")
-    classes = texts.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"))
+    classes = texts.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.count(F.lit(1)).alias("docs"))
     n_texts, postings = texts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-postings // SHARD))
     # at most FREQUENT shingles per average set of texts can be this frequent, however large the table
@@ -371,7 +449,7 @@ def jaccard_components(df: DataFrame) -> DataFrame:
     order = np.argsort(token)
     frequent, counts = token[order], np.array([r["seen"] for r in often], np.int64)[order]
 
-    packed = docs.select("text").mapInArrow(_postings(shards, frequent), "shard long, packed binary")
+    packed = docs.select("text").mapInArrow(releasing(_postings(shards, frequent)), "shard long, packed binary")
     lists = packed.groupBy("shard").applyInArrow(_lists(shards, frequent, counts), "cls long, n long, token long, df long")
     index = lists.groupBy("cls").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("by"))
     index = index.filter(F.size("by") >= least_overlap(F.col("n")))
@@ -386,17 +464,22 @@ def jaccard_components(df: DataFrame) -> DataFrame:
     labels = None
     for search in ("first", "last", "all"):
         pairs = occurrences(prefix, labels).distinct() if search == "all" else _hub_pairs(prefix, labels, search)
-        links = verify(few(pairs, rows, "pairs"), index)
+        found = verify(few(pairs, rows, "pairs"), index)
         if labels is not None:
-            links = links.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        labels = few(components(links), rows, "labels")
+            found = found.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        labels = few(components(found), rows, "labels")
 
     joined = classes.join(labels.select(F.col("node").alias("cls"), "component"), "cls", "left")
+    if links:
+        joined = joined.join(link_counts(index, classes, labels), "cls", "left").withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("docs") - 1)
     joined = joined.withColumn("component", F.coalesce("component", "cls"))
     least = joined.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = materialize(joined.join(least, "component").select("cls", "component_id"), "classes")
+    counts = ["n_links"] if links else []
+    named = materialize(joined.join(least, "component").select("cls", "component_id", *counts), "classes")
     out = texts.join(named, "cls", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    has = F.col("n") > 0
+    own = F.when(has, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), own, *[F.when(has, F.col(c)).otherwise(F.lit(0)).alias(c) for c in counts])
 
 
 def keep_first(df: DataFrame) -> DataFrame:
@@ -404,16 +487,22 @@ def keep_first(df: DataFrame) -> DataFrame:
 
     Rows are compared by their texts, whatever their ids: of two different texts with one id both stay. Rows without an
     id always stay. Of texts without words, which have no links, those that repeat both id and text go. Text is not
-    shuffled where the rows that go are few enough to be sent to all tasks.
+    shuffled where the rows that go are few enough to be sent to all tasks. A null text has no words; an empty table gives
+    an empty one; columns of any name, also of the names used here, come back as they are.
     """
     rows, key = with_rows(df, "documents")
     # components of rows, not of ids
-    found = jaccard_components(narrowed(rows, **{key: "bigint", "text": "string"}).withColumnRenamed(key, "doc_id"))
+    found = jaccard_components(narrowed(rows, **{key: "bigint", "text": "string"}).withColumnRenamed(key, "doc_id"), links=False)
     found = found.select(F.col("doc_id").alias(key), "n_shingles", "component_id")
-    ids = rows.select(key, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash")).filter("_id is not null")
-    named = materialize(found.join(ids, key), "components")
+    ids = rows.filter("doc_id is not null").select(key, F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
+    # a group of rows is a component, or the texts without words that share an id and a text; all in plain numbers
     linked = F.col("n_shingles") > 0
-    group = [F.when(linked, F.col("component_id")), F.when(~linked, F.col("_id")), F.when(~linked, F.col("_hash"))]
-    firsts = named.groupBy(*group).agg(F.min(F.struct("_id", key)).alias("first")).select(F.col(f"first.{key}").alias(key))
+    one, two = F.when(linked, F.col("component_id")).otherwise(F.col("_id")), F.when(linked, F.lit(0)).otherwise(F.col("_hash"))
+    group = ["_linked", "_one", "_two"]
+    named = found.join(ids, key).select(key, "_id", linked.alias("_linked"), one.alias("_one"), two.alias("_two"))
+    named = materialize(named, "components")
+    # the least id, and of its rows the first
+    least = named.groupBy(*group).agg(F.min("_id").alias("_id"))
+    firsts = named.join(least, [*group, "_id"]).groupBy(*group).agg(F.min(key).alias(key)).select(key)
     gone = materialize(named.join(firsts, key, "left_anti").select(key), "copies")
     return rows.join(maybe_broadcast(gone), key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

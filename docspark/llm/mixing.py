@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docspark.llm.common import WORD, narrowed
+from docspark.llm.common import WORD, fresh, narrowed
 from docspark.runtime import materialize, maybe_broadcast, with_positions, with_rows
 
 #: Weights of the sources in order of their names, repeating.
@@ -131,15 +131,17 @@ def mixed(df: DataFrame) -> DataFrame:
     """The mix itself, with the columns of ``df``: a row for each pass that takes a document, ``text`` cut where a pass ends.
 
     A cut keeps the white space between the words it keeps. Every row is taken and cut on its own, also those that share
-    an id or have none; documents without words are not in a mix of words.
+    an id or have none; documents without words, or with a null text, are not in a mix of words. An empty table gives an
+    empty mix; columns of any name, also of the names used here, come back.
     """
     docs, row = with_rows(df, "documents")
+    size, take = fresh(docs, "_size", "_take")
     passes = F.filter(F.array("first", "second"), lambda n: n > 0)
-    found = mix(docs, row).select(F.col("row").alias(row), F.col("size").alias("_size"), F.explode(passes).alias("_take"))
+    found = mix(docs, row).select(F.col("row").alias(row), F.col("size").alias(size), F.explode(passes).alias(take))
     rows = docs.join(found, row)
     words = F.regexp_extract_all("text", F.lit(f"([\\x20\\x09-\\x0D]*{WORD})"), F.lit(1))
-    cut = F.array_join(F.slice(words, 1, F.col("_take").cast("int")), "")
-    text = F.when(F.col("_take") < F.col("_size"), cut).otherwise(F.col("text"))
+    cut = F.array_join(F.slice(words, 1, F.col(take).cast("int")), "")
+    text = F.when(F.col(take) < F.col(size), cut).otherwise(F.col("text"))
     rows = rows.withColumn("text", text)
     if "n_chars" in df.columns:
         rows = rows.withColumn("n_chars", F.char_length("text").cast(df.schema["n_chars"].dataType))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -86,7 +87,9 @@ _GENERATORS = [
     ("card", re.compile(r"(?<![0-9A-Za-z.])[0-9]{4}(?:[._/]{1,2}[0-9]{3,6}){2,4}(?![0-9A-Za-z])")),
     ("ssn", re.compile(r"(?<![0-9A-Za-z-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9A-Za-z-])")),
     ("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])")),
-    ("secret", re.compile(r"(?<![0-9A-Za-z])(?=[A-Za-z_-]{0,15}[0-9])[0-9A-Za-z_-]{16,256}(?![0-9A-Za-z])")),
+    # whole runs of any length: keys, base64, and the three parts of a signed token
+    ("secret", re.compile(r"(?<![0-9A-Za-z+/_=-])(?=[A-Za-z_+/-]*+[0-9])[0-9A-Za-z_+/-]{16,}+={0,2}")),
+    ("secret", re.compile(r"(?<![0-9A-Za-z_.-])[0-9A-Za-z_-]{8,}+\.[0-9A-Za-z_-]{8,}+\.[0-9A-Za-z_-]{8,}+(?![0-9A-Za-z.])")),
 ]
 # Words that speak for a kind when they stand shortly before.
 CUES = {
@@ -205,6 +208,13 @@ def examples(seed: int = 6, n: int = 250) -> list[tuple[str, Span, int]]:
         key = "".join(rng.choice(list("0123456789abcdef"), int(rng.choice([32, 40, 64]))))
         add("secret", key, 1, str(rng.choice(["token", "secret", "password", "api_key"])) + ' = "', '"')
         add("secret", key, 0)
+        long = "".join(rng.choice(list("0123456789abcdefABCDEFGHIJKLMNOPQRSTUVWXYZ+/"), int(rng.choice([24, 88, 400]))))
+        lead = str(rng.choice(["token", "secret", "password", "api_key"])) + str(rng.choice([' = "', ": ", "="]))
+        add("secret", long + str(rng.choice(["", "=", "=="])), 1, lead, '"' if lead.endswith('"') else "")
+        part = lambda: "".join(rng.choice(list("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_-"), int(rng.integers(20, 90))))
+        add("secret", f"eyJ{part()}.eyJ{part()}.{part()}", 1, lead, '"' if lead.endswith('"') else "")
+        add("secret", f"{word()}/{word()}/{num(4)}/{word()}-{word()}", 0)
+        add("secret", f"{word()}{word()}.{word()}{word()}{num(2)}.{word()}{word()}", 0)
         add("secret", f"{word()}-{word()}-{num(2)}-{word()}", 0)
         add("secret", num(16 + int(rng.integers(0, 8))), 0, cue("card") if rng.random() < 0.5 else "")
     return out
@@ -238,25 +248,41 @@ class Finder:
 
     def extra(self, text: str, base: list[Span]) -> list[Span]:
         """Added spans: above their kind's threshold, the most probable of those that overlap, none on a base span."""
-        taken = sorted((a, b) for _, a, b in base)
-        found = [s for s in proposals(text) if not _hits(taken, s)]
+        taken = Taken(base)
+        found = [s for s in proposals(text) if not taken.hits(s)]
         if not found:
             return []
         p = sigmoid(self.slope * self.forest.margin(np.array([describe(text, s) for s in found])) + self.offset)
         out: list[Span] = []
         for k in np.lexsort(([s[1] for s in found], -p)):
-            if p[k] >= self.least[found[k][0]] and not _hits(taken, found[k]):
+            if p[k] >= self.least[found[k][0]] and not taken.hits(found[k]):
                 out.append(found[k])
-                taken = sorted([*taken, found[k][1:]])
+                taken.add(found[k])
         return out
 
 
-def _hits(taken: list[tuple[int, int]], span: Span) -> bool:
-    from bisect import bisect_left
-
-    k = bisect_left(taken, (span[2], -1))
-    # earlier ones may overlap each other, so that more than the last has to be looked at
-    return any(b > span[1] for _, b in taken[max(0, k - 4) : k])
+class Taken:
+    """Ranges of a text that are taken, as disjoint ones in order."""
+
+    def __init__(self, spans: list[Span]):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, a, b in sorted(spans, key=lambda s: s[1]):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def hits(self, span: Span) -> bool:
+        k = bisect_left(self.starts, span[2])
+        return k > 0 and self.ends[k - 1] > span[1]
+
+    def add(self, span: Span) -> None:
+        """Take a span that hits none."""
+        k = bisect_left(self.starts, span[1])
+        self.starts.insert(k, span[1])
+        self.ends.insert(k, span[2])
 
 
 def listed(spans: list[Span]) -> str:

@@ -30,7 +30,43 @@ def brute(rows):
 
 
 def run(df):
-    return sorted(map(tuple, jaccard.jaccard_components(df).collect()), key=str)
+    return sorted((tuple(r)[:3] for r in jaccard.jaccard_components(df).collect()), key=str)
+
+
+def brute_links(rows):
+    out = []
+    for a, (i, text) in enumerate(rows):
+        mine = shingle_set(text)
+        out.append((i, sum(b != a and bool(mine) and 100 * len(mine & o) >= 75 * len(mine | o) for b, o in enumerate(map(shingle_set, (t for _, t in rows))))))
+    return sorted(out, key=str)
+
+
+def shingle_set(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def links(df):
+    return sorted(((r["doc_id"], r["n_links"]) for r in jaccard.jaccard_components(df).collect()), key=str)
+
+
+def test_links_of_every_row(table, hostile, words, monkeypatch):
+    monkeypatch.setattr(jaccard, "PART", 3)
+    monkeypatch.setattr(jaccard, "COLUMNS", 50)
+    rows = corpus(words, 7) + [(r["doc_id"], r["text"]) for r in hostile.collect()]
+    rows += [(5000 + k, rows[k % 9][1]) for k in range(40)]
+    assert links(table(rows)) == brute_links(rows)
+
+
+def test_links_of_a_dense_group(table, words):
+    base, rows = words(5, 200).split(), []
+    for k in range(90):
+        copy = list(base)
+        for j in range(1 + k % 5):
+            copy[(37 * j + 7 * k) % 200] = f"own{k}"
+        rows.append((k, " ".join(copy)))
+    want = brute_links(rows)
+    assert links(table(rows)) == want and 0 < min(n for _, n in want) and {n for _, n in want} != {89}
 
 
 def corpus(words, seed=1):

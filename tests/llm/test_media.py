@@ -78,3 +78,18 @@ def test_query_rows(hostile):
 def test_unreadable_media(spark):
     df = spark.createDataFrame([(1, 3, None), (2, 3, bytearray(b"junk"))], "doc_id long, n_bytes long, media binary")
     assert [(r["payload"], r["pcm"]) for r in media.to_pcm(df).collect()] == [(None, None)] * 2
+
+
+def test_a_short_last_block_of_adpcm():
+    data = bytes(np.random.default_rng(3).integers(0, 88, 500, dtype=np.uint8))
+    _, pcm = media.expand(media.wav(data, media.ADPCM, 8000, block=64, bits=4))
+    assert pcm.tolist() == [x for lo in range(0, 500, 64) for x in one_by_one(data[lo : lo + 64])]
+    assert len(pcm) == 7 * 121 + (52 - 4) * 2 + 1
+
+
+def test_pcm_is_stored_and_read_back(hostile, tmp_path):
+    heard = media.to_pcm(media.store(hostile, str(tmp_path / "media")))
+    back = media.store_pcm(heard, str(tmp_path / "pcm"))
+    want = sorted(((r["doc_id"], bytes(r["pcm"])) for r in heard.collect()), key=str)
+    assert sorted(((r["doc_id"], bytes(r["pcm"])) for r in back.collect()), key=str) == want
+    assert {r["rate"] for r in back.collect()} == {media.TARGET}

@@ -79,3 +79,11 @@ def test_rows_that_share_an_id_are_taken_on_their_own(table):
     for word, most in size.items():
         assert sum(t.count(word) for t in texts) <= most
     assert mixing.mixed(df).columns == df.columns
+
+
+def test_mix_of_a_table_with_the_names_used_inside(spark, words):
+    rows = [(k, words(k, 30), "ab"[k % 2], k, "s", 0.5, "r", "x") for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, _take long, _size string, size double, _row string, first string")
+    out = mixing.mixed(df)
+    assert out.columns == df.columns and out.count() > 0
+    assert all(r["_take"] == r["doc_id"] and r["_size"] == "s" and r["_row"] == "r" for r in out.collect())

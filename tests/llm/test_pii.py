@@ -79,3 +79,43 @@ def test_redact(table):
     assert got == {1: "to [EMAIL] or [IP]!", 2: None, 3: "nothing here"}
     assert pii.redact(df).columns == df.columns
     assert pii.redacted("abcdef", [("ip", 1, 4), ("card", 2, 5)]) == "a[IP]f"
+
+
+def test_spans_never_overlap_base_spans(finder):
+    text = "1.2.3.4%" * 6 + "ssn 123-45-6789@x.yy and ssn: 123-45-6789"
+    base = pii.base_spans(text)
+    for kind, a, b in finder.extra(text, base):
+        assert all(b <= c or d <= a for _, c, d in base), (kind, text[a:b])
+    taken = pii.Taken([("email", 0, 60), ("ip", 0, 7), ("ip", 8, 15), ("card", 70, 75)])
+    assert taken.hits(("ssn", 50, 61)) and not taken.hits(("ssn", 60, 70)) and taken.hits(("ssn", 74, 80))
+    taken.add(("ssn", 60, 70))
+    assert taken.hits(("phone", 69, 70))
+
+
+def test_recall_and_precision_of_added_kinds(finder, words):
+    """Items of every added kind put into invented prose: found whole; prose and look-alikes stay."""
+    import base64
+
+    rng = __import__("random").Random(11)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    coded = lambda n: base64.b64encode(rng.randbytes(n)).decode()
+    part = lambda n: base64.urlsafe_b64encode(rng.randbytes(n)).decode().rstrip("=")
+    makers = {
+        "hex": lambda: ('token = "', hexes(40), '"'),
+        "long": lambda: ('secret = "', hexes(700), '"'),
+        "base64": lambda: ("api_key: ", coded(60), " "),
+        "jwt": lambda: ('token = "', f"eyJ{part(30)}.eyJ{part(60)}.{part(40)}", '"'),
+        "ssn": lambda: ("ssn: ", f"{rng.randint(100, 600)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}", " "),
+        "email": lambda: ("contact: ", f"{words(rng.random(), 1)} [at] mail [dot] com", " "),
+    }
+    for name, make in makers.items():
+        hit = 0
+        for k in range(40):
+            lead, item, close = make()
+            text = f"{words(k, 30)} {lead}{item}{close} {words(k + 500, 30)}"
+            spans = finder.extra(text, pii.base_spans(text))
+            hit += any(text[a:b] == item for _, a, b in spans)
+            assert all(a < len(text) - len(words(k + 500, 30)) and b > len(words(k, 30)) for _, a, b in spans)
+        assert hit >= 36, (name, hit)
+    clean = [words(k, 200) for k in range(50)] + ["see docs/guide/chapter-12/section-3 or build.2024-01-02.release and v1.22.333-rc4 of 2020/2021"] * 5
+    assert all(finder.extra(t, pii.base_spans(t)) == [] for t in clean)

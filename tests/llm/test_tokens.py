@@ -77,6 +77,28 @@ def test_ids_of_a_table(hostile, table, words, parts):
         assert idfiles.round_trip(hostile.limit(0), BYTE).count() == 0
 
 
+def test_ids_of_tables_in_any_shape(spark, words):
+    """Sorted, joined and range-dealt tables, whose texts are too wide for one partition."""
+    rows = [(k if k % 50 else None, words(k, 40) * 3) for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "10k")
+    try:
+        got = {name: sorted(map(tuple, idfiles.round_trip(shape, BYTE).collect()), key=str) for name, shape in {
+            "sorted": df.orderBy("doc_id"),
+            "ranges": df.repartitionByRange(7, "doc_id"),
+            "joined": df.join(spark.range(3000).withColumnRenamed("id", "doc_id"), "doc_id", "left"),
+            "one": df.coalesce(1),
+        }.items()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    starts = sorted((r[1], r[2]) for r in got["sorted"])
+    assert starts[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(starts, starts[1:], strict=False))
+    with_id = {name: [r for r in found if r[0] is not None] for name, found in got.items()}
+    assert all(found == with_id["one"] for found in with_id.values())
+
+
 def check_packing(rows, texts, window):
     """Every id in one piece; sequences gapless and of full length or a power of two."""
     by_doc, by_sequence = {}, {}
