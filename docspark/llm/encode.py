@@ -5,12 +5,13 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from pathlib import Path
 
 import numpy as np
 
-#: Entries of each of a task's two caches, and the longest that is kept.
-UNITS, CHUNKS, LONGEST = 1_000_000, 400_000, 64
+#: Entries of a generation of each of a task's two caches, and the longest that is kept.
+UNITS, CHUNKS, LONGEST = 350_000, 200_000, 64
 #: Code points encoded at a time; a longer text is cut where no token can span.
 SLICE = 1 << 20
 
@@ -36,44 +37,62 @@ def byte_letters() -> dict[int, str]:
 _LETTER_OF = byte_letters()
 
 
-class Units(dict):
-    """Ids of pieces, found when first asked for."""
+class Kept(dict):
+    """Ids by piece, made when first asked for. A full generation becomes the old one, from which what is asked for
+    again is taken over, so that pieces seen once go and those that return stay."""
+
+    most = 0
+
+    def __init__(self):
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+            if len(piece) > LONGEST:
+                return ids
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+    def forget(self) -> None:
+        self.old = {}
+        self.clear()
+
+
+class Units(Kept):
+    """Ids of pieces."""
 
     most = UNITS
 
     def __init__(self, tokenizer, kind: str):
+        super().__init__()
         self.tokenizer, self.model, self.kind = tokenizer, tokenizer.model, kind
 
-    def __missing__(self, piece: str) -> bytes:
+    def make(self, piece: str) -> bytes:
         if self.kind and _UNIT.fullmatch(piece):
             unit = (piece if self.kind == "spaced" else piece.lower()).encode().decode("latin-1").translate(_LETTER_OF)
             ids = [t.id for t in self.model.tokenize(unit)]
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        out = np.array(ids, np.uint32).tobytes()
-        if len(piece) <= LONGEST:
-            if len(self) >= self.most:
-                self.clear()
-            self[piece] = out
-        return out
+        return array("I", ids).tobytes()
 
 
-class Chunks(dict):
+class Chunks(Kept):
     """Ids of what stands between two spaces, put together from its pieces."""
 
     most = CHUNKS
 
     def __init__(self, units: Units, pattern: re.Pattern, lead: str):
+        super().__init__()
         self.units, self.pattern, self.lead = units, pattern, lead
 
-    def __missing__(self, part: str) -> bytes:
+    def make(self, part: str) -> bytes:
         chunk = part if part[:1] == "\n" else self.lead + part
-        out = b"".join(map(self.units.__getitem__, self.pattern.findall(chunk)))
-        if len(part) <= LONGEST:
-            if len(self) >= self.most:
-                self.clear()
-            self[part] = out
-        return out
+        return b"".join(map(self.units.__getitem__, self.pattern.findall(chunk)))
 
 
 class Encoder:
@@ -152,3 +171,10 @@ def encoder(path: str) -> Encoder:
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]
+
+
+def forget() -> None:
+    """Empty the caches of a task process that has no more texts to encode."""
+    for one in _encoders.values():
+        one.units.forget()
+        one.chunks.forget()

@@ -11,8 +11,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docspark.llm.common import mix, narrowed
-from docspark.llm.encode import encoder
+from docspark.llm.common import mix, narrowed, release, releasing
+from docspark.llm.encode import encoder, forget
 from docspark.runtime import materialize
 
 #: Tokens of a full sequence.
@@ -222,7 +222,7 @@ def pack(df: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) ->
     if window & (window - 1):
         raise ValueError("window must be a power of two")
     made = narrowed(df, doc_id="bigint", text="string").mapInArrow(
-        _encoded(tokenizer, end), "doc_id long, row long, ids binary, n long, term long, seen long"
+        releasing(_encoded(tokenizer, end)), "doc_id long, row long, ids binary, n long, term long, seen long"
     )
     made = materialize(made, "encoded")
     n, mean = made.agg(F.count("n"), F.coalesce(F.avg("n"), F.lit(0.0))).first()
@@ -240,6 +240,9 @@ def pack(df: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) ->
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k) for k in drawn.T)], [*_ENCODED[:4], *keys])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the process may have encoded texts before
+        forget()
+        release()
         base = TaskContext.get().partitionId() << 33
         ids: list = []
         docs: list[np.ndarray] = []
@@ -264,6 +267,7 @@ def pack(df: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) ->
             yield close()
 
     texts = made.filter("term is null").select(_ENCODED[:4])
-    placed = texts.mapInArrow(place, ", ".join(["doc_id long, row long, ids binary, n long", *(f"{k} int" for k in keys)]))
+    # written, as a range sort reads its input twice
+    placed = materialize(texts.mapInArrow(place, ", ".join(["doc_id long, row long, ids binary, n long", *(f"{k} int" for k in keys)])), "placed")
     ranged = placed.repartitionByRange(*keys, "row").sortWithinPartitions(*keys, "row")
-    return ranged.select("doc_id", "ids", "n").mapInArrow(run, ", ".join(f"{f} long" for f in FIELDS))
+    return ranged.select("doc_id", "ids", "n").mapInArrow(releasing(run), ", ".join(f"{f} long" for f in FIELDS))

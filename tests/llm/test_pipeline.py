@@ -1,8 +1,14 @@
+import zlib
+from collections import Counter
+
 import corpus_pipeline
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from docspark.llm import mixing, pii
 from docspark.runtime import materialize
+from tests.llm.test_jaccard import brute
 
 
 def test_stages(spark, sf):
@@ -28,3 +34,40 @@ def test_empty_table(spark, hostile):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, "")
         assert docs.count() == 0
+
+
+def test_run_against_brute_force(spark, sf):
+    """Each stage's rows by a plain loop over what the stage before kept, and run()'s rows by those of the last."""
+    docs, stages = spark.read.parquet(f"{sf}/documents.parquet"), dict(corpus_pipeline.STAGES)
+    docs = materialize(stages["language_id"](spark, docs, sf), "language")
+    kept = materialize(stages["jaccard_join"](spark, docs, sf), "kept")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, _, c in brute(rows)})
+    clean = materialize(stages["personal_data"](spark, kept, sf), "clean")
+    finder = pii.fit(kept)
+    before = {r["doc_id"]: r["text"] for r in kept.collect()}
+    for r in clean.collect():
+        base = pii.base_spans(before[r["doc_id"]])
+        assert r["text"] == pii.redacted(before[r["doc_id"]], base + finder.extra(before[r["doc_id"]], base))
+    mixed = materialize(stages["mixing"](spark, clean, sf), "mixed")
+    n_words = lambda t: len([w for w in t.translate(dict.fromkeys(range(9, 14), " ")).split(" ") if w])
+    want = {r["doc_id"]: r["first"] + r["second"] for r in mixing.mix(clean).collect()}
+    got = Counter()
+    for r in mixed.collect():
+        got[r["doc_id"]] += n_words(r["text"])
+    assert got == Counter({k: n for k, n in want.items() if n})
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    sizes = Counter()
+    for r in mixed.collect():
+        ids = tokenizer.encode(r["text"], add_special_tokens=False).ids + [1]
+        sizes[r["doc_id"], len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+    pieces = [r.asDict() for r in corpus_pipeline.run(spark, sf).collect()]
+    packed = Counter()
+    for p in pieces:
+        packed[p["doc_id"], p["doc_tokens"]] += p["length"]
+    total = Counter()
+    for (doc, n, _), k in sizes.items():
+        total[doc, n] += n * k
+    assert packed == total
+    uncut = Counter((p["doc_id"], p["length"], p["ids_crc32"]) for p in pieces if p["length"] == p["doc_tokens"])
+    assert uncut and all(sizes[key] >= k for key, k in uncut.items())
