@@ -66,8 +66,6 @@ class Kept(dict):
 class Units(Kept):
     """Ids of pieces."""
 
-    most = UNITS
-
     def __init__(self, tokenizer, kind: str):
         super().__init__()
         self.tokenizer, self.model, self.kind = tokenizer, tokenizer.model, kind
@@ -84,8 +82,6 @@ class Units(Kept):
 class Chunks(Kept):
     """Ids of what stands between two spaces, put together from its pieces."""
 
-    most = CHUNKS
-
     def __init__(self, units: Units, pattern: re.Pattern, lead: str):
         super().__init__()
         self.units, self.pattern, self.lead = units, pattern, lead
@@ -103,7 +99,7 @@ class Encoder:
     word-level ones at white space, which they drop. A file of another kind is used on whole texts.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, units: int = UNITS, chunks: int = CHUNKS):
         # Spark runs a task per core already
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -114,6 +110,7 @@ class Encoder:
         self.units = Units(self.tokenizer, self.kind)
         spaced = self.kind == "spaced"
         self.chunks = Chunks(self.units, _SPACED if spaced else _PLAIN, " " if spaced else "")
+        self.units.most, self.chunks.most = units, chunks
 
     def _slice(self, text: str) -> bytes:
         if self.kind == "plain":
@@ -166,10 +163,10 @@ def _kind(file: dict) -> str:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, units: int = UNITS, chunks: int = CHUNKS) -> Encoder:
     """One encoder per file and task process."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, units, chunks)
     return _encoders[path]
 
 

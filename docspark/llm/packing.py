@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from bisect import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,10 @@ SHARD_TOKENS, SHARD_DOCS = 1 << 20, 8192
 TERMS, K1, B = None, 1.2, 0.75
 #: Terms by which a document finds its place among the shards, and neighbours that are ordered at a time.
 KEYS, PAGE = 4, 64
+#: Documents whose places tell where the partitions end.
+SAMPLE = 50_000
+#: Entries of the encoder's caches: fewer than elsewhere, as packing needs the memory.
+UNITS, CHUNKS = 120_000, 100_000
 #: Id after each document.
 END = 1
 
@@ -172,7 +177,7 @@ def _encoded(tokenizer: str, end: int):
     """Of each text a row with its ids, two bytes each if they fit; of each task a row per term with its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, at = encoder(tokenizer).encode, TaskContext.get().partitionId() << 33
+        encode, at = encoder(tokenizer, UNITS, CHUNKS).encode, TaskContext.get().partitionId() << 33
         stop, seen = np.array([end], np.uint32), np.zeros(0, np.int64)
         for batch in batches:
             ids, sizes, kinds = [], [], []
@@ -233,11 +238,17 @@ def pack(df: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) ->
     stats = Stats(n, mean, seen)
     keys = [f"k{i}" for i in range(KEYS)]
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places(stats)
-        for batch in batches:
-            drawn = np.array([places.of(d) for d in _ids(batch)], np.int32).reshape(-1, KEYS)
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k) for k in drawn.T)], [*_ENCODED[:4], *keys])
+    def place(ends: list[tuple[int, ...]]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            forget()
+            places = Places(stats)
+            for batch in batches:
+                drawn = [tuple(places.of(d)) for d in _ids(batch)]
+                part = [bisect(ends, (*k, r)) for k, r in zip(drawn, batch.column("row").to_pylist(), strict=True)]
+                drawn = np.array(drawn, np.int32).reshape(-1, KEYS)
+                yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k) for k in drawn.T), pa.array(part, pa.int32())], [*_ENCODED[:4], *keys, "part"])
+
+        return releasing(run)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # the process may have encoded texts before
@@ -267,7 +278,13 @@ def pack(df: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) ->
             yield close()
 
     texts = made.filter("term is null").select(_ENCODED[:4])
-    # written, as a range sort reads its input twice
-    placed = materialize(texts.mapInArrow(place, ", ".join(["doc_id long, row long, ids binary, n long", *(f"{k} int" for k in keys)])), "placed")
-    ranged = placed.repartitionByRange(*keys, "row").sortWithinPartitions(*keys, "row")
+    # ranges of places, from a bounded sample: a range sort of Spark's would draw all places twice
+    kinds = ", ".join(["doc_id long, row long, ids binary, n long", *(f"{k} int" for k in keys), "part int"])
+    parts = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(n * mean) // SHARD_TOKENS)))
+    every = max(1, n // SAMPLE)
+    some = texts.filter(F.pmod(F.xxhash64("row"), F.lit(every)) == 0) if parts > 1 else texts.limit(0)
+    seen_places = sorted(map(tuple, some.mapInArrow(place([]), kinds).select(*keys, "row").toArrow().to_pandas().itertuples(index=False)))
+    ends = [seen_places[len(seen_places) * k // parts] for k in range(1, parts)] if seen_places else []
+    placed = texts.mapInArrow(place(ends), kinds)
+    ranged = placed.repartitionById(parts, F.col("part")).sortWithinPartitions(*keys, "row")
     return ranged.select("doc_id", "ids", "n").mapInArrow(releasing(run), ", ".join(f"{f} long" for f in FIELDS))
