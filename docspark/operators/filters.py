@@ -61,7 +61,9 @@ def filter_snapshot(docs: DataFrame, ts: int) -> DataFrame:
 
 
 def filter_empty(docs: DataFrame, content: str = "text") -> DataFrame:
-    return docs.where(F.length(content) > 0)
+    """Documents with content; one by reference has some."""
+    some = F.length(content) > 0
+    return docs.where(some | F.col("ref").isNotNull() if "ref" in docs.columns else some)
 
 
 def mark_fragments(docs: DataFrame, kind: str = "kind") -> DataFrame:

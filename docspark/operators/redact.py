@@ -131,6 +131,9 @@ def redact(docs: DataFrame, rules: Iterable[dict], others: str = "raise") -> Dat
     covered = sorted({_type_of(rule["path"]) for rule in rules if "path" in rule})
     if covered:
         ship(docs.sparkSession)
+    if covered and "ref" in docs.columns:
+        stop = F.raise_error(F.concat(F.lit("a document by reference cannot be redacted: "), F.coalesce("uri", F.lit("")))).cast("string")
+        docs = docs.withColumn("text", F.when(F.col("ref").isNotNull(), stop).otherwise(F.col("text")))
     if covered and others == "raise":
         kind = F.coalesce(F.col("content_type"), F.lit("no type"))
         message = F.concat(F.lit(f"redaction rules are for {' and '.join(covered)}, but a document is of "), kind)

@@ -129,6 +129,19 @@ def q_export_archive_naked(spark, sf):
     return back.select(F.regexp_extract("uri", r"(\d+)$", 1).cast("bigint").alias("doc_id"), "quality", "naked")
 
 
+@query("export_large_entries", f"select uri, md5(text) as text_md5 from {TEXT_DOCS}")
+def q_export_large_entries(spark, sf):
+    """Entries above a (lowered) limit of a row stream by reference: zip, archive, store, files."""
+    zips, archive, store, out = (work_path(spark, f"large-{n}") for n in ("zips", "archive", "store", "files"))
+    export_zip(text_docs(spark, sf), zips)
+    export_archive(read_zip_docs(spark, zips, max_bytes=1000), archive)
+    write_store(read_archive(spark, archive, max_bytes=1000).where("skip_reason is null"), store, buckets=8)
+    export_files(scan_docs(spark, store), out)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out)
+    uri = F.regexp_extract("path", "(/[^/]*/[^/]*\\.txt)$", 1)
+    return files.select(uri.alias("uri"), F.md5("content").alias("text_md5"))
+
+
 @query("extract_docs", f"select uri, strlen(text)::bigint as bytes_n from {TEXT_DOCS} where source = 'src1'")
 def q_extract_docs(spark, sf):
     store, out = work_path(spark, "extract-from"), work_path(spark, "extract")

@@ -28,6 +28,8 @@ DOC_SCHEMA = T.StructType(
         T.StructField("skip_reason", T.StringType()),
         T.StructField("created_ts", T.LongType()),
         T.StructField("deleted_ts", T.LongType()),
+        # how the bytes lie in src_id, for documents too large for a row
+        T.StructField("ref", T.StringType()),
     ]
 )
 

@@ -24,7 +24,8 @@ from docspark.runtime import materialize, ship
 from docspark.schema import to_docs
 from docspark.sinks.hadoop import full_path
 from docspark.sources.archive import METADATA_SUFFIX, NAKED_SUFFIX
-from docspark.sources.io import AtomicFile, open_stream, resolve
+from docspark.sources.io import AtomicFile, resolve
+from docspark.sources.refs import WHOLE, chunks
 
 ROLL_BYTES = 2**31 - 1
 _CHUNK = 1 << 20
@@ -42,7 +43,7 @@ def _content(text: Column, data: Column, encoding: str) -> Column:
 def export_files(docs: DataFrame, out_dir: str, encoding: str = "UTF-8") -> DataFrame:
     """One file per document at the path of its URI. Returns (uri, path, bytes_n, error).
 
-    Documents by reference (no text or bytes columns) are copied from ``src_id`` as a stream.
+    Documents by reference (a ``ref``, or no text and bytes columns at all) are copied from ``src_id`` as a stream.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -50,9 +51,9 @@ def export_files(docs: DataFrame, out_dir: str, encoding: str = "UTF-8") -> Data
     by_reference = "bytes" not in docs.columns
     path = uri_output_dir(path_from_uri(F.col("uri")), root)
     content = F.lit(None).cast("binary") if by_reference else _content(F.col("text"), F.col("bytes"), encoding)
-    rows = docs.select("uri", path.alias("path"), content.alias("content"), "src_id")
-    if not by_reference:
-        rows = rows.where(F.col("content").isNotNull())
+    ref = F.lit(WHOLE) if by_reference else F.col("ref") if "ref" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select("uri", path.alias("path"), content.alias("content"), "src_id", ref.alias("ref"))
+    rows = rows.where(F.col("content").isNotNull() | F.col("ref").isNotNull())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         attempt = _attempt()
@@ -68,10 +69,9 @@ def export_files(docs: DataFrame, out_dir: str, encoding: str = "UTF-8") -> Data
                     if row.content is not None:
                         n = f.stream.write(row.content) or len(row.content)
                     else:
-                        with open_stream(row.src_id) as src:
-                            while chunk := src.read(_CHUNK):
-                                f.stream.write(chunk)
-                                n += len(chunk)
+                        for chunk in chunks(row.src_id, row.ref):
+                            f.stream.write(chunk)
+                            n += len(chunk)
                     f.close()
                 sizes.append(n)
                 errors.append(error)
@@ -87,11 +87,17 @@ class _Zip:
         self.path, self.file, self.size, self.entries = path, AtomicFile(path, attempt), 0, 0
         self.zip = zipfile.ZipFile(io.BufferedWriter(_Unseekable(self.file.stream), _CHUNK), "w", zipfile.ZIP_DEFLATED)
 
-    def add(self, name: str, data: bytes) -> None:
+    def add(self, name: str, data: bytes | Iterator[bytes]) -> None:
         info = zipfile.ZipInfo(name, (1980, 1, 1, 0, 0, 0))
         info.compress_type = zipfile.ZIP_DEFLATED
-        self.zip.writestr(info, data)
-        self.size += len(data)
+        if isinstance(data, bytes):
+            self.zip.writestr(info, data)
+            self.size += len(data)
+        else:
+            with self.zip.open(info, "w", force_zip64=True) as entry:
+                for chunk in data:
+                    entry.write(chunk)
+                    self.size += len(chunk)
         self.entries += 1
 
     def close(self) -> tuple:
@@ -122,7 +128,7 @@ def _export_zips(docs: DataFrame, out_dir: str, name: Column, metadata: Column,
     stamp = f"{time.strftime('%Y%m%d%H%M%S', time.gmtime())}-{uuid.uuid4().hex[:6]}"
     content = F.when(~F.col("naked"), _content(F.col("text"), F.col("bytes"), encoding))
     kind = F.when(F.col("content_type").isin("XML", "JSON", "TEXT"), F.col("content_type")).otherwise("BINARY")
-    rows = docs.select(name.alias("name"), kind.alias("kind"), content.alias("content"), metadata.alias("metadata"))
+    rows = docs.select(name.alias("name"), kind.alias("kind"), content.alias("content"), metadata.alias("metadata"), "src_id", "ref")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         attempt = _attempt()
@@ -141,13 +147,13 @@ def _export_zips(docs: DataFrame, out_dir: str, name: Column, metadata: Column,
                     rolls[row.kind] = rolls.get(row.kind, -1) + 1
                     file = f"{root}/{stamp}-{attempt}-{rolls[row.kind]:06d}-{row.kind}.zip"
                     z = zips[row.kind] = _Zip(file, attempt)
-                if row.content is None:
+                if row.content is None and row.ref is None:
                     if row.metadata is not None:
                         z.add(row.name + NAKED_SUFFIX, row.metadata.encode())
                     continue
                 if row.metadata is not None:
                     z.add(row.name + METADATA_SUFFIX, row.metadata.encode())
-                z.add(row.name, row.content)
+                z.add(row.name, row.content if row.ref is None else chunks(row.src_id, row.ref))
             if done:
                 yield pd.DataFrame(done, columns=["path", "entries", "bytes_n"])
         if zips:

@@ -2,15 +2,19 @@
 
 A store is a folder of loads, each written once and partitioned by a bucket of the URI hash. A small file,
 ``_loads-NNNNNN``, names those that count; the one with the highest number is the store's state, so that a load appears
-at once or not at all, and a load that breaks leaves nothing behind that is read. An upsert appends a load and reads
+at once or not at all, and a load that breaks leaves nothing behind that is read. Documents by reference are copied to
+files below ``_blobs``. An upsert appends a load and reads
 nothing; a scan drops the rows whose URI a later load has; ``compact_store`` makes one load of all.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +24,9 @@ from docspark.operators.filters import filter_snapshot, filter_visible, scope
 from docspark.operators.placement import bucket_by_uri
 from docspark.runtime import materialize, maybe_broadcast, work_path
 from docspark.schema import DOC_SCHEMA, METADATA_COLUMNS, to_docs
-from docspark.sinks.hadoop import delete, has_files, names, read_text, size_of, write_new
+from docspark.sinks.hadoop import delete, full_path, has_files, names, read_text, size_of, write_new
+from docspark.sources.io import AtomicFile
+from docspark.sources.refs import WHOLE, chunks
 
 # Bytes of documents per bucket, and the least number of buckets.
 BUCKET_BYTES, LEAST_BUCKETS = 4 << 30, 8
@@ -62,9 +68,35 @@ def _state(spark: SparkSession, path: str) -> tuple[int, list[str]]:
     return int(states[-1][7:]), read_text(spark, f"{path}/{states[-1]}").split()
 
 
+def _own_blobs(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` with referenced documents copied to files of the store, so that it does not depend on their sources."""
+    if rows.where("ref is not null").isEmpty():
+        return rows
+    root = full_path(rows.sparkSession, path)
+    fields = rows.schema
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            places = []
+            for src_id, ref in zip(batch["src_id"], batch["ref"], strict=True):
+                # named by where the bytes come from: a repeated task writes the same file
+                name = hashlib.md5(f"{src_id}\n{ref}\n{stamp}".encode()).hexdigest()
+                file = AtomicFile(f"{root}/_blobs/{name}", str(TaskContext.get().taskAttemptId()))
+                for chunk in chunks(src_id, ref):
+                    file.stream.write(chunk)
+                file.close()
+                places.append(f"{root}/_blobs/{name}")
+            yield batch.assign(src_id=places, ref=WHOLE)
+
+    stamp = uuid.uuid4().hex
+    moved = rows.where("ref is not null").mapInPandas(run, fields)
+    return rows.where("ref is null").unionByName(materialize(moved, "blobs"))
+
+
 def _append(spark: SparkSession, rows: DataFrame, path: str, buckets: int, after: tuple[int, list[str]], keep: bool) -> None:
     """Write a load and make it count, after those there (``keep``) or in their place."""
     number, loads = after
+    rows = _own_blobs(rows, path)
     folder = f"version={number + 1:06d}-{uuid.uuid4().hex}"
     rows = rows.drop(*_OWN).withColumn("load", F.lit(number + 1).cast("long")).withColumn("buckets", F.lit(buckets))
     rows = rows.withColumn("bucket", bucket_by_uri(F.col("uri"), buckets)).hint("rebalance", F.col("bucket"))
@@ -74,7 +106,7 @@ def _append(spark: SparkSession, rows: DataFrame, path: str, buckets: int, after
         return
     # nothing names the old loads any more
     for name in names(spark, path):
-        if name != folder and name != f"_loads-{number + 1:06d}":
+        if name not in (folder, f"_loads-{number + 1:06d}", "_blobs"):
             delete(spark, f"{path}/{name}")
 
 

@@ -15,6 +15,7 @@ from docspark.functions.metadata import metadata_from_json
 from docspark.schema import METADATA_COLUMNS, to_docs
 from docspark.sources.files import MAX_BYTES, decode_text
 from docspark.sources.io import open_input
+from docspark.sources.refs import zip_ref
 from docspark.sources.zipped import BATCH_BYTES, entry_chunks, entry_problem, list_zip_entries, spread_entries
 
 METADATA_SUFFIX = ".metadata"
@@ -23,25 +24,25 @@ TYPES = ("XML", "JSON", "TEXT", "BINARY")
 MISSING = "no metadata entry"
 _PAIR_DDL = (
     "src_id string, uri string, content_type string, is_naked boolean, has_content boolean, "
-    "content binary, metadata binary, reason string"
+    "content binary, metadata binary, ref string, reason string"
 )
 
 
-def _read_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Content and metadata of each listed document, both from the same archive."""
-    columns = ["src_id", "uri", "content_type", "is_naked", "has_content", "content", "metadata", "reason"]
+def _read_pairs(batches: Iterator[pd.DataFrame], max_bytes: int) -> Iterator[pd.DataFrame]:
+    """Content and metadata of each listed document, both from the same archive; large content comes by reference."""
+    columns = ["src_id", "uri", "content_type", "is_naked", "has_content", "content", "metadata", "ref", "reason"]
     opened, f, out, size = None, None, [], 0
     for batch in batches:
         for row in batch.itertuples(index=False):
-            parts, reason = {}, row.reason
+            parts, ref, reason = {}, None, row.reason
             for part in ("content", "metadata"):
                 at = getattr(row, part)
                 if at is None or reason is not None:
                     continue
                 reason = entry_problem(SimpleNamespace(**at))
-                if reason is None and at["usize"] > MAX_BYTES:
-                    reason = "larger than a row can hold"
-                if reason is None:
+                if reason is None and part == "content" and at["usize"] > max_bytes:
+                    ref = zip_ref(at["method"], at["offset"], at["csize"])
+                elif reason is None:
                     if row.src_id != opened:
                         f, opened = open_input(row.src_id), row.src_id
                     try:
@@ -50,7 +51,7 @@ def _read_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         reason = f"invalid entry: {e}"
             out.append(
                 (row.src_id, row.uri, row.content_type, row.is_naked, row.content is not None,
-                 parts.get("content"), parts.get("metadata"), reason)
+                 parts.get("content"), parts.get("metadata"), ref, reason)
             )
             size += sum(map(len, parts.values()))
             if size >= BATCH_BYTES or len(out) >= 10_000:
@@ -61,12 +62,13 @@ def _read_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_archive(
-    spark: SparkSession, paths: str | Sequence[str], metadata_optional: bool = False, encoding: str = "UTF-8"
-) -> DataFrame:
+    spark: SparkSession, paths: str | Sequence[str], metadata_optional: bool = False, encoding: str = "UTF-8",
+    max_bytes: int = MAX_BYTES,
+) -> DataFrame:
     """Documents with their metadata. Other files are ignored; ``uri.naked`` is metadata without a document;
     a document without metadata is rejected unless ``metadata_optional``.
 
-    A document meets its metadata by name in the listing, before any content is read, so that only small
+    Documents above ``max_bytes`` come by reference, of any size. A document meets its metadata by name in the listing, before any content is read, so that only small
     rows are shuffled and both are read by one task.
     """
     entries = list_zip_entries(spark, paths, rf".*-(?:{'|'.join(TYPES)})\.zip")
@@ -84,7 +86,7 @@ def read_archive(
         F.sum("csize").alias("csize"),
         F.min("offset").alias("offset"),
     )
-    read = spread_entries(pairs).mapInPandas(_read_pairs, _PAIR_DDL)
+    read = spread_entries(pairs).mapInPandas(lambda batches: _read_pairs(batches, max_bytes), _PAIR_DDL)
     df = read.withColumn("m", metadata_from_json(F.decode("metadata", "UTF-8")))
     df = df.withColumn("has_metadata", F.col("metadata").isNotNull()).drop("metadata")
     missing = ~F.col("has_metadata") & F.lit(not metadata_optional)

@@ -22,6 +22,7 @@ from docspark.runtime import materialize, with_positions
 from docspark.schema import to_docs
 from docspark.sources.files import MAX_BYTES, decode_text, list_files
 from docspark.sources.io import open_input, open_stream
+from docspark.sources.refs import GZIP, zip_ref
 
 ENTRY_DDL = "src_id string, entry string, offset bigint, csize bigint, usize bigint, method int, encrypted boolean, reason string"
 TASK_BYTES = 128 << 20
@@ -87,7 +88,13 @@ def entry_chunks(f, offset: int, csize: int, method: int) -> Iterator[bytes]:
         if not raw:
             raise EOFError("archive ends inside an entry")
         left -= len(raw)
-        yield inflate.decompress(raw) if inflate else raw
+        if inflate is None:
+            yield raw
+            continue
+        # a piece of input may unpack to a thousand times its size
+        while raw:
+            yield inflate.decompress(raw, _CHUNK)
+            raw = inflate.unconsumed_tail
     if inflate:
         yield inflate.flush()
 
@@ -102,34 +109,37 @@ def entry_problem(row) -> str | None:
     return None
 
 
-def _read_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["src_id", "entry", "content", "reason"]
-    opened, f, rows, size = None, None, [], 0
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            content, reason = None, entry_problem(row)
-            if reason is None and row.usize > MAX_BYTES:
-                reason = "larger than a row can hold"
-            if reason is None:
-                if row.src_id != opened:
-                    f, opened = open_input(row.src_id), row.src_id
-                try:
-                    content = b"".join(entry_chunks(f, row.offset, row.csize, row.method))
-                except (zlib.error, EOFError, struct.error) as e:
-                    reason = f"invalid entry: {e}"
-            rows.append((row.src_id, row.entry, content, reason))
-            size += len(content or b"")
-            if size >= BATCH_BYTES or len(rows) >= 10_000:
-                yield pd.DataFrame(rows, columns=columns)
-                rows, size = [], 0
-    if rows:
-        yield pd.DataFrame(rows, columns=columns)
-
-
-def read_entries(entries: DataFrame) -> DataFrame:
-    """(src_id, entry, content, reason) of listed entries."""
+def _entry_reader(max_bytes: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["src_id", "entry", "content", "ref", "reason"]
+        opened, f, rows, size = None, None, [], 0
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                content, ref, reason = None, None, entry_problem(row)
+                if reason is None and row.usize > max_bytes:
+                    ref = zip_ref(row.method, row.offset, row.csize)
+                elif reason is None:
+                    if row.src_id != opened:
+                        f, opened = open_input(row.src_id), row.src_id
+                    try:
+                        content = b"".join(entry_chunks(f, row.offset, row.csize, row.method))
+                    except (zlib.error, EOFError, struct.error) as e:
+                        reason = f"invalid entry: {e}"
+                rows.append((row.src_id, row.entry, content, ref, reason))
+                size += len(content or b"")
+                if size >= BATCH_BYTES or len(rows) >= 10_000:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows, size = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
+
+    return run
+
+
+def read_entries(entries: DataFrame, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """(src_id, entry, content, ref, reason) of listed entries; those above ``max_bytes`` come by reference."""
     return spread_entries(entries).mapInPandas(
-        _read_batches, "src_id string, entry string, content binary, reason string"
+        _entry_reader(max_bytes), "src_id string, entry string, content binary, ref string, reason string"
     )
 
 
@@ -139,9 +149,13 @@ def read_zip_docs(
     pattern: str | None = None,
     doc_type: str = "MIXED",
     encoding: str = "UTF-8",
+    max_bytes: int = MAX_BYTES,
     **uri_options,
 ) -> DataFrame:
-    """One document per non-empty entry, URI = archive path + ``/`` + entry name."""
+    """One document per non-empty entry, URI = archive path + ``/`` + entry name.
+
+    Entries above ``max_bytes`` are documents by reference, of any size.
+    """
     entries = list_zip_entries(spark, paths, pattern).where((F.col("usize") > 0) | F.col("reason").isNotNull())
     # an entry with an absolute name is its own URI
     raw = F.when(F.col("entry").startswith("/"), F.col("entry")).otherwise(
@@ -149,7 +163,7 @@ def read_zip_docs(
     )
     uri, reason = uri_build(raw, **uri_options)
     ct = content_type_of(F.col("entry")) if doc_type.upper() == "MIXED" else F.lit(doc_type.upper())
-    df = read_entries(entries).withColumn("content_type", ct)
+    df = read_entries(entries, max_bytes).withColumn("content_type", ct)
     is_text = F.col("content_type") != "BINARY"
     return to_docs(
         df,
@@ -166,30 +180,34 @@ def gunzip_chunks(f) -> Iterator[bytes]:
     inflate = zlib.decompressobj(31)
     while raw := f.read(_CHUNK):
         while raw:
-            yield inflate.decompress(raw)
-            raw = inflate.unused_data
+            yield inflate.decompress(raw, _CHUNK)
+            raw = inflate.unconsumed_tail
             if inflate.eof:
+                raw = inflate.unused_data.lstrip(b"\0")
                 inflate = zlib.decompressobj(31)
-                raw = raw.lstrip(b"\0")
 
 
-def _gunzip_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path in batch["src_id"]:
-            parts, size, reason = [], 0, None
-            try:
-                with open_stream(path) as f:
-                    for chunk in gunzip_chunks(f):
-                        parts.append(chunk)
-                        size += len(chunk)
-                        if size > MAX_BYTES:
-                            parts, reason = [], "larger than a row can hold"
-                            break
-            except zlib.error as e:
-                parts, reason = [], f"invalid gzip: {e}"
-            content = b"".join(parts)
-            if content or reason:
-                yield pd.DataFrame({"src_id": [path], "content": [content], "reason": [reason]})
+def _gunzip_reader(max_bytes: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["src_id"]:
+                parts, size, ref, reason = [], 0, None, None
+                try:
+                    with open_stream(path) as f:
+                        for chunk in gunzip_chunks(f):
+                            parts.append(chunk)
+                            size += len(chunk)
+                            if size > max_bytes:
+                                parts, ref = [], GZIP
+                                break
+                except zlib.error as e:
+                    parts, reason = [], f"invalid gzip: {e}"
+                content = b"".join(parts)
+                if content or ref or reason:
+                    row = {"src_id": [path], "content": [None if ref else content], "ref": [ref], "reason": [reason]}
+                    yield pd.DataFrame(row)
+
+    return run
 
 
 def read_gzip_docs(
@@ -198,14 +216,15 @@ def read_gzip_docs(
     pattern: str | None = None,
     doc_type: str = "MIXED",
     encoding: str = "UTF-8",
+    max_bytes: int = MAX_BYTES,
     **uri_options,
 ) -> DataFrame:
-    """One document per gzip file; ``.gz`` or ``.gzip`` is taken off the URI."""
+    """One document per gzip file; ``.gz`` or ``.gzip`` is taken off the URI. Above ``max_bytes`` it is one by reference."""
     files = list_files(spark, paths, pattern).select("src_id")
     plain = F.regexp_replace(F.col("src_id"), r"(?i)\.gz(ip)?$", "")
     uri, reason = uri_build(file_path_of(plain), **uri_options)
     ct = content_type_of(plain) if doc_type.upper() == "MIXED" else F.lit(doc_type.upper())
-    df = files.mapInPandas(_gunzip_batches, "src_id string, content binary, reason string").withColumn("content_type", ct)
+    df = files.mapInPandas(_gunzip_reader(max_bytes), "src_id string, content binary, ref string, reason string").withColumn("content_type", ct)
     is_text = F.col("content_type") != "BINARY"
     return to_docs(
         df,
