@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docspark.functions.text import xml_text
@@ -9,7 +12,7 @@ from docspark.functions.tree import has_element
 from docspark.operators import lexicon as L
 from docspark.operators.redact import redact
 from docspark.plans.catalog import query
-from docspark.plans.derive import as_files, customer_json, customer_xml, table, text_dir
+from docspark.plans.derive import as_files, customer_json, customer_xml, packed_files, table, text_dir
 from docspark.runtime import work_path
 from docspark.schema import to_docs
 from docspark.sinks.store import last_by_uri, scan_docs, upsert_docs, write_store
@@ -155,6 +158,24 @@ def q_redact_verbatim(spark, sf):
     return redact(docs, rules).select("uri", "text")
 
 
+@query(
+    "read_csv_stray_quote",
+    """select form, '/c/'||c_custkey as uri, c_name as name from customer, (values ('plain'), ('blocks'), ('quoted')) f(form) where c_custkey % 400 <> 7
+ union all select form, null, null from customer, (values ('plain'), ('blocks'), ('quoted')) f(form) where c_custkey % 400 = 7""",
+)
+def q_read_csv_stray_quote(spark, sf):
+    """A quote that is opened by mistake costs its row, and no other, however a file is read."""
+    c = table(spark, sf, "customer")
+    stray = F.format_string('%d,"stray,%s', "c_custkey", "c_mktsegment")
+    line = F.when(F.col("c_custkey") % 400 == 7, stray).otherwise(F.format_string("%d,%s,%s", "c_custkey", "c_name", "c_mktsegment"))
+    path = as_files(packed_files(c, line, ["c_custkey"], "key,name,segment\n", "\n", ".csv"), "csv-stray")
+    forms = []
+    for form, split in (("plain", False), ("blocks", True), ("quoted", "quoted")):
+        docs = read_csv_docs(spark, path, uri_id="key", doc_type="JSON", prefix="/c/", split=split)
+        forms.append(docs.select(F.lit(form).alias("form"), "uri", F.get_json_object("text", "$.name").alias("name")))
+    return reduce(DataFrame.unionByName, forms)
+
+
 @query("read_csv_many_headers", "select '/h/'||c_custkey as uri, c_name as name from customer where c_custkey <= 210")
 def q_read_csv_many_headers(spark, sf):
     """A header of its own in every file."""
@@ -174,6 +195,24 @@ def _headers_apart(spark, c):
     return docs.select("uri", F.regexp_extract("text", '"name_[0-9]+":"([^"]*)"', 1).alias("name"))
 
 
+@query(
+    "scan_after_large_upsert",
+    """select '/o/'||o_orderkey as uri, case when o_orderkey % 5 = 0 then 'third' when o_orderkey % 3 = 0 then 'second' else 'first' end as text from orders
+ union all select '/n/'||c_custkey, 'third' from customer""",
+)
+def q_scan_after_large_upsert(spark, sf):
+    """Later loads with more URIs than may be sent to the tasks: only documents that they may replace are shuffled."""
+    path = work_path(spark, "store-large")
+    orders = table(spark, sf, "orders")
+    uri = F.concat(F.lit("/o/"), F.col("o_orderkey").cast("string"))
+    version = lambda rows, text: to_docs(rows, uri=uri, content_type=F.lit("TEXT"), text=F.lit(text))
+    new = to_docs(table(spark, sf, "customer"), uri=F.concat(F.lit("/n/"), F.col("c_custkey").cast("string")), content_type=F.lit("TEXT"), text=F.lit("third"))
+    write_store(version(orders, "first"), path)
+    upsert_docs(version(orders.where("o_orderkey % 3 = 0"), "second"), path)
+    upsert_docs(version(orders.where("o_orderkey % 5 = 0"), "third").unionByName(new), path)
+    return scan_docs(spark, path, broadcast_rows=100).select("uri", "text")
+
+
 @query(
     "scan_as_of_after_upsert",
     """select '/o/'||o_orderkey as uri, case when o_orderkey % 3 = 0 then 'second' else 'first' end as live,

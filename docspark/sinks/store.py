@@ -13,7 +13,9 @@ import hashlib
 import uuid
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from pyspark.sql import types as T
 from docspark.functions.metadata import select_metadata
 from docspark.operators.filters import filter_snapshot, filter_visible, scope
 from docspark.operators.placement import bucket_by_uri
-from docspark.runtime import materialize, maybe_broadcast, work_path
+from docspark.runtime import BROADCAST_BYTES, BROADCAST_ROWS, is_small, materialize, maybe_broadcast, work_path
 from docspark.schema import DOC_SCHEMA, METADATA_COLUMNS, to_docs
 from docspark.sinks.hadoop import delete, full_path, has_files, names, read_text, size_of, write_new
 from docspark.sources.io import AtomicFile
@@ -39,6 +41,7 @@ STORE_SCHEMA = T.StructType(
         T.StructField("bucket", T.IntegerType()),
     ]
 )
+_HASHES = 4
 _OWN = ("load", "version", "buckets", "bucket")
 
 
@@ -116,10 +119,60 @@ def _read(spark: SparkSession, path: str, loads: list[str]) -> DataFrame:
     return spark.read.schema(STORE_SCHEMA).option("basePath", path).parquet(*[f"{path}/{name}" for name in loads])
 
 
-def _latest(spark: SparkSession, path: str, as_of: int | None = None) -> DataFrame:
+def _marks(uris: DataFrame, bits: int) -> DataFrame:
+    """A Bloom filter of the URIs of each bucket: (buckets, bucket, words), ``bits`` bits in 64-bit words."""
+    at = uris.select("buckets", "bucket", F.explode(F.array(*_bits(bits))).alias("at"))
+    one = at.select("buckets", "bucket", F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
+    words = one.groupBy("buckets", "bucket", "word").agg(F.bit_or("bit").alias("bit"))
+
+    def dense(key: tuple, table: pa.Table) -> pa.Table:
+        filled = np.zeros(bits // 64, np.int64)
+        filled[table.column("word").to_numpy()] = table.column("bit").to_numpy()
+        return pa.table({"buckets": pa.array([key[0].as_py()], pa.int32()), "bucket": pa.array([key[1].as_py()], pa.int32()), "words": pa.array([filled], pa.list_(pa.int64()))})
+
+    return words.groupBy("buckets", "bucket").applyInArrow(dense, "buckets int, bucket int, words array<bigint>")
+
+
+def _bits(bits: int) -> list[Column]:
+    """The places of a URI in a filter of a power of two of bits."""
+    # numbers of 32 bits, so that their sums do not overflow
+    one, step = (F.xxhash64("uri", F.lit(seed)).bitwiseAND(F.lit(0xFFFFFFFF)) for seed in range(2))
+    step = step.bitwiseOR(F.lit(1))
+    return [(one + F.lit(k) * step).bitwiseAND(F.lit(bits - 1)) for k in range(_HASHES)]
+
+
+def _marked(bits: int) -> Column:
+    """Whether ``words`` may hold the URI."""
+    found = F.lit(True)
+    for at in _bits(bits):
+        word = F.get("words", F.shiftright(at, 6).cast("int"))
+        mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), at.bitwiseAND(F.lit(63)).cast("int"))
+        found = found & (word.bitwiseAND(mask) != 0)
+    return F.coalesce(found, F.lit(False))
+
+
+def _filter_bits(n: int, buckets: int) -> int:
+    """Bits for each bucket: sixteen for a URI, while all filters together may be sent to the tasks."""
+    wanted, most = max(64, 16 * -(-n // buckets)), max(64, 8 * BROADCAST_BYTES // buckets)
+    return 1 << min((wanted - 1).bit_length(), most.bit_length() - 1)
+
+
+def _unreplaced(rows: DataFrame, later: DataFrame, last: DataFrame, bits: int) -> DataFrame:
+    """Rows without a newer one. Those whose URI no later load can hold, by its bucket's filter, are not shuffled."""
+    marks = F.broadcast(materialize(_marks(later.select("buckets", "bucket", "uri"), bits), "key-filters"))
+    tested = rows.join(marks, ["buckets", "bucket"], "left")
+    maybe = _marked(bits)
+    columns = rows.columns
+    newer = (F.col("uri") == F.col("_uri")) & (F.col("load") < F.col("_last"))
+    doubtful = tested.where(maybe).select(*columns).join(last, newer, "left_anti")
+    return tested.where(~maybe).select(*columns).unionByName(doubtful)
+
+
+def _latest(spark: SparkSession, path: str, as_of: int | None = None, few: int = BROADCAST_ROWS) -> DataFrame:
     """The last row of each URI, of those created up to ``as_of``.
 
-    Only URIs of later loads are gathered, not documents; they are sent to the tasks if they are few.
+    URIs of later loads are sent to the tasks if there are at most ``few``. Else filters of them are, of bounded size, and
+    only documents that these do not rule out are shuffled: about as many as the later loads have.
     """
     loads = _state(spark, path)[1]
     rows = _read(spark, path, loads)
@@ -130,7 +183,10 @@ def _latest(spark: SparkSession, path: str, as_of: int | None = None) -> DataFra
         later = later.where(F.col("created_ts") <= as_of)
     last = later.groupBy(F.col("uri").alias("_uri")).agg(F.max("load").alias("_last"))
     newer = (F.col("uri") == F.col("_uri")) & (F.col("load") < F.col("_last"))
-    return rows.join(maybe_broadcast(last), newer, "left_anti")
+    if is_small(last, few):
+        return rows.join(F.broadcast(last), newer, "left_anti")
+    n, buckets = later.agg(F.count(F.lit(1)), F.max("buckets")).first()
+    return _unreplaced(rows, later, last, _filter_bits(n, buckets))
 
 
 def store_buckets(spark: SparkSession, path: str) -> int:
@@ -208,12 +264,14 @@ def scan_docs(
     copy_properties: bool = True,
     copy_quality: bool = True,
     copy_metadata: bool = True,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Stored documents under a scope, with the wanted metadata. URI, type and stamp predicates reach the scan.
 
-    Without ``as_of`` live documents are read, with it those that lived at that stamp.
+    Without ``as_of`` live documents are read, with it those that lived at that stamp. ``broadcast_rows``: how many URIs of
+    later loads may be sent to the tasks as they are.
     """
-    docs = _latest(spark, path, as_of).drop(*_OWN)
+    docs = _latest(spark, path, as_of, broadcast_rows).drop(*_OWN)
     docs = filter_visible(docs) if as_of is None else filter_snapshot(docs, as_of)
     docs = docs.where(scope(collections, directories, selector, query, types))
     return select_metadata(docs, copy_collections, copy_permissions, copy_properties, copy_quality, copy_metadata)

@@ -5,14 +5,17 @@ from __future__ import annotations
 import csv
 import io
 import re
+from collections import deque
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docspark.functions.build import pairs_to_json, pairs_to_xml, row_to_json, row_to_xml, valid_name
 from docspark.functions.uri import uri_build, uri_generate
-from docspark.runtime import materialize, maybe_broadcast
+from docspark.runtime import materialize, maybe_broadcast, ship
 from docspark.schema import to_docs
 from docspark.sources.files import MAX_BYTES, text_lines
 from docspark.sources.numbering import mark_quotes, number_in_split
@@ -25,19 +28,40 @@ _RECORD_DDL = "line bigint, names array<string>, vals array<string>, raw string,
 
 
 class _Lines:
-    """Lines of a stream, keeping those of the record being read."""
+    """Lines of a stream, keeping those of the record being read; lines can be put back."""
 
     def __init__(self, text):
-        self._text, self.seen = text, []
+        self._text, self._back, self.seen, self.number = text, deque(), [], 0
 
     def __iter__(self):
         return self
 
     def __next__(self) -> str:
-        line = next(self._text)
+        line = self._back.popleft() if self._back else next(self._text)
         self.seen.append(line)
+        self.number += 1
         return line
 
+    def put_back(self, lines: list[str]) -> None:
+        self._back.extendleft(reversed(lines))
+        self.number -= len(lines)
+
+
+def _resume_at(lines: list[str], delimiter: str, width: int | None) -> int:
+    """Of the lines of a record that cannot be closed, the first after which records are read again.
+
+    That is the second or a later one that, like the one after it, is a whole record as wide as the header; the number of
+    lines if there is none. A quote that was opened by mistake so costs one row.
+    """
+
+    def whole(k: int) -> bool:
+        fields = _split_record(lines[k], delimiter) if k < len(lines) else None
+        return k >= len(lines) or fields is not None and len(fields) == width
+
+    last = len(lines) - 1
+    # the last line may be the first of a record that goes on
+    return next((k for k in range(1, len(lines)) if whole(k) and (k + 1 >= last or whole(k + 1))), len(lines))
+
 
 def _split_record(raw: str, delimiter: str) -> list[str] | None:
     """Fields of one record: spaces around a field go, those inside quotes stay. None if malformed."""
@@ -61,6 +85,7 @@ def _records(stream, delimiter: str, encoding: str) -> Iterator[tuple[int, list[
     csv.field_size_limit(2**31 - 1)
     # a quote opens a field only at its start, so skip leading blanks unless they delimit
     reader = csv.reader(lines, delimiter=delimiter, quotechar='"', skipinitialspace=True, strict=True)
+    width = None
     while True:
         lines.seen = []
         try:
@@ -73,8 +98,11 @@ def _records(stream, delimiter: str, encoding: str) -> Iterator[tuple[int, list[
             if any(f and f[-1].isspace() for f in fields):
                 raw = "".join(lines.seen)
                 fields = _split_record(raw, delimiter) if '"' in raw else [f.strip() for f in fields]
+        if fields is None and len(lines.seen) > 1:
+            lines.put_back(lines.seen[_resume_at(lines.seen, delimiter, width) :])
         if fields is None or (fields and fields != [""]):
-            yield reader.line_num, fields
+            width = len(fields) if width is None and fields else width
+            yield lines.number, fields
 
 
 def _header_of(fields: list[str]) -> list[str]:
@@ -170,10 +198,11 @@ def read_csv_docs(
     """Rows of delimited files as XML or JSON documents; the URI is the ``uri_id`` column, else the first.
 
     Default: each file (plain or ``.gz``) or zip entry is streamed by one task; quoted line breaks, any
-    charset and a header per file are allowed. ``split=True`` cuts files into blocks parsed by many tasks
+    charset and a header per file are allowed. A quote that is opened and never closed costs its row: reading goes on at the
+    next lines that are records as wide as the header. ``split=True`` cuts files into blocks parsed by many tasks
     inside the JVM; a record must then be one line of UTF-8 and all files share one header. Use it for
     files larger than a task should read. ``split="quoted"`` also allows line breaks inside quotes, if quotes
-    only ever enclose fields; it needs a URI column.
+    only ever enclose fields; it needs a URI column. There, behind a quote that is never closed, records of one line are read.
     """
     if len(delimiter) != 1:
         raise ValueError(f"Invalid delimiter: {delimiter}")
@@ -277,13 +306,42 @@ def _read_split_quoted(spark: SparkSession, paths, delimiter: str, pattern: str
     gathered = parts.join(maybe_broadcast(endless), key, "left_anti").groupBy(*key).agg(
         F.array_sort(F.collect_list(F.struct("_part", "id", "value"))).alias("_l")
     )
-    multi = gathered.select(
+    ship(spark)
+    width = len(_header_of(_split_record(header_line, delimiter)))
+    apart = F.when(F.size("_l") > 1, _whole_lines(delimiter, width)(F.transform("_l", lambda x: x["value"])))
+    gathered = materialize(gathered.withColumn("_apart", apart), "csv-records")
+    multi = gathered.where("_apart is null").select(
         "src_id", F.col("_b").alias("block"), F.get("_l", F.lit(0))["id"].alias("line"),
         F.array_join(F.transform("_l", lambda x: x["value"]), "\n").alias("raw"),
         none.alias("reason"),
     )
+    broken = gathered.where("_apart is not null")
+    first = broken.select("src_id", F.col("_b").alias("block"), F.get("_l", F.lit(0))["id"].alias("line"), F.lit("").alias("raw"), F.lit(QUOTE_REASON).alias("reason"))
+    alone = broken.select("src_id", F.col("_b").alias("block"), F.explode("_apart").alias("_k"), "_l")
+    alone = alone.withColumn("_x", F.get("_l", F.col("_k"))).select("src_id", "block", F.col("_x.id").alias("line"), F.col("_x.value").alias("raw"), none.alias("reason"))
     lost = endless.select("src_id", F.col("_b").alias("block"), "line", F.lit("").alias("raw"), F.lit(OPEN_REASON).alias("reason"))
-    return _parse_records(single.unionByName(multi).unionByName(lost), header_line, delimiter, kw)
+    # lines of a record larger than a row are taken one by one, where they lie
+    behind = parts.join(maybe_broadcast(endless.withColumnRenamed("line", "_first")), key).where((F.col("id") > F.col("_first")) & (F.trim("value") != ""))
+    behind = behind.where(F.size(F.split("value", '"')) % 2 == 1)
+    behind = behind.select("src_id", F.col("_part").alias("block"), F.col("id").alias("line"), F.col("value").alias("raw"), none.alias("reason"))
+    every = [single, multi, first, alone, lost, behind]
+    return _parse_records(reduce(DataFrame.unionByName, every), header_line, delimiter, kw)
+
+
+def _whole_lines(delimiter: str, width: int):
+    """A column function: of the lines of a record that is malformed, the numbers of those that are records; else null."""
+
+    @F.pandas_udf("array<int>")
+    def run(records: pd.Series) -> pd.Series:
+        def one(lines) -> list[int] | None:
+            if lines is None or _split_record("\n".join(lines), delimiter) is not None:
+                return None
+            whole = [f is not None and len(f) == width for f in (_split_record(x, delimiter) for x in lines)]
+            return [k for k in range(_resume_at(list(lines), delimiter, width), len(lines)) if whole[k]]
+
+        return records.map(one)
+
+    return run
 
 
 def _parse_records(lines: DataFrame, header_line: str, delimiter: str, kw: dict) -> DataFrame:

@@ -112,3 +112,21 @@ def test_literals_with_control_characters(spark, nested):
     rows = read_nquads(spark, top).collect()
     assert sorted((r["o"], r["graph"]) for r in rows if r["skip_reason"] is None) == [("\x01x\x01\x01", "u:g"), ("a\x01b", None), ("z\x02\n", None)]
     assert len([r for r in rows if r["skip_reason"]]) == 3
+
+
+@pytest.mark.parametrize("split", [False, True, "quoted"])
+def test_a_stray_quote_costs_its_row(spark, nested, split):
+    rows = "".join(f'{k},"q{k}"\n' if k % 3 else f"{k},p{k}\n" for k in range(40)).replace('4,"q4"', '4,"open').replace('17,"q17"', '17,"q"x"')
+    top = nested("s.csv", "id,v\n" + rows)
+    docs = read_csv_docs(spark, top, uri_id="id", split=split, doc_type="JSON")
+    got = {r["uri"]: json.loads(r["text"])["v"] for r in docs.where("skip_reason is null").collect()}
+    assert got == {str(k): f"q{k}" if k % 3 else f"p{k}" for k in range(40) if k not in (4, 17)}
+
+
+def test_lines_behind_a_stray_quote(spark, nested):
+    """One task goes on with records that span lines; what is malformed is reported line by line."""
+    top = nested("t.csv", 'id,v\n1,"open\n2,a\n3,"b\nc"\n4,d\n5,"x" y\nz"\n6,"e"\n7,"last\n')
+    docs = read_csv_docs(spark, top, uri_id="id", doc_type="JSON").collect()
+    got = {r["uri"]: json.loads(r["text"])["v"] for r in docs if r["skip_reason"] is None}
+    assert got == {"2": "a", "3": "b\nc", "4": "d", "6": "e"}
+    assert sorted(r["line"] for r in docs if r["skip_reason"]) == [2, 7, 8, 10]
