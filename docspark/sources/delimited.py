@@ -322,22 +322,20 @@ def _read_split_quoted(spark: SparkSession, paths, delimiter: str, pattern: str
     lost = endless.select("src_id", F.col("_b").alias("block"), "line", F.lit("").alias("raw"), F.lit(OPEN_REASON).alias("reason"))
     # lines of a record larger than a row are taken one by one, where they lie
     behind = parts.join(maybe_broadcast(endless.withColumnRenamed("line", "_first")), key).where((F.col("id") > F.col("_first")) & (F.trim("value") != ""))
-    behind = behind.where(F.size(F.split("value", '"')) % 2 == 1)
     behind = behind.select("src_id", F.col("_part").alias("block"), F.col("id").alias("line"), F.col("value").alias("raw"), none.alias("reason"))
     every = [single, multi, first, alone, lost, behind]
     return _parse_records(reduce(DataFrame.unionByName, every), header_line, delimiter, kw)
 
 
 def _whole_lines(delimiter: str, width: int):
-    """A column function: of the lines of a record that is malformed, the numbers of those that are records; else null."""
+    """A column function: of the lines of a record that is malformed, the numbers of those to read alone; else null."""
 
     @F.pandas_udf("array<int>")
     def run(records: pd.Series) -> pd.Series:
         def one(lines) -> list[int] | None:
             if lines is None or _split_record("\n".join(lines), delimiter) is not None:
                 return None
-            whole = [f is not None and len(f) == width for f in (_split_record(x, delimiter) for x in lines)]
-            return [k for k in range(_resume_at(list(lines), delimiter, width), len(lines)) if whole[k]]
+            return [k for k in range(_resume_at(list(lines), delimiter, width), len(lines)) if lines[k].strip()]
 
         return records.map(one)
 
