@@ -15,6 +15,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Rows sent to a Python worker at once: documents are long, and the JVM and the worker each hold a batch or two.
 ARROW_ROWS = 1000
+#: Entries of the encoder's caches: workers live through all stages beside a JVM that has grown, and must stay small.
+ENCODER_CACHES = (60_000, 50_000)
 
 
 def prepare(spark: SparkSession) -> None:
@@ -52,7 +54,7 @@ def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences."""
     prepare(spark)
-    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), caches=ENCODER_CACHES)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -58,10 +58,6 @@ class Kept(dict):
         self[piece] = ids
         return ids
 
-    def forget(self) -> None:
-        self.old = {}
-        self.clear()
-
 
 class Units(Kept):
     """Ids of pieces."""
@@ -171,7 +167,5 @@ def encoder(path: str, units: int = UNITS, chunks: int = CHUNKS) -> Encoder:
 
 
 def forget() -> None:
-    """Empty the caches of a task process that has no more texts to encode."""
-    for one in _encoders.values():
-        one.units.forget()
-        one.chunks.forget()
+    """Drop the encoders of a task process that has no more texts to encode."""
+    _encoders.clear()

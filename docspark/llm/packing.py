@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docspark.llm.common import mix, narrowed, release, releasing
-from docspark.llm.encode import encoder, forget
+from docspark.llm.encode import CHUNKS, UNITS, encoder, forget
 from docspark.runtime import materialize
 
 #: Tokens of a full sequence.
@@ -26,8 +26,6 @@ TERMS, K1, B = None, 1.2, 0.75
 KEYS, PAGE = 4, 64
 #: Documents whose places tell where the partitions end.
 SAMPLE = 50_000
-#: Entries of the encoder's caches: fewer than elsewhere, as packing needs the memory.
-UNITS, CHUNKS = 120_000, 100_000
 #: Id after each document.
 END = 1
 
@@ -173,11 +171,11 @@ def pack_shard(docs: list[np.ndarray], window: int, stats: Stats | None = None)
     return rows, (rows[-1][5] + 1 if rows else 0)
 
 
-def _encoded(tokenizer: str, end: int):
+def _encoded(tokenizer: str, end: int, caches: tuple[int, int]):
     """Of each text a row with its ids, two bytes each if they fit; of each task a row per term with its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, at = encoder(tokenizer, UNITS, CHUNKS).encode, TaskContext.get().partitionId() << 33
+        encode, at = encoder(tokenizer, *caches).encode, TaskContext.get().partitionId() << 33
         stop, seen = np.array([end], np.uint32), np.zeros(0, np.int64)
         for batch in batches:
             ids, sizes, kinds = [], [], []
@@ -211,7 +209,9 @@ def _ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.frombuffer(body, np.uint16 if body.size == 2 * n else np.uint32)
 
 
-def pack(df: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) -> DataFrame:
+def pack(
+    df: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END, caches: tuple[int, int] = (UNITS, CHUNKS)
+) -> DataFrame:
     """Pieces of the sequences that hold every token of (doc_id, text) once, each text followed by ``end``.
 
     Texts are encoded and written once; document frequencies and the average length are those of the whole table.
@@ -222,12 +222,13 @@ def pack(df: DataFrame, tokenizer: str, window: int = WINDOW, end: int = END) ->
     in it.
 
     A null text is the end id alone. Rows that repeat are packed as often; a null id stays null; other columns are
-    ignored. An empty table has no sequence.
+    ignored. An empty table has no sequence. ``caches`` are the entries of the encoder's two caches: fewer take less memory
+    and more time.
     """
     if window & (window - 1):
         raise ValueError("window must be a power of two")
     made = narrowed(df, doc_id="bigint", text="string").mapInArrow(
-        releasing(_encoded(tokenizer, end)), "doc_id long, row long, ids binary, n long, term long, seen long"
+        releasing(_encoded(tokenizer, end, caches)), "doc_id long, row long, ids binary, n long, term long, seen long"
     )
     made = materialize(made, "encoded")
     n, mean = made.agg(F.count("n"), F.coalesce(F.avg("n"), F.lit(0.0))).first()
