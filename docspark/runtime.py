@@ -19,6 +19,8 @@ BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 << 20
 
 _local_dir: str | None = None
+#: Tables that ``materialize`` wrote, in order.
+written: list[str] = []
 _shipped: set[str] = set()
 
 
@@ -77,6 +79,7 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = work_path(spark, name)
+    written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
