@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docspark import runtime
 from docspark.llm import jaccard, language, mixing, packing, pii
 from docspark.llm.queries import tokenizer_path
 from docspark.runtime import materialize, ship
+from docspark.sinks.hadoop import delete
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -19,6 +22,29 @@ ARROW_ROWS = 1000
 ENCODER_CACHES = (60_000, 50_000)
 
 
+#: Intermediate tables that stages wrote, of which none is needed once the stage's result is written.
+_scratch: list[str] = []
+
+
+def staged(stage: Stage) -> Stage:
+    """``stage``, after the intermediate tables of earlier stages are deleted, but for those that ``docs`` reads."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        read = docs.inputFiles() if _scratch else []
+        folders = {f.rpartition("/")[0].rpartition("/")[2] for f in read}
+        for path in [p for p in _scratch if p.rpartition("/")[2] not in folders]:
+            delete(spark, path)
+            _scratch.remove(path)
+        before = len(runtime.written)
+        out = stage(spark, docs, sf_dir)
+        _scratch.extend(runtime.written[before:])
+        return out
+
+    return run
+
+
 def prepare(spark: SparkSession) -> None:
     """Give the tasks the package, and bound their batches, unless the session says how."""
     ship(spark)
@@ -27,33 +53,33 @@ def prepare(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+@staged
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; a text without letters, or far from every centroid, goes."""
-    prepare(spark)
     return language.keep_identified(docs)
 
 
+@staged
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 75 % of its 5-word shingles, chained: the one with the smallest id."""
-    prepare(spark)
     return jaccard.keep_first(docs)
 
 
+@staged
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by the name of its kind."""
-    prepare(spark)
     return pii.redact(docs)
 
 
+@staged
 def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a document stands in it once for each pass that takes it, cut where its source's quota ends."""
-    prepare(spark)
     return mixing.mixed(docs)
 
 
+@staged
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences."""
-    prepare(spark)
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), caches=ENCODER_CACHES)
 
 

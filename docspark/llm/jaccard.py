@@ -46,7 +46,7 @@ ROWS = 250_000
 PART, COLUMNS = 256, 4096
 #: Entries of a list that one merge takes; longer lists are cut by candidate.
 LIST = 4096
-_CUT = np.uint64(16)
+_CUT, _LONGEST = np.uint64(16), 0x7FFF
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -167,7 +167,11 @@ def _postings(shards: int, frequent: np.ndarray):
 
 
 def _lists(shards: int, frequent: np.ndarray, counts: np.ndarray):
-    """The postings of one shard whose list holds two classes or more: (cls, n, token, df)."""
+    """The postings of one shard whose list holds two classes or more: (cls, n, posting).
+
+    A posting is one number, the list's length above the token's leading 48 bits, so that numbers sort as lists do: by
+    length, up to a bound, and then by token.
+    """
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         parts = [_unpack(x.as_buffer()) for x in table.column("packed")]
@@ -188,8 +192,7 @@ def _lists(shards: int, frequent: np.ndarray, counts: np.ndarray):
             {
                 "cls": pa.array(cls[shared], pa.int64()),
                 "n": pa.array(n[shared].astype(np.int64)),
-                "token": pa.array(token[shared].view(np.int64)),
-                "df": pa.array(df[shared].astype(np.int64)),
+                "posting": pa.array((np.minimum(df[shared], _LONGEST).astype(np.int64) << 48) | (token[shared] >> _CUT).astype(np.int64)),
             }
         )
         del token, cls, n, new, order, df
@@ -199,6 +202,10 @@ def _lists(shards: int, frequent: np.ndarray, counts: np.ndarray):
     return run
 
 
+def _token(posting):
+    return F.shiftleft(posting.bitwiseAND(F.lit((1 << 48) - 1)), 16)
+
+
 def least_overlap(n):
     """Least overlap a set of ``n`` needs with any partner."""
     return F.ceil(F.lit(PERCENT) * n / 100)
@@ -450,10 +457,10 @@ def jaccard_components(df: DataFrame, links: bool = True) -> DataFrame:
     frequent, counts = token[order], np.array([r["seen"] for r in often], np.int64)[order]
 
     packed = docs.select("text").mapInArrow(releasing(_postings(shards, frequent)), "shard long, packed binary")
-    lists = packed.groupBy("shard").applyInArrow(_lists(shards, frequent, counts), "cls long, n long, token long, df long")
-    index = lists.groupBy("cls").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "token"))).alias("by"))
+    lists = packed.groupBy("shard").applyInArrow(_lists(shards, frequent, counts), "cls long, n long, posting long")
+    index = lists.groupBy("cls").agg(F.first("n").alias("n"), F.sort_array(F.collect_list("posting")).alias("by"))
     index = index.filter(F.size("by") >= least_overlap(F.col("n")))
-    index = materialize(index.select("cls", "n", F.transform("by", lambda x: x["token"]).alias("tokens")), "index")
+    index = materialize(index.select("cls", "n", F.transform("by", _token).alias("tokens")), "index")
     # the short lists: any partner occurs in one of them
     short = F.slice("tokens", 1, (F.size("tokens") - least_overlap(F.col("n")) + 1).cast("int"))
     prefix = index.select("cls", "n", F.explode(short).alias("token"))
