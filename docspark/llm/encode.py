@@ -11,7 +11,7 @@ from pathlib import Path
 import numpy as np
 
 #: Entries of a generation of each of a task's two caches, and the longest that is kept.
-UNITS, CHUNKS, LONGEST = 350_000, 200_000, 64
+UNITS, CHUNKS, LONGEST = 500_000, 400_000, 64
 #: Code points encoded at a time; a longer text is cut where no token can span.
 SLICE = 1 << 20
 
