@@ -205,7 +205,7 @@ def read_csv_docs(
     only ever enclose fields; it needs a URI column. There, behind a quote that is never closed, records of one line are read.
     """
     if len(delimiter) != 1:
-        raise ValueError(f"Invalid delimiter: {delimiter}")
+        raise ValueError(f"a delimiter is one character, not {delimiter!r}")
     kw = dict(
         uri_id=uri_id, doc_type=doc_type, data_type=data_type, root_name=root_name, lenient=lenient,
         uri_options=uri_options, generate_uri=generate_uri,
