@@ -63,7 +63,7 @@ def parse_data_types(option: str | Mapping[str, str] | None, fields: Sequence[st
         if name not in types:
             raise ValueError(f"Column name {name} not found.")
         if kind.lower() not in ("string", "number", "boolean"):
-            raise ValueError(f"Unsupported column data type {kind}")
+            raise ValueError(f"no such kind of column: {kind}")
         types[name] = kind.lower()
     return types
 
@@ -138,7 +138,7 @@ def pairs_to_json(
         missing = ~F.array_contains(names, F.lit(name))
         wrong.append(F.when(missing, F.lit(f"Column name {name} not found.")))
         if kind.lower() not in ("string", "number", "boolean"):
-            wrong.append(F.lit(f"Unsupported column data type {kind}"))
+            wrong.append(F.lit(f"no such kind of column: {kind}"))
     of = {k: [n for n, kind in option.items() if kind.lower() == k] for k in ("number", "boolean")}
 
     def inner(value: Column) -> Column:

@@ -58,7 +58,7 @@ def prepare_target(spark: SparkSession, path: str, mode: str = "fail") -> None:
         delete(spark, path)
     elif mode == "fail":
         if has_files(spark, path):
-            raise FileExistsError(f"Directory {path} already exists")
+            raise FileExistsError(f"the target holds files: {path}")
     else:
         raise ValueError(f"unknown mode {mode}")
 
