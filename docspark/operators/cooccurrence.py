@@ -6,6 +6,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.operators.lexicon import attribute_path, element_path, field_terms, page_terms, xpath_terms
+from docspark.runtime import materialize
+
+
+#: Pairs that one document may give in its own task, and values on each side of a cell of a larger one.
+CELL_PAIRS, CELL_SIDE = 1 << 18, 1 << 9
+
+
+def _pairs(arrays: DataFrame) -> DataFrame:
+    """(a, b) of arrays (_a, _b), without nulls."""
+    # the outer explodes keep Spark from adding size tests that would evaluate the arrays again; nulls are dropped after
+    half = arrays.select(F.explode_outer("_a").alias("a"), "_b").where(F.col("a").isNotNull())
+    return half.select("a", F.explode_outer("_b").alias("b")).where(F.col("b").isNotNull())
+
+
+def _grid(arrays: DataFrame, cells: int) -> DataFrame:
+    """(_a, _b) of slices, each of one array against each of the other, in about as many partitions as there are cells, up to
+    what a shuffle has."""
+    spark = arrays.sparkSession
+    most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+    def slices(name: str) -> Column:
+        starts = F.sequence(F.lit(1), F.size(name), F.lit(CELL_SIDE))
+        return F.transform(starts, lambda i: F.slice(name, i, CELL_SIDE))
+
+    sliced = arrays.select(F.monotonically_increasing_id().alias("_doc"), slices("_a").alias("_as"), slices("_b").alias("_bs"))
+    rows = sliced.select("_doc", "_bs", F.posexplode("_as").alias("_i", "_a")).select("_doc", "_i", "_a", F.posexplode("_bs").alias("_j", "_b"))
+    return rows.repartition(min(cells, most), "_doc", "_i", "_j").select("_a", "_b")
 
 
 def cooccurrence(
@@ -21,17 +48,20 @@ def cooccurrence(
     """(a, b, freq) for two array columns.
 
     Values are made distinct inside the row, so each document gives each pair once; the two explodes stream,
-    and pairs are counted per task before the shuffle.
+    and pairs are counted per task before the shuffle. The arrays are written once; a document of more than ``CELL_PAIRS``
+    pairs is cut into a grid of array slices, which are spread over the tasks before pairs are made.
     """
     if restrict is not None:
         docs = docs.where(restrict)
     if frequency == "fragment":
         a, b = F.array_distinct(a), F.array_distinct(b)
-    # Both arrays are made once per document. The outer explodes keep Spark from adding size tests that would
-    # evaluate them again; nulls are dropped after.
-    pairs = docs.select(a.alias("_a"), b.alias("_b")).select(F.explode_outer("_a").alias("a"), "_b")
-    pairs = pairs.where(F.col("a").isNotNull()).select("a", F.explode_outer("_b").alias("b"))
-    out = pairs.where(F.col("b").isNotNull()).groupBy("a", "b").agg(F.count(F.lit(1)).alias("freq"))
+    made = F.coalesce(F.size("_a").cast("bigint") * F.size("_b"), F.lit(0))
+    both = materialize(docs.select(a.alias("_a"), b.alias("_b")).withColumn("_pairs", made), "cooccurrence")
+    pairs = _pairs(both.where(F.col("_pairs") <= CELL_PAIRS))
+    cells = both.where(F.col("_pairs") > CELL_PAIRS).agg(F.sum(F.ceil(F.col("_pairs") / CELL_PAIRS))).first()[0]
+    if cells:
+        pairs = pairs.unionByName(_pairs(_grid(both.where(F.col("_pairs") > CELL_PAIRS), cells)))
+    out = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("freq"))
     return page_terms(out, ["a", "b"], offset, limit, sort=sort)
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from docspark.runtime import maybe_broadcast
+
+
 def load_report(docs: DataFrame, estimated: int | None = None, failed: DataFrame | None = None) -> DataFrame:
     """The five counters of a load, one row: estimated input, input, output, committed, failed.
 
@@ -12,7 +15,7 @@ def load_report(docs: DataFrame, estimated: int | None = None, failed: DataFrame
     """
     ok = F.col("skip_reason").isNull()
     if failed is not None:
-        docs = docs.join(failed.select("uri").distinct().withColumn("_failed", F.lit(True)), "uri", "left")
+        docs = docs.join(maybe_broadcast(failed.select("uri").distinct().withColumn("_failed", F.lit(True))), "uri", "left")
     bad = F.coalesce(F.col("_failed"), F.lit(False)) if failed is not None else F.lit(False)
     est = F.count(F.lit(1)) if estimated is None else F.lit(estimated).cast("bigint")
     return docs.agg(

@@ -18,6 +18,7 @@ from docspark.plans.derive import (
     customer_xml,
     linked_customers,
     page_docs,
+    stamped_orders,
     table,
     text_docs,
 )
@@ -228,3 +229,19 @@ def q_custom_reduce_partials(spark, sf):
         "l_returnflag", F.col("l_orderkey").alias("last_key"), F.col("l_linenumber").cast("bigint").alias("lines")
     )
     return custom_reduce_partials(rows, ["l_returnflag"], fold, "l_returnflag string, last_key bigint, lines bigint")
+
+
+@query(
+    "load_report_refused",
+    """select count(*) as estimated_input, count(*) as input_records, count(*) as output_records,
+ count(*) filter (where o_orderstatus <> 'F') as committed_records, count(*) filter (where o_orderstatus = 'F') as failed_records from orders""",
+)
+def q_load_report_refused(spark, sf):
+    from docspark.plans.jobs import import_docs
+    from docspark.sinks.records import foreach_reported
+
+    def take(doc) -> None:
+        if '"o_orderstatus":"F"' in doc.text:
+            raise ValueError("closed orders are not taken")
+
+    return import_docs(stamped_orders(spark, sf), "", sink=lambda good: foreach_reported(good.select("uri", "text"), take))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +26,7 @@ from docspark.operators.report import load_report
 from docspark.runtime import materialize, ship
 from docspark.schema import to_docs
 from docspark.sinks.export import export_archive, export_files, export_zip
-from docspark.sinks.store import full_metadata, scan_docs, upsert_docs
+from docspark.sinks.store import full_metadata, is_applied, own_blobs, scan_docs, upsert_docs
 
 
 def _configured(collections) -> object:
@@ -51,22 +55,38 @@ def import_docs(
     permissions: str | None = None,
     quality: int = 0,
     directory: str | None = None,
+    load_id: tuple[str, int] | None = None,
+    sink: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Write the documents of a reader to a store and its rejected records to a table; returns the counters.
 
     XML and JSON documents that do not parse are rejected, so that paths over the store cannot fail on them.
-    The reader's output is written down once: source files are parsed a single time.
+    The reader's output is written down once: source files are parsed a single time. Documents that the store cannot
+    take, as their source is gone or damaged, count as failed and are listed with the rejects, by ``uri``; the others are stored.
+    ``load_id`` (job, number of the batch): a batch that is loaded again adds nothing to the store and writes its rejects in
+    place of the earlier ones; its counters are 0 if the store holds it. ``sink`` takes the documents in place of the store and
+    returns those that it refused, (uri, skip_reason).
     """
     ship(docs.sparkSession)
     docs = to_docs(docs)
+    if load_id is not None and sink is None and is_applied(docs.sparkSession, store, load_id):
+        return load_report(docs.where("false"))
     docs = docs.withColumn("skip_reason", F.coalesce("skip_reason", content_error(F.col("content_type"), F.col("text"))))
     docs = docs.withColumn("uri", uri_output_dir(F.col("uri"), directory))
     read = materialize(with_output_metadata(docs, collections, permissions, quality), "import")
     good, rejected = reject_split(read)
-    upsert_docs(good, store, staged=True)
+    if sink is not None:
+        failed = materialize(sink(good).select("uri", "skip_reason"), "refused")
+    else:
+        good, failed = own_blobs(good, store)
     if rejects is not None:
-        rejected.write.mode("append").parquet(rejects)
-    return load_report(read)
+        # named by the batch: a repeated one replaces its rows. They are there before the load counts
+        name = f"load={hashlib.md5(load_id[0].encode()).hexdigest()}-{load_id[1]}" if load_id else f"load={uuid.uuid4().hex}"
+        listed = rejected.unionByName(failed, allowMissingColumns=True)
+        listed.select(*rejected.columns, "uri").write.mode("overwrite").parquet(f"{rejects}/{name}")
+    if sink is None:
+        upsert_docs(good, store, staged=True, load_id=load_id, owned=True)
+    return load_report(read, failed=failed)
 
 
 def export_docs(spark: SparkSession, store: str, out_dir: str, output: str = "files", rules=(), **scope) -> DataFrame:

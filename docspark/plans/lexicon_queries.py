@@ -229,3 +229,24 @@ def q_sort_terms(spark, sf):
     from docspark.runtime import with_positions
 
     return with_positions(L.word_lexicon(text_docs(spark, sf), sort=False), ["term"])
+
+
+_REGION_TERMS = """(select distinct n_regionkey as g, 'c'||(c_custkey % 200) as a from customer join nation on c_nationkey = n_nationkey) x
+ join (select distinct n_regionkey as g, strftime(o_orderdate::date, '%Y-%m-%d') as b from orders
+  join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey) y using (g)"""
+
+
+@query(
+    "cooc_long_arrays",
+    f"select a, count(*) as pairs, sum(freq)::bigint as freq from (select a, b, count(*) as freq from {_REGION_TERMS} group by a, b) group by a",
+)
+def q_cooc_long_arrays(spark, sf):
+    """Each region is one document with two long lists."""
+    nations = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
+    customers = table(spark, sf, "customer").join(F.broadcast(nations), F.col("n_nationkey") == F.col("c_nationkey"))
+    name = F.concat(F.lit("c"), (F.col("c_custkey") % 200).cast("string"))
+    days = table(spark, sf, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    a = customers.groupBy("n_regionkey").agg(F.collect_set(name).alias("names"))
+    b = days.groupBy("n_regionkey").agg(F.collect_set(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("days"))
+    found = C.cooccurrence(a.join(b, "n_regionkey"), F.col("names"), F.col("days"), sort=False)
+    return found.groupBy("a").agg(F.count(F.lit(1)).alias("pairs"), F.sum("freq").alias("freq"))

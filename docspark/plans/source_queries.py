@@ -24,6 +24,7 @@ from docspark.plans.derive import (
     text_dir,
     text_docs,
 )
+from docspark.plans.jobs import import_docs
 from docspark.runtime import work_path
 from docspark.sinks.export import export_archive, export_files
 from docspark.sinks.records import write_sequencefile
@@ -300,8 +301,41 @@ def q_read_rdf_control_chars(spark, sf):
     return triples.select("s", F.hex("o").alias("o"), F.coalesce("graph", F.lit("")).alias("graph"), "skip_reason")
 
 
-@query("read_rdf_json", f"select s, p, o, datatype, lang, '' as graph from {CUSTOMER_TRIPLES}")
-def q_read_rdf_json(spark, sf):
+def _recoded(docs, charset: str):
+    """The same documents as files in another charset."""
+    none = F.lit(None).cast("string")
+    return docs.withColumn("bytes", F.encode("text", charset)).withColumn("text", none).withColumn("content_type", F.lit("BINARY"))
+
+
+@query("read_ndjson_utf16", _EVENT_DOCS)
+def q_read_ndjson_utf16(spark, sf):
+    files = packed_files(table(spark, sf, "events"), _event_line(), ["event_id"], "", "\n", ".json")
+    path = as_files(_recoded(files, "UTF-16"), "ndjson-utf16")
+    return read_ndjson(spark, path, uri_id="id", encoding="UTF-16", prefix="/event/").select("uri", "text", "skip_reason")
+
+
+@query(
+    "import_repeated_batch",
+    "select case event_type when 'error' then 'leading space' else 'the line names no URI' end as skip_reason, count(*) as n"
+    " from events where event_type in ('error', 'scroll') group by 1"
+    " union all select 'loaded', count(*) from events where event_type not in ('error', 'scroll')",
+)
+def q_import_repeated_batch(spark, sf):
+    path = text_dir(table(spark, sf, "events"), _event_line(), "ndjson")
+    store, rejects = work_path(spark, "repeated"), work_path(spark, "repeated-rejects")
+    for _ in range(2):
+        import_docs(read_ndjson(spark, path, uri_id="id", prefix="/event/"), store, rejects, load_id=("events", 1))
+    listed = spark.read.parquet(rejects).groupBy("skip_reason").agg(F.count(F.lit(1)).alias("n"))
+    return listed.unionByName(scan_docs(spark, store).select(F.lit("loaded").alias("skip_reason")).groupBy("skip_reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("read_nquads_utf32", f"select s, p, o, datatype, lang, graph from {CUSTOMER_TRIPLES}")
+def q_read_nquads_utf32(spark, sf):
+    files = packed_files(customer_statements(spark, sf), F.col("value"), ["c_custkey", "value"], "", "\n", ".nq")
+    return flat_triples(read_nquads(spark, as_files(_recoded(files, "UTF-32"), "nq-utf32"), encoding="UTF-32"))
+
+
+def _rdf_json_files(spark, sf) -> str:
     entry = F.format_string(
         '"urn:customer:%d": {"urn:p:name": [{"value": "%s", "type": "literal"}], '
         '"urn:p:segment": [{"value": "%s", "type": "literal", "lang": "en"}], '
@@ -309,7 +343,18 @@ def q_read_rdf_json(spark, sf):
         "c_custkey", "c_name", "c_mktsegment", F.col("c_acctbal").cast("string"),
     )
     files = packed_files(table(spark, sf, "customer"), entry, ["c_custkey"], "{", "}", ".rj", ",\n")
-    return flat_triples(read_rdf_json(spark, as_files(files, "rdf-json")))
+    return as_files(files, "rdf-json")
+
+
+@query("read_rdf_json", f"select s, p, o, datatype, lang, '' as graph from {CUSTOMER_TRIPLES}")
+def q_read_rdf_json(spark, sf):
+    return flat_triples(read_rdf_json(spark, _rdf_json_files(spark, sf)))
+
+
+@query("read_rdf_json_blocks", f"select s, p, o, datatype, lang, '' as graph from {CUSTOMER_TRIPLES}")
+def q_read_rdf_json_blocks(spark, sf):
+    # blocks far smaller than a file, so that every file is cut
+    return flat_triples(read_rdf_json(spark, _rdf_json_files(spark, sf), block=1 << 14))
 
 
 @query("read_rdf_zip", f"select s, p, o, datatype, lang, graph from {CUSTOMER_TRIPLES}")
@@ -390,6 +435,17 @@ def q_custom_source(spark, sf):
     return files.select(F.replace("uri", F.lit(path), F.lit("")).alias("uri"), F.md5("bytes").alias("text_md5"))
 
 
+@query("custom_source_stream", f"select uri, md5(text) as text_md5 from {TEXT_DOCS}")
+def q_custom_source_stream(spark, sf):
+    path, out = as_files(text_docs(spark, sf), "custom"), work_path(spark, "custom-stream")
+    custom.register(spark)
+    files = spark.readStream.format("docspark_files").option("settleSeconds", "0").load(path)
+    write = files.writeStream.format("parquet").option("checkpointLocation", work_path(spark, "custom-check"))
+    write.trigger(availableNow=True).start(out).awaitTermination()
+    rows = spark.read.schema(files.schema).parquet(out)
+    return rows.select(F.replace("uri", F.lit(path), F.lit("")).alias("uri"), F.md5("bytes").alias("text_md5"))
+
+
 @query("custom_sink", f"select uri, md5(text) as text_md5 from {TEXT_DOCS}")
 def q_custom_sink(spark, sf):
     path = work_path(spark, "custom-sink")

@@ -9,8 +9,10 @@ nothing; a scan drops the rows whose URI a later load has; ``compact_store`` mak
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -42,6 +44,8 @@ STORE_SCHEMA = T.StructType(
     ]
 )
 _HASHES = 4
+#: Before the lines of a state file that name the batches which the store holds.
+_APPLIED = "applied="
 _OWN = ("load", "version", "buckets", "bucket")
 
 
@@ -68,43 +72,80 @@ def _state(spark: SparkSession, path: str) -> tuple[int, list[str]]:
     states = sorted(n for n in names(spark, path) if n.startswith("_loads-") and n[7:].isdigit())
     if not states:
         return -1, []
-    return int(states[-1][7:]), read_text(spark, f"{path}/{states[-1]}").split()
+    lines = read_text(spark, f"{path}/{states[-1]}").split()
+    return int(states[-1][7:]), [line for line in lines if not line.startswith(_APPLIED)]
 
 
-def _own_blobs(rows: DataFrame, path: str) -> DataFrame:
-    """``rows`` with referenced documents copied to files of the store, so that it does not depend on their sources."""
+def _job_key(job: str) -> str:
+    return hashlib.md5(job.encode()).hexdigest()
+
+
+def _applied(spark: SparkSession, path: str) -> dict[str, int]:
+    """The last batch of each job that the store holds, by the job's key."""
+    number = _state(spark, path)[0]
+    if number < 0:
+        return {}
+    lines = read_text(spark, f"{path}/_loads-{number:06d}").split()
+    return {key: int(batch) for line in lines if line.startswith(_APPLIED) for key, batch in [line[len(_APPLIED) :].split(":")]}
+
+
+def is_applied(spark: SparkSession, path: str, load_id: tuple[str, int]) -> bool:
+    """Whether the store holds this batch of the job, or a later one."""
+    return _applied(spark, path).get(_job_key(load_id[0]), -1) >= load_id[1]
+
+
+def own_blobs(rows: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+    """(``rows`` with referenced documents copied to files of the store, so that it does not depend on their sources; rows
+    whose source is not there or is damaged, with a ``skip_reason``). Other faults of a file system fail the task, which is
+    run again."""
     if rows.where("ref is not null").isEmpty():
-        return rows
+        return rows, rows.where("false")
     root = full_path(rows.sparkSession, path)
     fields = rows.schema
+    keep = "skip_reason" in rows.columns
+    schema = fields if keep else T.StructType([*fields, T.StructField("skip_reason", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            places = []
+            places, reasons = [], []
             for src_id, ref in zip(batch["src_id"], batch["ref"], strict=True):
                 # named by where the bytes come from: a repeated task writes the same file
                 name = hashlib.md5(f"{src_id}\n{ref}\n{stamp}".encode()).hexdigest()
                 file = AtomicFile(f"{root}/_blobs/{name}", str(TaskContext.get().taskAttemptId()))
-                for chunk in chunks(src_id, ref):
-                    file.stream.write(chunk)
+                try:
+                    for chunk in chunks(src_id, ref):
+                        file.stream.write(chunk)
+                except (FileNotFoundError, EOFError, ValueError, zlib.error, gzip.BadGzipFile) as e:
+                    file.discard()
+                    places.append(src_id)
+                    reasons.append(f"not stored: {type(e).__name__}: {e}")
+                    continue
                 file.close()
                 places.append(f"{root}/_blobs/{name}")
-            yield batch.assign(src_id=places, ref=WHOLE)
+                reasons.append(None)
+            yield batch.assign(src_id=places, ref=[WHOLE if r is None else ref for r, ref in zip(reasons, batch["ref"], strict=True)], skip_reason=reasons)
 
     stamp = uuid.uuid4().hex
-    moved = rows.where("ref is not null").mapInPandas(run, fields)
-    return rows.where("ref is null").unionByName(materialize(moved, "blobs"))
+    moved = materialize(rows.where("ref is not null").mapInPandas(run, schema), "blobs")
+    stored = moved.where("skip_reason is null").select(*rows.columns)
+    return rows.where("ref is null").unionByName(stored), moved.where("skip_reason is not null")
 
 
-def _append(spark: SparkSession, rows: DataFrame, path: str, buckets: int, after: tuple[int, list[str]], keep: bool) -> None:
-    """Write a load and make it count, after those there (``keep``) or in their place."""
+def _append(
+    spark: SparkSession, rows: DataFrame, path: str, buckets: int, after: tuple[int, list[str]], keep: bool,
+    load_id: tuple[str, int] | None = None, fresh: bool = False,
+) -> None:
+    """Write a load and make it count, after those there (``keep``) or in their place; a ``fresh`` store forgets the batches
+    that it held."""
     number, loads = after
-    rows = _own_blobs(rows, path)
+    applied = {} if fresh else _applied(spark, path)
+    if load_id is not None:
+        applied[_job_key(load_id[0])] = load_id[1]
     folder = f"version={number + 1:06d}-{uuid.uuid4().hex}"
     rows = rows.drop(*_OWN).withColumn("load", F.lit(number + 1).cast("long")).withColumn("buckets", F.lit(buckets))
     rows = rows.withColumn("bucket", bucket_by_uri(F.col("uri"), buckets)).hint("rebalance", F.col("bucket"))
     rows.write.partitionBy("buckets", "bucket").parquet(f"{path}/{folder}")
-    write_new(spark, f"{path}/_loads-{number + 1:06d}", "\n".join([*(loads if keep else []), folder]))
+    write_new(spark, f"{path}/_loads-{number + 1:06d}", "\n".join([*(loads if keep else []), folder, *[f"{_APPLIED}{k}:{n}" for k, n in applied.items()]]))
     if keep:
         return
     # nothing names the old loads any more
@@ -225,29 +266,45 @@ def write_store(docs: DataFrame, path: str, buckets: int | None = None, mode: st
     if mode != "clean":
         prepare_target(spark, path, mode)
     rows, size = _staged(to_docs(docs))
-    _append(spark, _one_per_uri(rows), path, buckets or _buckets_for(size), _state(spark, path), keep=False)
+    _append(spark, _all_own(_one_per_uri(rows), path), path, buckets or _buckets_for(size), _state(spark, path), keep=False, fresh=True)
+
 
+def _all_own(rows: DataFrame, path: str) -> DataFrame:
+    """``own_blobs`` where it is an error if a document cannot be read."""
+    rows, refused = own_blobs(rows, path)
+    lost = refused.first()
+    if lost is not None:
+        raise OSError(f"{lost.uri}: {lost.skip_reason}")
+    return rows
 
-def upsert_docs(docs: DataFrame, path: str, buckets: int | None = None, staged: bool = False) -> None:
+
+def upsert_docs(
+    docs: DataFrame, path: str, buckets: int | None = None, staged: bool = False, load_id: tuple[str, int] | None = None, owned: bool = False
+) -> None:
     """Insert or replace documents by URI: what is written follows the load, not the store.
 
     ``staged`` says that ``docs`` is a written table already. Older versions stay until the store is compacted, and
-    are what ``scan_docs(as_of=)`` reads. One writer at a time.
+    are what ``scan_docs(as_of=)`` reads. One writer at a time. ``load_id`` (job, number of the batch) becomes part of the
+    store's state with the load: a batch that the store holds already is not written again. ``owned``: referenced documents
+    went through ``own_blobs``.
     """
     spark = docs.sparkSession
+    if load_id is not None and is_applied(spark, path, load_id):
+        return
     docs, size = (to_docs(docs), 0) if staged else _staged(to_docs(docs))
     if docs.isEmpty():
         return
     state = _state(spark, path)
     number = store_buckets(spark, path) if state[1] else buckets or _buckets_for(size)
-    _append(spark, _one_per_uri(docs), path, number, state, keep=True)
+    rows = _one_per_uri(docs)
+    _append(spark, rows if owned else _all_own(rows, path), path, number, state, keep=True, load_id=load_id)
 
 
 def compact_store(spark: SparkSession, path: str, buckets: int | None = None) -> None:
     """One load of the last row of each URI; older versions go. Readers that began before must have ended."""
     state = _state(spark, path)
     rows, size = _staged(_latest(spark, path).drop(*_OWN), "compacted")
-    _append(spark, rows, path, buckets or _buckets_for(size), state, keep=False)
+    _append(spark, _all_own(rows, path), path, buckets or _buckets_for(size), state, keep=False)
 
 
 def scan_docs(

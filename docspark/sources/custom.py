@@ -2,46 +2,136 @@
 
 from __future__ import annotations
 
+import os
+import time
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    DataSourceWriter,
+    EqualTo,
+    Filter,
+    In,
+    InputPartition,
+    StringStartsWith,
+    WriterCommitMessage,
+)
 
 from docspark.runtime import ship
 
 
 class FilesPartition(InputPartition):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
+    """The files that task ``number`` of ``tasks`` owns, changed after ``since`` and up to ``until`` (nanoseconds)."""
+
+    def __init__(self, number: int, tasks: int, since: int | None = None, until: int | None = None):
+        self.number, self.tasks, self.since, self.until = number, tasks, since, until
+
+
+def _owned_files(fs, root: str, part: FilesPartition, depth: int, prefix: str = "") -> Iterator:
+    """The files below ``root`` that a task owns, found by walking directories in the task.
+
+    All tasks walk the first ``depth`` levels and share the files there by a hash of their path; directories at that depth
+    belong to one task each, with all below. Only directories that can hold paths with ``prefix`` are listed.
+    """
+    from pyarrow import fs as pafs
+
+    def mine(path: str) -> bool:
+        return zlib.crc32(path.encode()) % part.tasks == part.number
+
+    depth = max(depth, 1)
+    folders = [(root, 0)]
+    while folders:
+        folder, level = folders.pop()
+        for entry in fs.get_file_info(pafs.FileSelector(folder)):
+            if entry.base_name.startswith(("_", ".")):
+                continue
+            if entry.type == pafs.FileType.Directory:
+                inner = entry.path + "/"
+                if (inner.startswith(prefix) or prefix.startswith(inner)) and (level + 1 != depth or mine(entry.path)):
+                    folders.append((entry.path, level + 1))
+            elif entry.path.startswith(prefix) and (level >= depth or mine(entry.path)):
+                if part.since is None or part.since < entry.mtime_ns <= part.until:
+                    yield entry
 
 
 class FilesReader(DataSourceReader):
-    """Lists files on the driver, opens them in the tasks. ``filesPerTask`` sets how many a task reads."""
+    """Files are listed and opened in the tasks. ``tasks`` (16) should be the cores of the cluster or more, ``spreadDepth`` (2)
+    is the level of directories that belong to one task each, 1 at least.
+    """
 
     def __init__(self, options):
         self.path = options["path"]
-        self.per_task = int(options.get("filesPerTask", "64"))
+        self.tasks, self.depth = int(options.get("tasks", "16")), int(options.get("spreadDepth", "2"))
+        self.prefix, self.wanted = "", None
 
     def partitions(self) -> list[FilesPartition]:
-        from pyarrow import fs as pafs
+        return [FilesPartition(i, self.tasks) for i in range(self.tasks)]
 
+    def read(self, partition: FilesPartition) -> Iterator[tuple]:
         from docspark.sources.io import resolve
 
         fs, root = resolve(self.path)
-        names = sorted(
-            i.path
-            for i in fs.get_file_info(pafs.FileSelector(root, recursive=True))
-            if i.type == pafs.FileType.File and not i.base_name.startswith(("_", "."))
-        )
-        return [FilesPartition(names[i : i + self.per_task]) for i in range(0, len(names), self.per_task)]
+        prefix = self.prefix
+        if self.wanted is not None:
+            prefix = max(prefix, os.path.commonprefix([w for w in self.wanted if w is not None]), key=len)
+        for entry in _owned_files(fs, root.rstrip("/"), partition, self.depth, prefix):
+            if (self.wanted is None or entry.path in self.wanted) and entry.path.startswith(self.prefix):
+                with fs.open_input_file(entry.path) as f:
+                    yield entry.path, bytes(f.read())
+
+
+class FilteredFilesReader(FilesReader):
+    """Conditions ``uri = ...``, ``uri in (...)`` and ``startswith`` on it decide which directories are listed and which files
+    are opened. For option ``pushFilters``; Spark refuses it unless ``spark.sql.python.filterPushdown.enabled`` is set."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            if isinstance(f, StringStartsWith) and f.attribute == ("uri",):
+                # of two prefixes the longer one, if it begins with the other
+                longer, shorter = (f.value, self.prefix) if len(f.value) > len(self.prefix) else (self.prefix, f.value)
+                if longer.startswith(shorter):
+                    self.prefix = longer
+                    continue
+            elif isinstance(f, EqualTo | In) and f.attribute == ("uri",):
+                named = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.wanted = named if self.wanted is None else self.wanted & named
+                continue
+            yield f
+
+
+class FilesStreamReader(DataSourceStreamReader):
+    """New and changed files by their time: an offset is the time up to which files were read, so nothing is listed on the
+    driver and nothing is remembered per file. A batch that is run again reads the same files, unless they changed.
+
+    ``settleSeconds`` (10) is how long after its time a file must be visible, for clocks that differ and slow renames; files that
+    appear with an older time are not seen.
+    """
+
+    def __init__(self, options):
+        self.path = options["path"]
+        self.tasks, self.depth = int(options.get("tasks", "16")), int(options.get("spreadDepth", "2"))
+        self.settle = int(float(options.get("settleSeconds", "10")) * 1_000_000_000)
+
+    def initialOffset(self) -> dict:
+        return {"until": 0}
+
+    def latestOffset(self) -> dict:
+        return {"until": time.time_ns() - self.settle}
+
+    def partitions(self, start: dict, end: dict) -> list[FilesPartition]:
+        return [FilesPartition(i, self.tasks, start["until"], end["until"]) for i in range(self.tasks)]
 
     def read(self, partition: FilesPartition) -> Iterator[tuple]:
         from docspark.sources.io import resolve
 
-        fs, _ = resolve(self.path)
-        for path in partition.paths:
-            with fs.open_input_file(path) as f:
-                yield path, bytes(f.read())
+        fs, root = resolve(self.path)
+        for entry in _owned_files(fs, root.rstrip("/"), partition, self.depth):
+            with fs.open_input_file(entry.path) as f:
+                yield entry.path, bytes(f.read())
 
 
 class Written(WriterCommitMessage):
@@ -82,7 +172,10 @@ class FilesSource(DataSource):
         return "uri string, bytes binary"
 
     def reader(self, schema) -> FilesReader:
-        return FilesReader(self.options)
+        return (FilteredFilesReader if self.options.get("pushFilters", "").lower() == "true" else FilesReader)(self.options)
+
+    def streamReader(self, schema) -> FilesStreamReader:
+        return FilesStreamReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> FilesWriter:
         return FilesWriter(self.options)

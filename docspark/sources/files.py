@@ -35,13 +35,20 @@ def text_lines(
     """(value, src_id, block) of the lines of all files below ``paths`` whose name the regex ``pattern`` matches.
 
     Files are cut into blocks at line ends and read by many tasks, in the JVM. It is an error if no file matches.
-    ``encoding`` is any charset in which a line ends with the byte of ``\\n``.
+    ``encoding`` is UTF-16 or UTF-32, which Python tasks read, or any charset in which a line ends with the byte of ``\\n``.
     """
+    from docspark.sources.wide_text import UNITS, family, read_wide_lines
+
     charset = "UTF-8" if encoding.upper() == "SYSTEM" else encoding
-    if "\n".encode(codecs.lookup(charset).name) != b"\n":
+    name = codecs.lookup(charset).name
+    wide = family(name) in UNITS
+    if not wide and "\n".encode(name) != b"\n":
         raise ValueError(f"files in {encoding} cannot be cut at line ends: read them whole")
-    if list_files(spark, paths, pattern).isEmpty():
+    files = list_files(spark, paths, pattern)
+    if files.isEmpty():
         raise FileNotFoundError(f"no file below {_paths(paths)} matches {pattern or 'any name'}")
+    if wide:
+        return read_wide_lines(files, name, only_lf=options.get("lineSep") == "\n")
     df = spark.read.option("recursiveFileLookup", "true").options(**options).text(_paths(paths))
     if pattern:
         df = df.where(F.col("_metadata.file_name").rlike(whole_match(pattern)))

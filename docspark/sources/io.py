@@ -43,6 +43,11 @@ class AtomicFile:
         self.stream.close()
         self.fs.move(self.tmp, self.path)
 
+    def discard(self) -> None:
+        """Leave nothing behind."""
+        self.stream.close()
+        self.fs.delete_file(self.tmp)
+
 
 def path_of(uri: str) -> str:
     """Decoded path portion of a file URI."""

@@ -9,9 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions.rdf import NQUAD, XSD_STRING, blank_node_iri, is_blank_label, resource, unescape
-from docspark.sources.files import list_files, text_lines
 from docspark.functions.uri import whole_match
+from docspark.runtime import materialize, maybe_broadcast
+from docspark.sources.files import list_files, text_lines
+from docspark.sources.json_blocks import read_members
 from docspark.sources.numbering import number_in_split
+from docspark.sources.xml_blocks import block_size
 from docspark.sources.zipped import entry_rows, stream_records
 
 # File suffix to line syntax.
@@ -61,35 +64,63 @@ def parse_statements(lines: DataFrame, salt: str = "", quads: bool | Column = Tr
     )
 
 
-def _lines(spark: SparkSession, paths, pattern: str | None) -> DataFrame:
-    lines = number_in_split(text_lines(spark, paths, pattern))
+def _lines(spark: SparkSession, paths, pattern: str | None, encoding: str) -> DataFrame:
+    lines = number_in_split(text_lines(spark, paths, pattern, encoding))
     return lines.select("src_id", F.lit("").alias("sub_id"), (F.col("block") + F.col("n")).alias("line"), "value")
 
 
-def read_ntriples(spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None) -> DataFrame:
+def read_ntriples(
+    spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None, encoding: str = "UTF-8"
+) -> DataFrame:
     """N-Triples, plain or ``.gz``; ``line`` orders the statements of a file."""
-    return parse_statements(_lines(spark, paths, pattern), salt, quads=False)
+    return parse_statements(_lines(spark, paths, pattern, encoding), salt, quads=False)
 
 
-def read_nquads(spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None) -> DataFrame:
+def read_nquads(
+    spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None, encoding: str = "UTF-8"
+) -> DataFrame:
     """N-Quads, plain or ``.gz``; ``graph`` is null where the line has none."""
-    return parse_statements(_lines(spark, paths, pattern), salt)
+    return parse_statements(_lines(spark, paths, pattern, encoding), salt)
 
 
-def read_rdf_json(
-    spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None
-) -> DataFrame:
-    """RDF/JSON: subject to predicate to list of objects, one JSON object per file."""
-    if list_files(spark, paths, pattern).isEmpty():
+def _json_pieces(spark: SparkSession, paths, pattern: str | None, size: int | None) -> DataFrame:
+    """(src_id, value, bad): small files whole, large ones as objects of some subjects each."""
+    size = size or block_size(spark)
+    listed = list_files(spark, paths, pattern)
+    if listed.isEmpty():
         raise FileNotFoundError(f"no file below {paths} matches {pattern or 'any name'}")
+    packed = F.lower("src_id").endswith(".gz")
+    large = listed.where(~packed & (F.col("bytes_n") > size)).select("src_id", "bytes_n")
     files = spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+    # the length predicate reaches the listing, so that no large file is opened here
+    small = (F.col("_metadata.file_size") <= size) | F.lower("_metadata.file_path").endswith(".gz")
     if pattern:
-        files = files.where(F.col("_metadata.file_name").rlike(whole_match(pattern)))
-    files = files.select(F.col("_metadata.file_path").alias("src_id"), "value")
+        small = small & F.col("_metadata.file_name").rlike(whole_match(pattern))
+    files = files.where(small).select(F.col("_metadata.file_path").alias("src_id"), F.ltrim("value", F.lit("\ufeff")).alias("value"))
+    invalid = F.get_json_object("value", "$").isNull()
+    files = files.withColumn("bad", invalid)
+    if large.isEmpty():
+        return files
+    pieces = materialize(read_members(large, size).withColumn("bad", F.col("bad") | invalid), "rdf-json")
+    bad = maybe_broadcast(pieces.where("bad").select("src_id").distinct())
+    fine = pieces.join(bad, "src_id", "left_anti")
+    broken = bad.select("src_id", F.lit(None).cast("string").alias("value"), F.lit(True).alias("bad"))
+    return files.unionByName(fine).unionByName(broken)
+
+
+def read_rdf_json(
+    spark: SparkSession, paths: str | Sequence[str], salt: str = "", pattern: str | None = None, block: int | None = None
+) -> DataFrame:
+    """RDF/JSON: subject to predicate to list of objects, one JSON object per file.
+
+    Files of more than ``block`` bytes (a block of the block readers) are read by many tasks, cut between subjects. A file that
+    is not JSON gives one reject and no triples.
+    """
+    df = _json_pieces(spark, paths, pattern, block)
     tree = F.from_json(
         "value", "map<string,map<string,array<struct<value:string,type:string,lang:string,datatype:string>>>>"
     )
-    df = files.select("src_id", tree.alias("tree"), F.get_json_object("value", "$").isNull().alias("bad"))
+    df = df.select("src_id", tree.alias("tree"), "bad")
     good = (
         df.where(~F.col("bad"))
         .select("src_id", F.explode("tree").alias("s", "ps"))

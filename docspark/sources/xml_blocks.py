@@ -301,7 +301,7 @@ def _resume(f, row, make) -> Iterator[tuple]:
         return  # reported by the block that it lies in
 
 
-def _spread(rows: DataFrame, n: int, size: int) -> DataFrame:
+def spread(rows: DataFrame, n: int, size: int) -> DataFrame:
     parallel = rows.sparkSession.sparkContext.defaultParallelism
     return rows.repartition(max(1, min(n, max(4 * parallel, -(-n * size // TASK_BYTES)))))
 
@@ -327,7 +327,7 @@ def read_blocks(files: DataFrame, element: str | None, ns: str | None, make, who
     listed = listed.withColumn("large", (F.col("length") > size) & ~F.lower("src_id").rlike(r"\.gz(ip)?$"))
     small = listed.filter("not large").select("src_id", "length")
     n = listed.count()
-    scanned = _spread(listed.filter("large"), n, size).mapInPandas(_scan_blocks(size, element is not None), _SCAN_DDL)
+    scanned = spread(listed.filter("large"), n, size).mapInPandas(_scan_blocks(size, element is not None), _SCAN_DDL)
     placed = scanned.groupBy("src_id").applyInPandas(_chain, _PLACE_DDL)
     null = lambda kind: F.lit(None).cast(kind)
     alone = small.select(
@@ -356,7 +356,7 @@ def read_blocks(files: DataFrame, element: str | None, ns: str | None, make, who
                 count.append(k)
             yield batch.assign(fine=fine, count=count)
 
-    checked = materialize(_spread(placed, n, size).mapInPandas(check, f"{_PLACE_DDL}, fine boolean, count bigint"), "xml-checked")
+    checked = materialize(spread(placed, n, size).mapInPandas(check, f"{_PLACE_DDL}, fine boolean, count bigint"), "xml-checked")
     before = Window.partitionBy("src_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     kept = checked.withColumn("good", F.coalesce(F.min("fine").over(before), F.lit(True)))
     kept = kept.withColumn("first_n", F.coalesce(F.sum("count").over(before), F.lit(0))).filter("good")
@@ -380,4 +380,4 @@ def read_blocks(files: DataFrame, element: str | None, ns: str | None, make, who
         if out:
             yield pd.DataFrame(out, columns=names)
 
-    return _spread(kept, n, size).mapInPandas(read, "src_id string, sub_id string, " + ddl)
+    return spread(kept, n, size).mapInPandas(read, "src_id string, sub_id string, " + ddl)

@@ -97,6 +97,8 @@ def entry_chunks(f, offset: int, csize: int, method: int) -> Iterator[bytes]:
             raw = inflate.unconsumed_tail
     if inflate:
         yield inflate.flush()
+        if not inflate.eof:
+            raise zlib.error("the packed data of an entry end early")
 
 
 def entry_problem(row) -> str | None:
@@ -176,15 +178,19 @@ def read_zip_docs(
 
 
 def gunzip_chunks(f) -> Iterator[bytes]:
-    """Uncompressed bytes of a gzip stream, which may hold several members."""
-    inflate = zlib.decompressobj(31)
+    """Uncompressed bytes of a gzip stream, which may hold several members; an error if it ends inside one."""
+    inflate, begun = zlib.decompressobj(31), False
     while raw := f.read(_CHUNK):
+        if not begun:
+            raw = raw.lstrip(b"\0")  # padding between members
         while raw:
             yield inflate.decompress(raw, _CHUNK)
-            raw = inflate.unconsumed_tail
+            raw, begun = inflate.unconsumed_tail, True
             if inflate.eof:
                 raw = inflate.unused_data.lstrip(b"\0")
-                inflate = zlib.decompressobj(31)
+                inflate, begun = zlib.decompressobj(31), False
+    if begun:
+        raise zlib.error("the file ends inside a member")
 
 
 def _gunzip_reader(max_bytes: int):

@@ -21,11 +21,11 @@ def ndjson_stream(spark: SparkSession, path: str, uri_id: str, **uri_options) ->
 def import_stream(
     docs: DataFrame, store: str, checkpoint: str, rejects: str | None = None, once: bool = True, **metadata
 ) -> StreamingQuery:
-    """Import a stream of documents. A micro-batch that is repeated after a failure replaces its documents by
-    URI, so the store ends up the same; its rejects may be listed twice. ``once`` stops when nothing is left."""
+    """Import a stream of documents. A micro-batch that is repeated after a failure is known by the checkpoint and its number:
+    it gives one load and its rejects once. ``once`` stops when nothing is left."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        import_docs(batch, store, rejects, **metadata)
+        import_docs(batch, store, rejects, load_id=(checkpoint, batch_id), **metadata)
 
     writer = docs.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()

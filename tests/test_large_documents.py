@@ -91,3 +91,13 @@ def test_redaction_does_not_let_them_pass(spark, archive):
     docs = read_zip_docs(spark, str(archive), max_bytes=LIMIT).where("content_type = 'XML'")
     with pytest.raises(Exception, match="by reference"):
         redact(docs, [{"path": "/a", "kind": "mask"}]).collect()
+
+
+def test_truncated_gzip_is_no_document(spark, tmp_path):
+    data = gzip.compress(random.Random(1).randbytes(5000))
+    files = {"cut.gz": data[:-100], "trailer.gz": data[:-4], "whole.gz": data, "two.gz": data + b"\0" * 9 + data, "padded.gz": data + b"\0" * 600, "second.gz": data + data[:50]}
+    for name, content in files.items():
+        (tmp_path / name).write_bytes(content)
+    rows = {r.src_id.rpartition("/")[2]: r for r in read_gzip_docs(spark, str(tmp_path)).collect()}
+    assert {n for n, r in rows.items() if r.skip_reason} == {"cut.gz", "trailer.gz", "second.gz"}
+    assert all("ends inside a member" in r.skip_reason for r in rows.values() if r.skip_reason)

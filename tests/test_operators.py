@@ -145,6 +145,26 @@ def test_cooccurrence_against_brute_force(spark):
     assert {(r.a, r.b): r.freq for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("frequency", ["fragment", "item"])
+def test_cooccurrence_of_long_arrays(spark, frequency):
+    rng = random.Random(5)
+    long = [[f"v{rng.randrange(1500)}" for _ in range(n)] + [None] for n in (1300, 900)]
+    rows = [("/long", *long), ("/wide", ["v1"], long[0]), ("/null", None, long[0]), ("/none", [], ["v1"]), ("/few", ["v1", "v1"], ["v2", None])]
+    df = spark.createDataFrame(rows, "uri string, x array<string>, y array<string>")
+    got = cooccurrence.cooccurrence(df, F.col("x"), F.col("y"), frequency=frequency, sort=False).collect()
+    once = set if frequency == "fragment" else list
+    want = Counter((a, b) for _, x, y in rows if x for a in once(x) if a for b in once(y) if b)
+    assert {(r.a, r.b): r.freq for r in got} == want
+
+
+def test_grid_of_one_document_is_spread(spark):
+    values = [str(i) for i in range(5000)]
+    both = spark.createDataFrame([(values, values)], "_a array<string>, _b array<string>")
+    cells = cooccurrence._grid(both, 96).select(F.spark_partition_id().alias("p"), F.size("_a").alias("a"), F.size("_b").alias("b"))
+    by_task = {r.p: r.n for r in cells.groupBy("p").agg(F.sum(F.col("a") * F.col("b")).alias("n")).collect()}
+    assert sum(by_task.values()) == 5000 * 5000 and len(by_task) >= 6 and max(by_task.values()) < 5000 * 5000 / 3
+
+
 @pytest.mark.parametrize("n", [0, 1, 3, 10])
 def test_proximity_against_brute_force(spark, n):
     rng = random.Random(n)
