@@ -133,7 +133,7 @@ class Verdict:
 def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Verdict:
     """Fit trees on a bounded sample of the labelled texts (doc_id, text) x (doc_id, quality 0/1).
 
-    At most ``sample`` rows are used, picked by a hash of the id; only their statistics go to the driver. A score
+    At most ``sample`` ids are used, picked by a hash of the id, and one text of each; only their statistics go to the driver. A score
     that ``COST`` of the sample's good texts fall short of is the least that is kept, and 0.5 at most. Without labels,
     or with one kind only, all texts that pass the base rule are kept.
     """
@@ -147,9 +147,13 @@ def fit(df: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Verdict:
             if batch.num_rows:
                 s = statistics(batch.column("text"))
                 rows = features(s)
-                yield pa.RecordBatch.from_pydict({"x": [r.tobytes() for r in rows], "quality": batch.column("quality"), "failed": base_failed(s)})
+                yield pa.RecordBatch.from_pydict(
+                    {"doc_id": batch.column("doc_id"), "x": [r.tobytes() for r in rows], "quality": batch.column("quality"), "failed": base_failed(s)}
+                )
 
-    got = texts.select("text", "quality").mapInArrow(measure, "x binary, quality int, failed boolean").toArrow()
+    measured = texts.select("doc_id", "text", "quality").mapInArrow(measure, "doc_id bigint, x binary, quality int, failed boolean")
+    # one row per picked id, however many rows have it: the one with the least statistics, in whatever order they come
+    got = measured.groupBy("doc_id").agg(F.min(F.struct("x", "quality", "failed")).alias("row")).select("row.*").toArrow()
     got = got.sort_by([("x", "ascending"), ("quality", "ascending")]) if got.num_rows else got
     rows = np.array([np.frombuffer(x.as_py()) for x in got.column("x")]).reshape(-1, len(FEATURES))
     label, failed = got.column("quality").to_numpy().astype(float), got.column("failed").to_numpy(zero_copy_only=False).astype(bool)

@@ -65,3 +65,13 @@ def test_monotone_and_flat_forest():
 def test_one_label_or_none():
     assert boosting.train(np.zeros((0, 2)), np.zeros(0)).probability(np.zeros((3, 2))).tolist() == [0.5] * 3
     assert (boosting.train(np.zeros((4, 2)), np.ones(4)).probability(np.zeros((1, 2))) > 0.99).all()
+
+
+def test_one_text_of_a_repeated_id_is_learned_from(spark, table, words):
+    rows = [(k, words(k, 40 + k)) for k in range(40)] + [(100 + k, words(k, 60).replace(" ", " ### ")) for k in range(40)]
+    labels = table(rows).selectExpr("doc_id", "cast(doc_id < 100 as int) as quality", "0 as toxic")
+    many = rows + [(7, words(900 + k, 50)) for k in range(300)] + [(None, "no id")]
+    first, second = quality.fit(table(many), labels), quality.fit(table(many[::-1]).repartition(5), labels)
+    assert first.least == second.least and (first.forest.value == second.forest.value).all()
+    hot = quality.fit(table(many + [many[90]] * 300), labels)
+    assert first.least == hot.least and (first.forest.value == hot.forest.value).all()
