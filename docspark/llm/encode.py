@@ -6,14 +6,20 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Iterator
+from operator import attrgetter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Entries of a generation of each of a task's two caches, and the longest that is kept.
 UNITS, CHUNKS, LONGEST = 500_000, 400_000, 64
 #: Code points encoded at a time; a longer text is cut where no token can span.
 SLICE = 1 << 20
+#: Bytes of texts whose distinct chunks are looked up together.
+TOGETHER = 1 << 24
 
 # White space other than space and newline: a text that has it is encoded whole by byte-level files.
 _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -35,6 +41,7 @@ def byte_letters() -> dict[int, str]:
 
 
 _LETTER_OF = byte_letters()
+_ID = attrgetter("id")
 
 
 class Kept(dict):
@@ -67,9 +74,11 @@ class Units(Kept):
         self.tokenizer, self.model, self.kind = tokenizer, tokenizer.model, kind
 
     def make(self, piece: str) -> bytes:
-        if self.kind and _UNIT.fullmatch(piece):
+        if self.kind == "plain" and piece.isascii() and piece.isalpha():
+            ids = map(_ID, self.model.tokenize(piece.lower()))
+        elif self.kind and _UNIT.fullmatch(piece):
             unit = (piece if self.kind == "spaced" else piece.lower()).encode().decode("latin-1").translate(_LETTER_OF)
-            ids = [t.id for t in self.model.tokenize(unit)]
+            ids = map(_ID, self.model.tokenize(unit))
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
         return array("I", ids).tobytes()
@@ -83,6 +92,9 @@ class Chunks(Kept):
         self.units, self.pattern, self.lead = units, pattern, lead
 
     def make(self, part: str) -> bytes:
+        if not self.lead and part.isascii() and part.isalpha():
+            # one piece, which is remembered here
+            return self.units.make(part)
         chunk = part if part[:1] == "\n" else self.lead + part
         return b"".join(map(self.units.__getitem__, self.pattern.findall(chunk)))
 
@@ -130,6 +142,37 @@ class Encoder:
             lo = hi
         return np.frombuffer(b"".join(out), np.uint32)
 
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text; null counts as empty. Equal chunks of neighbouring texts are looked up once."""
+        texts = pc.fill_null(texts, "")
+        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        lo, ends = 0, np.cumsum(sizes, dtype=np.int64)
+        while lo < len(texts):
+            if self.kind != "plain" or sizes[lo] > SLICE:
+                yield self.encode(texts[lo].as_py())
+                lo += 1
+                continue
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - sizes[lo] + TOGETHER, side="right")))
+            large = np.flatnonzero(sizes[lo:hi] > SLICE)
+            hi = lo + int(large[0]) if len(large) else hi
+            yield from self._together(texts.slice(lo, hi - lo))
+            lo = hi
+
+    def _together(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        parts = pc.split_pattern(pc.replace_substring(pc.ascii_lower(texts), "\n", " "), " ")
+        coded = parts.flatten().dictionary_encode()
+        ids = list(map(self.chunks.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        flat, first = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size
+        code = coded.indices.to_numpy()
+        each = size[code]
+        end = np.concatenate([[0], np.cumsum(each)])
+        out = flat[np.repeat(first[code] - end[:-1], each) + np.arange(end[-1])]
+        # chunks of each text, then ids
+        at = end[np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())])]
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+            yield out[a:b]
+
     def _cut(self, text: str, lo: int) -> int:
         """End of the slice that starts at ``lo``: before a space that follows no white space, or the end."""
         if len(text) - lo <= SLICE or not self.kind:

@@ -22,10 +22,16 @@ WINDOW = 2048
 SHARD_TOKENS, SHARD_DOCS = 1 << 20, 8192
 #: Terms of a query: all of the seed. BM25's constants.
 TERMS, K1, B = None, 1.2, 0.75
-#: Terms by which a document finds its place among the shards, and neighbours that are ordered at a time.
-KEYS, PAGE = 4, 64
-#: Documents whose places tell where the partitions end.
-SAMPLE = 50_000
+#: Terms by which a document finds its place inside its cluster, and neighbours that are ordered at a time.
+KEYS, PAGE = 3, 64
+#: A term that more than one in so many documents of a shard have is indexed by rows instead of lists.
+OFTEN = 8
+#: Documents for each partition whose places tell where the partitions end, and documents whose vectors the clusters are fitted on.
+SAMPLE, FITTED = 100, 4096
+#: Clusters at most, sampled documents for each at least, components of a document's vector, and rounds of the fit.
+CLUSTERS, EACH, WIDTH, ROUNDS = 256, 16, 512, 8
+#: Documents whose terms are counted at a time.
+GROUP = 256
 #: Id after each document.
 END = 1
 
@@ -48,26 +54,94 @@ class Stats:
         return self.idf[term] * tf * (K1 + 1) / (tf + norm)
 
 
-class Places:
-    """``KEYS`` terms of a document, each drawn by weight with the same dice for all documents.
+def terms_of(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, term, occurrences) of all documents, sorted."""
+    sizes = [len(d) for d in docs]
+    keys = np.repeat(np.arange(len(docs), dtype=np.int64) << 32, sizes)
+    keys, tf = np.unique(keys + (np.concatenate(docs) if docs else 0), return_counts=True)
+    return keys >> 32, keys & 0xFFFFFFFF, tf
 
-    Two documents draw the same term with the probability that their weighted terms overlap, so that sorting by
-    these keys brings likely neighbours together; later keys divide the documents of a term that is drawn often.
+
+class Vectors:
+    """A vector per document: its weighted terms, each added to or taken from one component.
+
+    Weights are rounded to integers, so that a task that runs again, on whatever machine, places a document alike.
     """
 
     def __init__(self, stats: Stats):
         self.stats = stats
+        h = mix(np.arange(len(stats.df)) + (1 << 32))
+        self.at, self.sign = (h % np.uint64(WIDTH)).astype(np.int64), np.where(h >> np.uint64(63), 1, -1)
+
+    def weighted(self, docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, term, weight) of the terms that other documents have too."""
+        doc, term, tf = terms_of(docs)
+        shared = self.stats.df[term] > 1
+        doc, term, tf = doc[shared], term[shared], tf[shared]
+        sizes = np.array([len(d) for d in docs], np.int64)
+        return doc, term, self.stats.weight(term, tf, sizes[doc])
+
+    def of(self, n: int, doc: np.ndarray, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        whole = np.rint(weight * self.stats.idf[term] * 16) * self.sign[term]
+        return np.bincount(doc * WIDTH + self.at[term], whole, n * WIDTH).reshape(n, WIDTH)
+
+
+def clusters(sample: np.ndarray) -> np.ndarray:
+    """Centroids by cosine of the sampled vectors, as integers, each beside one that is like it."""
+    sample = sample[np.any(sample, axis=1)].astype(np.float32)
+    count = min(CLUSTERS, len(sample) // EACH)
+    if count < 2:
+        return np.zeros((1, WIDTH))
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    found = sample[np.linspace(0, len(sample) - 1, count).astype(int)]
+    for _ in range(ROUNDS):
+        near = (sample @ found.T).argmax(1)
+        total = np.zeros_like(found)
+        np.add.at(total, near, sample)
+        size = np.linalg.norm(total, axis=1, keepdims=True)
+        found = np.where(size > 0, total / np.maximum(size, 1e-9), found)
+    like, order = found @ found.T, [0]
+    left = np.ones(count, bool)
+    left[0] = False
+    while left.any():
+        order.append(int(np.where(left, like[order[-1]], -2).argmax()))
+        left[order[-1]] = False
+    return np.rint(found[order] * 1024).astype(np.float64)
+
+
+class Places:
+    """The cluster of a document, and ``KEYS`` of its terms, each drawn by weight with the same dice for all documents.
+
+    Two documents draw the same term with the probability that their weighted terms overlap, so that sorting by
+    these keys brings likely neighbours together inside a cluster too; later keys divide the documents of a term that
+    is drawn often.
+    """
+
+    def __init__(self, stats: Stats, centroids: np.ndarray):
+        self.vectors, self.centroids = Vectors(stats), np.ascontiguousarray(centroids.T)
         dice = mix(np.arange(KEYS * len(stats.df))).reshape(KEYS, -1)
         self.dice = -np.log((dice >> np.uint64(11)).astype(np.float64) / 2**53 + 2.0**-54)
 
-    def of(self, doc: np.ndarray) -> list[int]:
-        term, tf = np.unique(doc, return_counts=True)
-        shared = self.stats.df[term] > 1
-        term, tf = term[shared], tf[shared]
-        if not len(term):
-            return [-1] * KEYS
-        weight = self.stats.weight(term, tf, np.int64(len(doc))).astype(np.float64) ** 2
-        return term[(self.dice[:, term] / np.maximum(weight, 1e-30)).argmin(1)].tolist()
+    def of(self, docs: list[np.ndarray]) -> np.ndarray:
+        """A row per document: cluster and terms; -1 where it has no term that another has."""
+        out = [np.empty((0, 1 + KEYS), np.int32)]
+        for lo in range(0, len(docs), GROUP):
+            part = docs[lo : lo + GROUP]
+            out.append(np.full((len(part), 1 + KEYS), -1, np.int32))
+            doc, term, weight = self.vectors.weighted(part)
+            if not len(doc):
+                continue
+            first = np.flatnonzero(np.diff(doc, prepend=-1))
+            has = doc[first]
+            near = (self.vectors.of(len(part), doc, term, weight) @ self.centroids).argmax(1)
+            out[-1][has, 0] = near[has]
+            worth = np.maximum(weight.astype(np.float64) ** 2, 1e-30)
+            for k in range(KEYS):
+                cost = self.dice[k, term] / worth
+                least = np.minimum.reduceat(cost, first)
+                at = np.flatnonzero(cost == np.repeat(least, np.diff(np.append(first, len(doc)))))[::-1]
+                out[-1][doc[at], 1 + k] = term[at]
+        return np.concatenate(out)
 
 
 class Index:
@@ -77,25 +151,31 @@ class Index:
         self.n = len(docs)
         stats = stats or Stats.of(docs)
         size = np.array([len(d) for d in docs], np.int64)
-        parts = [np.unique(d, return_counts=True) for d in docs]
-        term = np.concatenate([p[0] for p in parts]).astype(np.int64)
-        tf = np.concatenate([p[1] for p in parts]).astype(np.float32)
-        kinds = np.array([len(p[0]) for p in parts], np.int64)
-        doc = np.repeat(np.arange(self.n), kinds)
+        doc, term, tf = terms_of(docs)
         here = np.bincount(term, minlength=len(stats.df))
-        weight = stats.weight(term, tf, size[doc])
-        by_term = np.argsort(term, kind="stable")
-        self.start = np.concatenate([[0], np.cumsum(here)])
-        self.doc, self.weight = doc[by_term].astype(np.int32), weight[by_term]
+        weight = stats.weight(term, tf.astype(np.float32), size[doc])
         shared = here[term] > 1
-        self.term = term[shared].astype(np.int32)
         self.first = np.searchsorted(doc[shared], np.arange(self.n + 1))
+        self.term = term[shared].astype(np.int32)
+        # terms of many of the documents have a row with a weight for each document, the others a list
+        often = np.flatnonzero(here * OFTEN > max(self.n, OFTEN))
+        self.row = np.full(len(here), -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        many = self.row[term] >= 0
+        self.rows = np.zeros((len(often), self.n), np.float32)
+        self.rows[self.row[term[many]], doc[many]] = weight[many]
+        doc, term, weight = doc[~many], term[~many], weight[~many]
+        by_term = np.argsort(term, kind="stable")
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(here)))])
+        self.doc, self.weight = doc[by_term].astype(np.int32), weight[by_term]
 
     def scores(self, seed: int) -> np.ndarray:
         t = self.term[self.first[seed] : self.first[seed + 1]]
+        row = self.row[t]
+        t = t[row < 0]
         lo, size = self.start[t], self.start[t + 1] - self.start[t]
         at = np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size)
-        return np.bincount(self.doc[at], self.weight[at], self.n)
+        return np.bincount(self.doc[at], self.weight[at], self.n) + self.rows[row[row >= 0]].sum(0)
 
     def ranked(self, seed: int, unused: np.ndarray) -> Iterator[int]:
         """Unused documents that share a term with the seed, best first; ordered a page at a time."""
@@ -114,6 +194,11 @@ class Index:
         return np.fromiter(self.ranked(seed, unused), np.int64)
 
 
+def shard_ends(tokens: int, docs: int, edge: bool) -> bool:
+    """Whether a shard of so much is closed before the next document; ``edge``: that one is of another cluster."""
+    return tokens >= SHARD_TOKENS or docs >= SHARD_DOCS or edge and (tokens >= SHARD_TOKENS // 2 or docs >= SHARD_DOCS // 2)
+
+
 def order_of(sizes: list[int], index: Index, window: int) -> Iterator[tuple[int, int, int]]:
     """(document, start, length) of the pieces in the order in which they fill windows.
 
@@ -175,18 +260,18 @@ def _encoded(tokenizer: str, end: int, caches: tuple[int, int]):
     """Of each text a row with its ids, two bytes each if they fit; of each task a row per term with its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, at = encoder(tokenizer, *caches).encode, TaskContext.get().partitionId() << 33
+        encode_all, at = encoder(tokenizer, *caches).encode_all, TaskContext.get().partitionId() << 33
         stop, seen = np.array([end], np.uint32), np.zeros(0, np.int64)
         for batch in batches:
-            ids, sizes, kinds = [], [], []
-            for text in batch.column("text"):
-                doc = np.concatenate([encode(text.as_py() or ""), stop])
+            ids, sizes, docs = [], [], []
+            for found in encode_all(batch.column("text")):
+                doc = np.concatenate([found, stop])
                 ids.append(doc.astype(np.uint16 if doc.max() < 1 << 16 else np.uint32).tobytes())
                 sizes.append(len(doc))
-                kinds.append(np.unique(doc))
+                docs.append(doc)
             n = len(ids)
-            if n:
-                more = np.bincount(np.concatenate(kinds))
+            for lo in range(0, n, GROUP):
+                more = np.bincount(terms_of(docs[lo : lo + GROUP])[1])
                 more[: len(seen)] += seen[: len(more)]
                 seen = np.concatenate([more, seen[len(more) :]])
             cols = [batch.column("doc_id"), pa.array(range(at, at + n), pa.int64()), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64())]
@@ -215,9 +300,10 @@ def pack(
     """Pieces of the sequences that hold every token of (doc_id, text) once, each text followed by ``end``.
 
     Texts are encoded and written once; document frequencies and the average length are those of the whole table.
-    Documents are then sorted by keys of their content, so that likely neighbours from anywhere in the table lie side
-    by side, and each run of a bounded number of tokens or documents is a shard, packed on its own. The sort ends with
-    the row's place, so that no term, however common, fills a task, and a task that runs again gives the same pieces.
+    Documents are then sorted by the nearest of at most ``CLUSTERS`` centroids, fitted on a bounded sample of about
+    ``FITTED`` documents, and by terms, so that likely neighbours from anywhere in the table lie side by side. Each run of a
+    bounded number of tokens or documents is a shard, packed on its own; one that is half full ends where a cluster does.
+    The sort ends with the row's place, so that no term, however common, fills a task, and a task that runs again gives the same pieces.
     Neighbours that the sort puts in different shards are not found. Sequence ids hold the partition and the number
     in it.
 
@@ -237,16 +323,29 @@ def pack(
     seen = np.zeros(1 + max(often.column("term").to_pylist(), default=0), np.int64)
     seen[often.column("term").to_numpy()] = often.column("seen").to_numpy()
     stats = Stats(n, mean, seen)
-    keys = [f"k{i}" for i in range(KEYS)]
+    keys = ["cluster", *(f"k{i}" for i in range(KEYS))]
+    texts = made.filter("term is null").select(_ENCODED[:4])
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = Vectors(stats)
+        for batch in batches:
+            docs = list(_ids(batch))
+            for lo in range(0, len(docs), GROUP):
+                part = docs[lo : lo + GROUP]
+                found = of.of(len(part), *of.weighted(part)).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([batch.column("row")[lo : lo + GROUP], pa.array([v.tobytes() for v in found], pa.binary())], ["row", "vector"])
+
+    picked = F.pmod(F.xxhash64("row"), F.lit(max(1, n // FITTED))) == 0
+    sample = texts.filter(picked).mapInArrow(releasing(vectors), "row long, vector binary").toArrow().sort_by("row")
+    centroids = clusters(np.array([np.frombuffer(v, np.float32) for v in sample.column("vector").to_pylist()]).reshape(-1, WIDTH))
 
     def place(ends: list[tuple[int, ...]]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             forget()
-            places = Places(stats)
+            places = Places(stats, centroids)
             for batch in batches:
-                drawn = [tuple(places.of(d)) for d in _ids(batch)]
-                part = [bisect(ends, (*k, r)) for k, r in zip(drawn, batch.column("row").to_pylist(), strict=True)]
-                drawn = np.array(drawn, np.int32).reshape(-1, KEYS)
+                drawn = places.of(list(_ids(batch)))
+                part = [bisect(ends, (*k, r)) for k, r in zip(drawn.tolist(), batch.column("row").to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(k) for k in drawn.T), pa.array(part, pa.int32())], [*_ENCODED[:4], *keys, "part"])
 
         return releasing(run)
@@ -258,7 +357,7 @@ def pack(
         base = TaskContext.get().partitionId() << 33
         ids: list = []
         docs: list[np.ndarray] = []
-        held = 0
+        held, last = 0, None
 
         def close() -> pa.RecordBatch:
             nonlocal base, ids, docs, held
@@ -269,23 +368,23 @@ def pack(
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], FIELDS)
 
         for batch in batches:
-            for doc_id, doc in zip(batch.column("doc_id").to_pylist(), _ids(batch), strict=True):
+            for doc_id, doc, cluster in zip(batch.column("doc_id").to_pylist(), _ids(batch), batch.column("cluster").to_pylist(), strict=True):
+                if docs and shard_ends(held, len(docs), cluster != last):
+                    yield close()
+                last = cluster
                 docs.append(doc.astype(np.uint32))
                 ids.append(doc_id)
                 held += len(doc)
-                if held >= SHARD_TOKENS or len(docs) >= SHARD_DOCS:
-                    yield close()
         if docs:
             yield close()
 
-    texts = made.filter("term is null").select(_ENCODED[:4])
     # ranges of places, from a bounded sample: a range sort of Spark's would draw all places twice
     kinds = ", ".join(["doc_id long, row long, ids binary, n long", *(f"{k} int" for k in keys), "part int"])
     parts = max(1, min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-int(n * mean) // SHARD_TOKENS)))
-    every = max(1, n // SAMPLE)
+    every = max(1, n // (SAMPLE * parts))
     some = texts.filter(F.pmod(F.xxhash64("row"), F.lit(every)) == 0) if parts > 1 else texts.limit(0)
     seen_places = sorted(map(tuple, some.mapInArrow(place([]), kinds).select(*keys, "row").toArrow().to_pandas().itertuples(index=False)))
     ends = [seen_places[len(seen_places) * k // parts] for k in range(1, parts)] if seen_places else []
     placed = texts.mapInArrow(place(ends), kinds)
     ranged = placed.repartitionById(parts, F.col("part")).sortWithinPartitions(*keys, "row")
-    return ranged.select("doc_id", "ids", "n").mapInArrow(releasing(run), ", ".join(f"{f} long" for f in FIELDS))
+    return ranged.select("doc_id", "ids", "n", "cluster").mapInArrow(releasing(run), ", ".join(f"{f} long" for f in FIELDS))

@@ -4,6 +4,7 @@ from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -31,6 +32,7 @@ def test_pieces_give_the_ids_of_whole_texts(path, words, monkeypatch):
     one = encode.Encoder(path)
     assert one.kind
     assert [one.encode(t).tolist() for t in texts] == [whole(path, t) for t in texts]
+    assert [a.tolist() for a in one.encode_all(pa.array(texts))] == [whole(path, t) for t in texts]
     monkeypatch.setattr(encode, "SLICE", 30)
     assert [one.encode(t).tolist() for t in texts[-5:]] == [whole(path, t) for t in texts[-5:]]
 
@@ -177,13 +179,18 @@ def related(topics, each, size=80):
     return docs
 
 
-def test_first_neighbours_from_afar_meet_in_a_shard():
-    topics, shard = 100, 64
-    docs = related(topics, 20)
+def test_first_neighbours_from_afar_meet_in_a_shard(monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 64)
+    docs = related(100, 20)
     stats = packing.Stats.of(docs)
-    index, places = packing.Index(docs, stats), packing.Places(stats)
-    order = sorted(range(len(docs)), key=lambda d: (places.of(docs[d]), d))
-    shard_of = {d: at // shard for at, d in enumerate(order)}
+    vectors = packing.Vectors(stats)
+    fitted = packing.clusters(vectors.of(len(docs), *vectors.weighted(docs)))
+    index, places = packing.Index(docs, stats), packing.Places(stats, fitted).of(docs).tolist()
+    shard_of, shard, held, last = {}, 0, 0, None
+    for d in sorted(range(len(docs)), key=lambda d: (*places[d], d)):
+        if packing.shard_ends(0, held, places[d][0] != last):
+            shard, held = shard + 1, 0
+        shard_of[d], held, last = shard, held + 1, places[d][0]
     others = np.ones(len(docs), bool)
     recall = {"first": 0, "input order": 0, "any of ten": 0}
     for seed in range(0, len(docs), 5):
@@ -191,11 +198,32 @@ def test_first_neighbours_from_afar_meet_in_a_shard():
         best = index.neighbours(seed, others)[:10].tolist()
         others[seed] = True
         recall["first"] += shard_of[best[0]] == shard_of[seed]
-        recall["input order"] += best[0] // shard == seed // shard
+        recall["input order"] += best[0] // 64 == seed // 64
         recall["any of ten"] += any(shard_of[d] == shard_of[seed] for d in best)
     share = {k: v / (len(docs) / 5) for k, v in recall.items()}
     print(share)
-    assert share["input order"] < 0.1 and share["first"] > 0.35 and share["any of ten"] > 0.9
+    assert shard > 20 and share["input order"] < 0.1 and share["first"] >= 0.9 and share["any of ten"] > 0.95
+
+
+def test_place_does_not_depend_on_the_batch():
+    docs = [*related(10, 10), np.array([], np.uint32), np.array([7], np.uint32)]
+    stats = packing.Stats.of(docs)
+    vectors = packing.Vectors(stats)
+    fitted = packing.clusters(vectors.of(len(docs), *vectors.weighted(docs)))
+    places = packing.Places(stats, fitted)
+    assert len(fitted) > 1 and (places.of(docs) == np.concatenate([places.of([d]) for d in docs])).all()
+    assert places.of(docs)[-2].tolist() == [-1] * (1 + packing.KEYS) and places.of([]).shape == (0, 1 + packing.KEYS)
+
+
+def test_texts_encoded_together_and_alone(words, monkeypatch):
+    monkeypatch.setattr(encode, "TOGETHER", 300)
+    monkeypatch.setattr(encode, "SLICE", 900)
+    texts = [None, "", words(1, 40), "A  b\n\nC. d", words(2, 400), "Éa ÀB İi ΑΣ, 你好 x\ty", " ", words(3, 7), "don't THE the."]
+    one = encode.Encoder(WORD)
+    got = [a.tolist() for a in one.encode_all(pa.array(texts))]
+    assert got == [whole(WORD, t or "") for t in texts]
+    assert [a.tolist() for a in one.encode_all(pa.array(texts, pa.large_string()).slice(2, 5))] == got[2:7]
+    assert list(one.encode_all(pa.array([], pa.string()))) == []
 
 
 def test_weights_are_those_of_the_table():
