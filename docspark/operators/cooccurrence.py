@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docspark.operators.lexicon import attribute_path, element_path, field_terms, page_terms, xpath_terms
-from docspark.runtime import materialize
+from docspark.runtime import by_key, materialize
 
 
 #: Pairs that one document may give in its own task, and values on each side of a cell of a larger one.
@@ -99,7 +99,7 @@ def proximity(a: DataFrame, b: DataFrame, n: int, offset=0, limit=None, sort=Tru
     block = F.floor(F.col("pos") / width)
     near = F.explode(F.array(block - 1, block, block + 1)).alias("_block")
     reach = b.select("uri", F.col("pos").alias("_pos"), "b", near)
-    pairs = a.select("uri", "pos", "a", block.alias("_block")).join(reach, ["uri", "_block"])
+    pairs = a.select("uri", "pos", "a", block.alias("_block")).join(by_key(reach), ["uri", "_block"])
     per_doc = pairs.where(F.abs(F.col("pos") - F.col("_pos")) <= n).select("uri", "a", "b").distinct()
     out = per_doc.groupBy("a", "b").agg(F.count(F.lit(1)).alias("freq"))
     return page_terms(out, ["a", "b"], offset, limit, sort=sort)

@@ -99,9 +99,15 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     return rows <= max_rows and used <= max_bytes
 
 
+def by_key(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is shuffled by key. The optimizer takes sizes from compressed files and from the share of
+    their columns, and does not see what an explode makes: it would send large tables through the driver to every task."""
+    return df.hint("merge")
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only when ``df`` really is small; otherwise leave the join to the optimizer."""
-    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df
+    """Broadcast hint only when ``df`` really is small; otherwise the join is shuffled by key."""
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else by_key(df)
 
 
 def split_partition(col: Column) -> Column:

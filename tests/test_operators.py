@@ -294,3 +294,13 @@ def test_broadcast_only_when_small(spark):
     assert not hinted(maybe_broadcast(spark.range(10), max_rows=5))
     wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("x"))
     assert not hinted(maybe_broadcast(wide, max_bytes=5000))
+
+
+def test_proximity_sends_no_exploded_table_to_the_driver(spark, tmp_path):
+    """The files are small, their words are not: the join is shuffled by (uri, block)."""
+    spark.range(50).select(F.col("id").alias("uri"), F.lit("a b c " * 200).alias("text")).write.parquet(str(tmp_path / "t"))
+    found = spark.read.parquet(str(tmp_path / "t")).select("uri", F.posexplode(F.split("text", " ")).alias("pos", "w")).where("w <> ''")
+    near = cooccurrence.proximity(found.select("uri", "pos", F.col("w").alias("a")), found.select("uri", "pos", F.col("w").alias("b")), 1)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert {(r.a, r.b): r.freq for r in near.collect()}[("a", "b")] == 50
