@@ -13,7 +13,7 @@ from docspark.operators import lexicon as L
 from docspark.operators.redact import redact
 from docspark.plans.catalog import query
 from docspark.plans.derive import as_files, customer_json, customer_xml, packed_files, table, text_dir
-from docspark.runtime import work_path
+from docspark.runtime import by_key, work_path
 from docspark.schema import to_docs
 from docspark.sinks.store import last_by_uri, scan_docs, upsert_docs, write_store
 from docspark.sources import scans
@@ -227,4 +227,4 @@ def q_scan_as_of_after_upsert(spark, sf):
     write_store(version(orders, "first", 10), path)
     upsert_docs(version(orders.where("o_orderkey % 3 = 0"), "second", 20), path)
     now, then = (scan_docs(spark, path, as_of=t).select("uri", F.col("text").alias(name)) for t, name in ((None, "live"), (15, "before")))
-    return now.join(then, "uri")
+    return now.join(by_key(then), "uri")

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from docspark.functions.metadata import select_metadata
 from docspark.operators.filters import filter_snapshot, filter_visible, scope
 from docspark.operators.placement import bucket_by_uri
-from docspark.runtime import BROADCAST_BYTES, BROADCAST_ROWS, is_small, materialize, maybe_broadcast, work_path
+from docspark.runtime import BROADCAST_BYTES, BROADCAST_ROWS, by_key, is_small, materialize, maybe_broadcast, work_path
 from docspark.schema import DOC_SCHEMA, METADATA_COLUMNS, to_docs
 from docspark.sinks.hadoop import delete, full_path, has_files, names, read_text, size_of, write_new
 from docspark.sources.io import AtomicFile
@@ -205,7 +205,7 @@ def _unreplaced(rows: DataFrame, later: DataFrame, last: DataFrame, bits: int) -
     maybe = _marked(bits)
     columns = rows.columns
     newer = (F.col("uri") == F.col("_uri")) & (F.col("load") < F.col("_last"))
-    doubtful = tested.where(maybe).select(*columns).join(last, newer, "left_anti")
+    doubtful = tested.where(maybe).select(*columns).join(by_key(last), newer, "left_anti")
     return tested.where(~maybe).select(*columns).unionByName(doubtful)
 
 

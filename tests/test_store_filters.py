@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from docspark.plans.structure_queries import q_scan_as_of_after_upsert
 from docspark.schema import to_docs
 from docspark.sinks import store
 
@@ -46,3 +47,15 @@ def test_only_what_may_be_replaced_is_shuffled(spark, path):
 def test_filters_are_of_bounded_size():
     for n, buckets in ((10, 8), (10**6, 8), (10**12, 8), (10**9, 5000)):
         assert 8 <= store._filter_bits(n, buckets) // 8 and store._filter_bits(n, buckets) // 8 * buckets <= store.BROADCAST_BYTES
+
+
+def test_uris_of_later_loads_do_not_go_through_the_driver(spark, path):
+    """Files of URIs are small beside their rows: where there are many, only filters are sent to the tasks."""
+    plan = store.scan_docs(spark, path, broadcast_rows=10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
+
+
+def test_versions_are_joined_by_key(spark, sf):
+    both = q_scan_as_of_after_upsert(spark, sf)
+    top = both._jdf.queryExecution().optimizedPlan().toString().splitlines()[1]
+    assert "Join Inner" in top and "strategy=merge" in top
