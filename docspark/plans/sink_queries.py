@@ -20,7 +20,7 @@ from docspark.plans.derive import (
     text_docs,
 )
 from docspark.plans.source_queries import _LABELLED, _labelled, _text_rows, _with_metadata
-from docspark.runtime import work_path
+from docspark.runtime import pack_small_files, work_path
 from docspark.schema import to_docs
 from docspark.sinks.export import export_archive, export_files, export_zip
 from docspark.sinks.records import foreach_kv, write_rejects, write_sequencefile
@@ -137,7 +137,7 @@ def q_export_large_entries(spark, sf):
     export_archive(read_zip_docs(spark, zips, max_bytes=1000), archive)
     write_store(read_archive(spark, archive, max_bytes=1000).where("skip_reason is null"), store, buckets=8)
     export_files(scan_docs(spark, store), out)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out)
+    files = pack_small_files(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out))
     uri = F.regexp_extract("path", "(/[^/]*/[^/]*\\.txt)$", 1)
     return files.select(uri.alias("uri"), F.md5("content").alias("text_md5"))
 
@@ -244,8 +244,8 @@ def q_foreach_kv(spark, sf):
 
     pairs = table(spark, sf, "customer").select(F.col("c_name").alias("key"), F.col("c_mktsegment").alias("value"))
     foreach_kv(pairs, None, setup)
-    files = spark.read.text(path, wholetext=True)
-    return files.select(F.url_decode("_metadata.file_name").alias("key"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.url_decode("_metadata.file_name").alias("key"), "value")
+    return pack_small_files(files)
 
 
 @query(

@@ -75,6 +75,24 @@ def spread_small(df: DataFrame) -> DataFrame:
     return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)
 
 
+def pack_small_files(df: DataFrame) -> DataFrame:
+    """A scan of whole files in tasks that are worth their start.
+
+    Spark counts each file as 4 MB at least and so gives a task about thirty small ones; up to thirty-two of such tasks become one,
+    without a shuffle, while eight are left for each core. A task still holds one file at a time.
+    """
+    found, cores = df._jdf.rdd().getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(8 * cores, -(-found // 32))
+    return df.coalesce(tasks) if found > tasks else df
+
+
+def spread_by_key(df: DataFrame, key: str) -> DataFrame:
+    """Spread rows for work of a user's own per row, of which a table's bytes say nothing: rows of one key go to one task, in order."""
+    spark = df.sparkSession
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, key)
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession

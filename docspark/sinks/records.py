@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from docspark.operators.filters import reject_split
-from docspark.runtime import materialize, ship
+from docspark.runtime import materialize, ship, spread_by_key
 
 
 def write_sequencefile(docs: DataFrame, path: str, value_type: str = "TEXT") -> None:
@@ -31,14 +31,15 @@ def write_rejects(docs: DataFrame, path: str) -> DataFrame:
 
 def foreach_kv(pairs: DataFrame, fn: Callable[[object, object], None], setup: Callable[[], Callable] | None = None) -> None:
     """Run a user statement per (key, value), in the tasks. ``setup`` makes one ``fn`` per task, to hold a
-    connection, say. A repeated task repeats its calls, so ``fn`` should be idempotent."""
+    connection, say. Pairs are spread over the tasks by key, and those of one key go to one task. A repeated task repeats its
+    calls, so ``fn`` should be idempotent."""
 
     def run(rows: Iterator) -> None:
         call = setup() if setup is not None else fn
         for key, value in rows:
             call(key, value)
 
-    pairs.select("key", "value").foreachPartition(run)
+    spread_by_key(pairs.select("key", "value"), "key").foreachPartition(run)
 
 
 def foreach_reported(docs: DataFrame, fn: Callable[[object], None], setup: Callable[[], Callable] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docspark.plans import jobs
 from docspark.schema import to_docs
-from docspark.sinks.records import foreach_reported
+from docspark.sinks.records import foreach_kv, foreach_reported
 from docspark.sinks.store import compact_store, is_applied, scan_docs, upsert_docs, write_store
 from docspark.sources.files import read_file_refs
 
@@ -86,3 +86,29 @@ def test_batches_outlive_compaction(spark, tmp_path):
     assert {r.uri: r.text for r in scan_docs(spark, store).collect()} == {"/1": "a", "/2": "b"}
     write_store(_docs(spark, [("/1", "new")]), store, mode="clean")
     assert not is_applied(spark, store, ("job", 7)) and not is_applied(spark, str(tmp_path / "none"), ("job", 0))
+
+
+def test_pairs_are_spread_over_tasks_by_key(spark, tmp_path):
+    """A table of one partition still runs its statements in many tasks; calls of one key stay together."""
+    out = str(tmp_path)
+
+    def setup():
+        import uuid
+
+        name = f"{out}/{uuid.uuid4().hex}"
+
+        def statement(key, value):
+            with open(name, "a") as f:
+                f.write(f"{key} {value}\n")
+
+        return statement
+
+    pairs = spark.range(400).coalesce(1).selectExpr("if(id = 7, null, cast(id % 100 as string)) as key", "id as value")
+    foreach_kv(pairs, None, setup)
+    calls = [[line.split() for line in p.read_text().splitlines()] for p in tmp_path.iterdir()]
+    assert sorted(int(v) for task in calls for _, v in task) == list(range(400)) and len(calls) > 10
+    owners = {}
+    for n, task in enumerate(calls):
+        for key, _ in task:
+            owners.setdefault(key, set()).add(n)
+    assert all(len(o) == 1 for o in owners.values())
