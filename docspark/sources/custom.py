@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import time
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
@@ -31,13 +32,34 @@ class FilesPartition(InputPartition):
         self.number, self.tasks, self.since, self.until = number, tasks, since, until
 
 
-def _owned_files(fs, root: str, part: FilesPartition, depth: int, prefix: str = "") -> Iterator:
+class _Entry(NamedTuple):
+    """What a listing says of a file or directory, with a call that gives its time in nanoseconds."""
+
+    name: str
+    path: str
+    is_dir: bool
+    changed: Callable[[], int]
+
+
+def _entries(fs, folder: str) -> Iterator[_Entry]:
+    """A directory's entries. Local ones are read piece by piece; other file systems give a directory's listing at once."""
+    from pyarrow import fs as pafs
+
+    if isinstance(fs, pafs.LocalFileSystem):
+        with os.scandir(folder) as found:
+            for e in found:
+                yield _Entry(e.name, e.path, e.is_dir(), lambda e=e: e.stat().st_mtime_ns)
+    else:
+        for e in fs.get_file_info(pafs.FileSelector(folder)):
+            yield _Entry(e.base_name, e.path, e.type == pafs.FileType.Directory, lambda e=e: e.mtime_ns)
+
+
+def _owned_files(fs, root: str, part: FilesPartition, depth: int, prefix: str = "") -> Iterator[_Entry]:
     """The files below ``root`` that a task owns, found by walking directories in the task.
 
     All tasks walk the first ``depth`` levels and share the files there by a hash of their path; directories at that depth
     belong to one task each, with all below. Only directories that can hold paths with ``prefix`` are listed.
     """
-    from pyarrow import fs as pafs
 
     def mine(path: str) -> bool:
         return zlib.crc32(path.encode()) % part.tasks == part.number
@@ -46,15 +68,15 @@ def _owned_files(fs, root: str, part: FilesPartition, depth: int, prefix: str =
     folders = [(root, 0)]
     while folders:
         folder, level = folders.pop()
-        for entry in fs.get_file_info(pafs.FileSelector(folder)):
-            if entry.base_name.startswith(("_", ".")):
+        for entry in _entries(fs, folder):
+            if entry.name.startswith(("_", ".")):
                 continue
-            if entry.type == pafs.FileType.Directory:
+            if entry.is_dir:
                 inner = entry.path + "/"
                 if (inner.startswith(prefix) or prefix.startswith(inner)) and (level + 1 != depth or mine(entry.path)):
                     folders.append((entry.path, level + 1))
             elif entry.path.startswith(prefix) and (level >= depth or mine(entry.path)):
-                if part.since is None or part.since < entry.mtime_ns <= part.until:
+                if part.since is None or part.since < entry.changed() <= part.until:
                     yield entry
 
 

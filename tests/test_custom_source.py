@@ -110,3 +110,19 @@ def test_stream_offsets(tree):
     now = {"until": time.time_ns() + 10**9}
     assert len([r for p in reader.partitions(end, now) for r in reader.read(p)]) == len(SEEN)
     assert [r for p in reader.partitions(now, now) for r in reader.read(p)] == []
+
+
+def test_local_directories_are_read_piece_by_piece(tree, monkeypatch):
+    """A listing of a whole directory would be held by each task."""
+    from pyarrow import fs as pafs
+
+    def whole(*_):
+        raise AssertionError("a whole directory was listed")
+
+    fs, root = resolve(str(tree))
+    want = sorted(e.path for e in custom._owned_files(_Listing(fs), root, custom.FilesPartition(0, 1), 2))
+    monkeypatch.setattr(pafs, "FileSelector", whole)
+    shares = [[e.path for e in custom._owned_files(fs, root, custom.FilesPartition(k, 3), 2)] for k in range(3)]
+    assert sorted(p for s in shares for p in s) == want and want
+    until = max(e.changed() for e in custom._owned_files(fs, root, custom.FilesPartition(0, 1), 2))
+    assert list(custom._owned_files(fs, root, custom.FilesPartition(0, 1, until, until + 1), 2)) == []
