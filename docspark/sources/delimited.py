@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from docspark.functions.build import pairs_to_json, pairs_to_xml, row_to_json, row_to_xml, valid_name
 from docspark.functions.uri import uri_build, uri_generate
-from docspark.runtime import materialize, maybe_broadcast, ship
+from docspark.runtime import is_small, materialize, maybe_broadcast, ship
 from docspark.schema import to_docs
 from docspark.sources.files import MAX_BYTES, text_lines
 from docspark.sources.numbering import mark_quotes, number_in_split
@@ -234,7 +234,8 @@ def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None,
     header_line, firsts = _headers(lines)
     if header_line is None:
         return to_docs(spark.createDataFrame([], "src_id string"))
-    rows = lines.join(maybe_broadcast(firsts), ["src_id", "line"], "left_anti")
+    # records are numbered behind this join: it must not deal them anew where that can be helped
+    rows = lines.join(F.broadcast(firsts) if is_small(firsts) else firsts, ["src_id", "line"], "left_anti")
     rows = rows.select("src_id", "block", "line", F.col("value").alias("raw"), F.lit(None).cast("string").alias("reason"))
     return _parse_records(rows, header_line, delimiter, kw)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from docspark.functions.metadata import add_collection, content_type_of
 from docspark.functions.uri import file_path_of, filename_of, uri_build, whole_match
-from docspark.runtime import ship
+from docspark.runtime import pack_small_files, ship
 from docspark.schema import to_docs
 
 # A document must fit one row; larger files are reported, or read by reference.
@@ -26,7 +26,7 @@ def _binary(spark: SparkSession, paths, pattern: str | None) -> DataFrame:
     df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_paths(paths))
     if pattern:
         df = df.where(F.col("_metadata.file_name").rlike(whole_match(pattern)))
-    return df
+    return pack_small_files(df)
 
 
 def text_lines(

@@ -451,3 +451,14 @@ def test_csv_headers_stay_with_their_rows(spark, tmp_path):
     xml = read_csv_docs(spark, str(tmp_path), uri_id="n7").select("text", "skip_reason").collect()
     assert sum(r.skip_reason == "uri_id n7 is not found" for r in xml) == 118
     assert any("<t_7><![CDATA[a\\b/\"é]]></t_7><n7><![CDATA[7]]></n7>" in (r.text or "") for r in xml)
+
+
+def test_small_files_share_tasks(spark, tmp_path):
+    """Spark gives a task about thirty files however small they are."""
+    for k in range(3000):
+        (tmp_path / f"{k}.txt").write_text(f"t{k}")
+    plain = spark.read.format("binaryFile").load(str(tmp_path)).rdd.getNumPartitions()
+    docs = read_files(spark, str(tmp_path))
+    tasks = docs.where("skip_reason is null").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks <= 8 * spark.sparkContext.defaultParallelism < plain
+    assert {r.text for r in docs.collect()} == {f"t{k}" for k in range(3000)}
