@@ -18,11 +18,14 @@ import pyarrow.compute as pc
 UNITS, CHUNKS, LONGEST = 500_000, 400_000, 64
 #: Code points encoded at a time; a longer text is cut where no token can span.
 SLICE = 1 << 20
-#: Bytes of texts whose distinct chunks are looked up together.
-TOGETHER = 1 << 24
+#: Bytes of texts whose distinct chunks are looked up together, by kind of file.
+TOGETHER = {"plain": 1 << 24, "spaced": 1 << 22}
 
 # White space other than space and newline: a text that has it is encoded whole by byte-level files.
-_ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_OTHER = "[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_ODD = re.compile(_OTHER)
+# A text that has it, white space at its ends or runs of it, in the syntax of Arrow.
+_UNEVEN = f"{_OTHER}|\\A[ \n]|[ \n]\\z|[ \n][ \n]"
 # Pieces that end where the tokenizer always starts anew: a run of Latin letters, or of ASCII marks that no letter's
 # apostrophe opens, before ASCII; a newline before other text. Anything else stands with all up to the next white space.
 _LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]++(?![^\x00-\x7f])"
@@ -41,6 +44,7 @@ def byte_letters() -> dict[int, str]:
 
 
 _LETTER_OF = byte_letters()
+_SPACE = _LETTER_OF[ord(" ")]
 _ID = attrgetter("id")
 
 
@@ -92,9 +96,9 @@ class Chunks(Kept):
         self.units, self.pattern, self.lead = units, pattern, lead
 
     def make(self, part: str) -> bytes:
-        if not self.lead and part.isascii() and part.isalpha():
+        if part.isascii() and part.isalpha():
             # one piece, which is remembered here
-            return self.units.make(part)
+            return array("I", map(_ID, self.units.model.tokenize(_SPACE + part))).tobytes() if self.lead else self.units.make(part)
         chunk = part if part[:1] == "\n" else self.lead + part
         return b"".join(map(self.units.__getitem__, self.pattern.findall(chunk)))
 
@@ -148,30 +152,48 @@ class Encoder:
         sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
         lo, ends = 0, np.cumsum(sizes, dtype=np.int64)
         while lo < len(texts):
-            if self.kind != "plain" or sizes[lo] > SLICE:
+            if not self.kind or sizes[lo] > SLICE:
                 yield self.encode(texts[lo].as_py())
                 lo += 1
                 continue
-            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - sizes[lo] + TOGETHER, side="right")))
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - sizes[lo] + TOGETHER[self.kind], side="right")))
             large = np.flatnonzero(sizes[lo:hi] > SLICE)
             hi = lo + int(large[0]) if len(large) else hi
             yield from self._together(texts.slice(lo, hi - lo))
             lo = hi
 
     def _together(self, texts: pa.Array) -> Iterator[np.ndarray]:
-        parts = pc.split_pattern(pc.replace_substring(pc.ascii_lower(texts), "\n", " "), " ")
-        coded = parts.flatten().dictionary_encode()
+        spaced, uneven = self.kind == "spaced", None
+        if spaced:
+            uneven = pc.match_substring_regex(texts, _UNEVEN)
+            parts = pc.split_pattern(pc.replace_substring(pc.if_else(uneven, "", texts), "\n", " \n"), " ")
+        else:
+            parts = pc.split_pattern(pc.replace_substring(pc.ascii_lower(texts), "\n", " "), " ")
+        chunks, counts = parts.flatten(), pc.list_value_length(parts).to_numpy()
+        if spaced:
+            # the chunk at the start of a text has no space before it
+            begins = np.cumsum(counts) - counts
+            inner = np.ones(len(chunks), bool)
+            inner[begins] = False
+            heads = [b"".join(map(self.units.__getitem__, _SPACED.findall(h))) for h in chunks.take(pa.array(begins)).to_pylist()]
+            chunks = pc.if_else(pa.array(inner), chunks, None)
+        coded = chunks.dictionary_encode()
         ids = list(map(self.chunks.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False)))
+        code = pc.fill_null(coded.indices, 0).to_numpy()
+        if spaced:
+            code = code.copy()
+            code[begins] = len(ids) + np.arange(len(begins))
+            ids += heads
         size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
         flat, first = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size
-        code = coded.indices.to_numpy()
         each = size[code]
         end = np.concatenate([[0], np.cumsum(each)])
         out = flat[np.repeat(first[code] - end[:-1], each) + np.arange(end[-1])]
         # chunks of each text, then ids
-        at = end[np.concatenate([[0], np.cumsum(pc.list_value_length(parts).to_numpy())])]
-        for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-            yield out[a:b]
+        at = end[np.concatenate([[0], np.cumsum(counts)])]
+        alone = set(np.flatnonzero(uneven.to_numpy(zero_copy_only=False)).tolist()) if spaced else ()
+        for k, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True)):
+            yield self.encode(texts[k].as_py()) if k in alone else out[a:b]
 
     def _cut(self, text: str, lo: int) -> int:
         """End of the slice that starts at ``lo``: before a space that follows no white space, or the end."""
