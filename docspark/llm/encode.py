@@ -18,8 +18,8 @@ import pyarrow.compute as pc
 UNITS, CHUNKS, LONGEST = 500_000, 400_000, 64
 #: Code points encoded at a time; a longer text is cut where no token can span.
 SLICE = 1 << 20
-#: Bytes of texts whose distinct chunks are looked up together, by kind of file.
-TOGETHER = {"plain": 1 << 24, "spaced": 1 << 22}
+#: Bytes of texts whose distinct chunks are looked up together; a quarter of it for byte-level files, which give more ids.
+TOGETHER = 1 << 24
 
 # White space other than space and newline: a text that has it is encoded whole by byte-level files.
 _OTHER = "[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
@@ -151,12 +151,13 @@ class Encoder:
         texts = pc.fill_null(texts, "")
         sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
         lo, ends = 0, np.cumsum(sizes, dtype=np.int64)
+        together = TOGETHER if self.kind == "plain" else TOGETHER // 4
         while lo < len(texts):
             if not self.kind or sizes[lo] > SLICE:
                 yield self.encode(texts[lo].as_py())
                 lo += 1
                 continue
-            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - sizes[lo] + TOGETHER[self.kind], side="right")))
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - sizes[lo] + together, side="right")))
             large = np.flatnonzero(sizes[lo:hi] > SLICE)
             hi = lo + int(large[0]) if len(large) else hi
             yield from self._together(texts.slice(lo, hi - lo))

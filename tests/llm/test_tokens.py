@@ -251,3 +251,21 @@ def test_related_texts_of_different_partitions_are_packed_together(table, words)
     for r in rows:
         topics.setdefault(r["sequence_id"], set()).add(r["doc_id"] % 8)
     assert sum(map(len, topics.values())) / len(topics) < 3.5
+
+
+def test_equal_chunks_of_neighbouring_texts_are_looked_up_once():
+    """Ids are those of the library, also of texts with uneven white space between others."""
+    made, asked = encode.Encoder(BYTE), []
+
+    class Asked(dict):
+        def __getitem__(self, part):
+            asked.append(part)
+            return chunks[part]
+
+    chunks, made.chunks = made.chunks, Asked()
+    texts = ["one two\nthree's one", "", " one  two", "two one", None, "one\ttwo", "twö 5x -- 'two' one\n", "one two"] * 20
+    library = Tokenizer.from_file(BYTE)
+    library.encode_special_tokens = True
+    for text, ids in zip(texts, made.encode_all(pa.array(texts)), strict=True):
+        assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert len(asked) == len(set(asked)) > 0
