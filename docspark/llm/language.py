@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docspark.llm.common import narrowed
+from docspark.llm.common import narrowed, releasing
 from docspark.runtime import materialize
 
 #: Hashed n-gram dimensions.
@@ -162,7 +162,7 @@ def fit(df: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE, c
     by_share = F.create_map(*[F.lit(x) for kv in share.items() for x in kv])
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id"))
     chosen = rows.filter(pick < by_share[F.col("lang")]).withColumn("_rank", rank).filter(F.col("_rank") <= take)
-    made = materialize(chosen.select("lang", "text").mapInArrow(_vectors, "lang string, whole boolean, vec binary"), "language").filter("vec is not null")
+    made = materialize(chosen.select("lang", "text").mapInArrow(releasing(_vectors), "lang string, whole boolean, vec binary"), "language").filter("vec is not null")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, df_ = 0, np.zeros(SIZE)
@@ -220,7 +220,7 @@ def identify(df: DataFrame, model: Centroids) -> DataFrame:
                 names=["doc_id", "lang_pred", "score", "rejected"],
             )
 
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(releasing(run), "doc_id long, lang_pred string, score double, rejected boolean")
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -238,7 +238,7 @@ def keep_identified(df: DataFrame) -> DataFrame:
             _, _, far = model.predict(batch.column("text").to_pylist())
             yield batch.filter(pa.array(~far, pa.bool_()))
 
-    return df.mapInArrow(run, fields)
+    return df.mapInArrow(releasing(run), fields)
 
 
 def crc_fold(doc_id: int) -> bool:
