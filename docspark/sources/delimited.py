@@ -18,7 +18,7 @@ from docspark.functions.uri import uri_build, uri_generate
 from docspark.runtime import is_small, materialize, maybe_broadcast, ship
 from docspark.schema import to_docs
 from docspark.sources.files import MAX_BYTES, text_lines
-from docspark.sources.numbering import mark_quotes, number_in_split
+from docspark.sources.numbering import first_in_split, mark_quotes, number_in_split
 from docspark.sources.zipped import entry_rows, file_rows, stream_records
 
 WIDTH_REASON = "the row is wider or narrower than its header"
@@ -229,9 +229,10 @@ def read_csv_docs(
 
 
 def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None, encoding: str, kw: dict) -> DataFrame:
-    lines = number_in_split(text_lines(spark, paths, pattern, encoding), name="line")
+    found = text_lines(spark, paths, pattern, encoding)
+    lines = number_in_split(found, name="line")
     lines = lines.withColumn("line", F.col("block") + F.col("line")).where(F.trim("value") != "")
-    header_line, firsts = _headers(lines)
+    header_line, firsts = _headers(found)
     if header_line is None:
         return to_docs(spark.createDataFrame([], "src_id string"))
     # records are numbered behind this join: it must not deal them anew where that can be helped
@@ -241,9 +242,16 @@ def _read_split(spark: SparkSession, paths, delimiter: str, pattern: str | None,
 
 
 def _headers(lines: DataFrame) -> tuple[str | None, DataFrame]:
-    """(the header of all files, a row (src_id, line) per file) of lines with text; an error if headers differ."""
-    firsts = lines.groupBy("src_id").agg(F.min("line").alias("line"), F.min_by("value", "line").alias("value"))
-    firsts = materialize(firsts.withColumn("value", F.ltrim("value", F.lit("\ufeff"))), "csv-headers")
+    """(the header of all files, a row (src_id, line) per file) of the lines of blocks; an error if headers differ.
+
+    The header is the first line with text of its file. Of a string, Spark takes the least by sorting all rows of a task,
+    so that only the first line of each block is grouped.
+    """
+    firsts = first_in_split(lines.withColumn("_text", F.coalesce(F.trim("value") != "", F.lit(False))), "_text", name="line")
+    firsts = firsts.withColumn("line", F.col("block") + F.col("line"))
+    firsts = firsts.groupBy("src_id").agg(F.min("line").alias("line"), F.min_by("value", "line").alias("value"))
+    header = F.ltrim(F.regexp_replace("value", "\r$", ""), F.lit("\ufeff"))
+    firsts = materialize(firsts.withColumn("value", header), "csv-headers")
     found = firsts.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).first()
     if found.lo != found.hi:
         raise ValueError("all files must share one header")
@@ -258,9 +266,9 @@ def _read_split_quoted(spark: SparkSession, paths, delimiter: str, pattern: str
     blocks, one row per block, tell which holds. Only lines of records that span lines are then shuffled.
     """
     value = F.col("value")
-    numbered = number_in_split(text_lines(spark, paths, pattern, encoding, lineSep="\n"), name="id")
-    numbered = numbered.withColumn("id", F.col("block") + F.col("id"))
-    header_line, _ = _headers(numbered.withColumnRenamed("id", "line").where(F.trim("value") != "").withColumn("value", F.regexp_replace(value, "\r$", "")))
+    found = text_lines(spark, paths, pattern, encoding, lineSep="\n")
+    numbered = number_in_split(found, name="id").withColumn("id", F.col("block") + F.col("id"))
+    header_line, _ = _headers(found)
     if header_line is None:
         return to_docs(spark.createDataFrame([], "src_id string"))
     lines = numbered.select(

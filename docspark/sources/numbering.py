@@ -67,6 +67,27 @@ def number_in_split(
     return df.mapInArrow(run, _schema(df, name))
 
 
+def first_in_split(df: DataFrame, where: str, keys: tuple[str, str] = ("src_id", "block"), name: str = "n") -> DataFrame:
+    """Of each file split the first row where ``where`` holds, with its number as by :func:`number_in_split`.
+
+    Must be applied before any exchange.
+    """
+    ship(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splits = _Splits(*keys)
+        for b in batches:
+            if b.num_rows:
+                splits.enter(b)
+                holds = np.asarray(b.column(where)).astype("int64")
+                n, found = splits.running(name, np.ones(b.num_rows, "int64")), splits.running(where, holds)
+                first = (holds == 1) & (found == 1)
+                if first.any():
+                    yield _with_columns(b, **{name: n}).filter(pa.array(first))
+
+    return df.mapInArrow(run, _schema(df, name))
+
+
 def mark_quotes(df: DataFrame, quotes: str = "quotes") -> DataFrame:
     """Add to lines (src_id, block, quotes) the quotes before each line of its split, and the number of record
     starts up to it if the split begins outside (``rec0``) or inside (``rec1``) a quoted field."""

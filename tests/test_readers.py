@@ -161,6 +161,22 @@ def test_csv_small_splits_lose_nothing(spark, tmp_path):
     assert sorted(generated.values()) == sorted(by_id.values())
 
 
+@pytest.mark.parametrize("split", [True, "quoted"])
+def test_csv_headers_are_sought_among_first_lines(spark, tmp_path, monkeypatch, split):
+    """A header is taken from a line per block: grouping all lines would sort them in their task. It may lie behind blank blocks."""
+    for name, blank in (("a.csv", 0), ("b.csv", 2500)):
+        put(tmp_path, name, "\n" * blank + "\ufeff"[:blank] + "id,v\n" + "".join(f"{name}{i},x\n" for i in range(500)))
+    kind, grouped = type(spark.range(1)), []
+    plain = kind.groupBy
+    monkeypatch.setattr(kind, "groupBy", lambda df, *by: (grouped.append(df) if by == ("src_id",) else None, plain(df, *by))[1])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert len(docs(read_rows(spark, str(tmp_path), split=split))) == 1000
+        assert [df.count() <= df.select("src_id", "block").distinct().count() for df in grouped] == [True]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 @pytest.mark.parametrize("block", [200, 100_000])
 def test_csv_quoted_line_breaks_over_small_blocks(spark, tmp_path, block):
     """Records that span lines and blocks: every row once, as one task would read it."""
