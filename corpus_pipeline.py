@@ -18,6 +18,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Rows sent to a Python worker at once: documents are long, and the JVM and the worker each hold a batch or two.
 ARROW_ROWS = 1000
+#: Bytes sent at once, but for a row that is larger: packed postings are, and the JVM doubles the buffer that it fills.
+ARROW_BYTES = 2 << 20
 #: Entries of the encoder's caches: workers live through all stages beside a JVM that has grown, and must stay small.
 ENCODER_CACHES = (60_000, 50_000)
 
@@ -48,9 +50,10 @@ def staged(stage: Stage) -> Stage:
 def prepare(spark: SparkSession) -> None:
     """Give the tasks the package, and bound their batches, unless the session says how."""
     ship(spark)
-    key, default = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
-    if spark.conf.get(key, default) == default:
-        spark.conf.set(key, str(ARROW_ROWS))
+    for limit, default, most in (("maxRecordsPerBatch", "10000", ARROW_ROWS), ("maxBytesPerBatch", "67108864b", ARROW_BYTES)):
+        key = f"spark.sql.execution.arrow.{limit}"
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, str(most))
 
 
 @staged

@@ -123,6 +123,8 @@ class Encoder:
         spaced = self.kind == "spaced"
         self.chunks = Chunks(self.units, _SPACED if spaced else _PLAIN, " " if spaced else "")
         self.units.most, self.chunks.most = units, chunks
+        # fewer entries ask for less memory, so that fewer texts are taken together
+        self.together = max(1, (TOGETHER if self.kind == "plain" else TOGETHER // 4) * min(chunks, CHUNKS) // CHUNKS)
 
     def _slice(self, text: str) -> bytes:
         if self.kind == "plain":
@@ -151,13 +153,12 @@ class Encoder:
         texts = pc.fill_null(texts, "")
         sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
         lo, ends = 0, np.cumsum(sizes, dtype=np.int64)
-        together = TOGETHER if self.kind == "plain" else TOGETHER // 4
         while lo < len(texts):
             if not self.kind or sizes[lo] > SLICE:
                 yield self.encode(texts[lo].as_py())
                 lo += 1
                 continue
-            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - sizes[lo] + together, side="right")))
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - sizes[lo] + self.together, side="right")))
             large = np.flatnonzero(sizes[lo:hi] > SLICE)
             hi = lo + int(large[0]) if len(large) else hi
             yield from self._together(texts.slice(lo, hi - lo))
@@ -189,7 +190,9 @@ class Encoder:
         flat, first = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(size) - size
         each = size[code]
         end = np.concatenate([[0], np.cumsum(each)])
-        out = flat[np.repeat(first[code] - end[:-1], each) + np.arange(end[-1])]
+        spot = np.repeat(first[code] - end[:-1], each)
+        spot += np.arange(end[-1])
+        out = flat[spot]
         # chunks of each text, then ids
         at = end[np.concatenate([[0], np.cumsum(counts)])]
         alone = set(np.flatnonzero(uneven.to_numpy(zero_copy_only=False)).tolist()) if spaced else ()

@@ -275,6 +275,10 @@ def _encoded(tokenizer: str, end: int, caches: tuple[int, int]):
                 more[: len(seen)] += seen[: len(more)]
                 seen = np.concatenate([more, seen[len(more) :]])
             cols = [batch.column("doc_id"), pa.array(range(at, at + n), pa.int64()), pa.array(ids, pa.binary()), pa.array(sizes, pa.int64())]
+            # what a batch leaves free lies between entries of the caches and would add up
+            found = doc = None
+            ids, docs = [], []
+            release()
             yield pa.RecordBatch.from_arrays([*cols, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], _ENCODED)
             at += n
         terms = np.flatnonzero(seen)

@@ -4,6 +4,7 @@ from collections import Counter
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from docspark.llm import mixing, pii
@@ -29,6 +30,19 @@ def test_stages(spark, sf):
     assert out["packing"].agg({"length": "sum"}).first()[0] == total
 
 
+def test_batches_of_large_rows_are_bounded(spark):
+    """Rows of a stage may hold far more than a text: what is sent at once is bounded in bytes too."""
+    rows = spark.range(0, 1000, 1, 1).selectExpr("repeat('x', 20000) as text")
+    corpus_pipeline.prepare(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes])})
+
+    found = [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) > 20_000_000 and max(found) < 2 * corpus_pipeline.ARROW_BYTES
+
+
 def test_empty_table(spark, hostile):
     docs = hostile.limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -1,6 +1,7 @@
 import random
 import zlib
 from functools import cache
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -269,3 +270,17 @@ def test_equal_chunks_of_neighbouring_texts_are_looked_up_once():
     for text, ids in zip(texts, made.encode_all(pa.array(texts)), strict=True):
         assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids
     assert len(asked) == len(set(asked)) > 0
+
+
+def test_small_caches_keep_the_encoding_worker_small(words, monkeypatch):
+    """Fewer entries: fewer texts are looked up together, and each batch gives back what it freed; the ids are the same."""
+    texts = [words(k, 100) for k in range(40)]
+    one, small = encode.Encoder(WORD), encode.Encoder(WORD, 60_000, encode.CHUNKS // 8)
+    assert (one.together, small.together) == (encode.TOGETHER, encode.TOGETHER // 8)
+    small.together = 300
+    assert [x.tolist() for x in small.encode_all(pa.array(texts))] == [x.tolist() for x in one.encode_all(pa.array(texts))]
+    freed = []
+    monkeypatch.setattr(packing, "release", lambda: freed.append(1))
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(40)), "text": pa.array(texts)})
+    assert len(list(packing._encoded(WORD, 1, (60_000, 50_000))([batch, batch]))) == 3 and len(freed) == 2
