@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -32,6 +33,14 @@ def full_path(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
+def matches(spark: SparkSession, path: str) -> list[str]:
+    """Full paths of what a path or glob names; none if there is nothing."""
+    fs, p = _fs(spark, path)
+    if not re.search(r"[{}\[\]*?\\]", path):
+        return [fs.makeQualified(p).toString()] if fs.exists(p) else []
+    return [fs.makeQualified(s.getPath()).toString() for s in fs.globStatus(p) or []]
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none if it is not there."""
     fs, p = _fs(spark, path)

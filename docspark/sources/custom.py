@@ -5,8 +5,7 @@ from __future__ import annotations
 import os
 import time
 import zlib
-from collections.abc import Callable, Iterator
-from typing import NamedTuple
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
@@ -23,6 +22,7 @@ from pyspark.sql.datasource import (
 )
 
 from docspark.runtime import ship
+from docspark.sources.io import Entry, entries
 
 
 class FilesPartition(InputPartition):
@@ -32,29 +32,7 @@ class FilesPartition(InputPartition):
         self.number, self.tasks, self.since, self.until = number, tasks, since, until
 
 
-class _Entry(NamedTuple):
-    """What a listing says of a file or directory, with a call that gives its time in nanoseconds."""
-
-    name: str
-    path: str
-    is_dir: bool
-    changed: Callable[[], int]
-
-
-def _entries(fs, folder: str) -> Iterator[_Entry]:
-    """A directory's entries. Local ones are read piece by piece; other file systems give a directory's listing at once."""
-    from pyarrow import fs as pafs
-
-    if isinstance(fs, pafs.LocalFileSystem):
-        with os.scandir(folder) as found:
-            for e in found:
-                yield _Entry(e.name, e.path, e.is_dir(), lambda e=e: e.stat().st_mtime_ns)
-    else:
-        for e in fs.get_file_info(pafs.FileSelector(folder)):
-            yield _Entry(e.base_name, e.path, e.type == pafs.FileType.Directory, lambda e=e: e.mtime_ns)
-
-
-def _owned_files(fs, root: str, part: FilesPartition, depth: int, prefix: str = "") -> Iterator[_Entry]:
+def _owned_files(fs, root: str, part: FilesPartition, depth: int, prefix: str = "") -> Iterator[Entry]:
     """The files below ``root`` that a task owns, found by walking directories in the task.
 
     All tasks walk the first ``depth`` levels and share the files there by a hash of their path; directories at that depth
@@ -68,7 +46,7 @@ def _owned_files(fs, root: str, part: FilesPartition, depth: int, prefix: str =
     folders = [(root, 0)]
     while folders:
         folder, level = folders.pop()
-        for entry in _entries(fs, folder):
+        for entry in entries(fs, folder):
             if entry.name.startswith(("_", ".")):
                 continue
             if entry.is_dir:

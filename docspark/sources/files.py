@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docspark.functions.metadata import add_collection, content_type_of
-from docspark.functions.uri import file_path_of, filename_of, uri_build, whole_match
+from docspark.functions.uri import file_path_of, filename_of, uri_build, uri_encode, whole_match
 from docspark.runtime import pack_small_files, ship
 from docspark.schema import to_docs
+from docspark.sources.listing import list_below, with_content
 
 # A document must fit one row; larger files are reported, or read by reference.
 MAX_BYTES = (2**31 - 1) // 3
@@ -21,12 +22,23 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def _binary(spark: SparkSession, paths, pattern: str | None) -> DataFrame:
+def _files(spark: SparkSession, paths, pattern: str | None) -> DataFrame:
+    """(path, length) of files; with their content where only Spark opens them, and then all of them are listed on the driver."""
     ship(spark)  # what is listed here is mostly opened in Python tasks
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_paths(paths))
-    if pattern:
-        df = df.where(F.col("_metadata.file_name").rlike(whole_match(pattern)))
-    return pack_small_files(df)
+    df, name = list_below(spark, _paths(paths)), uri_encode(filename_of(F.col("path")))
+    if df is None:
+        df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_paths(paths))
+        df, name = pack_small_files(df), F.col("_metadata.file_name")
+    return df.where(name.rlike(whole_match(pattern))) if pattern else df
+
+
+def _contents(files: DataFrame) -> DataFrame:
+    return files.select("path", "content") if "content" in files.columns else with_content(files)
+
+
+def read_contents(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
+    """(path, content) of whole files; empty ones are left out."""
+    return _contents(_files(spark, paths, pattern))
 
 
 def text_lines(
@@ -60,7 +72,7 @@ def text_lines(
 
 def list_files(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
     """Recursive listing without reading content; names starting with ``_`` or ``.`` are hidden."""
-    return _binary(spark, paths, pattern).select(
+    return _files(spark, paths, pattern).select(
         F.col("path").alias("src_id"), filename_of(F.col("path")).alias("file_name"), F.col("length").alias("bytes_n")
     )
 
@@ -83,9 +95,9 @@ def read_files(
     **uri_options,
 ) -> DataFrame:
     """One document per file, URI = file path. Empty files are dropped, too large ones rejected."""
-    files = _binary(spark, paths, pattern)
-    # the length predicates reach the scan, so the content of a rejected file is never loaded
-    ok = files.where((F.col("length") > 0) & (F.col("length") <= MAX_BYTES))
+    files = _files(spark, paths, pattern)
+    # chosen before the reading, so the content of a rejected file is never loaded
+    ok = _contents(files.where((F.col("length") > 0) & (F.col("length") <= MAX_BYTES)))
     large = files.where(F.col("length") > MAX_BYTES).select("path")
     ct = content_type_of(F.col("path")) if doc_type.upper() == "MIXED" else F.lit(doc_type.upper())
     ok = ok.select("path", "content", ct.alias("content_type"))
@@ -109,7 +121,7 @@ def read_files(
 
 def read_file_refs(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None, **uri_options) -> DataFrame:
     """Documents by reference: no bytes until a sink opens ``src_id``."""
-    files = _binary(spark, paths, pattern).select("path", "length")
+    files = _files(spark, paths, pattern).select("path", "length")
     uri, reason = uri_build(file_path_of(F.col("path")), **uri_options)
     docs = to_docs(files, uri=uri, skip_reason=reason, content_type=F.lit("BINARY"), src_id="path")
     return docs.drop("bytes", "text")

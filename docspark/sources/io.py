@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 from urllib.parse import unquote, urlsplit
 
 from pyarrow import fs as pafs
@@ -29,6 +32,27 @@ def open_stream(path: str):
     return fs.open_input_stream(p, compression=None)
 
 
+class Entry(NamedTuple):
+    """What a listing says of a file or directory, with calls that give its time in nanoseconds and its bytes."""
+
+    name: str
+    path: str
+    is_dir: bool
+    changed: Callable[[], int]
+    size: Callable[[], int]
+
+
+def entries(fs, folder: str) -> Iterator[Entry]:
+    """A directory's entries. Local ones are read piece by piece; other file systems give a directory's listing at once."""
+    if isinstance(fs, pafs.LocalFileSystem):
+        with os.scandir(folder) as found:
+            for e in found:
+                yield Entry(e.name, e.path, e.is_dir(), lambda e=e: e.stat().st_mtime_ns, lambda e=e: e.stat().st_size)
+    else:
+        for e in fs.get_file_info(pafs.FileSelector(folder)):
+            yield Entry(e.base_name, e.path, e.type == pafs.FileType.Directory, lambda e=e: e.mtime_ns, lambda e=e: e.size)
+
+
 class AtomicFile:
     """Write to a name of its own, then move into place: a repeated task replaces, never mixes."""
 
