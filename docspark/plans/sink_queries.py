@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docspark.functions.uri import filename_of
 from docspark.operators.mutate import add_collection_to, apply_node_ops, apply_property_ops
 from docspark.plans import jobs
 from docspark.plans.catalog import query
@@ -26,6 +27,7 @@ from docspark.sinks.export import export_archive, export_files, export_zip
 from docspark.sinks.records import foreach_kv, write_rejects, write_sequencefile
 from docspark.sinks.store import last_by_uri, prepare_target, scan_docs, upsert_docs, write_store
 from docspark.sources.archive import read_archive
+from docspark.sources.files import read_contents
 from docspark.sources.rdf import read_nquads
 from docspark.sources.seqfile import read_sequencefile
 from docspark.sources.zipped import read_zip_docs
@@ -244,8 +246,8 @@ def q_foreach_kv(spark, sf):
 
     pairs = table(spark, sf, "customer").select(F.col("c_name").alias("key"), F.col("c_mktsegment").alias("value"))
     foreach_kv(pairs, None, setup)
-    files = spark.read.text(path, wholetext=True).select(F.url_decode("_metadata.file_name").alias("key"), "value")
-    return pack_small_files(files)
+    files = read_contents(spark, path)
+    return files.select(filename_of(F.col("path")).alias("key"), F.col("content").cast("string").alias("value"))
 
 
 @query(
