@@ -21,7 +21,7 @@ from docspark.plans.derive import (
     text_docs,
 )
 from docspark.plans.source_queries import _LABELLED, _labelled, _text_rows, _with_metadata
-from docspark.runtime import pack_small_files, work_path
+from docspark.runtime import work_path
 from docspark.schema import to_docs
 from docspark.sinks.export import export_archive, export_files, export_zip
 from docspark.sinks.records import foreach_kv, write_rejects, write_sequencefile
@@ -139,7 +139,7 @@ def q_export_large_entries(spark, sf):
     export_archive(read_zip_docs(spark, zips, max_bytes=1000), archive)
     write_store(read_archive(spark, archive, max_bytes=1000).where("skip_reason is null"), store, buckets=8)
     export_files(scan_docs(spark, store), out)
-    files = pack_small_files(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out))
+    files = read_contents(spark, out)
     uri = F.regexp_extract("path", "(/[^/]*/[^/]*\\.txt)$", 1)
     return files.select(uri.alias("uri"), F.md5("content").alias("text_md5"))
 

@@ -36,6 +36,7 @@ def made(spark, tmp_path_factory):
 WANT = {
     "foreach_kv": "select c_name as key, c_mktsegment as value from customer",
     "read_gzip_docs": "select concat('/', source, '/', doc_id, '.txt') as uri, md5(text) as text_md5 from documents",
+    "export_large_entries": "select concat('/', source, '/', doc_id, '.txt') as uri, md5(text) as text_md5 from documents",
     "read_csv_header_per_file": "select concat('/h/', c_custkey) as uri, c_name as name from customer",
     "link_count_files": "select n_name as title, count(*) as n from customer join nation on n_nationkey = c_nationkey group by n_name",
     "filename_as_collection": "select concat(doc_id, '.txt') as collection, md5(text) as text_md5 from documents",
